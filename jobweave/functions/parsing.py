@@ -19,8 +19,10 @@ _END = "jobweave:end"
 
 def strip_fences(response: Column) -> Column:
     """The answer without surrounding white space and Markdown code fences."""
-    opened = F.regexp_replace(strip(response), r"(?U)^```(?:json)?\s*", "")
-    return F.regexp_replace(opened, r"(?U)\s*```$", "")
+    text = strip(response)
+    opened = F.regexp_replace(text, r"(?U)^```(?:json)?\s*", "")
+    fenced = F.regexp_replace(opened, r"(?U)\s*```$", "")
+    return F.when(text.contains("```"), fenced).otherwise(text)
 
 
 def _wrapped(answer: Column) -> Column:

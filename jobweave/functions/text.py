@@ -10,9 +10,15 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+# The characters that count as white space at the ends of a text.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + (
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+
+
 def strip(value: Column | str) -> Column:
     """Remove white space of any kind (also tabs, line ends, Unicode spaces) at both ends."""
-    return F.regexp_replace(_col(value), r"(?U)^\s+|\s+$", "")
+    return F.btrim(_col(value), F.lit(WHITE_SPACE))
 
 
 def is_blank(value: Column | str) -> Column:

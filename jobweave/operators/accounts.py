@@ -117,21 +117,23 @@ def patch_profiles(
 def resolve_identities(requests: DataFrame, users: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Add `user_id` and `resolved_by` ('id', 'email' or null): by claimed id, else by e-mail.
 
-    Requests without an address skip the second join, so they do not gather on one null key.
+    Requests that need no second lookup, or have no address for one, get a key of their own there
+    that no account has, so they do not gather on one null key.
     """
-    ids = users.select(F.col("user_id").alias("claim_id")).withColumn("_hit", F.lit(True))
-    tried = requests.join(ids, "claim_id", "left")
-    by_id = tried.filter("_hit").withColumn("user_id", F.col("claim_id")).withColumn("resolved_by", F.lit("id"))
-    rest = tried.filter(F.col("_hit").isNull())
-    has_mail = F.coalesce(F.col("email") != "", F.lit(False))
-    mails = first_per_group(users.filter(F.col("email").isNotNull()), ["email"], order).select("email", "user_id")
-    by_mail = (
-        rest.filter(has_mail)
-        .join(mails, "email", "left")
-        .withColumn("resolved_by", F.when(F.col("user_id").isNotNull(), F.lit("email")))
+    ids = users.select(F.col("user_id").alias("claim_id"), F.lit(True).alias("_hit"))
+    mails = first_per_group(users.filter(F.col("email").isNotNull()), ["email"], order).select(
+        F.col("email").alias("_key"), F.col("user_id").alias("_by_mail")
     )
-    nobody = rest.filter(~has_mail).withColumn("user_id", F.lit(None).cast("string")).withColumn(
-        "resolved_by", F.lit(None).cast("string")
+    has_mail = F.coalesce(F.col("email") != "", F.lit(False))
+    private = F.concat(F.lit("\x00"), F.xxhash64(*requests.columns).cast("string"))
+    key = F.when(F.col("_hit").isNull() & has_mail, F.col("email")).otherwise(private)
+    return (
+        requests.join(ids, "claim_id", "left")
+        .withColumn("_key", key)
+        .join(mails, "_key", "left")
+        .select(
+            *requests.columns,
+            F.when(F.col("_hit"), F.col("claim_id")).otherwise(F.col("_by_mail")).alias("user_id"),
+            F.when(F.col("_hit"), "id").when(F.col("_by_mail").isNotNull(), "email").alias("resolved_by"),
+        )
     )
-    columns = [*requests.columns, "user_id", "resolved_by"]
-    return by_id.select(*columns).unionByName(by_mail.select(*columns)).unionByName(nobody.select(*columns))

@@ -50,13 +50,13 @@ def alert_messages(alerts: DataFrame, product: str) -> DataFrame:
     return alerts.select("job_id", "score", mail_color(F.col("score")).alias("color"), subject.alias("subject"), body.alias("body"))
 
 
-def digest_keys(evaluations: DataFrame, users: DataFrame, postings: DataFrame) -> DataFrame:
+def due_matches(evaluations: DataFrame, users: DataFrame, postings: DataFrame) -> DataFrame:
     """Pending evaluations whose posting is still in the user's subscribed sources."""
+    pending = pending_evaluations(evaluations.select("user_id", "job_id", "score", "summary", "email_sent"), users)
     return (
-        pending_evaluations(evaluations.select("user_id", "job_id", "score", "email_sent"), users)
-        .join(postings.select(*POSTING_KEY), "job_id")
+        pending.join(postings.select(*POSTING_KEY), "job_id")
         .join(subscriptions(users), ["user_id", "source_id"], "left_semi")
-        .select("user_id", "source_id", "job_id", "score")
+        .select("user_id", "source_id", "job_id", "score", "summary")
     )
 
 
@@ -65,13 +65,12 @@ def digest_lines(
 ) -> DataFrame:
     """One row per line of a digest, numbered by score within the user.
 
-    A digest of any length stays a set of rows: a mailer reads them in order of `line_no`. Texts are
-    joined after numbering, so that the sort moves keys only.
+    A digest of any length stays a set of rows: a mailer reads them in order of `line_no`. Texts of
+    postings are joined after numbering, so that the sort does not move them.
     """
     ranked = number_rows(
-        digest_keys(evaluations, users, postings), ["user_id"], [F.desc("score"), F.col("source_id"), F.col("job_id")], "line_no"
+        due_matches(evaluations, users, postings), ["user_id"], [F.desc("score"), F.col("source_id"), F.col("job_id")], "line_no"
     )
-    summaries = evaluations.select("user_id", "job_id", "summary")
     label = source_label("label", "source_id")
     text = F.concat(
         F.lit("["), label, F.lit("] "), F.coalesce("title", F.lit("N/A")),
@@ -79,8 +78,7 @@ def digest_lines(
     )
     summary = F.coalesce("summary", F.lit(""))
     return (
-        ranked.join(summaries, ["user_id", "job_id"])
-        .join(postings, [*POSTING_KEY])
+        ranked.join(postings, [*POSTING_KEY])
         .join(labels.select("source_id", "label"), "source_id", "left")
         .select(
             "user_id",
@@ -111,7 +109,7 @@ def user_digests(
     that user's own subscriptions. The lines themselves are `digest_lines`.
     """
     per_source = (
-        digest_keys(evaluations, users, postings)
+        due_matches(evaluations, users, postings)
         .groupBy("user_id", "source_id")
         .agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("best"))
         .join(labels.select("source_id", "label"), "source_id", "left")
@@ -151,7 +149,7 @@ def delivered_keys(
     a user who got a digest."""
     recipient = F.coalesce(F.nullif("notification_email", F.lit("")), F.nullif("email", F.lit("")))
     reachable = users.filter(recipient.isNotNull())
-    delivered = digest_keys(evaluations, reachable, postings).select("user_id", "job_id")
+    delivered = due_matches(evaluations, reachable, postings).select("user_id", "job_id")
     if not mark_all:
         return delivered.distinct()
     return (

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ranking import top_per_group
 from .store import POSTING_KEY
 from .users import effective_sources, subscriptions
@@ -40,9 +41,8 @@ def feed(
     """One page per user: scored postings by score, then unscored ones; ties by source and job id.
 
     No plan step lists users x postings. The scored part comes from the evaluations. Where it does not
-    fill the page, the rest comes from the head of each subscribed source: a user who needs it has fewer
-    than `page * limit` scored postings, so the first `2 * page * limit` ids of a source always hold
-    enough unscored ones. Totals come from counts per source. Texts are joined to the page's rows only.
+    fill the page, the rest comes from the heads of the subscribed sources (see `_unscored`). Totals
+    come from counts per source. Texts of postings are joined to the page's rows only.
     """
     if page < 1 or not 1 <= limit <= MAX_LIMIT or not 0 <= min_score <= 10:
         raise ValueError("page >= 1, 1 <= limit <= 100 and 0 <= min_score <= 10 are required")
@@ -50,26 +50,28 @@ def feed(
     wanted = subscriptions(_requests(users, source), "_sources")
     scored = (
         evaluations.filter(F.col("score").isNotNull() & keeps(F.col("score"), min_score))
-        .select("user_id", "job_id", "score")
+        .select("user_id", "job_id", "score", "summary")
         .join(postings.select(*POSTING_KEY), "job_id")
         .join(wanted, ["user_id", "source_id"], "left_semi")
     )
-    n_scored = scored.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_scored"))
-    by_key = [F.col(c) for c in POSTING_KEY]
-    columns = ["user_id", *POSTING_KEY, "score", "position"]
-    rows = top_per_group(scored, ["user_id"], [F.desc("score"), *by_key], last).select(*columns)
+    # Read up to three times below.
+    scored = materialize(scored, "scored")
+    columns = ["user_id", *POSTING_KEY, "score", "summary", "position"]
+    best_first = [F.desc("score"), *[F.col(c) for c in POSTING_KEY]]
+    rows = top_per_group(scored, ["user_id"], best_first, last).select(*columns)
     if min_score == 0:
-        rows = rows.unionByName(_unscored(wanted, postings, scored, n_scored, last).select(*columns))
-        per_source = postings.groupBy("source_id").agg(F.count(F.lit(1)).alias("_n"))
-        totals = wanted.join(per_source, "source_id").groupBy("user_id").agg(F.sum("_n").alias("total"))
+        shares = _shares(wanted, postings, scored)
+        remarks = evaluations.filter(F.col("score").isNull()).select("user_id", "job_id", "summary")
+        rest = _unscored(shares, postings, scored, last).join(remarks, ["user_id", "job_id"], "left")
+        rows = rows.unionByName(rest.select(*columns))
+        totals = shares.groupBy("user_id").agg(F.sum("n_postings").alias("total"))
     else:
-        totals = n_scored.withColumnRenamed("n_scored", "total")
-    rows = rows.filter(F.col("position") > last - limit)
+        totals = scored.groupBy("user_id").agg(F.count(F.lit(1)).alias("total"))
     pages = F.greatest(F.ceil(F.col("total") / limit), F.lit(1))
     return (
-        rows.join(totals, "user_id")
+        rows.filter(F.col("position") > last - limit)
+        .join(totals, "user_id")
         .join(postings, [*POSTING_KEY])
-        .join(evaluations.select("user_id", "job_id", "summary"), ["user_id", "job_id"], "left")
         .select(
             "user_id",
             "position",
@@ -85,22 +87,43 @@ def feed(
     )
 
 
-def _unscored(
-    wanted: DataFrame, postings: DataFrame, scored: DataFrame, n_scored: DataFrame, last: int
-) -> DataFrame:
-    """Unscored rows up to position `last` for the users whose scored rows end before it."""
-    short = (
-        wanted.join(n_scored, "user_id", "left")
+def _shares(wanted: DataFrame, postings: DataFrame, scored: DataFrame) -> DataFrame:
+    """Postings of each subscribed source and how many of them the user has scored."""
+    per_source = postings.groupBy("source_id").agg(F.count(F.lit(1)).alias("n_postings"))
+    done = scored.groupBy("user_id", "source_id").agg(F.count(F.lit(1)).alias("n_scored"))
+    return (
+        wanted.join(per_source, "source_id")
+        .join(done, ["user_id", "source_id"], "left")
         .withColumn("n_scored", F.coalesce("n_scored", F.lit(0)))
-        .filter(F.col("n_scored") < last)
     )
-    heads = top_per_group(postings.select(*POSTING_KEY), ["source_id"], [F.col("job_id")], 2 * last, "_head")
-    open_rows = short.join(heads.drop("_head"), "source_id").join(
-        scored.select("user_id", "job_id"), ["user_id", "job_id"], "left_anti"
+
+
+def _unscored(shares: DataFrame, postings: DataFrame, scored: DataFrame, last: int) -> DataFrame:
+    """Unscored rows up to position `last` for the users whose scored rows end before it.
+
+    A user short of m rows takes them from the subscribed sources in turn. From a source with s scored
+    postings, its first m + s ids hold m unscored ones, or all there are; m + s never exceeds `last`.
+    So the heads of the sources are enough, and a user meets no more than about `last` of their rows.
+    The windows here run over one user's subscriptions, which are an array in the user's row.
+    """
+    per_user = Window.partitionBy("user_id")
+    earlier = per_user.orderBy("source_id").rowsBetween(Window.unboundedPreceding, -1)
+    unscored = F.col("n_postings") - F.col("n_scored")
+    short = (
+        shares.withColumn("n_all", F.sum("n_scored").over(per_user))
+        .withColumn("missing", F.lit(last) - F.col("n_all") - F.coalesce(F.sum(unscored).over(earlier), F.lit(0)))
+        .filter("missing > 0")
+        .select("user_id", "source_id", "n_all", (F.col("missing") + F.col("n_scored")).alias("take"))
+    )
+    heads = top_per_group(postings.select(*POSTING_KEY), ["source_id"], [F.col("job_id")], last, "head")
+    open_rows = (
+        short.join(heads, "source_id")
+        .filter(F.col("head") <= F.col("take"))
+        .join(scored.select("user_id", "job_id"), ["user_id", "job_id"], "left_anti")
     )
-    placed = top_per_group(open_rows, ["user_id"], [F.col(c) for c in POSTING_KEY], last, "_nth")
+    placed = top_per_group(open_rows, ["user_id"], [F.col(c) for c in POSTING_KEY], last, "nth")
     return (
-        placed.withColumn("position", (F.col("n_scored") + F.col("_nth")).cast("int"))
+        placed.withColumn("position", (F.col("n_all") + F.col("nth")).cast("int"))
         .filter(F.col("position") <= last)
         .withColumn("score", F.lit(None).cast("int"))
     )

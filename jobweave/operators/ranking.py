@@ -42,20 +42,22 @@ def number_rows(
     """Number all rows of every group from 1 in `order`, which must be total.
 
     Rows are range-partitioned by group and order, so a hot group spans many partitions in sequence.
-    Each partition numbers its own rows; the counts of earlier partitions are added. The count table
-    has one row per (group, partition holding it). The range-partitioned rows are written once because
-    both halves must see the same boundaries, also when a lost task is run again.
+    Each partition numbers its own rows; a group that began in an earlier partition adds the rows it
+    has there. Only the first group of a partition can have begun earlier, so the table of additions
+    has at most one row per partition. The range-partitioned rows are written once because both halves
+    must see the same boundaries, also when a lost task is run again.
     """
     keys = [F.col(g) for g in group]
     spread = df.repartitionByRange(*keys, *order).withColumn("_chunk", F.spark_partition_id())
     stored = materialize(spread, "numbered")
-    chunk_sizes = stored.groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = stored.groupBy(*group, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*group).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = chunk_sizes.select(*group, "_chunk", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    additions = sizes.select(*group, "_chunk", F.sum("_n").over(earlier).alias("_before")).filter("_before > 0")
     local = Window.partitionBy(*group, "_chunk").orderBy(*order)
+    number = F.coalesce("_before", F.lit(0)) + F.col("_local")
     return (
         stored.withColumn("_local", F.row_number().over(local))
-        .join(offsets, [*group, "_chunk"])
-        .withColumn(position, (F.col("_before") + F.col("_local")).cast("int"))
+        .join(additions, [*group, "_chunk"], "left")
+        .withColumn(position, number.cast("int"))
         .select(*df.columns, position)
     )

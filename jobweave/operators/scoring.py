@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.parsing import error_class, parse_responses, wait_seconds
+from ..session import materialize
 
 MAX_ATTEMPTS = 3  # fixed value
 DESCRIPTION_CHARS = 6000  # fixed value: the part of a description a prompt may hold
 
-# Adds a text column `response` to (user, posting) rows.
+# Adds a text column `response` to (user, posting) rows, and optionally `failure`, the message of a
+# call that gave no answer.
 Scorer = Callable[[DataFrame], DataFrame]
 
 INSTRUCTIONS = (
@@ -82,7 +85,36 @@ def batch_scorer(score_batch: Callable[[pd.DataFrame], pd.Series]) -> Scorer:
 
 def score_pairs(pairs: DataFrame, scorer: Scorer) -> DataFrame:
     """Run a scorer and read its answers: adds score, summary and error. Answers are never trusted."""
-    return parse_responses(scorer(pairs)).drop("response")
+    answered = scorer(pairs)
+    if "failure" not in answered.columns:
+        return parse_responses(answered).drop("response")
+    came = F.col("failure").isNull()
+    return (
+        parse_responses(answered)
+        .withColumns({name: F.when(came, F.col(name)) for name in ("score", "summary")})
+        .withColumn("error", F.coalesce("failure", "error"))
+        .drop("response", "failure")
+    )
+
+
+def score_with_attempts(pairs: DataFrame, scorer: Scorer, key: Sequence[str]) -> DataFrame:
+    """Results per key after up to MAX_ATTEMPTS calls: key, score, summary, error and n_attempts.
+
+    Failed pairs are asked again, except after an exhausted daily quota. The answers of each round are
+    written before use, so that a pair is put to the scorer once per round.
+    """
+    settled, rows = [], pairs
+    for attempt in range(1, MAX_ATTEMPTS + 1):
+        answers = score_pairs(rows, scorer).select(*key, "score", "summary", "error")
+        answers = materialize(answers.withColumn("n_attempts", F.lit(attempt)), f"answers-{attempt}")
+        failed = F.coalesce(error_class(F.col("error")) != "daily_quota", F.lit(False))
+        again = answers.filter(failed).select(*key)
+        if attempt == MAX_ATTEMPTS or again.isEmpty():
+            settled.append(answers)
+            break
+        settled.append(answers.filter(~failed))
+        rows = pairs.join(again, list(key), "left_semi")
+    return reduce(DataFrame.unionByName, settled)
 
 
 def classify_errors(df: DataFrame, message: str = "message") -> DataFrame:

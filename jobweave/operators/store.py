@@ -42,9 +42,9 @@ def upsert(
 ) -> DataFrame:
     """New snapshot: the first row per key of `batch` in `order` (newest first for last write wins)
     replaces the stored row as a whole."""
-    latest = first_per_group(batch, key, order)
-    kept = existing.join(latest.select(*key), list(key), "left_anti")
-    return kept.unionByName(latest.select(*existing.columns))
+    replaced = batch.select(*key).distinct()
+    kept = existing.join(replaced, list(key), "left_anti")
+    return kept.unionByName(first_per_group(batch, key, order).select(*existing.columns))
 
 
 def with_user_id(users: DataFrame) -> DataFrame:

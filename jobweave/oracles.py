@@ -372,16 +372,22 @@ _oracle("score_pairs", """SELECT user_id, job_id, score, CASE WHEN error IS NULL
   (SELECT user_id, job_id, n, m, CAST(CASE WHEN n > 0 THEN greatest(1, ceil(10.0 * m / n)) WHEN length(user_id) + length(job_id) <= 10 THEN length(user_id) + length(job_id) END AS INTEGER) AS score,
     CASE WHEN n = 0 AND length(user_id) + length(job_id) > 10 THEN 'score out of bounds' END AS error FROM
    (SELECT e.user_id, e.job_id, len(list_intersect(u.tags, coalesce(j.tags, CAST([] AS VARCHAR[])))) AS m, len(u.tags) AS n FROM evals e JOIN user_tags u USING (user_id) JOIN job_tags j USING (job_id)))""")
-_oracle("attempt_outcome", """WITH tried AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY error IS NOT NULL, l_linenumber, l_partkey, l_shipdate) AS good_rank,
+_oracle("attempt_outcome", """WITH tried AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY error IS NOT NULL, l_linenumber, l_partkey, l_shipdate, score) AS good_rank,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY error IS NULL, l_linenumber DESC, l_partkey DESC, l_shipdate DESC) AS bad_rank,
     max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last_attempt, bool_or(error IS NULL) OVER (PARTITION BY l_orderkey) AS ok FROM parsed WHERE l_linenumber <= 3)
   SELECT l_orderkey, score, summary, error, CASE WHEN ok THEN l_linenumber ELSE last_attempt END AS n_attempts FROM tried WHERE CASE WHEN ok THEN good_rank = 1 ELSE bad_rank = 1 END""")
 _oracle("cross_source_dedup", r"""SELECT content_key, k.source_id, k.job_id, n_copies, n_boards FROM
   (SELECT content_key, min({'source_id': source_id, 'job_id': job_id}) AS k, count(*) AS n_copies, count(DISTINCT source_id) AS n_boards
    FROM (SELECT *, md5(trim(regexp_replace(lower(description_raw), '\s+', ' ', 'g'))) AS content_key FROM texts) GROUP BY content_key) WHERE n_boards > 1""")
-_oracle("extract_description", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'),
-    '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g')) AS title,
+_oracle("extract_description", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'),
+    '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS title,
   regexp_replace(substr(body, 1, 8000), '\s+', ' ', 'g') AS description FROM
-  (SELECT page_id, html, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
+  (SELECT page_id, html, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(
      regexp_replace(regexp_replace(replace(replace(regexp_extract(html, '<body[^>]*>(.*)', 1, 's'), chr(10), ' '), chr(13), ' '), '<!--.*?-->|<(script|style)[^>]*>.*?</(script|style)>|</?(a|b|i|em|strong|span)( [^>]*)?>', '', 'gs'), '<[^>]*>', chr(10), 'g'),
-     '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '[ \t\r]+', ' ', 'g'), ' *\n[ \n]*', chr(10), 'g'), chr(10) || ' ') AS body FROM pages)""")
+     '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '[ \t\r]+', ' ', 'g'), ' *\n[ \n]*', chr(10), 'g'), chr(10) || ' ') AS body FROM pages)""")
+_oracle("vector_shortlist", """SELECT user_id, CAST(position AS INTEGER) AS position, source_id, job_id, similarity FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, source_id, job_id) AS position FROM (
+    SELECT u.user_id, p.source_id, p.job_id, round(list_cosine_similarity(u.v, p.v), 9) AS similarity FROM
+      (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS user_id, unnest(['Board' || label, 'Board' || (vec_id % 4)]) AS source_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) u
+      JOIN (SELECT 'Board' || label AS source_id, CAST(vec_id AS VARCHAR) AS job_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) p USING (source_id)))
+  WHERE position <= 50""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import standins as st
 from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
-from .operators import accounts, alerts, duplicates, feed, report, repair, scoring, store, tags, worklist
+from .operators import accounts, alerts, duplicates, feed, report, repair, scoring, shortlist, store, tags, worklist
 from .operators import users as people
 from .session import scratch_path, tune
 from .sources import html, ingest, payload, registry
@@ -742,7 +742,13 @@ def score_pairs(spark, folder):
 def attempt_outcome(spark, folder):
     """Line items of an order as the attempts on one pair."""
     attempts = scoring.parse_responses(st.responses(spark, folder)).withColumn("attempt", F.col("l_linenumber"))
-    return scoring.attempt_outcomes(attempts, ["l_orderkey"], ["l_partkey", "l_shipdate", "response"])
+    return scoring.attempt_outcomes(attempts, ["l_orderkey"], ["l_partkey", "l_shipdate", "score"])
+
+
+@query
+def vector_shortlist(spark, folder):
+    nearest = shortlist.shortlist(st.user_vectors(spark, folder), st.posting_vectors(spark, folder))
+    return nearest.select("user_id", "position", "source_id", "job_id", "similarity")
 
 
 @query

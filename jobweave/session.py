@@ -17,6 +17,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Top-k and first-row windows cut every group before the shuffle (operators.ranking.GROUP_LIMIT).
+    "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
 }
 
 

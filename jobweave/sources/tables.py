@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -34,10 +35,12 @@ def snapshot_path(root: str, version: int) -> str:
 def write_snapshot(df: DataFrame, root: str, version: int, partition_by: Sequence[str] = ()) -> str:
     """Write a new version next to the ones being read. Repeating a failed write replaces its files.
 
-    Rows of one partition value are spread over as many files as Spark's tasks produce, so a source
-    with a third of all postings does not end in one task.
+    Rebalancing gives each partition value few files; AQE splits a value that holds a large share of
+    the rows over several tasks.
     """
     path = snapshot_path(root, version)
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(c) for c in partition_by])
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
     return path
 

@@ -406,6 +406,29 @@ def part_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def posting_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings as postings; their label names the board."""
+    return table(spark, folder, "embeddings").select(
+        F.concat(F.lit("Board"), F.col("label").cast("string")).alias("source_id"),
+        F.col("vec_id").cast("string").alias("job_id"),
+        F.col("embedding").alias("vector"),
+    )
+
+
+def user_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    """Embeddings as users, who subscribe to their own board and a second one."""
+    label, key = F.col("label"), F.col("vec_id")
+
+    def board(number: Column) -> Column:
+        return F.concat(F.lit("Board"), number.cast("string"))
+
+    return table(spark, folder, "embeddings").select(
+        key.cast("string").alias("user_id"),
+        F.array(board(label), board(key % 4)).alias("enabled_sources"),
+        F.col("embedding").alias("vector"),
+    )
+
+
 def tag_keywords(spark: SparkSession, folder: str) -> dict[str, str]:
     """A taxonomy of the words in part names. It is configuration, so its size is checked."""
     words = (

@@ -10,12 +10,16 @@ LOOK_BACK, EVERY = "2 hours", "1 hour"  # fixed values of the failure alert
 WEEK, WEEK_OFFSET = "7 days", "4 days 8 hours"
 
 
+def _timed(events: DataFrame, late: str | None) -> DataFrame:
+    # Watermarks need a time stamp with zone.
+    timed = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return timed if late is None else timed.withWatermark("ts", late)
+
+
 def failure_windows(events: DataFrame, late: str | None = None) -> DataFrame:
     """Failures per two-hour window, every hour, for windows with any. Give `late` on a stream: the
     time a failure may arrive late."""
-    failures = events.filter("event_type = 'error'")
-    if late is not None:
-        failures = failures.withWatermark("ts", late)
+    failures = _timed(events.filter("event_type = 'error'"), late)
     return (
         failures.groupBy(F.window("ts", LOOK_BACK, EVERY).alias("w"))
         .agg(F.count(F.lit(1)).alias("n_failures"))
@@ -25,10 +29,9 @@ def failure_windows(events: DataFrame, late: str | None = None) -> DataFrame:
 
 def weekly_activity(events: DataFrame, late: str | None = None) -> DataFrame:
     """Events per weekly cycle and type."""
-    if late is not None:
-        events = events.withWatermark("ts", late)
     return (
-        events.groupBy(F.window("ts", WEEK, WEEK, WEEK_OFFSET).alias("w"), "event_type")
+        _timed(events, late)
+        .groupBy(F.window("ts", WEEK, WEEK, WEEK_OFFSET).alias("w"), "event_type")
         .agg(F.count(F.lit(1)).alias("n_events"))
         .select(F.col("w.start").alias("week_start"), "event_type", "n_events")
     )
