@@ -9,7 +9,6 @@ from ..functions.bands import mail_color
 from ..functions.text import cut, or_default, plural, source_label
 from .ranking import number_rows
 from .store import POSTING_KEY
-from .users import subscriptions
 
 SUMMARY_CHARS = 200  # fixed value: summary length in the plain digest
 NOT_SPECIFIED = "Not specified"
@@ -17,11 +16,11 @@ UNTITLED = "Unknown Position"
 UNTITLED_CARD = "Position Closed"
 
 
-def pending_evaluations(evaluations: DataFrame, users: DataFrame) -> DataFrame:
-    """Evaluations at or above the user's own threshold that were not sent. An unknown flag is not
-    'unsent'."""
+def pending_evaluations(evaluations: DataFrame, users: DataFrame, *user_columns: str) -> DataFrame:
+    """Evaluations at or above the user's own threshold that were not sent, with `user_columns`. An
+    unknown flag is not 'unsent'."""
     due = evaluations.filter(F.col("email_sent") == F.lit(False)).join(
-        users.select("user_id", "score_threshold"), "user_id"
+        users.select("user_id", "score_threshold", *user_columns), "user_id"
     )
     return due.filter(F.col("score") >= F.col("score_threshold")).drop("score_threshold")
 
@@ -52,10 +51,11 @@ def alert_messages(alerts: DataFrame, product: str) -> DataFrame:
 
 def due_matches(evaluations: DataFrame, users: DataFrame, postings: DataFrame) -> DataFrame:
     """Pending evaluations whose posting is still in the user's subscribed sources."""
-    pending = pending_evaluations(evaluations.select("user_id", "job_id", "score", "summary", "email_sent"), users)
+    chosen = evaluations.select("user_id", "job_id", "score", "summary", "email_sent")
     return (
-        pending.join(postings.select(*POSTING_KEY), "job_id")
-        .join(subscriptions(users), ["user_id", "source_id"], "left_semi")
+        pending_evaluations(chosen, users, "enabled_sources")
+        .join(postings.select(*POSTING_KEY), "job_id")
+        .filter(F.array_contains("enabled_sources", F.col("source_id")))
         .select("user_id", "source_id", "job_id", "score", "summary")
     )
 

@@ -20,7 +20,7 @@ def untitled_postings(postings: DataFrame, source_id: Column) -> DataFrame:
 
 def match_listing(untitled: DataFrame, stubs: DataFrame, order: list[Column]) -> DataFrame:
     """Each incomplete posting with the last stub of its id and `matched`."""
-    fields = [F.col(c).alias(f"new_{c}") for c in (*LISTED_FIELDS, "description_raw") if c in stubs.columns]
+    fields = [F.col(c).alias(f"new_{c}") for c in LISTED_FIELDS]
     found = first_per_group(stubs, ["source_id", "job_id"], order).select(
         "source_id", "job_id", *fields, F.lit(True).alias("_found")
     )
@@ -29,6 +29,24 @@ def match_listing(untitled: DataFrame, stubs: DataFrame, order: list[Column]) ->
     ).drop("_found")
 
 
+def with_details(matched: DataFrame, details: DataFrame) -> DataFrame:
+    """Complete matches from detail pages (`url` and the fields found there).
+
+    A posting missing in the listing takes all fields from its page; one in the listing only the
+    description, which listings do not have.
+    """
+    fields = [*LISTED_FIELDS, "description_raw"]
+    pages = first_per_group(details.filter("url <> ''"), ["url"], [F.col(f) for f in fields]).select(
+        "url", *[F.col(f).alias(f"_page_{f}") for f in fields]
+    )
+    listed = {f"new_{f}": F.when(F.col("matched"), F.col(f"new_{f}")).otherwise(F.col(f"_page_{f}")) for f in LISTED_FIELDS}
+    return (
+        matched.join(pages, "url", "left")
+        .withColumns({**listed, "new_description_raw": F.col("_page_description_raw")})
+        .drop(*[f"_page_{f}" for f in fields])
+    )
+
+
 def patch(matched: DataFrame, tracking_prefix: str) -> DataFrame:
     """Add `patched_<field>` and `changed`: recovered values fill blank fields only, and a title that
     looks like that of an expired posting is refused."""

@@ -61,11 +61,6 @@ def build_prompts(pairs: DataFrame, instructions: str = INSTRUCTIONS) -> DataFra
     return pairs.withColumn("prompt", prompt)
 
 
-def attach_texts(pairs: DataFrame, users: DataFrame, postings: DataFrame) -> DataFrame:
-    """Join profile and posting fields to worklist keys."""
-    return pairs.join(postings, ["source_id", "job_id"]).join(users, "user_id")
-
-
 def batch_scorer(score_batch: Callable[[pd.DataFrame], pd.Series]) -> Scorer:
     """Scorer from a function over Arrow batches, for models that Spark expressions cannot call.
 

@@ -7,6 +7,8 @@ enumerates pairs, because each of its rows stands for one call of a scorer.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -58,9 +60,11 @@ def candidate_counts(users: DataFrame, postings: DataFrame) -> DataFrame:
     return subscriptions(users).join(per_source, "source_id").select("user_id", "source_id", "n_postings")
 
 
-def evaluated_candidates(users: DataFrame, postings: DataFrame, evaluations: DataFrame) -> DataFrame:
+def evaluated_candidates(
+    users: DataFrame, postings: DataFrame, evaluations: DataFrame, block: Sequence[str] = ()
+) -> DataFrame:
     """Evaluations of postings in the user's subscribed sources. Linear in the evaluations."""
-    return evaluations.join(postings.select(*POSTING_KEY), "job_id").join(
+    return evaluations.join(postings.select(*POSTING_KEY, *block), "job_id").join(
         subscriptions(users), ["user_id", "source_id"], "left_semi"
     )
 
@@ -95,37 +99,63 @@ def worklist_counts(
     )
 
 
-def worklist_by_source(
-    users: DataFrame, postings: DataFrame, evaluations: DataFrame, retry_failed: bool = False
+def open_blocks(
+    users: DataFrame, postings: DataFrame, settled: DataFrame, block: Sequence[str] = ()
 ) -> DataFrame:
-    """The open worklist per user and source, without listing its pairs."""
-    settled = settled_evaluations(evaluations, retry_failed).select(*EVALUATION_KEY)
+    """Subscribed blocks of postings a user has not settled completely: `n_done` and `n_todo` each.
+
+    A block is a source, or a source and further columns such as the run that collected the posting.
+    Linear in subscriptions x blocks and in the evaluations.
+    """
+    by = ["source_id", *block]
+    sizes = postings.groupBy(*by).agg(F.count(F.lit(1)).alias("_size"))
     done = (
-        evaluated_candidates(users, postings, settled)
-        .groupBy("user_id", "source_id")
+        evaluated_candidates(users, postings, settled.select(*EVALUATION_KEY), block)
+        .groupBy("user_id", *by)
         .agg(F.count(F.lit(1)).alias("_done"))
     )
-    n_todo = F.col("n_postings") - F.coalesce("_done", F.lit(0))
+    n_done = F.coalesce("_done", F.lit(0))
     return (
-        candidate_counts(users, postings)
-        .join(done, ["user_id", "source_id"], "left")
-        .select("user_id", "source_id", n_todo.alias("n_todo"))
+        subscriptions(users)
+        .join(sizes, "source_id")
+        .join(done, ["user_id", *by], "left")
+        .select("user_id", *by, n_done.alias("n_done"), (F.col("_size") - n_done).alias("n_todo"))
         .filter("n_todo > 0")
     )
 
 
-def worklist(
+def worklist_by_source(
     users: DataFrame, postings: DataFrame, evaluations: DataFrame, retry_failed: bool = False
 ) -> DataFrame:
-    """Keys of the (user, posting) pairs to score.
+    """The open worklist per user and source, without listing its pairs."""
+    settled = settled_evaluations(evaluations, retry_failed)
+    return open_blocks(users, postings, settled).select("user_id", "source_id", "n_todo")
 
-    Carries keys only; texts are joined by the scoring step. A source that holds a large share of the
-    postings is split by AQE's skew join.
+
+def worklist(
+    users: DataFrame,
+    postings: DataFrame,
+    evaluations: DataFrame,
+    retry_failed: bool = False,
+    block: Sequence[str] = (),
+    user_columns: Sequence[str] = (),
+) -> DataFrame:
+    """The (user, posting) pairs to score: the posting's columns with the user's id and `user_columns`.
+
+    Only pairs of open blocks are listed, so with the collecting run as block a new run costs its own
+    pairs and not the history's. A block nobody has touched needs no comparison with the evaluations,
+    and its pairs leave the join without another shuffle; pairs of blocks done in part are compared by
+    key. A source that holds a large share of the postings is split by block and by AQE's skew join.
     """
     settled = settled_evaluations(evaluations, retry_failed).select(*EVALUATION_KEY)
-    return (
-        subscriptions(users)
-        .join(postings.select(*POSTING_KEY), "source_id")
+    by = ["source_id", *block]
+    todo = open_blocks(users, postings, settled, block).withColumn("_touched", F.col("n_done") > 0)
+    seekers = todo.select("user_id", *by, "_touched").join(users.select("user_id", *user_columns), "user_id")
+    fresh = seekers.filter(~F.col("_touched")).join(postings, by)
+    partial = (
+        seekers.filter("_touched")
+        .join(postings.select(*by, "job_id"), by)
         .join(settled, list(EVALUATION_KEY), "left_anti")
-        .select("user_id", "source_id", "job_id")
+        .join(postings, [*by, "job_id"])
     )
+    return fresh.unionByName(partial).drop("_touched")

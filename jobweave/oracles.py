@@ -134,10 +134,19 @@ TABLES = {
       JOIN active u ON e.user_id = u.user_id JOIN jobs j ON e.job_id = j.job_id
       WHERE e.score >= u.score_threshold AND e.email_sent = false AND list_contains(u.enabled_sources, j.source_id)""",
     "fresh": "SELECT * FROM seen s WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.source_id = s.source_id AND j.job_id = s.job_id) QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
-    "stub": "SELECT source_id, job_id, CASE WHEN line = 2 THEN job_id || chr(10) || 'Closed Job' WHEN line = 3 THEN 'TRK' || job_id ELSE '  ' || title || ' ' END AS title, location, contract_type, deadline, description_raw FROM seen QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
-    "matched": """SELECT j.*, s.job_id IS NOT NULL AS matched, s.title AS new_title, s.location AS new_location,
-      s.contract_type AS new_contract_type, s.deadline AS new_deadline, s.description_raw AS new_description_raw
-      FROM (SELECT * FROM jobs WHERE title IS NULL OR title = '') j LEFT JOIN stub s USING (source_id, job_id)""",
+    "stub": "SELECT source_id, job_id, CASE WHEN line = 2 THEN job_id || chr(10) || 'Closed Job' WHEN line = 3 THEN 'TRK' || job_id ELSE '  ' || title || ' ' END AS title, location, contract_type, deadline FROM seen WHERE contract_type = 'Staff' QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
+    # What the detail page of each part says.
+    "details": f"""SELECT p_partkey AS page_id, '{st.BASE_URL}/vacancy/' || p_partkey AS url, p_name || ' <' || p_brand || '>' AS title, 'City ' || p_size AS location,
+      CASE WHEN p_partkey % 5 <> 2 THEN p_type ELSE '' END AS contract_type, '' AS deadline,
+      CASE WHEN p_partkey % 6 < 3 THEN '' ELSE
+        CASE WHEN p_partkey % 4 < 2 THEN p_name || ' <' || p_brand || '>' || chr(10) ELSE '' END || 'City ' || p_size || chr(10)
+        || CASE WHEN p_partkey % 5 <> 2 THEN p_type || chr(10) ELSE '' END END
+      || 'Work on ' || p_name || chr(10) || 'at ' || p_brand AS description_raw FROM part""",
+    "matched": """SELECT j.*, s.job_id IS NOT NULL AS matched,
+      CASE WHEN s.job_id IS NOT NULL THEN s.title ELSE d.title END AS new_title, CASE WHEN s.job_id IS NOT NULL THEN s.location ELSE d.location END AS new_location,
+      CASE WHEN s.job_id IS NOT NULL THEN s.contract_type ELSE d.contract_type END AS new_contract_type,
+      CASE WHEN s.job_id IS NOT NULL THEN s.deadline ELSE d.deadline END AS new_deadline, d.description_raw AS new_description_raw
+      FROM (SELECT * FROM jobs WHERE title IS NULL OR title = '') j LEFT JOIN stub s USING (source_id, job_id) LEFT JOIN details d ON d.url = j.url""",
     "patched": """SELECT *,
       CASE WHEN trim(coalesce(title, '')) = '' AND trim(coalesce(new_title, '')) <> '' AND new_title NOT LIKE '%Closed Job%' AND new_title NOT LIKE 'TRK%' THEN trim(new_title) ELSE title END AS patched_title,
       CASE WHEN trim(coalesce(location, '')) = '' AND trim(coalesce(new_location, '')) <> '' THEN trim(new_location) ELSE location END AS patched_location,
@@ -193,12 +202,7 @@ _oracle("extract_listing_rows", f"""SELECT CAST(p_partkey AS VARCHAR) AS job_id,
   'City' || chr(10) || p_size AS location, CASE WHEN p_partkey % 6 <> 5 THEN p_type ELSE '' END AS contract_type,
   CASE WHEN p_partkey % 6 <> 5 THEN '2025-02-' || p_size ELSE '' END AS deadline,
   '{st.BASE_URL}/v/' || p_partkey || '?a=1&b=2' AS url FROM part WHERE p_partkey % 33 <> 9""")
-_oracle("extract_metadata", """SELECT p_partkey AS page_id, p_name || ' <' || p_brand || '>' AS title, 'City ' || p_size AS location,
-  CASE WHEN p_partkey % 5 <> 2 THEN p_type ELSE '' END AS contract_type, '' AS deadline,
-  CASE WHEN p_partkey % 6 < 3 THEN '' ELSE
-    CASE WHEN p_partkey % 4 < 2 THEN p_name || ' <' || p_brand || '>' || chr(10) ELSE '' END || 'City ' || p_size || chr(10)
-    || CASE WHEN p_partkey % 5 <> 2 THEN p_type || chr(10) ELSE '' END END
-  || 'Work on ' || p_name || chr(10) || 'at ' || p_brand AS description_raw FROM part""")
+_oracle("extract_metadata", "SELECT page_id, title, location, contract_type, deadline, description_raw FROM details")
 _oracle("insert_if_absent", f"""SELECT {POSTING} FROM seen s WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.source_id = s.source_id AND j.job_id = s.job_id)
   QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at, seq, line) = 1""")
 _oracle("upsert_jobs", f"""SELECT {POSTING} FROM (SELECT {POSTING}, seq, line, 1 AS fresh FROM seen UNION ALL SELECT {POSTING}, 0, 0, 0 FROM jobs)

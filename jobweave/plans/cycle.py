@@ -86,10 +86,10 @@ def evaluate_run(
     Returns all results with their state.
     """
     able = people.scorable(people.active_users(users, default_sources)).filter("reject_reason IS NULL")
-    evaluations = tables.evaluations(before=run)
-    todo = worklist.worklist(able, tables.postings(), evaluations, retry_failed)
-    texts = scoring.attach_texts(todo, able.select("user_id", "profile_text"), tables.postings().drop("run"))
-    answers = scoring.score_with_attempts(texts, scorer, ["user_id", "source_id", "job_id"])
+    pairs = worklist.worklist(
+        able, tables.postings(), tables.evaluations(before=run), retry_failed, block=["run"], user_columns=["profile_text"]
+    )
+    answers = scoring.score_with_attempts(pairs.drop("run"), scorer, ["user_id", "source_id", "job_id"])
     results = scoring.apply_quota_stop(answers, ["source_id", "job_id"])
     evaluated = results.filter("state = 'evaluated'").withColumns(
         {"email_sent": F.lit(False), "evaluated_at": run_at.cast("string")}

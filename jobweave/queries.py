@@ -405,18 +405,24 @@ def identity_resolve(spark, folder):
 # ---- repair ----------------------------------------------------------------------------------
 
 
-def _patched(spark, folder):
+def _matched(spark, folder):
+    """Untitled postings against a listing of staff postings, where some titles are those of expired
+    ones, and their detail pages."""
     untitled = repair.untitled_postings(st.postings(spark, folder), F.col("source_id"))
-    # Listings repeat; some titles are those of expired postings.
     line = F.col("line")
     title = (
         F.when(line == 2, F.concat("job_id", F.lit("\nClosed Job")))
         .when(line == 3, F.concat(F.lit("TRK"), "job_id"))
         .otherwise(F.concat(F.lit("  "), "title", F.lit(" ")))
     )
-    stubs = st.sightings(spark, folder).withColumn("title", title)
-    matched = repair.match_listing(untitled, stubs, st.crawl_order(newest=True))
-    return repair.patch(matched, "TRK")
+    listing = st.sightings(spark, folder).filter("contract_type = 'Staff'").withColumn("title", title)
+    matched = repair.match_listing(untitled, listing, st.crawl_order(newest=True))
+    details = html.page_details(st.part_detail_pages(spark, folder), title_suffix=" - Job Board")
+    return repair.with_details(matched, details)
+
+
+def _patched(spark, folder):
+    return repair.patch(_matched(spark, folder), "TRK")
 
 
 @query

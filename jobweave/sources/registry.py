@@ -15,6 +15,19 @@ def read_registry(spark: SparkSession, path: str) -> DataFrame:
     return with_defaults(spark.read.schema(SOURCES).json(path, multiLine=True))
 
 
+def read_registry_yaml(spark: SparkSession, path: str) -> DataFrame:
+    """Registry from a YAML file with a mapping `sources` from board id to its settings."""
+    try:
+        import yaml
+    except ImportError as error:
+        raise RuntimeError("reading YAML needs the yaml package; convert the file to JSON instead") from error
+    with open(path, encoding="utf-8") as file:
+        boards = (yaml.safe_load(file) or {}).get("sources") or {}
+    names = [field.name for field in SOURCES if field.name != "source_id"]
+    rows = [(source_id, *[settings.get(name) for name in names]) for source_id, settings in boards.items()]
+    return with_defaults(spark.createDataFrame(rows, SOURCES))
+
+
 def with_defaults(sources: DataFrame) -> DataFrame:
     return sources.withColumns(
         {

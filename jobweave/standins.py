@@ -402,7 +402,9 @@ def part_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("<article>"), text, F.lit("</article>")),
     )
     return table(spark, folder, "part").select(
-        key.alias("page_id"), F.concat(head, title, facts, body, F.lit("</body></html>")).alias("html")
+        key.alias("page_id"),
+        F.concat(F.lit(f"{BASE_URL}/vacancy/"), key.cast("string")).alias("url"),
+        F.concat(head, title, facts, body, F.lit("</body></html>")).alias("html"),
     )
 
 

@@ -13,6 +13,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..operators.ranking import first_per_group
 from ..operators.store import POSTING_KEY
 
+BROADCAST_KEYS = 200_000
+
 
 def _stored_before(spark: SparkSession, store: str, schema: StructType, batch_id: int) -> DataFrame:
     """Keys stored by earlier batches."""
@@ -25,6 +27,18 @@ def _stored_before(spark: SparkSession, store: str, schema: StructType, batch_id
     return stored.filter(F.col("batch") < batch_id)
 
 
+def _known_of(batch: DataFrame, known: DataFrame) -> DataFrame:
+    """Stored keys that occur in the batch.
+
+    The keys of an ordinary micro-batch are few; counted and found so, they are broadcast and the store
+    is scanned without being shuffled. A larger batch, such as the first one, is joined by shuffling.
+    """
+    wanted = batch.select(*POSTING_KEY).distinct()
+    if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        wanted = F.broadcast(wanted)
+    return known.join(wanted, list(POSTING_KEY), "left_semi")
+
+
 def ingest_stream(records: DataFrame, store: str, checkpoint: str, order: Sequence[Column]) -> StreamingQuery:
     """Append the first record of every unseen posting key to `store`, then stop at the end of the input.
 
@@ -36,7 +50,8 @@ def ingest_stream(records: DataFrame, store: str, checkpoint: str, order: Sequen
 
     def write(batch: DataFrame, batch_id: int) -> None:
         known = _stored_before(batch.sparkSession, store, schema, batch_id).select(*POSTING_KEY)
-        fresh = first_per_group(batch, POSTING_KEY, order).join(known, list(POSTING_KEY), "left_anti")
+        seen = _known_of(batch, known)
+        fresh = first_per_group(batch, POSTING_KEY, order).join(seen, list(POSTING_KEY), "left_anti")
         fresh.write.mode("overwrite").parquet(f"{store}/batch={batch_id}")
 
     return (

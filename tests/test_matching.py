@@ -41,6 +41,21 @@ def test_counts_agree_with_the_listed_pairs(spark, active, retry):
     assert counted == by_source == listed
 
 
+def test_blocks_change_the_work_not_the_pairs(spark):
+    """Blocks untouched, done in part and done give the pairs a plain comparison gives."""
+    jobs = [(f"J{i}", f"b{i % 3}", "t", "", "", "", "", "", "") for i in range(24)]
+    people_rows = [(f"u{i}", None, None, f"p{i}", 7, ["b0", f"b{i % 3}"], None, True, None, None, None) for i in range(4)]
+    done = [("u0", f"J{i}", 5, False) for i in range(0, 24, 3)] + [("u1", "J0", 5, False), ("u1", "J1", 0, False), ("u2", "J2", 3, False)]
+    all_jobs = postings(spark, jobs).withColumn("run", F.col("job_id").substr(2, 2).cast("int") % 4)
+    evals = evaluations(spark, done)
+    known = {(u, j) for u, j, _, _ in done}
+    expected = {(p[0], p[3], j[1], j[0], "t") for p in people_rows for j in jobs if j[1] in p[5] and (p[0], j[0]) not in known}
+    for block in ([], ["run"]):
+        pairs = worklist.worklist(users(spark, people_rows), all_jobs, evals, block=block, user_columns=["profile_text"])
+        assert pairs.count() == len(expected)
+        assert keys(pairs, "user_id", "profile_text", "source_id", "job_id", "title") == expected
+
+
 def test_one_digest_for_the_user_whose_threshold_is_met(spark, active):
     done = evaluations(spark, [("user-a", "VAC-001", 8, False), ("user-b", "VAC-001", 5, False)])
     labels = source_labels(registry(spark))

@@ -1,11 +1,12 @@
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import keys, postings, registry
 from jobweave.operators import duplicates, repair, tags
 from jobweave.sources import html, ingest, payload
-from jobweave.sources.registry import open_sources, read_registry, source_labels, with_defaults
+from jobweave.sources.registry import open_sources, read_registry, read_registry_yaml, source_labels, with_defaults
 
 BASE = "https://jobs.example.org"
 
@@ -18,6 +19,10 @@ def test_registry_defaults_and_open_boards(spark, tmp_path):
     path = tmp_path / "sources.json"
     path.write_text(json.dumps([{"source_id": "x", "enabled": True}]))
     assert keys(read_registry(spark, str(path)), "source_id", "display_name", "enabled") == {("x", "x", True)}
+    pytest.importorskip("yaml")
+    path = tmp_path / "sources.yaml"
+    path.write_text("sources:\n  x:\n    enabled: true\n    search_keywords: [data]\n  y: {}\n")
+    assert keys(read_registry_yaml(spark, str(path)), "source_id", "enabled", "color") == {("x", True, "#555555"), ("y", False, "#555555")}
 
 
 def test_payload_rows(spark):
@@ -98,17 +103,27 @@ def test_silent_boards_are_reported(spark):
 
 
 def test_backfill_refuses_closed_titles(spark):
-    stored = [("J1", "b", "", "", "", None, "text", "", ""), ("J2", "b", None, "Rome", "", "", "", "", ""), ("J3", "b", " ", "", "", "", "", "", ""), ("J4", "b", "kept", "", "", "", "", "", "")]
-    stubs = [("J1", "b", " New ", "Oslo", " ", "", "ignored", "", ""), ("J2", "b", "J2\nClosed Job", "Bari", "Staff", "", "found", "", "")]
+    stored = [
+        ("J1", "b", "", "", "", None, "text", "u1", ""), ("J2", "b", None, "Rome", "", "", "", "u2", ""), ("J3", "b", " ", "", "", "", "", "", ""),
+        ("J4", "b", "kept", "", "", "", "", "", ""), ("J5", "b", "", "", "", "", "", "u5", ""), ("J6", "b", "", "", "", "", "", "", ""),
+    ]
+    stubs = [("J1", "b", " New ", "Oslo", " ", "", "", "", ""), ("J2", "b", "J2\nClosed Job", "Bari", "Staff", "", "", "", "")]
+
+    def pages(spark_):
+        rows = [("u1", "x", "x", "x", "x", "ignored"), ("u2", "x", "x", "x", "x", "found"), ("u5", "TRK5", "Bonn", "", "", "five "), ("", "x", "x", "x", "x", "x")]
+        return spark_.createDataFrame(rows, "url string, title string, location string, contract_type string, deadline string, description_raw string")
+
     untitled = repair.untitled_postings(postings(spark, stored), F.lit("b"))
-    assert keys(untitled, "job_id") == {("J1",), ("J2",)}
-    patched = repair.patch(repair.match_listing(untitled, postings(spark, stubs), [F.col("title")]), "TRK")
+    assert keys(untitled, "job_id") == {("J1",), ("J2",), ("J5",), ("J6",)}
+    matched = repair.match_listing(untitled, postings(spark, stubs), [F.col("title")])
+    patched = repair.patch(repair.with_details(matched, pages(spark)), "TRK")
     assert keys(repair.field_changes(patched), "job_id", "field", "old", "new") == {
         ("J1", "title", "", "New"), ("J1", "location", "", "Oslo"), ("J2", "contract_type", "", "Staff"),
+        ("J5", "location", "", "Bonn"),
     }
-    assert tuple(repair.patch_tally(patched).first()) == (2, 2, 2)
+    assert tuple(repair.patch_tally(patched).first()) == (4, 2, 3)
     after = repair.apply_patch(postings(spark, stored), patched)
-    assert keys(after, "job_id", "title", "description_raw") == {("J1", "New", "text"), ("J2", None, "found"), ("J3", " ", ""), ("J4", "kept", "")}
+    assert keys(after, "job_id", "title", "description_raw") == {("J1", "New", "text"), ("J2", None, "found"), ("J3", " ", ""), ("J4", "kept", ""), ("J5", "", "five "), ("J6", "", "")}
 
 
 def test_taxonomy_tags(spark):
