@@ -60,17 +60,13 @@ def due_matches(evaluations: DataFrame, users: DataFrame, postings: DataFrame) -
     )
 
 
-def digest_lines(
-    evaluations: DataFrame, users: DataFrame, postings: DataFrame, labels: DataFrame
-) -> DataFrame:
-    """One row per line of a digest, numbered by score within the user.
+def digest_lines(due: DataFrame, postings: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row per line of a digest, numbered by score within the user. `due` comes from `due_matches`.
 
     A digest of any length stays a set of rows: a mailer reads them in order of `line_no`. Texts of
     postings are joined after numbering, so that the sort does not move them.
     """
-    ranked = number_rows(
-        due_matches(evaluations, users, postings), ["user_id"], [F.desc("score"), F.col("source_id"), F.col("job_id")], "line_no"
-    )
+    ranked = number_rows(due, ["user_id"], [F.desc("score"), F.col("source_id"), F.col("job_id")], "line_no")
     label = source_label("label", "source_id")
     text = F.concat(
         F.lit("["), label, F.lit("] "), F.coalesce("title", F.lit("N/A")),
@@ -100,17 +96,18 @@ def digest_lines(
     )
 
 
-def user_digests(
-    evaluations: DataFrame, users: DataFrame, postings: DataFrame, labels: DataFrame, product: str
-) -> DataFrame:
+def _recipient() -> Column:
+    return F.coalesce(F.nullif("notification_email", F.lit("")), F.nullif("email", F.lit("")))
+
+
+def user_digests(due: DataFrame, users: DataFrame, labels: DataFrame, product: str) -> DataFrame:
     """Recipient, greeting and subject of each digest that has lines and a recipient.
 
     Lines are first counted per user and source; what is collected per user is the set of labels of
     that user's own subscriptions. The lines themselves are `digest_lines`.
     """
     per_source = (
-        due_matches(evaluations, users, postings)
-        .groupBy("user_id", "source_id")
+        due.groupBy("user_id", "source_id")
         .agg(F.count(F.lit(1)).alias("n"), F.max("score").alias("best"))
         .join(labels.select("source_id", "label"), "source_id", "left")
     )
@@ -122,7 +119,6 @@ def user_digests(
     n = F.col("n_matches")
     shown = F.concat(n.cast("string"), F.lit(" job "), plural(n, "match", "es"), F.lit(" — "), F.col("source_labels"))
     name = F.coalesce(F.nullif("name", F.lit("")), F.col("email"), F.lit("there"))
-    recipient = F.coalesce(F.nullif("notification_email", F.lit("")), F.nullif("email", F.lit("")))
     greeting = F.concat(
         F.lit("Hi "), name, F.lit(" — "), n.cast("string"), F.lit(" new "), plural(n, "match", "es"),
         F.lit(" from "), F.col("source_labels"),
@@ -131,7 +127,7 @@ def user_digests(
         per_user.join(users.select("user_id", "name", "email", "notification_email"), "user_id")
         .select(
             "user_id",
-            recipient.alias("recipient"),
+            _recipient().alias("recipient"),
             F.concat(F.lit(f"[{product}] "), shown).alias("subject"),
             greeting.alias("greeting"),
             "n_matches",
@@ -142,18 +138,12 @@ def user_digests(
     )
 
 
-def delivered_keys(
-    evaluations: DataFrame, users: DataFrame, postings: DataFrame, mark_all: bool = False
-) -> DataFrame:
-    """Evaluations to mark as sent: the delivered lines, or with `mark_all` every pending evaluation of
-    a user who got a digest."""
-    recipient = F.coalesce(F.nullif("notification_email", F.lit("")), F.nullif("email", F.lit("")))
-    reachable = users.filter(recipient.isNotNull())
-    delivered = due_matches(evaluations, reachable, postings).select("user_id", "job_id")
-    if not mark_all:
+def delivered_keys(due: DataFrame, users: DataFrame, pending: DataFrame | None = None) -> DataFrame:
+    """Evaluations to mark as sent: the delivered lines, or every row of `pending`
+    (`pending_evaluations`) of a user who got a digest."""
+    reachable = users.filter(_recipient().isNotNull()).select("user_id")
+    delivered = due.select("user_id", "job_id").join(reachable, "user_id", "left_semi")
+    if pending is None:
         return delivered.distinct()
-    return (
-        pending_evaluations(evaluations, reachable)
-        .join(delivered.select("user_id").distinct(), "user_id", "left_semi")
-        .select("user_id", "job_id")
-    )
+    served = delivered.select("user_id").distinct()
+    return pending.join(served, "user_id", "left_semi").select("user_id", "job_id")

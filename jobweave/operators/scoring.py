@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.parsing import error_class, parse_responses, wait_seconds
 from ..session import materialize
+from .sizes import broadcast_if_small
 
 MAX_ATTEMPTS = 3  # fixed value
 DESCRIPTION_CHARS = 6000  # fixed value: the part of a description a prompt may hold
@@ -153,16 +154,19 @@ def apply_quota_stop(results: DataFrame, order: Sequence[str], group: Sequence[s
     everything is 'stopped' and left for the next run; earlier rows are 'evaluated' or 'failed'.
 
     `order` must be unique within a group. An empty `group` makes one stop end the whole run. The stop
-    point is an aggregate joined back, so no group passes through one window.
+    points are an aggregate of the daily-quota errors alone, joined back, so no group passes through one
+    window; they are usually few and then the results are not shuffled. Give written results: they are
+    read twice.
     """
     by = list(group) or ["_run"]
     rows = results if group else results.withColumn("_run", F.lit(0))
     at = F.struct(*order)
-    daily = F.when(error_class(F.col("error")) == "daily_quota", at)
-    stops = rows.groupBy(*by).agg(F.min(daily).alias("_stop")).filter(F.col("_stop").isNotNull())
+    daily = rows.filter(error_class(F.col("error")) == "daily_quota")
+    stops = daily.groupBy(*by).agg(F.min(at).alias("_stop"))
     state = (
         F.when(at >= F.col("_stop"), F.lit("stopped"))
         .when(F.col("error").isNull(), F.lit("evaluated"))
         .otherwise(F.lit("failed"))
     )
-    return rows.join(stops, by, "left").withColumn("state", state).select(*results.columns, "state")
+    joined = rows.join(broadcast_if_small(stops), by, "left")
+    return joined.withColumn("state", state).select(*results.columns, "state")

@@ -1,0 +1,14 @@
+"""Broadcasts behind a count."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+MAX_BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """`df` marked for broadcast when it is counted to have at most `max_rows` rows; else unchanged,
+    and the join shuffles. For narrow key tables: the count reads `df` once more."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -17,7 +17,9 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators import alerts, scoring, store, worklist
 from ..operators import users as people
+from ..operators.report import run_summary
 from ..schemas import EVALUATIONS, POSTINGS, RUN_HISTORY
+from ..session import materialize
 from ..sources import ingest, registry
 
 DELIVERIES = StructType([StructField("user_id", StringType()), StructField("job_id", StringType())])
@@ -25,10 +27,15 @@ DELIVERIES = StructType([StructField("user_id", StringType()), StructField("job_
 
 @dataclass(frozen=True)
 class RunTables:
-    """Append-only tables below `root`, one folder per run."""
+    """Append-only tables below `root`, one folder per run.
+
+    Set `rescored` where runs score failed pairs again: a pair then has several evaluations, and the
+    last one is looked up. Otherwise the worklist keeps pairs unique and that shuffle is saved.
+    """
 
     spark: SparkSession
     root: str
+    rescored: bool = False
 
     def write(self, df: DataFrame, name: str, run: int, partition_by: Sequence[str] = ()) -> None:
         if partition_by:
@@ -36,25 +43,30 @@ class RunTables:
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
         df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}/run={run}")
 
-    def read(self, name: str, schema: StructType, before: int | None = None) -> DataFrame:
-        """Rows of all runs, or of the runs before the given one."""
+    def read(self, name: str, schema: StructType) -> DataFrame:
+        """Rows of all runs with their `run`; filters on it prune folders."""
         fields = StructType([*schema.fields, StructField("run", LongType())])
         try:
-            stored = self.spark.read.schema(fields).parquet(f"{self.root}/{name}")
+            return self.spark.read.schema(fields).parquet(f"{self.root}/{name}")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], fields)
-        return stored if before is None else stored.filter(F.col("run") < before)
 
-    def postings(self, before: int | None = None) -> DataFrame:
-        return self.read("postings", POSTINGS, before)
+    def postings(self, until: int) -> DataFrame:
+        return self.read("postings", POSTINGS).filter(F.col("run") <= until)
+
+    def scores(self, until: int) -> DataFrame:
+        """The last evaluation per pair, as scored; `deliveries` tells what was sent since."""
+        rows = self.read("evaluations", EVALUATIONS).filter(F.col("run") <= until)
+        return store.latest_evaluations(rows, [F.desc("run"), F.desc("evaluated_at")]) if self.rescored else rows
 
-    def evaluations(self, before: int | None = None) -> DataFrame:
+    def deliveries(self, until: int) -> DataFrame:
+        return self.read("deliveries", DELIVERIES).filter(F.col("run") <= until)
+
+    def evaluations(self, until: int) -> DataFrame:
         """The last evaluation per pair, marked sent once it was delivered."""
-        newest = [F.desc("run"), F.desc("evaluated_at")]
-        latest = store.latest_evaluations(self.read("evaluations", EVALUATIONS, before), newest)
-        return store.mark_sent(latest, self.read("deliveries", DELIVERIES, before))
+        return store.mark_sent(self.scores(until), self.deliveries(until))
 
 
 def ingest_run(
@@ -67,7 +79,7 @@ def ingest_run(
     """Append the postings never seen before; returns one status row per board."""
     records, status = ingest.ingest_sources(tables.spark, configs, loaders, run_at)
     last_first = [F.desc("scraped_at"), *[F.desc(c) for c in POSTINGS.fieldNames() if c != "scraped_at"]]
-    fresh = worklist.new_postings(records, tables.postings(before=run), last_first)
+    fresh = worklist.new_postings(records, tables.postings(run - 1), last_first)
     tables.write(fresh.select(*POSTINGS.fieldNames()), "postings", run, ["source_id"])
     return status
 
@@ -79,7 +91,6 @@ def evaluate_run(
     scorer: scoring.Scorer,
     default_sources: Sequence[str],
     run_at: Column,
-    retry_failed: bool = False,
 ) -> DataFrame:
     """Score every open (user, posting) pair and append the evaluations.
 
@@ -87,7 +98,7 @@ def evaluate_run(
     """
     able = people.scorable(people.active_users(users, default_sources)).filter("reject_reason IS NULL")
     pairs = worklist.worklist(
-        able, tables.postings(), tables.evaluations(before=run), retry_failed, block=["run"], user_columns=["profile_text"]
+        able, tables.postings(run), tables.scores(run - 1), tables.rescored, block=["run"], user_columns=["profile_text"]
     )
     answers = scoring.score_with_attempts(pairs.drop("run"), scorer, ["user_id", "source_id", "job_id"])
     results = scoring.apply_quota_stop(answers, ["source_id", "job_id"])
@@ -111,32 +122,29 @@ def notify_run(
     Deliveries are written last: a run that fails before leaves its matches pending.
     """
     active = people.active_users(users, default_sources)
-    evaluations = tables.evaluations(before=run).unionByName(
-        tables.read("evaluations", EVALUATIONS).filter(F.col("run") == run)
-    )
-    current = store.latest_evaluations(evaluations, [F.desc("run"), F.desc("evaluated_at")]).drop("run")
-    postings = tables.postings().drop("run")
+    postings = tables.postings(run).drop("run")
     labels = registry.source_labels(sources)
-    digests = alerts.user_digests(current, active, postings, labels, product)
-    lines = alerts.digest_lines(current, active, postings, labels).join(
-        digests.select("user_id"), "user_id", "left_semi"
-    )
+    due = alerts.due_matches(tables.scores(run), active, postings)
+    due = due.join(tables.deliveries(run - 1), list(store.EVALUATION_KEY), "left_anti")
+    due = materialize(due, "due")
+    digests = alerts.user_digests(due, active, labels, product)
     tables.write(digests, "digests", run)
-    tables.write(lines, "digest_lines", run)
-    tables.write(alerts.delivered_keys(current, active, postings), "deliveries", run)
+    delivered = alerts.delivered_keys(due, active)
+    lines = alerts.digest_lines(due, postings, labels)
+    tables.write(lines.join(delivered.select("user_id").distinct(), "user_id", "left_semi"), "digest_lines", run)
+    tables.write(delivered, "deliveries", run)
     spark = tables.spark
     return tuple(spark.read.parquet(f"{tables.root}/{name}/run={run}") for name in ("digests", "digest_lines"))
 
 
 def log_run(tables: RunTables, run: int, run_at: Column, duration_s: float, manual: bool = False, status: str = "ok") -> None:
     """Append the run's figures, counted from what it wrote."""
-    from ..operators.report import run_summary
 
     def of_run(name: str, schema: StructType) -> DataFrame:
         return tables.read(name, schema).filter(F.col("run") == run)
 
     figures = run_summary(
-        tables.postings(before=run),
+        tables.postings(run - 1),
         of_run("postings", POSTINGS),
         of_run("evaluations", EVALUATIONS),
         of_run("digests", StructType([StructField("user_id", StringType())])),

@@ -168,7 +168,9 @@ def upsert_users(spark, folder):
 @query
 def mark_sent(spark, folder):
     evaluations = _evaluations(spark, folder)
-    sent = alerts.delivered_keys(evaluations, _active(spark, folder), st.postings(spark, folder))
+    active = _active(spark, folder)
+    due = alerts.due_matches(evaluations, active, st.postings(spark, folder))
+    sent = alerts.delivered_keys(due, active)
     marked = store.mark_sent(evaluations, sent)
     return marked.select("user_id", "job_id", "score", "email_sent")
 
@@ -383,18 +385,18 @@ def feed_page(spark, folder):
     ).select("user_id", "position", "job_id", "source_id", "score", "total", "n_pages")
 
 
+def _due(spark, folder):
+    return alerts.due_matches(_evaluations(spark, folder), _active(spark, folder), st.postings(spark, folder))
+
+
 @query
 def digest_lines(spark, folder):
-    return alerts.digest_lines(
-        _evaluations(spark, folder), _active(spark, folder), st.postings(spark, folder), _labels(spark, folder)
-    )
+    return alerts.digest_lines(_due(spark, folder), st.postings(spark, folder), _labels(spark, folder))
 
 
 @query
 def user_digest(spark, folder):
-    return alerts.user_digests(
-        _evaluations(spark, folder), _active(spark, folder), st.postings(spark, folder), _labels(spark, folder), st.PRODUCT
-    )
+    return alerts.user_digests(_due(spark, folder), _active(spark, folder), _labels(spark, folder), st.PRODUCT)
 
 
 @query

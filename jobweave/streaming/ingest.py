@@ -11,10 +11,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.ranking import first_per_group
+from ..operators.sizes import broadcast_if_small
 from ..operators.store import POSTING_KEY
 
-BROADCAST_KEYS = 200_000
-
 
 def _stored_before(spark: SparkSession, store: str, schema: StructType, batch_id: int) -> DataFrame:
     """Keys stored by earlier batches."""
@@ -33,9 +32,7 @@ def _known_of(batch: DataFrame, known: DataFrame) -> DataFrame:
     The keys of an ordinary micro-batch are few; counted and found so, they are broadcast and the store
     is scanned without being shuffled. A larger batch, such as the first one, is joined by shuffling.
     """
-    wanted = batch.select(*POSTING_KEY).distinct()
-    if wanted.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
-        wanted = F.broadcast(wanted)
+    wanted = broadcast_if_small(batch.select(*POSTING_KEY).distinct())
     return known.join(wanted, list(POSTING_KEY), "left_semi")
 
 

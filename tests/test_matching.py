@@ -59,24 +59,26 @@ def test_blocks_change_the_work_not_the_pairs(spark):
 def test_one_digest_for_the_user_whose_threshold_is_met(spark, active):
     done = evaluations(spark, [("user-a", "VAC-001", 8, False), ("user-b", "VAC-001", 5, False)])
     labels = source_labels(registry(spark))
-    digests = alerts.user_digests(done, active, postings(spark), labels, "Mail").collect()
+    due = alerts.due_matches(done, active, postings(spark))
+    digests = alerts.user_digests(due, active, labels, "Mail").collect()
     assert [(d.user_id, d.recipient, d.n_matches) for d in digests] == [("user-a", "alice@example.com", 1)]
     assert digests[0].subject == "[Mail] 1 job match — BoJ"
     assert digests[0].greeting == "Hi Alice — 1 new match from BoJ"
-    (line,) = alerts.digest_lines(done, active, postings(spark), labels).collect()
+    (line,) = alerts.digest_lines(due, postings(spark), labels).collect()
     assert line.headline == "[BoJ] Senior Data Engineer — Score 8/10"
 
 
 def test_sent_or_unknown_matches_are_not_sent_again(spark, active):
     done = evaluations(spark, [("user-a", "VAC-001", 8, True), ("user-a", "VAC-002", 9, None)])
-    assert alerts.user_digests(done, active, postings(spark), source_labels(registry(spark)), "Mail").isEmpty()
+    assert alerts.due_matches(done, active, postings(spark)).isEmpty()
 
 
 def test_only_delivered_lines_are_marked(spark, active):
     done = evaluations(spark, [("user-a", "VAC-001", 8, False), ("user-a", "GONE", 9, False), ("user-b", "GONE", 9, False)])
-    delivered = alerts.delivered_keys(done, active, postings(spark))
+    due = alerts.due_matches(done, active, postings(spark))
+    delivered = alerts.delivered_keys(due, active)
     assert keys(delivered, "user_id", "job_id") == {("user-a", "VAC-001")}
-    everything = alerts.delivered_keys(done, active, postings(spark), mark_all=True)
+    everything = alerts.delivered_keys(due, active, alerts.pending_evaluations(done, active))
     assert keys(everything, "user_id", "job_id") == {("user-a", "VAC-001"), ("user-a", "GONE")}
     marked = store.mark_sent(done, delivered)
     assert keys(marked.filter("email_sent"), "user_id", "job_id") == {("user-a", "VAC-001")}
@@ -85,8 +87,10 @@ def test_only_delivered_lines_are_marked(spark, active):
 def test_users_without_any_address_get_no_digest(spark):
     silent = people.active_users(users(spark), ["board"]).withColumns({"email": F.lit(""), "notification_email": F.lit(None).cast("string")})
     done = evaluations(spark, [("user-a", "VAC-001", 8, False)])
-    assert alerts.user_digests(done, silent, postings(spark), source_labels(registry(spark)), "Mail").isEmpty()
-    assert alerts.delivered_keys(done, silent, postings(spark)).isEmpty()
+    due = alerts.due_matches(done, silent, postings(spark))
+    assert due.count() == 1
+    assert alerts.user_digests(due, silent, source_labels(registry(spark)), "Mail").isEmpty()
+    assert alerts.delivered_keys(due, silent).isEmpty()
 
 
 def test_feed_lists_scored_postings_first(spark, active):

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from fixtures import POSTINGS, keys, postings, registry, users
+from fixtures import POSTINGS, evaluations, keys, postings, registry, users
 from jobweave import schemas
 from jobweave.operators import report, scoring
 from jobweave.plans import cycle, single_user
@@ -30,7 +30,7 @@ def test_two_runs(spark, tmp_path):
     digests, lines = run(tables, spark, 1, POSTINGS)
     assert keys(digests, "user_id", "n_matches") == {("user-a", 1)}
     assert keys(lines, "user_id", "job_id", "line_no") == {("user-a", "VAC-001", 1)}
-    assert keys(tables.evaluations(), "user_id", "job_id", "score", "email_sent") == {
+    assert keys(tables.evaluations(1), "user_id", "job_id", "score", "email_sent") == {
         (u, j, s, (u, j) == ("user-a", "VAC-001")) for (u, j), s in SCORES.items()
     }
 
@@ -45,7 +45,7 @@ def test_two_runs(spark, tmp_path):
     more = [*POSTINGS, ("VAC-003", "board", "Third", "", "", "", "", "", "2025-01-02")]
     digests, lines = run(tables, spark, 2, more, counting)
     assert keys(asked[0], "job_id") <= {("VAC-003",)}
-    assert keys(tables.postings(), "job_id", "run") == {("VAC-001", 1), ("VAC-002", 1), ("VAC-003", 2)}
+    assert keys(tables.postings(2), "job_id", "run") == {("VAC-001", 1), ("VAC-002", 1), ("VAC-003", 2)}
     assert keys(lines, "user_id", "job_id") == {("user-a", "VAC-003"), ("user-b", "VAC-003")}
     assert keys(digests, "user_id", "subject") == {(u, "[Mail] 1 job match — BoJ") for u in ("user-a", "user-b")}
     history = {r.run_at.day: r for r in spark.read.parquet(f"{tmp_path}/run_history").collect()}
@@ -53,13 +53,22 @@ def test_two_runs(spark, tmp_path):
     assert history[2].notes == "1 new job(s); best: VAC-003 (9/10)" and history[2].jobs_in_db == 3
 
     # Repeating the run gives the same state.
-    before = sorted(map(str, tables.evaluations().collect()))
+    before = sorted(map(str, tables.evaluations(2).collect()))
     run(tables, spark, 2, more)
-    assert sorted(map(str, tables.evaluations().collect())) == before
+    assert sorted(map(str, tables.evaluations(2).collect())) == before
     for key in (("user-a", "VAC-003"), ("user-b", "VAC-003")):
         SCORES.pop(key)
 
 
+def test_failed_scores_can_be_scored_again(spark, tmp_path):
+    tables = cycle.RunTables(spark, str(tmp_path), rescored=True)
+    cycle.ingest_run(tables, 1, CONFIGS, {"board": lambda s, c: postings(s)}, F.lit("2025-01-01"))
+    failed = evaluations(spark, [("user-a", "VAC-001", 0, False), ("user-a", "VAC-002", 6, False)])
+    tables.write(failed, "evaluations", 1)
+    cycle.evaluate_run(tables, 2, users(spark).filter("user_id = 'user-a'"), scorer, ["board"], F.lit("2025-01-02"))
+    assert keys(tables.evaluations(2), "job_id", "score") == {("VAC-001", 8), ("VAC-002", 6)}
+
+
 def test_daily_quota_leaves_the_rest_for_the_next_run(spark, tmp_path):
     tables = cycle.RunTables(spark, str(tmp_path))
 
