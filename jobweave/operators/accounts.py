@@ -23,7 +23,7 @@ def validate_registrations(requests: DataFrame) -> DataFrame:
 def validate_updates(changes: DataFrame, known_sources: DataFrame, key: str = "user_id") -> DataFrame:
     """Add `unknown` (requested sources that do not exist) and `reasons` to partial updates.
 
-    Requested names are checked by an equi-join on the name; a change keeps one row.
+    `key` identifies a change. Requested names are checked by an equi-join on the name.
     """
     names = changes.select(key, F.explode(F.array_distinct("enabled_sources")).alias("source_id"))
     unknown = (

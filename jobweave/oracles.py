@@ -192,7 +192,10 @@ POSTING = "source_id, job_id, title, location, contract_type, deadline, descript
 
 _oracle("known_ids", "SELECT DISTINCT source_id, job_id FROM jobs")
 _oracle("jobs_for_sources", f"SELECT {POSTING} FROM jobs WHERE source_id IN ('Brand#3', 'Brand#14', 'Brand#21')")
-_oracle("user_lookup", "SELECT r.email, u.user_id, u.name, u.verified FROM (SELECT DISTINCT email FROM requests) r LEFT JOIN users u ON r.email = u.email")
+_oracle("user_lookup", """WITH wanted AS (SELECT DISTINCT 'user_id' AS by, claim_id AS key FROM claims UNION ALL SELECT DISTINCT 'email', email FROM requests
+    UNION ALL SELECT DISTINCT 'verification_token', 'token-' || claim_id FROM claims),
+  accounts AS (SELECT 'user_id' AS by, user_id AS key, * FROM users UNION ALL SELECT 'email', email, * FROM users UNION ALL SELECT 'verification_token', verification_token, * FROM users)
+  SELECT w.by, w.key, a.user_id AS account, a.name, a.verified FROM wanted w LEFT JOIN accounts a ON w.by = a.by AND w.key = a.key""")
 _oracle("source_registry", "SELECT source_id, display_name, enabled, enabled_by_default, color, CASE WHEN enabled THEN enabled_by_default END AS preselected FROM full_boards")
 _oracle("extract_payload", f"""SELECT CAST(p_partkey AS VARCHAR) AS job_id, p_name AS title,
   CASE WHEN p_partkey % 8 <> 3 THEN 'City ' || p_size ELSE '' END AS location, p_type AS contract_type, '' AS deadline,
@@ -344,8 +347,8 @@ _oracle("ingest_all_sources", f"""SELECT * FROM (VALUES ('parts', 'loaded'), ('t
   LEFT JOIN (SELECT 'parts' AS source_id, count(*) AS n_records, count(*) FILTER (coalesce(title, '') <> '') AS n_titled, count(*) FILTER (scraped_at IS NULL) AS n_stamped FROM old_jobs
     UNION ALL SELECT 'texts', count(*), count(*), count(*) FROM documents
     UNION ALL SELECT 'crawl', count(*), 0, count(*) FROM (SELECT DISTINCT source_id, job_id FROM seen)) USING (source_id)""")
-_oracle("source_health", """SELECT source_id, count(s.job_id) AS n_records, count(s.job_id) = 0 AS is_silent FROM full_boards b
-  LEFT JOIN (SELECT * FROM seen WHERE contract_type = 'Staff' AND location = 'City 48') s USING (source_id) WHERE enabled GROUP BY source_id""")
+_oracle("source_health", """SELECT source_id, count(s.job_id) AS n_records, count(s.job_id) = 0 AS is_silent FROM
+  (SELECT source_id FROM full_boards WHERE enabled UNION ALL SELECT n_name FROM nation WHERE n_regionkey > 0) LEFT JOIN seen s USING (source_id) GROUP BY source_id""")
 _oracle("parse_responses", "SELECT l_orderkey, l_linenumber, l_partkey, score, summary, error FROM parsed")
 _oracle("classify_errors", f"""SELECT *, CAST(CASE error_class WHEN 'daily_quota' THEN 0 WHEN 'quota' THEN {parsing.QUOTA_WAIT_S} WHEN 'other' THEN {parsing.ATTEMPT_WAIT_S} END AS INTEGER) AS wait_s
   FROM (SELECT *, {KIND.format(m='message')} AS error_class FROM messages)""")
@@ -366,9 +369,10 @@ _oracle("alert_messages", f"""SELECT job_id, score, {COLOR.replace('d.', '')} AS
   FROM old_evals JOIN old_jobs USING (job_id) WHERE score >= 7 AND email_sent = false""")
 _oracle("failure_alerts", f"""SELECT strftime(w, {ISO}) AS window_start, strftime(w + INTERVAL 2 HOUR, {ISO}) AS window_end, count(*) AS n_failures FROM
   (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events WHERE event_type = 'error') GROUP BY w""")
+_oracle("failure_alerts_stream", ORACLES["failure_alerts"] + " HAVING w + INTERVAL 2 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events WHERE event_type = 'error')")
 _oracle("weekly_activity", f"""SELECT strftime(date_trunc('week', ts - INTERVAL 8 HOUR) + INTERVAL 8 HOUR, {ISO}) AS week_start, event_type, count(*) AS n_events FROM events GROUP BY ALL""")
 _oracle("stream_ingest", """SELECT 'Brand#' || (l_suppkey % 25 + 1) AS source_id, CAST(l_partkey AS VARCHAR) AS job_id, strftime(min(l_shipdate), '%Y-%m-%d') AS first_seen FROM lineitem GROUP BY ALL""")
-_oracle("tag_jobs", "SELECT source_id, job_id, coalesce(array_to_string(tags, ','), '') AS tags FROM job_tags WHERE (source_id, job_id) NOT IN (SELECT (source_id, job_id) FROM jobs WHERE title <> 'hot ring')")
+_oracle("tag_jobs", "SELECT source_id, job_id, coalesce(array_to_string(tags, ','), '') AS tags FROM job_tags WHERE (source_id, job_id) NOT IN (SELECT (source_id, job_id) FROM jobs WHERE contract_type = 'Staff')")
 _oracle("tag_distribution", "SELECT tag, count(*) AS n_postings FROM (SELECT unnest(tags) AS tag FROM job_tags) GROUP BY 1")
 _oracle("tag_match", """SELECT user_id, CAST(greatest(1, ceil(10.0 * m / n)) AS INTEGER) AS score, m || '/' || n || ' tags matched' AS label, count(*) AS n_postings
   FROM (SELECT user_id, len(list_intersect(u.tags, j.tags)) AS m, len(u.tags) AS n FROM user_tags u, job_tags j WHERE len(u.tags) > 0) WHERE m > 0 GROUP BY ALL""")

@@ -16,7 +16,7 @@ from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
 from .operators import accounts, alerts, duplicates, feed, report, repair, scoring, shortlist, store, tags, worklist
 from .operators import users as people
-from .session import scratch_path, tune
+from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
 from .streaming import alerts as windows
 from .streaming import ingest as incremental
@@ -54,6 +54,11 @@ def _evaluations(spark, folder):
     return store.latest_evaluations(st.evaluation_log(spark, folder), st.newest_first())
 
 
+def _stored_evaluations(spark, folder):
+    """For plans that read the evaluations more than once: the table a run would have stored."""
+    return materialize(_evaluations(spark, folder), "evaluations")
+
+
 def _legacy_evaluations(spark, folder):
     return store.latest_evaluations(st.evaluation_log(spark, folder), st.newest_first(), ["job_id"]).drop("user_id")
 
@@ -81,10 +86,22 @@ def jobs_for_sources(spark, folder):
 
 @query
 def user_lookup(spark, folder):
-    """Accounts by e-mail; addresses without account give nulls."""
-    keys = st.account_requests(spark, folder).select("email").distinct()
-    found = store.lookup_users(keys, st.users(spark, folder), "email", [F.col("user_id")])
-    return found.select("email", "user_id", "name", "verified")
+    """Accounts by id, e-mail and token; keys without account give nulls."""
+    users = st.users(spark, folder)
+    claims = st.identity_claims(spark, folder)
+    wanted = {
+        "user_id": claims.select(F.col("claim_id").alias("user_id")),
+        "email": st.account_requests(spark, folder).select("email"),
+        "verification_token": claims.select(F.concat(F.lit("token-"), "claim_id").alias("verification_token")),
+    }
+
+    def found(by: str) -> DataFrame:
+        # The key column is renamed, so that a missing account shows as a null id.
+        accounts_ = users.select(F.col(by).alias("key"), F.col("user_id").alias("account"), "name", "verified")
+        keys = wanted[by].select(F.col(by).alias("key")).distinct()
+        return store.lookup_users(keys, accounts_, "key", [F.col("account")]).withColumn("by", F.lit(by))
+
+    return found("user_id").unionByName(found("email")).unionByName(found("verification_token"))
 
 
 @query
@@ -167,7 +184,7 @@ def upsert_users(spark, folder):
 
 @query
 def mark_sent(spark, folder):
-    evaluations = _evaluations(spark, folder)
+    evaluations = _stored_evaluations(spark, folder)
     active = _active(spark, folder)
     due = alerts.due_matches(evaluations, active, st.postings(spark, folder))
     sent = alerts.delivered_keys(due, active)
@@ -365,7 +382,7 @@ def evaluation_worklist(spark, folder):
 @query
 def worklist_summary(spark, folder):
     return worklist.worklist_counts(
-        _active(spark, folder), st.postings(spark, folder), _evaluations(spark, folder), retry_failed=True
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder), retry_failed=True
     )
 
 
@@ -373,7 +390,7 @@ def worklist_summary(spark, folder):
 def user_feed(spark, folder):
     """First page of every user, as large as pages get."""
     return feed.feed(
-        _active(spark, folder), st.postings(spark, folder), _evaluations(spark, folder), limit=feed.MAX_LIMIT
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder), limit=feed.MAX_LIMIT
     ).drop("total", "n_pages")
 
 
@@ -381,7 +398,7 @@ def user_feed(spark, folder):
 def feed_page(spark, folder):
     """Third page of every user, with totals."""
     return feed.feed(
-        _active(spark, folder), st.postings(spark, folder), _evaluations(spark, folder), page=3, limit=25
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder), page=3, limit=25
     ).select("user_id", "position", "job_id", "source_id", "score", "total", "n_pages")
 
 
@@ -475,7 +492,7 @@ def _run_evaluations(spark, folder):
 @query
 def run_summary(spark, folder):
     fresh = worklist.new_postings(st.sightings(spark, folder), st.postings(spark, folder), st.crawl_order(newest=True))
-    evaluated = _run_evaluations(spark, folder)
+    evaluated = materialize(_run_evaluations(spark, folder), "evaluated")
     return report.run_summary(
         st.postings(spark, folder), fresh, evaluated, evaluated.filter("email_sent"), ["seq", "line", "job_id"]
     )
@@ -602,9 +619,13 @@ def ingest_all_sources(spark, folder):
 
 @query
 def source_health(spark, folder):
-    """Enabled boards against the documents' sources: most deliver nothing."""
-    records = st.sightings(spark, folder).filter("contract_type = 'Staff' AND location = 'City 48'")
-    return ingest.source_health(registry.with_defaults(st.registry(spark, folder)), records)
+    """Boards of all brands deliver; boards named after nations are registered but silent."""
+    boards = st.registry(spark, folder)
+    planned = st.table(spark, folder, "nation").select(
+        F.col("n_name").alias("source_id"), (F.col("n_regionkey") > 0).alias("enabled")
+    )
+    registered = registry.with_defaults(boards.unionByName(planned, allowMissingColumns=True))
+    return ingest.source_health(registered, st.sightings(spark, folder))
 
 
 # ---- scalar functions ------------------------------------------------------------------------
@@ -674,6 +695,25 @@ def failure_alerts(spark, folder):
     return _iso_windows(found, "window_start", "window_end")
 
 
+@query
+def failure_alerts_stream(spark, folder):
+    """The same windows from a stream, as far as its watermark has closed them."""
+    schema = st.table(spark, folder, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    target = scratch_path(spark, "failure-windows")
+    query_ = (
+        windows.failure_windows(events, late="2 hours")
+        .writeStream.format("parquet")
+        .option("path", target)
+        .option("checkpointLocation", scratch_path(spark, "failure-progress"))
+        .outputMode("append")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query_.awaitTermination()
+    return _iso_windows(spark.read.parquet(target), "window_start", "window_end")
+
+
 @query
 def weekly_activity(spark, folder):
     return _iso_windows(windows.weekly_activity(st.table(spark, folder, "events")), "week_start")
@@ -709,10 +749,10 @@ def _tagged(spark, folder):
 
 @query
 def tag_jobs(spark, folder):
-    """Tags of the postings that have none yet: those with a title are tagged already."""
+    """Tags of the postings that have none yet; staff postings are tagged already."""
     words = st.tag_keywords(spark, folder)
     jobs = st.postings(spark, folder)
-    found = tags.tag_new_postings(jobs, jobs.filter("title <> 'hot ring'"), words)
+    found = tags.tag_new_postings(jobs, jobs.filter("contract_type = 'Staff'"), words)
     return found.withColumn("tags", _joined("tags"))
 
 

@@ -38,6 +38,9 @@ def build_session(app: str = "jobweave", master: str | None = None, **conf: str)
     return tune(builder.getOrCreate())
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by `spark.checkpoint.dir`.
 
@@ -47,9 +50,10 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured.rstrip("/")
     if spark.sparkContext.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="jobweave-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-        return folder
+        app = spark.sparkContext.applicationId
+        if app not in _local_folders:
+            _local_folders[app] = tempfile.mkdtemp(prefix="jobweave-")
+        return _local_folders[app]
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
