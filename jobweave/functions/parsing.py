@@ -66,13 +66,10 @@ def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
     staged = df.withColumn("_wrapped", _wrapped(answer)).withColumn(
         "_parsed", F.from_json("_wrapped", schema, {"allowSingleQuotes": "false"})
     )
-    staged = staged.withColumn(
-        "_valid",
-        F.coalesce(
-            (F.size(F.json_object_keys("_wrapped")) == 2) & F.col(f"_parsed.`{_END}`").isNotNull(),
-            F.lit(False),
-        ),
-    )
+    # An answer can only add members to the wrapper after closing its own object; just then they are counted.
+    reached = F.col(f"_parsed.`{_END}`").isNotNull()
+    alone = F.when(F.col("_wrapped").rlike(r"(?s)\}\s*,.*,"), F.size(F.json_object_keys("_wrapped")) == 2).otherwise(True)
+    staged = staged.withColumn("_valid", F.coalesce(reached & alone, F.lit(False)))
     for field in ("score", "summary"):
         staged = staged.withColumn(
             f"_{field}_kind", F.expr(f"schema_of_variant(_parsed.r.{field})")

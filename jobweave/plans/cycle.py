@@ -41,7 +41,8 @@ class RunTables:
         if partition_by:
             # AQE splits a value that holds a large share of the rows over several tasks.
             df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{name}/run={run}")
+        writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer.partitionBy(*partition_by).parquet(f"{self.root}/{name}/run={run}")
 
     def read(self, name: str, schema: StructType) -> DataFrame:
         """Rows of all runs with their `run`; filters on it prune folders."""

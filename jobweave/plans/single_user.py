@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import alerts, report, scoring, store, worklist
+from ..schemas import POSTING_TEXT
 
 
 def evaluate(
@@ -18,7 +19,7 @@ def evaluate(
     profile = profile_text.strip()
     if not profile:
         raise ValueError("the profile text is empty")
-    todo = worklist.carry_over(new, stored, evaluations, [F.desc("scraped_at")])
+    todo = worklist.carry_over(new, stored, evaluations, [F.desc("scraped_at"), *map(F.col, POSTING_TEXT)])
     # Ids of one board: the prompt needs a source column, the store has none.
     rows = todo.withColumns({"profile_text": F.lit(profile), "source_id": F.lit("")})
     answers = scoring.score_with_attempts(rows, scorer, ["job_id"])

@@ -54,9 +54,9 @@ def _evaluations(spark, folder):
     return store.latest_evaluations(st.evaluation_log(spark, folder), st.newest_first())
 
 
-def _stored_evaluations(spark, folder):
+def _stored_evaluations(spark, folder, *columns):
     """For plans that read the evaluations more than once: the table a run would have stored."""
-    return materialize(_evaluations(spark, folder), "evaluations")
+    return materialize(_evaluations(spark, folder).select("user_id", "job_id", "score", *columns), "evaluations")
 
 
 def _legacy_evaluations(spark, folder):
@@ -184,7 +184,7 @@ def upsert_users(spark, folder):
 
 @query
 def mark_sent(spark, folder):
-    evaluations = _stored_evaluations(spark, folder)
+    evaluations = _evaluations(spark, folder)
     active = _active(spark, folder)
     due = alerts.due_matches(evaluations, active, st.postings(spark, folder))
     sent = alerts.delivered_keys(due, active)
@@ -390,7 +390,7 @@ def worklist_summary(spark, folder):
 def user_feed(spark, folder):
     """First page of every user, as large as pages get."""
     return feed.feed(
-        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder), limit=feed.MAX_LIMIT
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder, "summary"), limit=feed.MAX_LIMIT
     ).drop("total", "n_pages")
 
 
@@ -398,7 +398,7 @@ def user_feed(spark, folder):
 def feed_page(spark, folder):
     """Third page of every user, with totals."""
     return feed.feed(
-        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder), page=3, limit=25
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder, "summary"), page=3, limit=25
     ).select("user_id", "position", "job_id", "source_id", "score", "total", "n_pages")
 
 
@@ -492,7 +492,7 @@ def _run_evaluations(spark, folder):
 @query
 def run_summary(spark, folder):
     fresh = worklist.new_postings(st.sightings(spark, folder), st.postings(spark, folder), st.crawl_order(newest=True))
-    evaluated = materialize(_run_evaluations(spark, folder), "evaluated")
+    evaluated = _run_evaluations(spark, folder)
     return report.run_summary(
         st.postings(spark, folder), fresh, evaluated, evaluated.filter("email_sent"), ["seq", "line", "job_id"]
     )

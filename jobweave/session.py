@@ -19,6 +19,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Top-k and first-row windows cut every group before the shuffle (operators.ranking.GROUP_LIMIT).
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
+    # Rows that go to Python carry whole pages and texts.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
 }
 
 

@@ -9,6 +9,7 @@ from ..functions.text import short_display_name, source_label
 from ..schemas import SOURCES
 
 DEFAULT_COLOR = "#555555"  # fixed value
+MAX_BOARDS = 10_000
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -39,6 +40,15 @@ def with_defaults(sources: DataFrame) -> DataFrame:
     )
 
 
+def board_configs(sources: DataFrame) -> dict[str, dict]:
+    """Settings per board id, for `ingest.ingest_sources`. The registry is collected, so its size is
+    checked."""
+    rows = with_defaults(sources).limit(MAX_BOARDS + 1).collect()
+    if len(rows) > MAX_BOARDS:
+        raise ValueError(f"a registry has at most {MAX_BOARDS} boards")
+    return {row.source_id: row.asDict() for row in rows}
+
+
 def open_sources(sources: DataFrame) -> DataFrame:
     """Boards a user may subscribe to; `preselected` marks those ticked for new accounts."""
     chosen = with_defaults(sources).filter("enabled")

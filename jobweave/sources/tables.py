@@ -28,6 +28,12 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return stored.select(*[stored[field.name].cast(field.dataType).alias(field.name) for field in schema])
 
 
+def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Documents of a JSON store, one per line, with a fixed schema: a missing field is null, fields
+    outside the schema are dropped, and a line that is no document fails the job."""
+    return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
+
+
 def snapshot_path(root: str, version: int) -> str:
     return f"{root.rstrip('/')}/version={version:09d}"
 
@@ -41,7 +47,8 @@ def write_snapshot(df: DataFrame, root: str, version: int, partition_by: Sequenc
     path = snapshot_path(root, version)
     if partition_by:
         df = df.hint("rebalance", *[F.col(c) for c in partition_by])
-    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    # Static: a repeated write must not keep partitions of the failed one.
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
     return path
 
 

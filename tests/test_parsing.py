@@ -37,6 +37,8 @@ CASES = [
     ('{"score": 8, "summary": "ok"} Hope this helps', None, None, "invalid JSON"),
     ('{"score": 8, "summary": "ok"}}', None, None, "invalid JSON"),
     ('{"score": 8, "summary": "ok"}, "x": 1', None, None, "invalid JSON"),
+    ('{"score": 8, "summary": "ok"}\n,\n"x": 1', None, None, "invalid JSON"),
+    ('{"score": 8, "summary": "a}, b", "more": [{}, {}]}', 8, "a}, b", None),
     ("{'score': 8, 'summary': 'ok'}", None, None, "invalid JSON"),
     ('{"score": 08, "summary": "ok"}', None, None, "invalid JSON"),
     ('{"score": 8, "summary": "a\nb"}', None, None, "invalid JSON"),

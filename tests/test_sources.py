@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from fixtures import keys, postings, registry
 from jobweave.operators import duplicates, repair, tags
 from jobweave.sources import html, ingest, payload
-from jobweave.sources.registry import open_sources, read_registry, read_registry_yaml, source_labels, with_defaults
+from jobweave.sources.registry import board_configs, open_sources, read_registry, read_registry_yaml, source_labels, with_defaults
 
 BASE = "https://jobs.example.org"
 
@@ -16,6 +16,8 @@ def test_registry_defaults_and_open_boards(spark, tmp_path):
     assert (row.display_name, row.enabled, row.color, row.enabled_by_default) == ("second", False, "#555555", False)
     assert keys(open_sources(registry(spark)), "source_id", "preselected") == {("board", True)}
     assert keys(source_labels(registry(spark)), "label", "short_name") == {("BoJ", "Board of Jobs"), ("SECOND", "second"), ("Third", "Third Board")}
+    configs = board_configs(registry(spark))
+    assert {k: c["enabled"] for k, c in configs.items()} == {"board": True, "second": False, "third": False}
     path = tmp_path / "sources.json"
     path.write_text(json.dumps([{"source_id": "x", "enabled": True}]))
     assert keys(read_registry(spark, str(path)), "source_id", "display_name", "enabled") == {("x", "x", True)}

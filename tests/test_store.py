@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import evaluations, keys, postings, users
@@ -5,8 +6,6 @@ from jobweave import schemas
 from jobweave.operators import report, store, worklist
 from jobweave.sources import tables
 
-import pytest
-
 
 def newest():
     return [F.desc("evaluated_at"), F.desc("score")]
@@ -65,6 +64,16 @@ def test_snapshots_and_missing_tables(spark, tmp_path):
         tables.read_or_empty(spark, path, schemas.USERS)
 
 
+def test_documents_keep_missing_fields_as_null(spark, tmp_path):
+    path = tmp_path / "docs.json"
+    path.write_text('{"id": "b|1", "job_id": "1", "source_id": "b", "title": ""}\n{"job_id": "2", "source_id": "b", "tags": [1]}\n')
+    docs = tables.read_documents(spark, str(path), schemas.POSTINGS)
+    assert keys(docs, "job_id", "title") == {("1", ""), ("2", None)}
+    path.write_text("no document\n")
+    with pytest.raises(Exception, match="MALFORMED"):
+        tables.read_documents(spark, str(path), schemas.POSTINGS).collect()
+
+
 def test_append_log_keeps_earlier_rows(spark, tmp_path):
     path = str(tmp_path / "log")
     for n in range(2):
