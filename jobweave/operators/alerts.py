@@ -10,7 +10,9 @@ from ..functions.text import cut, or_default, plural, source_label
 from .ranking import number_rows
 from .store import POSTING_KEY
 
-SUMMARY_CHARS = 200  # fixed value: summary length in the plain digest
+# The summary's length in the plain digest, and texts for missing fields. The wording of
+# subjects, greetings and lines below is fixed as well.
+SUMMARY_CHARS = 200
 NOT_SPECIFIED = "Not specified"
 UNTITLED = "Unknown Position"
 UNTITLED_CARD = "Position Closed"

@@ -12,8 +12,8 @@ from .users import subscriptions
 
 TOP_K = 50  # fixed value: length of a user's shortlist
 TILE_ROWS = 2048
-# Similarities closer than this are ties, which the job id decides.
-DIGITS = 9
+# Similarities equal to nine digits are ties, which the job id decides.
+SCALE = 1e9
 
 
 def _tiled(rows: DataFrame, sizes: DataFrame, key: str, name: str) -> DataFrame:
@@ -62,9 +62,12 @@ def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFram
         if seeking.empty or offered.empty:
             return pd.DataFrame(columns=columns)
         offered = offered.sort_values("job_id", kind="stable")
-        likeness = np.round(_unit(seeking["vector"]) @ _unit(offered["vector"]).T, DIGITS)
-        # A stable sort leaves equal similarities in job id order.
-        best = np.argsort(-likeness, axis=1, kind="stable")[:, :k]
+        n = len(offered)
+        likeness = np.rint(_unit(seeking["vector"]) @ _unit(offered["vector"]).T * SCALE).astype(np.int64)
+        # One integer per pair holds the similarity and, below it, the job id's place: no ties are left.
+        keys = likeness * n + np.arange(n - 1, -1, -1)
+        first = max(n - k, 0)
+        best = np.argpartition(keys, first, axis=1)[:, first:]
         rows = np.repeat(np.arange(len(seeking)), best.shape[1])
         picked = best.ravel()
         return pd.DataFrame(
@@ -72,7 +75,7 @@ def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFram
                 "user_id": seeking["user_id"].to_numpy()[rows],
                 "source_id": offered["source_id"].to_numpy()[picked],
                 "job_id": offered["job_id"].to_numpy()[picked],
-                "similarity": likeness[rows, picked],
+                "similarity": likeness[rows, picked] / SCALE,
             },
             columns=columns,
         )

@@ -159,3 +159,22 @@ def worklist(
         .join(postings, [*by, "job_id"])
     )
     return fresh.unionByName(partial).drop("_touched")
+
+
+def shortlisted_worklist(
+    nearest: DataFrame,
+    users: DataFrame,
+    postings: DataFrame,
+    evaluations: DataFrame,
+    retry_failed: bool = False,
+    user_columns: Sequence[str] = (),
+) -> DataFrame:
+    """As `worklist`, for the pairs of a shortlist (`shortlist.shortlist`) only. Linear in the shortlist
+    and the evaluations."""
+    settled = settled_evaluations(evaluations, retry_failed).select(*EVALUATION_KEY)
+    return (
+        nearest.select("user_id", *POSTING_KEY)
+        .join(settled, list(EVALUATION_KEY), "left_anti")
+        .join(postings, list(POSTING_KEY))
+        .join(users.select("user_id", *user_columns), "user_id")
+    )

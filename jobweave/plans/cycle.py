@@ -92,15 +92,18 @@ def evaluate_run(
     scorer: scoring.Scorer,
     default_sources: Sequence[str],
     run_at: Column,
+    nearest: DataFrame | None = None,
 ) -> DataFrame:
     """Score every open (user, posting) pair and append the evaluations.
 
-    Returns all results with their state.
+    With a shortlist in `nearest` only its pairs are scored. Returns all results with their state.
     """
     able = people.scorable(people.active_users(users, default_sources)).filter("reject_reason IS NULL")
-    pairs = worklist.worklist(
-        able, tables.postings(run), tables.scores(run - 1), tables.rescored, block=["run"], user_columns=["profile_text"]
-    )
+    postings, scores, carry = tables.postings(run), tables.scores(run - 1), ["profile_text"]
+    if nearest is None:
+        pairs = worklist.worklist(able, postings, scores, tables.rescored, block=["run"], user_columns=carry)
+    else:
+        pairs = worklist.shortlisted_worklist(nearest, able, postings, scores, tables.rescored, carry)
     answers = scoring.score_with_attempts(pairs.drop("run"), scorer, ["user_id", "source_id", "job_id"])
     results = scoring.apply_quota_stop(answers, ["source_id", "job_id"])
     evaluated = results.filter("state = 'evaluated'").withColumns(

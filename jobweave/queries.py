@@ -540,7 +540,8 @@ def report_sorted(spark, folder):
         st.legacy_postings(spark, folder), _legacy_evaluations(spark, folder), F.lit(st.AS_OF).cast("date")
     )
     ordered = report.report_sorted(detail, "deadline", ascending=False)
-    return ordered.select("job_id", "title", "score", F.date_format(bands.deadline_date(F.col("deadline")), "yyyy-MM-dd").alias("deadline_day"))
+    day = F.date_format(bands.deadline_date(F.col("deadline")), "yyyy-MM-dd")
+    return ordered.select("job_id", "title", "score", day.alias("deadline_day"))
 
 
 @query

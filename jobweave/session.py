@@ -60,8 +60,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_folder(spark)}/jobweave/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, under the application's id, so that the folders of
+    finished applications can be expired."""
+    app = spark.sparkContext.applicationId
+    return f"{shared_folder(spark)}/jobweave/{app}/{name}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

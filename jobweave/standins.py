@@ -185,6 +185,7 @@ def registry(spark: SparkSession, folder: str) -> DataFrame:
 def account_requests(spark: SparkSession, folder: str) -> DataFrame:
     """Registrations: some addresses are taken, repeated or malformed."""
     key, customer = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    interest = F.concat(F.lit("Interested in orders of priority "), F.col("o_orderpriority"))
     mail = F.when(F.col("o_orderstatus") == "F", F.concat(F.lit("c"), customer)).otherwise(
         F.concat(F.lit("new"), customer)
     )
@@ -193,7 +194,7 @@ def account_requests(spark: SparkSession, folder: str) -> DataFrame:
         F.concat(F.lit("acc-"), key.cast("string")).alias("user_id"),
         _choose(key, 17, {3: F.lit("no address"), 4: None}, F.concat(mail, F.lit("@example.org"))).alias("email"),
         _choose(key, 19, {2: F.lit(""), 5: F.repeat(F.lit("n"), 121)}, F.concat(F.lit("Person "), customer)).alias("name"),
-        _choose(key, 23, {1: F.lit("Too short")}, F.concat(F.lit("Interested in orders of priority "), F.col("o_orderpriority"))).alias("profile_text"),
+        _choose(key, 23, {1: F.lit("Too short")}, interest).alias("profile_text"),
         F.when(key % 13 != 6, (key % 12).cast("int")).alias("score_threshold"),
         F.when(key % 4 != 1, F.array(F.concat(F.lit("Brand#"), (key % 30 + 1).cast("string")))).alias("enabled_sources"),
         F.concat(F.lit("verify-"), key.cast("string")).alias("verification_token"),
@@ -203,11 +204,12 @@ def account_requests(spark: SparkSession, folder: str) -> DataFrame:
 def profile_changes(spark: SparkSession, folder: str) -> DataFrame:
     """Partial updates; fields left out are null."""
     key = F.col("o_orderkey")
+    profile = F.concat(F.lit("A new profile from order "), key.cast("string"))
     return table(spark, folder, "orders").select(
         key.alias("request_id"),
         F.col("o_custkey").cast("string").alias("user_id"),
         F.when(key % 3 == 0, F.concat(F.lit("Renamed "), key.cast("string"))).alias("name"),
-        F.when(key % 4 == 0, _choose(key, 8, {0: F.lit("short text")}, F.concat(F.lit("A new profile from order "), key.cast("string")))).alias("profile_text"),
+        F.when(key % 4 == 0, _choose(key, 8, {0: F.lit("short text")}, profile)).alias("profile_text"),
         F.when(key % 5 == 0, (key % 14).cast("int")).alias("score_threshold"),
         F.when(
             key % 2 == 0,
@@ -359,10 +361,12 @@ def listing_pages(spark: SparkSession, folder: str) -> DataFrame:
         return F.concat(F.lit("<td class=x> "), value, F.lit("\n</td>"))
 
     number = F.when(key % 33 != 9, key.cast("string")).otherwise("")
-    link = F.concat(F.lit('<td><a class="archiveLink big" href="/v/'), key.cast("string"), F.lit('?a=1&amp;b=2"><b>'), number, F.lit("</b></a></td>"))
-    rest = F.concat(
-        cell(F.lit("-")), cell(F.col("p_type")), cell(F.lit("-")), cell(F.lit("-")), cell(F.concat(F.lit("2025-02-"), F.col("p_size").cast("string")))
+    link = F.concat(
+        F.lit('<td><a class="archiveLink big" href="/v/'), key.cast("string"), F.lit('?a=1&amp;b=2"><b>'), number,
+        F.lit("</b></a></td>"),
     )
+    day = F.concat(F.lit("2025-02-"), F.col("p_size").cast("string"))
+    rest = F.concat(cell(F.lit("-")), cell(F.col("p_type")), cell(F.lit("-")), cell(F.lit("-")), cell(day))
     row = F.concat(
         F.lit("<tr>"), link, cell(F.concat(F.col("p_name"), F.lit(" &amp; Söhne"))),
         cell(F.concat(F.lit("City<br>"), F.col("p_size").cast("string"))),
@@ -385,10 +389,13 @@ def part_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("p_partkey")
     name = F.concat(F.col("p_name"), F.lit(" &lt;"), F.col("p_brand"), F.lit("&gt;"))
     head = F.concat(F.lit("<html><head><title>"), name, F.lit(" - Job Board</title></head><body>"))
-    title = _choose(key, 4, {0: F.concat(F.lit("<h1 class='jobTitle'>"), name, F.lit("</h1>")), 1: F.concat(F.lit("<h1> </h1><table><tr><td class=detailsHeader>"), name, F.lit("</td></tr></table>"))}, F.lit(""))
+    heading = F.concat(F.lit("<h1 class='jobTitle'>"), name, F.lit("</h1>"))
+    header_cell = F.concat(F.lit("<h1> </h1><table><tr><td class=detailsHeader>"), name, F.lit("</td></tr></table>"))
+    title = _choose(key, 4, {0: heading, 1: header_cell}, F.lit(""))
+    contract = F.concat(F.lit("<table><tr><td class='contractType'>"), F.col("p_type"), F.lit("</td></tr></table>"))
     facts = F.concat(
         F.lit("<span class='jobLocation'>City "), F.col("p_size").cast("string"), F.lit("</span>"),
-        F.when(key % 5 != 2, F.concat(F.lit("<table><tr><td class='contractType'>"), F.col("p_type"), F.lit("</td></tr></table>"))).otherwise(""),
+        F.when(key % 5 != 2, contract).otherwise(""),
     )
     text = F.concat(F.lit("<p>Work on "), F.col("p_name"), F.lit("</p><script>var x = 1;</script><p>at "), F.col("p_brand"), F.lit("</p>"))
     body = _choose(

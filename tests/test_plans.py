@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from fixtures import POSTINGS, evaluations, keys, postings, registry, users
 from jobweave import schemas
-from jobweave.operators import report, scoring
+from jobweave.operators import report, scoring, shortlist
 from jobweave.plans import cycle, single_user
 
 CONFIGS = {"board": {"enabled": True}}
@@ -69,6 +69,19 @@ def test_failed_scores_can_be_scored_again(spark, tmp_path):
     assert keys(tables.evaluations(2), "job_id", "score") == {("VAC-001", 8), ("VAC-002", 6)}
 
 
+def test_a_shortlist_limits_the_pairs(spark, tmp_path):
+    tables = cycle.RunTables(spark, str(tmp_path))
+    cycle.ingest_run(tables, 1, CONFIGS, {"board": lambda s, c: postings(s)}, F.lit("2025-01-01"))
+    jobs = postings(spark).select("source_id", "job_id", F.when(F.col("job_id") == "VAC-001", F.array(F.lit(1.0), F.lit(0.0))).otherwise(F.array(F.lit(0.6), F.lit(0.8))).alias("vector"))
+    people = users(spark).select("user_id", "enabled_sources", F.array(F.lit(0.0), F.lit(2.0)).alias("vector"))
+    nearest = shortlist.shortlist(people, jobs, k=1)
+    assert keys(nearest, "user_id", "job_id", "similarity") == {(f"user-{u}", "VAC-002", 0.8) for u in "abc"}
+    cycle.evaluate_run(tables, 1, users(spark), scorer, ["board"], F.lit("2025-01-01"), nearest)
+    assert keys(tables.scores(1), "user_id", "job_id", "score") == {("user-a", "VAC-002", 3), ("user-b", "VAC-002", 5)}
+    again = cycle.evaluate_run(tables, 2, users(spark), scorer, ["board"], F.lit("2025-01-02"), nearest)
+    assert again.isEmpty()
+
+
 def test_daily_quota_leaves_the_rest_for_the_next_run(spark, tmp_path):
     tables = cycle.RunTables(spark, str(tmp_path))
 
