@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .ranking import top_per_group
+from .tiles import tiled
 from .users import subscriptions
 
 TOP_K = 50  # fixed value: length of a user's shortlist
@@ -16,17 +17,6 @@ TILE_ROWS = 2048
 SCALE = 1e9
 
 
-def _tiled(rows: DataFrame, sizes: DataFrame, key: str, name: str) -> DataFrame:
-    """Spread the rows of each source over `n_<name>` tiles by a hash of their key."""
-    return rows.join(sizes, "source_id").withColumn(
-        name, F.pmod(F.xxhash64(key), F.col(f"n_{name}")).cast("int")
-    )
-
-
-def _tile_count(rows: DataFrame, name: str) -> DataFrame:
-    return rows.groupBy("source_id").agg(F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias(f"n_{name}"))
-
-
 def _unit(vectors: pd.Series) -> np.ndarray:
     matrix = np.vstack(vectors.to_numpy()).astype(np.float64)
     lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
@@ -43,19 +33,8 @@ def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFram
     `k` rows per user rather than its pairs.
     """
     seekers = subscriptions(users, "enabled_sources", "vector")
-    n_users, n_jobs = _tile_count(seekers, "user_tile"), _tile_count(postings, "job_tile")
-    every: Column = F.explode(F.sequence(F.lit(0), F.col("_other") - 1))
-
-    def spread(rows: DataFrame, own: DataFrame, other: DataFrame, key: str, name: str, other_name: str) -> DataFrame:
-        # Each row goes once to every tile of the other side.
-        counts = own.join(other, "source_id").withColumnRenamed(f"n_{other_name}", "_other")
-        tiled = _tiled(rows, counts, key, name)
-        return tiled.withColumn(other_name, every).select(
-            "source_id", "user_tile", "job_tile", key, "vector"
-        )
-
-    left = spread(seekers, n_users, n_jobs, "user_id", "user_tile", "job_tile")
-    right = spread(postings, n_jobs, n_users, "job_id", "job_tile", "user_tile")
+    offers = postings.select("source_id", "job_id", "vector")
+    left, right, tile = tiled(seekers, offers, ["source_id"], "user_id", "job_id", TILE_ROWS)
 
     def nearest(seeking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         columns = ["user_id", "source_id", "job_id", "similarity"]
@@ -80,7 +59,6 @@ def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFram
             columns=columns,
         )
 
-    tile = ["source_id", "user_tile", "job_tile"]
     found = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
         nearest, "user_id string, source_id string, job_id string, similarity double"
     )

@@ -7,15 +7,23 @@ enumerates pairs, because each of its rows stands for one call of a scorer.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ranking import first_per_group
 from .store import EVALUATION_KEY, POSTING_KEY
+from .tiles import tiled
 from .users import subscriptions
 
+# A tile has up to TILE_ROWS users and as many postings.
+TILE_ROWS = 512
+PAIRS_PER_TASK = 500_000
+MAX_TASKS = 100_000
+
 
 def new_postings(batch: DataFrame, stored: DataFrame, order: list[Column]) -> DataFrame:
     """Records of a batch whose key is not stored yet, one per key."""
@@ -145,20 +153,30 @@ def worklist(
     Only pairs of open blocks are listed, so with the collecting run as block a new run costs its own
     pairs and not the history's. A block nobody has touched needs no comparison with the evaluations,
     and its pairs leave the join without another shuffle; pairs of blocks done in part are compared by
-    key. A source that holds a large share of the postings is split by block and by AQE's skew join.
+    key. Pairs are listed tile by tile, in a number of tasks that follows from their counted number: a
+    source that holds a large share of postings or users gives many tiles of ordinary size, and AQE does
+    not merge tasks whose small inputs hide a large output.
     """
     settled = settled_evaluations(evaluations, retry_failed).select(*EVALUATION_KEY)
     by = ["source_id", *block]
-    todo = open_blocks(users, postings, settled, block).withColumn("_touched", F.col("n_done") > 0)
-    seekers = todo.select("user_id", *by, "_touched").join(users.select("user_id", *user_columns), "user_id")
-    fresh = seekers.filter(~F.col("_touched")).join(postings, by)
+    todo = materialize(open_blocks(users, postings, settled, block), "open-blocks")
+    n_pairs = todo.agg(F.sum("n_todo")).first()[0] or 0
+    n_tasks = min(max(1, math.ceil(n_pairs / PAIRS_PER_TASK)), MAX_TASKS)
+    seekers = todo.select("user_id", *by, (F.col("n_done") > 0).alias("_touched")).join(
+        users.select("user_id", *user_columns), "user_id"
+    )
+
+    def listed(who: DataFrame, what: DataFrame) -> DataFrame:
+        left, right, tile = tiled(who.drop("_touched"), what, by, "user_id", "job_id", TILE_ROWS)
+        return left.repartition(n_tasks, *tile).join(right.repartition(n_tasks, *tile), tile).drop("left_tile", "right_tile")
+
+    fresh = listed(seekers.filter(~F.col("_touched")), postings)
     partial = (
-        seekers.filter("_touched")
-        .join(postings.select(*by, "job_id"), by)
+        listed(seekers.filter("_touched"), postings.select(*by, "job_id"))
         .join(settled, list(EVALUATION_KEY), "left_anti")
         .join(postings, [*by, "job_id"])
     )
-    return fresh.unionByName(partial).drop("_touched")
+    return fresh.unionByName(partial)
 
 
 def shortlisted_worklist(

@@ -1,10 +1,11 @@
 """Worklist, digests and feed on the small users and postings."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fixtures import evaluations, keys, postings, registry, users
-from jobweave.operators import alerts, feed, store, worklist
+from jobweave.operators import alerts, feed, shortlist, store, worklist
 from jobweave.operators import users as people
 from jobweave.sources.registry import source_labels
 
@@ -41,8 +42,11 @@ def test_counts_agree_with_the_listed_pairs(spark, active, retry):
     assert counted == by_source == listed
 
 
-def test_blocks_change_the_work_not_the_pairs(spark):
-    """Blocks untouched, done in part and done give the pairs a plain comparison gives."""
+@pytest.mark.parametrize("tile_rows", [512, 2])
+def test_blocks_change_the_work_not_the_pairs(spark, monkeypatch, tile_rows):
+    """Blocks untouched, done in part and done give the pairs a plain comparison gives, in any tiling."""
+    monkeypatch.setattr(worklist, "TILE_ROWS", tile_rows)
+    monkeypatch.setattr(worklist, "PAIRS_PER_TASK", tile_rows * 3)
     jobs = [(f"J{i}", f"b{i % 3}", "t", "", "", "", "", "", "") for i in range(24)]
     people_rows = [(f"u{i}", None, None, f"p{i}", 7, ["b0", f"b{i % 3}"], None, True, None, None, None) for i in range(4)]
     done = [("u0", f"J{i}", 5, False) for i in range(0, 24, 3)] + [("u1", "J0", 5, False), ("u1", "J1", 0, False), ("u2", "J2", 3, False)]
@@ -135,3 +139,28 @@ def test_scorable_users_need_a_profile(spark):
     rows = spark.createDataFrame([("a", " \t\n"), ("b", None), ("c", " text ")], "user_id string, profile_text string")
     found = {r.user_id: (r.profile_text, r.reject_reason) for r in people.scorable(rows).collect()}
     assert found == {"a": ("", "no profile text"), "b": ("", "no profile text"), "c": ("text", None)}
+
+
+@pytest.mark.parametrize("tile_rows", [2048, 3])
+def test_shortlist_against_brute_force(spark, monkeypatch, tile_rows):
+    monkeypatch.setattr(shortlist, "TILE_ROWS", tile_rows)
+    random = np.random.default_rng(5)
+    vectors = random.integers(-2, 3, (60, 4)).astype(float)
+    # Two thirds of the postings on one board; equal vectors give ties.
+    jobs = [("b0" if i % 3 else f"b{i % 4}", f"J{i}", vectors[i].tolist()) for i in range(40)]
+    seekers = [(f"u{i}", ["b0", f"b{i % 4}"], vectors[20 + i].tolist()) for i in range(40)]
+
+    def likeness(a, b):
+        size = np.linalg.norm(a) * np.linalg.norm(b)
+        return float(np.rint(np.dot(a, b) / size * 1e9) / 1e9) if size else 0.0
+
+    expected = set()
+    for user, boards, vector in seekers:
+        found = sorted((-likeness(vector, v), s, j) for s, j, v in jobs if s in boards)[:7]
+        expected |= {(user, n, s, j, -x) for n, (x, s, j) in enumerate(found, 1)}
+    nearest = shortlist.shortlist(
+        spark.createDataFrame(seekers, "user_id string, enabled_sources array<string>, vector array<double>"),
+        spark.createDataFrame(jobs, "source_id string, job_id string, vector array<double>"),
+        k=7,
+    )
+    assert keys(nearest, "user_id", "position", "source_id", "job_id", "similarity") == expected
