@@ -54,6 +54,10 @@ class RunTables:
                 raise
             return self.spark.createDataFrame([], fields)
 
+    def of_run(self, name: str, run: int) -> DataFrame:
+        """What a run has just written."""
+        return self.spark.read.parquet(f"{self.root}/{name}/run={run}")
+
     def postings(self, until: int) -> DataFrame:
         return self.read("postings", POSTINGS).filter(F.col("run") <= until)
 
@@ -131,27 +135,22 @@ def notify_run(
     due = alerts.due_matches(tables.scores(run), active, postings)
     due = due.join(tables.deliveries(run - 1), list(store.EVALUATION_KEY), "left_anti")
     due = materialize(due, "due")
-    digests = alerts.user_digests(due, active, labels, product)
-    tables.write(digests, "digests", run)
-    delivered = alerts.delivered_keys(due, active)
-    lines = alerts.digest_lines(due, postings, labels)
-    tables.write(lines.join(delivered.select("user_id").distinct(), "user_id", "left_semi"), "digest_lines", run)
-    tables.write(delivered, "deliveries", run)
-    spark = tables.spark
-    return tuple(spark.read.parquet(f"{tables.root}/{name}/run={run}") for name in ("digests", "digest_lines"))
+    tables.write(alerts.user_digests(due, active, labels, product), "digests", run)
+    digests = tables.of_run("digests", run)
+    # Users without any address have no digest; their matches stay pending.
+    served = due.join(digests.select("user_id"), "user_id", "left_semi")
+    tables.write(alerts.digest_lines(served, postings, labels), "digest_lines", run)
+    tables.write(served.select(*store.EVALUATION_KEY), "deliveries", run)
+    return digests, tables.of_run("digest_lines", run)
 
 
 def log_run(tables: RunTables, run: int, run_at: Column, duration_s: float, manual: bool = False, status: str = "ok") -> None:
     """Append the run's figures, counted from what it wrote."""
-
-    def of_run(name: str, schema: StructType) -> DataFrame:
-        return tables.read(name, schema).filter(F.col("run") == run)
-
     figures = run_summary(
         tables.postings(run - 1),
-        of_run("postings", POSTINGS),
-        of_run("evaluations", EVALUATIONS),
-        of_run("digests", StructType([StructField("user_id", StringType())])),
+        tables.postings(run).filter(F.col("run") == run),
+        tables.read("evaluations", EVALUATIONS).filter(F.col("run") == run),
+        tables.of_run("digests", run),
         ["user_id", "source_id", "job_id"],
         manual,
     )
