@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,16 +21,38 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Top-k and first-row windows cut every group before the shuffle (operators.ranking.GROUP_LIMIT).
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
-    # Rows that go to Python carry whole pages and texts.
-    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    # Rows that go to Python carry whole pages and texts: their batches are bounded by bytes.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
 }
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers, once for each application, so that they can import it
+    from any working directory and on any machine."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = os.path.dirname(os.path.abspath(__file__))
+        archive = os.path.join(tempfile.mkdtemp(prefix="jobweave-"), "jobweave.zip")
+        with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as packed:
+            for folder, _, names in os.walk(root):
+                for name in sorted(names):
+                    if name.endswith(".py"):
+                        path = os.path.join(folder, name)
+                        packed.write(path, os.path.relpath(path, os.path.dirname(root)))
+        spark.sparkContext.addPyFile(archive)
+        _shipped.add(app)
+    return spark
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to an existing session."""
     for key, value in RUNTIME_CONF.items():
-        spark.conf.set(key, value)
-    return spark
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+    return ship(spark)
 
 
 def build_session(app: str = "jobweave", master: str | None = None, **conf: str) -> SparkSession:

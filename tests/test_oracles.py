@@ -12,10 +12,10 @@ def duck(data):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.QUERIES) == set(contract.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(contract.QUERIES))
 def test_query_matches_sql(spark, duck, data, name):
     same, note = check.compare(spark, duck, contract.queries()[name], contract.oracle_sql()[name], data)
     assert same, note
