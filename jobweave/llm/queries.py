@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import warc
+from . import simhash, warc
 from .common import read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,3 +29,10 @@ def op2_warc_chunks(spark, folder):
     """Every page through a WARC archive and back."""
     records = warc.round_trip(spark, read(spark, folder, "pages"))
     return records.select(F.col("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op7_simhash(spark, folder):
+    """Fingerprint and near-duplicate group of every document."""
+    found = simhash.near_duplicates(read(spark, folder, "documents"))
+    return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
