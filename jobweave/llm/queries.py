@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import simhash, warc
-from .common import read
+from . import decontaminate, langid, simhash, warc
+from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +36,19 @@ def op7_simhash(spark, folder):
     """Fingerprint and near-duplicate group of every document."""
     found = simhash.near_duplicates(read(spark, folder, "documents"))
     return found.select("doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id")
+
+
+@query
+def op10_language(spark, folder):
+    """Language of every document, learned from four fifths of those that name theirs."""
+    docs = read(spark, folder, "documents").select("doc_id", "text", "lang")
+    net = langid.train(langid.training_rows(docs, crc_mod("doc_id", 5) != 0))
+    found = langid.with_language(docs.select("doc_id", "text"), net)
+    held_out = F.coalesce(crc_mod("doc_id", 5) == 0, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_share")
+
+
+@query
+def op8_decontaminate(spark, folder):
+    """Overlaps of documents with benchmark items."""
+    return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
