@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, langid, simhash, warc
+from . import decontaminate, langid, quality, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,3 +52,15 @@ def op10_language(spark, folder):
 def op8_decontaminate(spark, folder):
     """Overlaps of documents with benchmark items."""
     return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+
+
+@query
+def op9_quality(spark, folder):
+    """Quality of every document, learned from the labels of two thirds of the ids."""
+    docs = read(spark, folder, "documents").select("doc_id", "text")
+    voters = quality.learn(docs, read(spark, folder, "labels"), crc_mod("doc_id", 3) != 1)
+    score = F.col("quality_score")
+    held_out = F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False))
+    return quality.with_quality(docs, voters).select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
+    )
