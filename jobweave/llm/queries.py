@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, langid, quality, simhash, warc
+from . import decontaminate, langid, maintext, quality, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,3 +64,10 @@ def op9_quality(spark, folder):
     return quality.with_quality(docs, voters).select(
         "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query
+def op5_main_text(spark, folder):
+    """Article text of every page."""
+    found = maintext.with_main_text(read(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
