@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, langid, maintext, quality, simhash, warc
+from . import decontaminate, langid, maintext, perplexity, quality, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +71,9 @@ def op5_main_text(spark, folder):
     """Article text of every page."""
     found = maintext.with_main_text(read(spark, folder, "pages"))
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op3_perplexity(spark, folder):
+    """Base counts and perplexity verdict of every document."""
+    return perplexity.judged(read(spark, folder, "documents")).drop("lang")
