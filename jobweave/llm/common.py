@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..session import materialize, tune
 
@@ -24,9 +25,12 @@ def crc_mod(name: str, n: int) -> Column:
     return F.crc32(F.col(name).cast("string")) % n
 
 
-def spread(df: DataFrame, *columns: str) -> DataFrame:
-    """`df` with only `columns`: extra columns of the caller can then not clash with an operator's own."""
-    return df.select(*columns)
+def extended(df: DataFrame, *columns: tuple[str, str]) -> StructType:
+    """The schema of `df` with further (name, type) columns behind its own."""
+    schema = StructType(list(df.schema.fields))
+    for name, kind in columns:
+        schema = schema.add(name, kind)
+    return schema
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import extended, slices, text_bytes
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -287,7 +287,4 @@ def with_language(docs: DataFrame, net: Network, text: str = "text", keep: float
                 batch = batch.append_column(name, values)
             yield batch
 
-    schema = docs.schema
-    for name, kind in new:
-        schema = schema.add(name, kind)
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(work, extended(docs, *new))

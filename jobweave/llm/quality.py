@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import extended, slices, text_bytes
 
 TERMS = 2048
 RANK = 48
@@ -204,5 +204,4 @@ def with_quality(docs: DataFrame, voters: Voters, keep: float | None = None) ->
             found = scores(shared.value, batch["text"])
             yield batch.append_column("quality_score", pa.array(found)) if keep is None else batch.filter(pa.array(found >= keep))
 
-    schema = docs.schema if keep is not None else docs.schema.add("quality_score", "double")
-    return docs.mapInArrow(work, schema)
+    return docs.mapInArrow(work, extended(docs, *([("quality_score", "double")] if keep is None else [])))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, langid, maintext, perplexity, quality, simhash, warc
+from . import decontaminate, langid, licenses, maintext, perplexity, quality, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,3 +77,9 @@ def op5_main_text(spark, folder):
 def op3_perplexity(spark, folder):
     """Base counts and perplexity verdict of every document."""
     return perplexity.judged(read(spark, folder, "documents")).drop("lang")
+
+
+@query
+def op4_licenses(spark, folder):
+    """Licence paragraphs of all documents."""
+    return licenses.scan(read(spark, folder, "documents"))
