@@ -13,3 +13,26 @@ SELECT page_id, payload_bytes, payload_digest,
   CASE WHEN first_id <> page_id THEN first_id END AS refers_to
 FROM p LEFT JOIN f USING (payload_digest)
 """
+
+ORACLES["op6_backoff"] = """
+WITH t AS (
+  SELECT doc_id, row_number() OVER () AS row_no,
+    list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
+  FROM documents
+), tok AS (SELECT doc_id, row_no, unnest(ws) AS raw, generate_subscripts(ws, 1) AS i FROM t),
+n AS (SELECT count(*) AS total FROM tok),
+v AS (SELECT raw FROM tok GROUP BY raw HAVING count(*) * 500000 >= (SELECT total FROM n)),
+w AS (SELECT doc_id, row_no, i, CASE WHEN v.raw IS NULL THEN '' ELSE tok.raw END AS word FROM tok LEFT JOIN v ON tok.raw = v.raw),
+u AS (SELECT word, count(*) AS c FROM w GROUP BY word),
+p AS (SELECT doc_id, row_no, i, word, lag(word) OVER (PARTITION BY row_no ORDER BY i) AS before FROM w),
+b AS (SELECT before, word, count(*) AS c FROM p WHERE before IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2),
+s AS (
+  SELECT p.doc_id, CAST(round(1e6 * CASE WHEN p.before IS NULL THEN ln(uw.c / n.total) WHEN b.c IS NOT NULL THEN ln(b.c / uv.c)
+    ELSE ln(0.4) + ln(uw.c / n.total) END) AS BIGINT) AS m
+  FROM p CROSS JOIN n JOIN u AS uw ON uw.word = p.word LEFT JOIN u AS uv ON uv.word = p.before
+  LEFT JOIN b ON b.before = p.before AND b.word = p.word
+), d AS (SELECT doc_id, count(*) AS n_words, sum(m) AS m FROM s GROUP BY doc_id)
+SELECT i.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(m, 0) AS DOUBLE) / 1e6 AS score
+FROM (SELECT DISTINCT doc_id FROM documents) AS i LEFT JOIN d ON d.doc_id IS NOT DISTINCT FROM i.doc_id
+"""

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import decontaminate, langid, licenses, maintext, perplexity, quality, simhash, warc
+from . import backoff, decontaminate, langid, licenses, maintext, perplexity, quality, segment, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -83,3 +83,15 @@ def op3_perplexity(spark, folder):
 def op4_licenses(spark, folder):
     """Licence paragraphs of all documents."""
     return licenses.scan(read(spark, folder, "documents"))
+
+
+@query
+def op6_backoff(spark, folder):
+    """Stupid-backoff score of every document under the counts of all."""
+    return backoff.scored(read(spark, folder, "documents"))
+
+
+@query
+def op1_sampled_pieces(spark, folder):
+    """Sampled segmentations of every document, and whether they decode to its text."""
+    return segment.encode(read(spark, folder, "documents"), decoded=True)
