@@ -25,6 +25,11 @@ def crc_mod(name: str, n: int) -> Column:
     return F.crc32(F.col(name).cast("string")) % n
 
 
+def row_key() -> Column:
+    """A hash of a document's id and text: what tells rows apart where ids repeat."""
+    return F.xxhash64("doc_id", "text")
+
+
 def extended(df: DataFrame, *columns: tuple[str, str]) -> StructType:
     """The schema of `df` with further (name, type) columns behind its own."""
     schema = StructType(list(df.schema.fields))

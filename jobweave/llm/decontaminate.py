@@ -25,7 +25,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import row_key, written
 
 # Fixed masks: six words each.
 MASKS = ("1101001011", "11100010101", "110010111")
@@ -34,6 +34,7 @@ MIN_IDENTITY = 0.75
 PENALTY = 2
 BITS_PER_HASH = 256
 MIN_LONGS, MAX_LONGS = 10, 20
+ROW_KEY = "__row_key"
 
 
 def words(text: str) -> Column:
@@ -128,12 +129,11 @@ def best_segment(doc: Column, item: Column, diagonal: Column) -> Column:
     )
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
-    """doc_id, item_id, n_words, n_equal, doc_start, item_start: the best overlap of each document with each
-    class of items it overlaps. Places count words from 0."""
+def segments(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+    """key (hash of id and text), doc_id, item_id, diagonal and s (the segment) for every diagonal with an overlap."""
     items = written(distinct_items(benchmark), "benchmark-items")
     seeds = written(exploded_seeds(items, "item_id").withColumnRenamed("place", "item_place"), "benchmark-seeds")
-    key = F.xxhash64("doc_id", "text").alias("key")
+    key = row_key().alias("key")
     windows = exploded_seeds(docs.select(key, word_hashes("text").alias("hashes")), "key")
     hits = passing(windows, seeds.select("h")).join(seeds, "h")
     diagonals = written(hits.select("key", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct(), "diagonals")
@@ -142,15 +142,26 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS,
     texts = written(texts.select("key", "doc_id", word_hashes("text").alias("hashes")), "touched-texts")
     both = diagonals.join(texts, "key").join(items.withColumnRenamed("hashes", "item_hashes"), "item_id")
     found = both.select(
-        "doc_id", "item_id", "diagonal", F.size("item_hashes").alias("size"),
+        "key", "doc_id", "item_id", "diagonal", F.size("item_hashes").alias("size"),
         best_segment(F.col("hashes"), F.col("item_hashes"), F.col("diagonal")).alias("s"),
     )
-    good = found.where(
-        (F.col("s.n") >= F.least(F.lit(min_words), F.col("size"))) & (F.col("s.equal") >= min_identity * F.col("s.n"))
-    )
+    enough = (F.col("s.n") >= F.least(F.lit(min_words), F.col("size"))) & (F.col("s.equal") >= min_identity * F.col("s.n"))
+    return found.where(enough).drop("size")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+    """doc_id, item_id, n_words, n_equal, doc_start, item_start: the best overlap of each document with each
+    class of items it overlaps. Places count words from 0."""
+    good = segments(docs, benchmark, min_words, min_identity)
     rank = F.struct("s.equal", "s.n", (-F.col("s.start")).alias("early"), "diagonal")
     best = good.groupBy("doc_id", "item_id").agg(F.max(rank).alias("b"))
     return best.select(
         "doc_id", "item_id", F.col("b.n").alias("n_words"), F.col("b.equal").alias("n_equal"),
         (-F.col("b.early")).alias("doc_start"), (-F.col("b.early") - F.col("b.diagonal")).alias("item_start"),
     )
+
+
+def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of `docs`, with all columns, whose text overlaps no item."""
+    hit = written(segments(docs, benchmark).select(F.col("key").alias(ROW_KEY)).distinct(), "overlapping")
+    return docs.withColumn(ROW_KEY, row_key()).join(hit, ROW_KEY, "left_anti").drop(ROW_KEY)

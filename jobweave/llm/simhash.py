@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import slices, text_bytes, written
+from .common import row_key, slices, text_bytes, written
 from .components import components
 
 BITS = 64
@@ -44,6 +44,7 @@ SEED = 42
 # Members of a bucket up to which its pairs are listed; larger ones go through midpoints.
 BUCKET_PAIRS = 24
 SLICE_BYTES = 1 << 20
+ROW_KEY = "__row_key"
 
 
 def shingle_hashes(text: bytes, size: int = SHINGLE_WORDS) -> list[int]:
@@ -91,15 +92,15 @@ def fingerprints(texts: pa.Array, size: int = SHINGLE_WORDS) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, size: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed long."""
+    """doc_id, row_key (a hash of id and text) and fp, the fingerprint as a signed long."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = fingerprints(batch["text"], size).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch["doc_id"], batch["row_key"], pa.array(fp)], names=["doc_id", "row_key", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, fp long")
+    return docs.select("doc_id", row_key().alias("row_key"), "text").mapInArrow(work, f"doc_id {kind}, row_key long, fp long")
 
 
 def bit_moments(fps: DataFrame) -> tuple[int, np.ndarray]:
@@ -255,15 +256,26 @@ def midpoint_links(fps: DataFrame, distance: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, distance: int = MAX_DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id, fp, component_id for every row: documents linked by fingerprints at most `distance` apart."""
+    """doc_id, row_key, fp, root and component_id for every row: documents linked by fingerprints at most
+    `distance` apart. root, the smallest fingerprint of a group, tells groups apart where ids repeat."""
     rows = written(with_fingerprints(docs, size), "fingerprints")
     fps = written(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
     # Fingerprints in a component carry its smallest id; the others their own.
     member = components(links(fps.select("fp"), distance))
     of = fps.join(member.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = of.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = written(of.join(smallest, "root").select("fp", "component_id"), "components")
-    return rows.join(named, "fp").select("doc_id", "fp", "component_id")
+    named = written(of.join(smallest, "root").select("fp", "root", "component_id"), "components")
+    return rows.join(named, "fp").select("doc_id", "row_key", "fp", "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, distance: int = MAX_DISTANCE, size: int = SHINGLE_WORDS) -> DataFrame:
+    """The rows of `docs` without near-duplicates: of each group the row with the smallest id (null last, then
+    the smallest fingerprint) stays, with all its columns, and of equal rows one."""
+    found = near_duplicates(docs, distance, size)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "row_key"))
+    kept = written(found.groupBy("root").agg(first.alias("f")).select("f.row_key").distinct(), "kept-rows")
+    keyed = docs.withColumn(ROW_KEY, row_key()).join(kept.withColumnRenamed("row_key", ROW_KEY), ROW_KEY, "left_semi")
+    return keyed.dropDuplicates([ROW_KEY]).drop(ROW_KEY)
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:
