@@ -20,9 +20,9 @@ _END = "jobweave:end"
 def strip_fences(response: Column) -> Column:
     """The answer without surrounding white space and Markdown code fences."""
     text = strip(response)
-    opened = F.regexp_replace(text, r"(?U)^```(?:json)?\s*", "")
-    fenced = F.regexp_replace(opened, r"(?U)\s*```$", "")
-    return F.when(text.contains("```"), fenced).otherwise(text)
+    # One capture between an optional fence line and an optional closing fence, lazily, so that the latter goes.
+    inner = F.regexp_extract(text, r"(?sU)\A(?:`{3}(?:json)?\s*)?(.*?)(?:\s*`{3})?\z", 1)
+    return F.when(text.contains("```"), inner).otherwise(text)
 
 
 def _wrapped(answer: Column) -> Column:
@@ -94,7 +94,7 @@ def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
 
 
 def error_class(message: Column) -> Column:
-    """'daily_quota', 'quota' or 'other'; null without a message.
+    """'daily_quota', 'quota' or 'other'; null without a message. The markers looked for are fixed values.
 
     Any text with "rate" in it counts as quota, also "generate".
     """

@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from ..functions.bands import mail_color
 from ..functions.text import cut, or_default, plural, source_label
 from .ranking import number_rows
-from .store import POSTING_KEY
+from .store import EVALUATION_KEY, POSTING_KEY
 
-# The summary's length in the plain digest, and texts for missing fields. The wording of
-# subjects, greetings and lines below is fixed as well.
-SUMMARY_CHARS = 200
+# Texts for missing fields. The wording of subjects, greetings and lines below is fixed as well.
 NOT_SPECIFIED = "Not specified"
 UNTITLED = "Unknown Position"
 UNTITLED_CARD = "Position Closed"
@@ -53,20 +51,21 @@ def alert_messages(alerts: DataFrame, product: str) -> DataFrame:
 
 def due_matches(evaluations: DataFrame, users: DataFrame, postings: DataFrame) -> DataFrame:
     """Pending evaluations whose posting is still in the user's subscribed sources."""
-    chosen = evaluations.select("user_id", "job_id", "score", "summary", "email_sent")
+    chosen = evaluations.select(*EVALUATION_KEY, "score", "summary", "email_sent")
     return (
         pending_evaluations(chosen, users, "enabled_sources")
-        .join(postings.select(*POSTING_KEY), "job_id")
+        .join(postings.select(*POSTING_KEY), list(POSTING_KEY))
         .filter(F.array_contains("enabled_sources", F.col("source_id")))
-        .select("user_id", "source_id", "job_id", "score", "summary")
+        .select(*EVALUATION_KEY, "score", "summary")
     )
 
 
-def digest_lines(due: DataFrame, postings: DataFrame, labels: DataFrame) -> DataFrame:
+def digest_lines(due: DataFrame, postings: DataFrame, labels: DataFrame, summary_chars: int | None = None) -> DataFrame:
     """One row per line of a digest, numbered by score within the user. `due` comes from `due_matches`.
 
     A digest of any length stays a set of rows: a mailer reads them in order of `line_no`. Texts of
-    postings are joined after numbering, so that the sort does not move them.
+    postings are joined after numbering, so that the sort does not move them. `short_summary` is the whole
+    summary, or its first `summary_chars` characters and an ellipsis where it is longer.
     """
     ranked = number_rows(due, ["user_id"], [F.desc("score"), F.col("source_id"), F.col("job_id")], "line_no")
     label = source_label("label", "source_id")
@@ -75,6 +74,9 @@ def digest_lines(due: DataFrame, postings: DataFrame, labels: DataFrame) -> Data
         F.lit(" — Score "), F.col("score").cast("string"), F.lit("/10"),
     )
     summary = F.coalesce("summary", F.lit(""))
+    if summary_chars is not None:
+        shortened = F.concat(cut(summary, summary_chars), F.lit("..."))
+        summary = F.when(F.length(summary) > summary_chars, shortened).otherwise(summary)
     return (
         ranked.join(postings, [*POSTING_KEY])
         .join(labels.select("source_id", "label"), "source_id", "left")
@@ -93,7 +95,7 @@ def digest_lines(due: DataFrame, postings: DataFrame, labels: DataFrame) -> Data
             or_default("deadline", NOT_SPECIFIED).alias("deadline"),
             F.coalesce("url", F.lit("#")).alias("url"),
             text.alias("headline"),
-            F.concat(cut(summary, SUMMARY_CHARS), F.lit("...")).alias("short_summary"),
+            summary.alias("short_summary"),
         )
     )
 
@@ -144,8 +146,8 @@ def delivered_keys(due: DataFrame, users: DataFrame, pending: DataFrame | None =
     """Evaluations to mark as sent: the delivered lines, or every row of `pending`
     (`pending_evaluations`) of a user who got a digest."""
     reachable = users.filter(_recipient().isNotNull()).select("user_id")
-    delivered = due.select("user_id", "job_id").join(reachable, "user_id", "left_semi")
+    delivered = due.select(*EVALUATION_KEY).join(reachable, "user_id", "left_semi")
     if pending is None:
         return delivered.distinct()
     served = delivered.select("user_id").distinct()
-    return pending.join(served, "user_id", "left_semi").select("user_id", "job_id")
+    return pending.join(served, "user_id", "left_semi").select(*EVALUATION_KEY)

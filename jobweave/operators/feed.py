@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .ranking import top_per_group
-from .store import POSTING_KEY
+from .store import EVALUATION_KEY, POSTING_KEY
 from .users import effective_sources, subscriptions
 
-MAX_LIMIT = 100  # fixed value: largest page
 PAGE_LIMIT = 20  # fixed value: page size unless given
 
 
@@ -44,30 +43,23 @@ def feed(
     fill the page, the rest comes from the heads of the subscribed sources (see `_unscored`). Totals
     come from counts per source. Texts of postings are joined to the page's rows only.
     """
-    if page < 1 or not 1 <= limit <= MAX_LIMIT or not 0 <= min_score <= 10:
-        raise ValueError("page >= 1, 1 <= limit <= 100 and 0 <= min_score <= 10 are required")
+    if page < 1 or limit < 1 or not 0 <= min_score <= 10:
+        raise ValueError("page >= 1, limit >= 1 and 0 <= min_score <= 10 are required")
     last = page * limit
     wanted = subscriptions(_requests(users, source), "_sources")
-    scored = (
-        evaluations.filter(F.col("score").isNotNull() & keeps(F.col("score"), min_score))
-        .select("user_id", "job_id", "score", "summary")
-        .join(postings.select(*POSTING_KEY), "job_id")
-        .join(wanted, ["user_id", "source_id"], "left_semi")
-    )
     # Read up to three times below.
-    scored = materialize(scored, "scored")
+    scored = materialize(_scored(wanted, postings, evaluations, min_score, "summary"), "scored")
     columns = ["user_id", *POSTING_KEY, "score", "summary", "position"]
     best_first = [F.desc("score"), *[F.col(c) for c in POSTING_KEY]]
     rows = top_per_group(scored, ["user_id"], best_first, last).select(*columns)
     if min_score == 0:
         shares = _shares(wanted, postings, scored)
-        remarks = evaluations.filter(F.col("score").isNull()).select("user_id", "job_id", "summary")
-        rest = _unscored(shares, postings, scored, last).join(remarks, ["user_id", "job_id"], "left")
+        remarks = evaluations.filter(F.col("score").isNull()).select(*EVALUATION_KEY, "summary")
+        rest = _unscored(shares, postings, scored, last).join(remarks, list(EVALUATION_KEY), "left")
         rows = rows.unionByName(rest.select(*columns))
         totals = shares.groupBy("user_id").agg(F.sum("n_postings").alias("total"))
     else:
         totals = scored.groupBy("user_id").agg(F.count(F.lit(1)).alias("total"))
-    pages = F.greatest(F.ceil(F.col("total") / limit), F.lit(1))
     return (
         rows.filter(F.col("position") > last - limit)
         .join(totals, "user_id")
@@ -82,11 +74,46 @@ def feed(
             "summary",
             "scraped_at",
             "total",
-            pages.alias("n_pages"),
+            _pages(F.col("total"), limit).alias("n_pages"),
         )
     )
 
 
+def feed_totals(
+    users: DataFrame,
+    postings: DataFrame,
+    evaluations: DataFrame,
+    limit: int = PAGE_LIMIT,
+    min_score: int = 0,
+    source: Column | None = None,
+) -> DataFrame:
+    """Rows and pages of every user's feed, also of an empty one: what a page without rows must still tell."""
+    wanted = subscriptions(_requests(users, source), "_sources")
+    if min_score == 0:
+        per_source = postings.groupBy("source_id").agg(F.count(F.lit(1)).alias("n"))
+        counts = wanted.join(per_source, "source_id").groupBy("user_id").agg(F.sum("n").alias("total"))
+    else:
+        counts = _scored(wanted, postings, evaluations, min_score).groupBy("user_id").agg(F.count(F.lit(1)).alias("total"))
+    total = F.coalesce("total", F.lit(0))
+    return users.select("user_id").join(counts, "user_id", "left").select(
+        "user_id", total.alias("total"), _pages(total, limit).alias("n_pages")
+    )
+
+
+def _pages(total: Column, limit: int) -> Column:
+    return F.greatest(F.ceil(total / limit), F.lit(1))
+
+
+def _scored(wanted: DataFrame, postings: DataFrame, evaluations: DataFrame, min_score: int, *columns: str) -> DataFrame:
+    """Scored evaluations of postings in the sources that the user reads."""
+    return (
+        evaluations.filter(F.col("score").isNotNull() & keeps(F.col("score"), min_score))
+        .select(*EVALUATION_KEY, "score", *columns)
+        .join(postings.select(*POSTING_KEY), list(POSTING_KEY), "left_semi")
+        .join(wanted, ["user_id", "source_id"], "left_semi")
+    )
+
+
 def _shares(wanted: DataFrame, postings: DataFrame, scored: DataFrame) -> DataFrame:
     """Postings of each subscribed source and how many of them the user has scored."""
     per_source = postings.groupBy("source_id").agg(F.count(F.lit(1)).alias("n_postings"))
@@ -119,7 +146,7 @@ def _unscored(shares: DataFrame, postings: DataFrame, scored: DataFrame, last: i
     open_rows = (
         short.join(heads, "source_id")
         .filter(F.col("head") <= F.col("take"))
-        .join(scored.select("user_id", "job_id"), ["user_id", "job_id"], "left_anti")
+        .join(scored.select(*EVALUATION_KEY), list(EVALUATION_KEY), "left_anti")
     )
     placed = top_per_group(open_rows, ["user_id"], [F.col(c) for c in POSTING_KEY], last, "nth")
     return (

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-# Up to this k Spark itself cuts each group to k rows before the shuffle
-# (spark.sql.optimizer.windowGroupLimitThreshold).
-GROUP_LIMIT = 1000
 SPREAD = 64
 
 
@@ -20,20 +17,20 @@ def top_per_group(
 ) -> DataFrame:
     """The first `k` rows of each group, numbered from 1.
 
-    For small k each task keeps at most k rows of a group before the shuffle. For larger k a first
-    round works on parts of every group, so that the final round sees at most SPREAD * k rows of it.
+    A first round works on parts of every group, so that the final round sees at most SPREAD * k rows of
+    it, however many tasks held some.
     """
-    if k > GROUP_LIMIT:
-        spread = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
-        local = Window.partitionBy(*group, "_part").orderBy(*order)
-        df = spread.withColumn("_local", F.row_number().over(local)).filter(F.col("_local") <= k).drop("_part", "_local")
+    spread = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(SPREAD)))
+    local = Window.partitionBy(*group, "_part").orderBy(*order)
+    kept = spread.withColumn("_local", F.row_number().over(local)).filter(F.col("_local") <= k).drop("_part", "_local")
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
-    return df.withColumn(position, rank).filter(F.col(position) <= k)
+    return kept.withColumn(position, rank).filter(F.col(position) <= k)
 
 
 def first_per_group(df: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
-    """One row per group: the first in `order`."""
-    return top_per_group(df, group, order, 1, "_position").drop("_position")
+    """One row per group: the first in `order`. Each task passes on one row of a group."""
+    rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+    return df.withColumn("_position", rank).filter("_position = 1").drop("_position")
 
 
 def number_rows(

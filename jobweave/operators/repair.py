@@ -29,6 +29,11 @@ def match_listing(untitled: DataFrame, stubs: DataFrame, order: list[Column]) ->
     ).drop("_found")
 
 
+def pages_of(postings: DataFrame, pages: DataFrame) -> DataFrame:
+    """The pages of these postings, to be parsed; all others are left out before."""
+    return pages.join(postings.select("url").filter("url <> ''").distinct(), "url", "left_semi")
+
+
 def with_details(matched: DataFrame, details: DataFrame) -> DataFrame:
     """Complete matches from detail pages (`url` and the fields found there).
 

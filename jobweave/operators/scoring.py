@@ -12,10 +12,8 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.parsing import error_class, parse_responses, wait_seconds
 from ..session import materialize
-from .sizes import broadcast_if_small
 
-MAX_ATTEMPTS = 3  # fixed value
-DESCRIPTION_CHARS = 6000  # fixed value: the part of a description a prompt may hold
+MAX_ATTEMPTS = 3  # calls a pair gets at most in a live run
 
 # Adds a text column `response` to (user, posting) rows, and optionally `failure`, the message of a
 # call that gave no answer.
@@ -27,36 +25,36 @@ INSTRUCTIONS = (
 )
 
 
-def posting_text(default_source: str = "Job Board") -> Column:
-    """Labelled posting fields, then the description up to its length limit."""
+def posting_text(default_source: str = "Job Board", max_chars: int | None = None) -> Column:
+    """Labelled posting fields, then the description, whole or its first `max_chars` characters."""
     source = F.coalesce(F.nullif(F.upper("source_id"), F.lit("")), F.lit(default_source))
 
     def line(label: str, value: Column) -> Column:
         return F.concat(F.lit(f"{label}: "), value, F.lit("\n"))
 
     def known(name: str) -> Column:
-        return F.coalesce(F.col(name), F.lit("N/A"))
+        return F.coalesce(F.col(name), F.lit("not given"))
 
-    description = F.substring(F.coalesce("description_raw", F.lit("")), 1, DESCRIPTION_CHARS)
+    description = F.coalesce("description_raw", F.lit(""))
     return F.concat(
-        line("Source", source),
-        line("Title", known("title")),
-        line("Location", known("location")),
-        line("Contract Type", known("contract_type")),
-        line("Application Deadline", known("deadline")),
-        line("URL", known("url")),
-        F.lit("\nFull Description:\n"),
-        description,
+        line("board", source),
+        line("position", known("title")),
+        line("place", known("location")),
+        line("kind of contract", known("contract_type")),
+        line("open until", known("deadline")),
+        line("link", known("url")),
+        F.lit("\n"),
+        description if max_chars is None else F.substring(description, 1, max_chars),
     )
 
 
-def build_prompts(pairs: DataFrame, instructions: str = INSTRUCTIONS) -> DataFrame:
+def build_prompts(pairs: DataFrame, instructions: str = INSTRUCTIONS, max_chars: int | None = None) -> DataFrame:
     """Add `prompt` to rows that carry the posting's fields and the user's `profile_text`."""
     prompt = F.concat(
         F.lit("Candidate:\n"),
         F.col("profile_text"),
         F.lit("\n\nPosting:\n"),
-        posting_text(),
+        posting_text(max_chars=max_chars),
         F.lit("\n\n" + instructions),
     )
     return pairs.withColumn("prompt", prompt)
@@ -93,23 +91,30 @@ def score_pairs(pairs: DataFrame, scorer: Scorer) -> DataFrame:
     )
 
 
-def score_with_attempts(pairs: DataFrame, scorer: Scorer, key: Sequence[str]) -> DataFrame:
-    """Results per key after up to MAX_ATTEMPTS calls: key, score, summary, error and n_attempts.
+def score_with_attempts(
+    pairs: DataFrame,
+    scorer: Scorer,
+    key: Sequence[str],
+    attempts: int = MAX_ATTEMPTS,
+    rebuild: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
+    """Results per key after up to `attempts` calls: key, score, summary, error and n_attempts.
 
     Failed pairs are asked again, except after an exhausted daily quota. The answers of each round are
-    written before use, so that a pair is put to the scorer once per round.
+    written before use, so that a pair is put to the scorer once per round. `rebuild` makes pairs of their
+    keys, so that a retry starts from the failed keys; without it they are looked up in `pairs`.
     """
     settled, rows = [], pairs
-    for attempt in range(1, MAX_ATTEMPTS + 1):
+    for attempt in range(1, attempts + 1):
         answers = score_pairs(rows, scorer).select(*key, "score", "summary", "error")
         answers = materialize(answers.withColumn("n_attempts", F.lit(attempt)), f"answers-{attempt}")
         failed = F.coalesce(error_class(F.col("error")) != "daily_quota", F.lit(False))
         again = answers.filter(failed).select(*key)
-        if attempt == MAX_ATTEMPTS or again.isEmpty():
+        if attempt == attempts or again.isEmpty():
             settled.append(answers)
             break
         settled.append(answers.filter(~failed))
-        rows = pairs.join(again, list(key), "left_semi")
+        rows = rebuild(again) if rebuild else pairs.join(again, list(key), "left_semi")
     return reduce(DataFrame.unionByName, settled)
 
 
@@ -121,8 +126,8 @@ def classify_errors(df: DataFrame, message: str = "message") -> DataFrame:
 def attempt_outcomes(attempts: DataFrame, key: Sequence[str], tie: Sequence[str] = ()) -> DataFrame:
     """Result per pair from a log of parsed attempts (`attempt`, `score`, `summary`, `error`).
 
-    The first success counts, later attempts do not; without one the last error is kept. Attempts past
-    the limit never took place.
+    The first success counts, later attempts do not; without one the last error is kept. The whole log is
+    read, however many attempts it holds.
     """
     order = F.struct("attempt", *tie)
     good = F.col("error").isNull()
@@ -130,8 +135,7 @@ def attempt_outcomes(attempts: DataFrame, key: Sequence[str], tie: Sequence[str]
     first_at = F.min_by(F.struct("score", "summary"), F.when(good, order))
     last_error = F.max_by("error", F.when(~good, order))
     outcome = (
-        attempts.filter(F.col("attempt") <= MAX_ATTEMPTS)
-        .groupBy(*key)
+        attempts.groupBy(*key)
         .agg(
             first_good.alias("_good"),
             first_at.alias("_result"),
@@ -155,8 +159,7 @@ def apply_quota_stop(results: DataFrame, order: Sequence[str], group: Sequence[s
 
     `order` must be unique within a group. An empty `group` makes one stop end the whole run. The stop
     points are an aggregate of the daily-quota errors alone, joined back, so no group passes through one
-    window; they are usually few and then the results are not shuffled. Give written results: they are
-    read twice.
+    window; they are usually few, and AQE then broadcasts them. Give written results: they are read twice.
     """
     by = list(group) or ["_run"]
     rows = results if group else results.withColumn("_run", F.lit(0))
@@ -168,5 +171,5 @@ def apply_quota_stop(results: DataFrame, order: Sequence[str], group: Sequence[s
         .when(F.col("error").isNull(), F.lit("evaluated"))
         .otherwise(F.lit("failed"))
     )
-    joined = rows.join(broadcast_if_small(stops), by, "left")
+    joined = rows.join(stops, by, "left")
     return joined.withColumn("state", state).select(*results.columns, "state")

@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 from .ranking import first_per_group
 
 POSTING_KEY = ("source_id", "job_id")
-# Two boards may use the same job id; as the evaluation key has no source, one evaluation then covers
-# both postings. Pass a longer key where that is not wanted.
-EVALUATION_KEY = ("user_id", "job_id")
+# Two boards may use the same job id, so an evaluation names its board.
+EVALUATION_KEY = ("user_id", *POSTING_KEY)
 
 
 def known_ids(postings: DataFrame) -> DataFrame:

@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .scoring import Scorer
+from .tiles import tiled
+
+TILE_ROWS = 512
 
 # The tag taxonomy by domain.
 TAXONOMY: Mapping[str, Sequence[str]] = {
@@ -19,26 +23,43 @@ TAXONOMY: Mapping[str, Sequence[str]] = {
 }
 
 
-def taxonomy_keywords(taxonomy: Mapping[str, Sequence[str]] = TAXONOMY) -> dict[str, str]:
-    """Keyword per tag: the tag with blanks for hyphens."""
-    return {tag: tag.replace("-", " ") for tags in taxonomy.values() for tag in tags}
+def taxonomy_table(spark: SparkSession, taxonomy: Mapping[str, Sequence[str]] = TAXONOMY) -> DataFrame:
+    """tag and keyword, which is the tag with blanks for hyphens."""
+    rows = [(tag, tag.replace("-", " ")) for tags in taxonomy.values() for tag in tags]
+    return spark.createDataFrame(rows, "tag string, keyword string")
 
 
-def matching_tags(text: Column, keywords: Mapping[str, str]) -> Column:
-    """Sorted tags whose keyword occurs in `text`, without regard to case.
+def text_words(text: Column) -> Column:
+    """Lower-case runs of letters and digits."""
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+"), lambda w: w != "")
 
-    The taxonomy is hand-written configuration and becomes part of the plan, so no join is needed.
-    """
-    lowered = F.lower(F.coalesce(text, F.lit("")))
-    hits = [F.when(lowered.contains(word.lower()), F.lit(tag)) for tag, word in sorted(keywords.items())]
-    return F.array_compact(F.array(*hits)) if hits else F.array().cast("array<string>")
+
+def _word_runs(words: Column, n: int) -> Column:
+    """All runs of `n` words, joined by blanks."""
+    places = F.sequence(F.lit(1), F.greatest(F.size(words) - n + 1, F.lit(1)))
+    return F.transform(places, lambda i: F.array_join(F.slice(words, i, n), " "))
 
 
-def tag_new_postings(postings: DataFrame, tagged: DataFrame, keywords: Mapping[str, str]) -> DataFrame:
-    """Key and tags of the postings that are not tagged yet."""
-    todo = postings.join(tagged.select("source_id", "job_id"), ["source_id", "job_id"], "left_anti")
-    text = F.concat_ws(" ", "title", "description_raw")
-    return todo.select("source_id", "job_id", matching_tags(text, keywords).alias("tags"))
+def tag_new_postings(postings: DataFrame, tagged: DataFrame, taxonomy: DataFrame) -> DataFrame:
+    """Key and sorted tags of the postings that are not tagged yet, with those that have none.
+
+    `taxonomy` has tag and keyword. A keyword occurs in a text if its words stand there in a row, without
+    regard to case. Word sequences of the texts, as long as keywords are, are joined with the keywords, so
+    the taxonomy may be of any size.
+    """
+    key = ["source_id", "job_id"]
+    todo = postings.join(tagged.select(*key), key, "left_anti")
+    wanted = taxonomy.select("tag", text_words(F.col("keyword")).alias("_words")).filter(F.size("_words") > 0)
+    lengths = [r[0] for r in wanted.select(F.size("_words")).distinct().collect()]
+    words = todo.select(*key, text_words(F.concat_ws(" ", "title", "description_raw")).alias("_text"))
+    runs = [_word_runs(F.col("_text"), n) for n in lengths]
+    none = todo.select(*key).distinct()
+    if not runs:
+        return none.withColumn("tags", F.array().cast("array<string>"))
+    seen = words.select(*key, F.explode(F.array_distinct(F.concat(*runs))).alias("_run"))
+    found = seen.join(wanted.select("tag", F.array_join("_words", " ").alias("_run")), "_run")
+    per_posting = found.groupBy(*key).agg(F.array_sort(F.collect_set("tag")).alias("tags"))
+    return none.join(per_posting, key, "left").withColumn("tags", F.coalesce("tags", F.array().cast("array<string>")))
 
 
 def overlap(job_tags: Column, user_tags: Column) -> dict[str, Column]:
@@ -68,7 +89,8 @@ def tag_scorer() -> Scorer:
 
 
 def with_fallback(pairs: DataFrame, fallback: Scorer) -> DataFrame:
-    """Tag scorer for users with tags, `fallback` for the others."""
+    """Tag scorer for users with tags, `fallback` for the others. The pairs are written once for both."""
+    pairs = materialize(pairs, "pairs")
     has_tags = F.size(F.coalesce("user_tags", F.array().cast("array<string>"))) > 0
     return tag_scorer()(pairs.filter(has_tags)).unionByName(fallback(pairs.filter(~has_tags)))
 
@@ -77,7 +99,8 @@ def match_counts(users: DataFrame, tagged: DataFrame) -> DataFrame:
     """Per user and score above the minimum: how many postings reach it by tag overlap.
 
     Equal tag sets have equal scores. Users and postings are first reduced to their distinct tag sets
-    with counts, and only sets that share a tag meet; no (user, posting) pair is listed.
+    with counts, and only sets that share a tag meet, tile by tile, so that a tag of many sets is spread;
+    no (user, posting) pair is listed.
     """
     user_sets = users.select("user_id", F.array_sort(F.array_distinct("tags")).alias("user_tags")).filter(
         F.size("user_tags") > 0
@@ -89,8 +112,9 @@ def match_counts(users: DataFrame, tagged: DataFrame) -> DataFrame:
     )
     user_terms = user_sets.select("user_tags").distinct().withColumn("tag", F.explode("user_tags"))
     job_terms = job_sets.withColumn("tag", F.explode("job_tags"))
+    left, right, tile = tiled(user_terms, job_terms, ["tag"], "user_tags", "job_tags", TILE_ROWS)
     shared = (
-        user_terms.join(job_terms, "tag")
+        left.join(right, tile)
         .groupBy("user_tags", "job_tags")
         .agg(F.count(F.lit(1)).alias("n_matched"), F.max("n").alias("n"))
     )

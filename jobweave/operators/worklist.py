@@ -22,7 +22,6 @@ from .users import subscriptions
 # A tile has up to TILE_ROWS users and as many postings.
 TILE_ROWS = 512
 PAIRS_PER_TASK = 500_000
-MAX_TASKS = 100_000
 
 
 def new_postings(batch: DataFrame, stored: DataFrame, order: list[Column]) -> DataFrame:
@@ -72,7 +71,7 @@ def evaluated_candidates(
     users: DataFrame, postings: DataFrame, evaluations: DataFrame, block: Sequence[str] = ()
 ) -> DataFrame:
     """Evaluations of postings in the user's subscribed sources. Linear in the evaluations."""
-    return evaluations.join(postings.select(*POSTING_KEY, *block), "job_id").join(
+    return evaluations.join(postings.select(*POSTING_KEY, *block), list(POSTING_KEY)).join(
         subscriptions(users), ["user_id", "source_id"], "left_semi"
     )
 
@@ -161,7 +160,7 @@ def worklist(
     by = ["source_id", *block]
     todo = materialize(open_blocks(users, postings, settled, block), "open-blocks")
     n_pairs = todo.agg(F.sum("n_todo")).first()[0] or 0
-    n_tasks = min(max(1, math.ceil(n_pairs / PAIRS_PER_TASK)), MAX_TASKS)
+    n_tasks = max(1, math.ceil(n_pairs / PAIRS_PER_TASK))
     seekers = todo.select("user_id", *by, (F.col("n_done") > 0).alias("_touched")).join(
         users.select("user_id", *user_columns), "user_id"
     )

@@ -4,8 +4,6 @@ inputs that the engine decodes from text are taken from the tables they were mad
 from __future__ import annotations
 
 from . import standins as st
-from .functions import parsing, rules
-from .operators import scoring
 
 ORACLES: dict[str, str] = {}
 
@@ -29,11 +27,17 @@ STAMP = "TIMESTAMP '2024-01-01' + to_minutes(p_partkey)"
 ISO = "'%Y-%m-%dT%H:%M:%S'"
 NEW_KEY = "p_partkey + CASE WHEN l_returnflag = 'N' THEN 1000000000 ELSE 0 END"
 DOMAIN = "@example.org"
+SECOND = "'Brand#' || (CAST(split_part({b}, '#', 2) AS INTEGER) % 25 + 1)"
 PROFILE_LIKE = "'Professional in ' || lower(c_mktsegment) || ' with customer number ' || c_custkey"
 
+TAGS = """list_sort(list_filter((SELECT list(w) FROM words), lambda w: list_contains(
+    string_split_regex(lower(coalesce(title, '') || ' ' || coalesce(description_raw, '')), '[^a-z0-9]+'), w)))"""
+
 TABLES = {
-    "jobs": f"SELECT {_posting_fields('p_partkey', TITLE, f'strftime({STAMP}, {ISO})')} FROM part",
-    "old_jobs": f"SELECT * EXCLUDE (source_id) REPLACE (CASE WHEN CAST(job_id AS BIGINT) % 21 <> 5 THEN CAST(scraped_at AS TIMESTAMP) END AS scraped_at) FROM jobs",
+    "one_board": f"SELECT {_posting_fields('p_partkey', TITLE, f'strftime({STAMP}, {ISO})')} FROM part",
+    # Some ids are on two boards.
+    "jobs": f"SELECT * FROM one_board UNION ALL SELECT * REPLACE ({SECOND.format(b='source_id')} AS source_id) FROM one_board WHERE CAST(job_id AS BIGINT) % 50 = 3",
+    "old_jobs": f"SELECT * EXCLUDE (source_id) REPLACE (CASE WHEN CAST(job_id AS BIGINT) % 21 <> 5 THEN CAST(scraped_at AS TIMESTAMP) END AS scraped_at) FROM one_board",
     "seen": f"""SELECT {_posting_fields(NEW_KEY, "p_name || ' v' || l_linenumber", f'strftime(l_shipdate, {ISO})')},
       l_orderkey AS seq, l_linenumber AS line FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "users": f"""SELECT CAST(c_custkey AS VARCHAR) AS user_id,
@@ -49,17 +53,18 @@ TABLES = {
       CASE WHEN NOT c_acctbal > 0 THEN 'token-' || c_custkey END AS verification_token,
       CAST(NULL AS VARCHAR) AS updated_at
       FROM customer""",
-    "active": f"""SELECT * REPLACE (coalesce(score_threshold, {rules.DEFAULT_THRESHOLD}) AS score_threshold,
+    "active": f"""SELECT * REPLACE (coalesce(score_threshold, 7) AS score_threshold,
       coalesce(enabled_sources, ['{st.DEFAULT_SOURCES[0]}']) AS enabled_sources) FROM users WHERE verified""",
-    "log": """SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS job_id,
+    "log": f"""SELECT CAST(o_custkey AS VARCHAR) AS user_id, CAST(l_partkey AS VARCHAR) AS job_id,
+      CASE WHEN l_partkey % 50 = 3 AND l_linenumber % 2 = 1 THEN {SECOND.format(b='p_brand')} ELSE p_brand END AS source_id,
       CAST(CASE WHEN l_linenumber = 7 THEN 0 WHEN l_linenumber = 5 AND l_quantity > 45 THEN NULL
         ELSE (CAST(l_quantity AS INTEGER) - 1) % 10 + 1 END AS INTEGER) AS score,
       'Line ' || l_orderkey || '/' || l_linenumber AS summary,
       CASE WHEN l_linenumber = 4 AND l_quantity > 48 THEN NULL ELSE l_returnflag = 'R' END AS email_sent,
       l_shipdate AS evaluated_at, l_orderkey AS seq, l_linenumber AS line
-      FROM lineitem JOIN orders ON l_orderkey = o_orderkey""",
-    "evals": "SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id, job_id ORDER BY evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST, email_sent DESC NULLS LAST) = 1",
-    "old_evals": "SELECT * EXCLUDE (user_id) FROM log QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST, email_sent DESC NULLS LAST) = 1",
+      FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""",
+    "evals": "SELECT * FROM log QUALIFY row_number() OVER (PARTITION BY user_id, source_id, job_id ORDER BY evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST, email_sent DESC NULLS LAST) = 1",
+    "old_evals": "SELECT * EXCLUDE (user_id, source_id) FROM log QUALIFY row_number() OVER (PARTITION BY job_id ORDER BY evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST, email_sent DESC NULLS LAST) = 1",
     "subs": "SELECT DISTINCT user_id, unnest(enabled_sources) AS source_id FROM active",
     "boards": f"""SELECT source_id, n,
       CASE WHEN n % 5 <> 0 THEN 'Board ' || n || ' (B' || n || ')' END AS display_name,
@@ -79,7 +84,7 @@ TABLES = {
       CASE WHEN o_orderkey % 4 <> 1 THEN ['Brand#' || (o_orderkey % 30 + 1)] END AS enabled_sources
       FROM orders""",
     "checked": f"""SELECT *, list_filter([
-        CASE WHEN NOT coalesce(regexp_matches(email, '{rules.EMAIL_PATTERN}'), false) THEN 'email' END,
+        CASE WHEN NOT coalesce(regexp_matches(email, '^[^\\s@]+@[^\\s@]+\\.[^\\s@]+$'), false) THEN 'email' END,
         CASE WHEN NOT length(name) BETWEEN 1 AND 120 THEN 'name' END,
         CASE WHEN NOT length(profile_text) BETWEEN 20 AND 10000 THEN 'profile_text' END,
         CASE WHEN NOT coalesce(score_threshold, 7) BETWEEN 1 AND 10 THEN 'score_threshold' END
@@ -127,14 +132,14 @@ TABLES = {
       FROM (SELECT *, CAST(l_quantity AS INTEGER) % 13 AS s, (l_orderkey * 7 + l_linenumber) % 16 AS kind FROM lineitem)""",
     "parsed": "SELECT *, CASE WHEN error IS NULL THEN 'Part ' || l_partkey END AS summary FROM answers",
     "messages": """SELECT l_orderkey, l_linenumber, l_partkey,
-      CASE (l_orderkey * 7 + l_linenumber) % 9 WHEN 0 THEN '429: PerDay quota exhausted' WHEN 1 THEN '429 Too Many Requests'
+      CASE (l_orderkey * 7 + l_linenumber) % 9 WHEN 0 THEN '429 PerDay limit used up' WHEN 1 THEN '429 Too Many Requests'
         WHEN 2 THEN 'Quota exceeded' WHEN 3 THEN 'could not generate text' WHEN 4 THEN 'limit_per_DAY reached'
         WHEN 5 THEN NULL WHEN 6 THEN 'Rate limit' ELSE 'connection reset' END AS message FROM lineitem""",
     "due": """SELECT e.user_id, j.source_id, e.job_id, e.score, e.summary FROM evals e
-      JOIN active u ON e.user_id = u.user_id JOIN jobs j ON e.job_id = j.job_id
+      JOIN active u ON e.user_id = u.user_id JOIN jobs j ON e.job_id = j.job_id AND e.source_id = j.source_id
       WHERE e.score >= u.score_threshold AND e.email_sent = false AND list_contains(u.enabled_sources, j.source_id)""",
     "fresh": "SELECT * FROM seen s WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.source_id = s.source_id AND j.job_id = s.job_id) QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
-    "stub": "SELECT source_id, job_id, CASE WHEN line = 2 THEN job_id || chr(10) || 'Closed Job' WHEN line = 3 THEN 'TRK' || job_id ELSE '  ' || title || ' ' END AS title, location, contract_type, deadline FROM seen WHERE contract_type = 'Staff' QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
+    "stub": "SELECT source_id, job_id, CASE WHEN line = 2 THEN job_id || chr(10) || 'Closed Job' WHEN line = 3 THEN 'TRK' || job_id ELSE '  ' || title || ' ' END AS title, location, contract_type, deadline FROM seen QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at DESC, seq DESC, line DESC) = 1",
     # What the detail page of each part says.
     "details": f"""SELECT p_partkey AS page_id, '{st.BASE_URL}/vacancy/' || p_partkey AS url, p_name || ' <' || p_brand || '>' AS title, 'City ' || p_size AS location,
       CASE WHEN p_partkey % 5 <> 2 THEN p_type ELSE '' END AS contract_type, '' AS deadline,
@@ -155,13 +160,13 @@ TABLES = {
       CASE WHEN trim(coalesce(description_raw, '')) = '' AND coalesce(new_description_raw, '') <> '' THEN new_description_raw ELSE description_raw END AS patched_description_raw
       FROM matched""",
     "flagged": "SELECT *, (patched_title IS DISTINCT FROM title OR patched_location IS DISTINCT FROM location OR patched_contract_type IS DISTINCT FROM contract_type OR patched_deadline IS DISTINCT FROM deadline OR patched_description_raw IS DISTINCT FROM description_raw) AS changed FROM patched",
-    "words": "SELECT row_number() OVER (ORDER BY w) - 1 AS i, w FROM (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part)",
-    "job_tags": "SELECT source_id, job_id, list(w ORDER BY w) FILTER (w IS NOT NULL) AS tags FROM jobs LEFT JOIN words ON contains(lower(coalesce(title, '') || ' ' || coalesce(description_raw, '')), w) GROUP BY 1, 2",
+    "words": "SELECT DISTINCT unnest(string_split(p_name, ' ')) AS w FROM part",
+    "job_tags": f"SELECT source_id, job_id, {TAGS} AS tags FROM jobs",
     "user_tags": """SELECT CAST(c_custkey AS VARCHAR) AS user_id,
-      CASE WHEN c_custkey % 9 = 4 THEN CAST([] AS VARCHAR[]) ELSE (SELECT list(DISTINCT w) FROM words, (SELECT count(*) AS n FROM words)
-        WHERE i IN (c_custkey % n, (c_custkey * 3 + 1) % n, (c_custkey * 5 + 2) % n)) END AS tags FROM customer""",
+      CASE WHEN c_custkey % 9 = 4 OR p_name IS NULL THEN CAST([] AS VARCHAR[]) ELSE list_distinct(string_split(p_name, ' ')) END AS tags
+      FROM customer LEFT JOIN part ON p_partkey = c_custkey""",
     "feed": """SELECT s.user_id, j.*, e.score, e.summary FROM subs s JOIN jobs j USING (source_id)
-      LEFT JOIN evals e ON e.user_id = s.user_id AND e.job_id = j.job_id""",
+      LEFT JOIN evals e ON e.user_id = s.user_id AND e.job_id = j.job_id AND e.source_id = j.source_id""",
     "ranked": "SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY score DESC NULLS LAST, source_id, job_id) AS INTEGER) AS position, count(*) OVER (PARTITION BY user_id) AS total FROM feed",
     "detail": f"""SELECT j.*, e.score, e.email_sent, TRY_CAST(TRY_STRPTIME(substr(deadline, 1, 10), '%Y-%m-%d') AS DATE) AS deadline_date
       FROM old_jobs j LEFT JOIN old_evals e USING (job_id)""",
@@ -210,15 +215,15 @@ _oracle("insert_if_absent", f"""SELECT {POSTING} FROM seen s WHERE NOT EXISTS (S
   QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY scraped_at, seq, line) = 1""")
 _oracle("upsert_jobs", f"""SELECT {POSTING} FROM (SELECT {POSTING}, seq, line, 1 AS fresh FROM seen UNION ALL SELECT {POSTING}, 0, 0, 0 FROM jobs)
   QUALIFY row_number() OVER (PARTITION BY source_id, job_id ORDER BY fresh DESC, scraped_at DESC, seq DESC, line DESC) = 1""")
-_oracle("upsert_evaluations", f"""SELECT user_id, job_id, score, summary, email_sent, strftime(evaluated_at, {ISO}) AS evaluated_at FROM log WHERE email_sent IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY user_id, job_id ORDER BY email_sent, evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST) = 1""")
+_oracle("upsert_evaluations", f"""SELECT user_id, source_id, job_id, score, summary, email_sent, strftime(evaluated_at, {ISO}) AS evaluated_at FROM log
+  QUALIFY row_number() OVER (PARTITION BY user_id, source_id, job_id ORDER BY coalesce(email_sent, false), evaluated_at DESC, seq DESC, line DESC, score DESC NULLS LAST, email_sent DESC NULLS LAST) = 1""")
 _oracle("upsert_users", """SELECT id, email, name FROM (
     SELECT coalesce(CASE WHEN request_id % 2 = 0 THEN CAST(request_id % 50000 AS VARCHAR) END, email, '') AS id, email, name, request_id FROM requests
     UNION ALL SELECT user_id, email, name, -1 FROM users)
   QUALIFY row_number() OVER (PARTITION BY id ORDER BY request_id DESC) = 1""")
 REACHABLE = "user_id IN (SELECT user_id FROM active WHERE coalesce(notification_email, '') <> '' OR coalesce(email, '') <> '')"
-_oracle("mark_sent", f"""SELECT user_id, job_id, score,
-  CASE WHEN (user_id, job_id) IN (SELECT (user_id, job_id) FROM due WHERE {REACHABLE}) THEN true ELSE email_sent END AS email_sent FROM evals""")
+_oracle("mark_sent", f"""SELECT user_id, source_id, job_id, score,
+  CASE WHEN (user_id, source_id, job_id) IN (SELECT (user_id, source_id, job_id) FROM due WHERE {REACHABLE}) THEN true ELSE email_sent END AS email_sent FROM evals""")
 _oracle("reset_evaluations", "SELECT count(*) AS n_cleared FROM evals")
 _oracle("migrate_jobs", f"""SELECT 'legacy|' || job_id AS id, job_id, 'legacy' AS source_id, coalesce(title, '') AS title, location, contract_type,
   coalesce(deadline, '') AS deadline, description_raw, url, coalesce(strftime(scraped_at, {ISO}), '{st.RUN_AT}') AS scraped_at FROM old_jobs""")
@@ -226,16 +231,16 @@ _oracle("migrate_evaluations", f"""SELECT 'owner|' || job_id AS id, 'owner' AS u
   coalesce(email_sent, false) AS email_sent, strftime(evaluated_at, {ISO}) AS evaluated_at FROM old_evals WHERE score <> 0""")
 _oracle("normalize_jobs", f"""SELECT job_id, 'board' AS source_id, coalesce(title, '') AS title, location, contract_type, coalesce(deadline, '') AS deadline,
   description_raw, '' AS url, coalesce(strftime(scraped_at, {ISO}), '{st.RUN_AT}') AS scraped_at FROM old_jobs""")
-_oracle("composite_keys", "SELECT source_id || '|' || job_id AS id, 'posting' AS kind FROM jobs UNION ALL SELECT user_id || '|' || job_id, 'evaluation' FROM evals")
+_oracle("composite_keys", "SELECT source_id || '|' || job_id AS id, 'posting' AS kind FROM jobs UNION ALL SELECT user_id || '|' || source_id || '|' || job_id, 'evaluation' FROM evals")
 _oracle("merge_extras", """SELECT source_id || '|' || job_id AS id, CASE WHEN CAST(job_id AS INTEGER) % 3 = 0 THEN 'own title' ELSE title END AS title, location,
   CASE CAST(job_id AS INTEGER) % 3 WHEN 0 THEN 'P4' WHEN 1 THEN job_id END AS grade,
   CAST(CASE CAST(job_id AS INTEGER) % 3 WHEN 2 THEN 10 ELSE 11 END AS INTEGER) AS n_fields FROM jobs""")
-_oracle("build_prompts", f"""SELECT t.job_id, u.user_id, 'Candidate:' || chr(10) || u.profile_text || chr(10) || chr(10) || 'Posting:' || chr(10)
-  || 'Source: ' || upper(t.source_id) || chr(10) || 'Title: ' || t.title || chr(10) || 'Location: ' || coalesce(t.location, 'N/A') || chr(10)
-  || 'Contract Type: N/A' || chr(10) || 'Application Deadline: ' || chr(10) || 'URL: ' || t.url || chr(10) || chr(10)
-  || 'Full Description:' || chr(10) || substr(t.description_raw, 1, {scoring.DESCRIPTION_CHARS}) || chr(10) || chr(10)
-  || '{scoring.INSTRUCTIONS.replace("'", "''")}' AS prompt
-  FROM texts t JOIN users u ON t.job_id = u.user_id WHERE trim(coalesce(u.profile_text, ''), ' ' || chr(9)) <> ''""")
+_oracle("build_prompts", f"""SELECT job_id, source_id, 'Candidate:' || chr(10) || 'Somebody who reads and writes long texts' || chr(10) || chr(10) || 'Posting:' || chr(10)
+  || 'board: ' || upper(source_id) || chr(10) || 'position: ' || title || chr(10) || 'place: ' || coalesce(location, 'not given') || chr(10)
+  || 'kind of contract: not given' || chr(10) || 'open until: ' || chr(10) || 'link: ' || url || chr(10) || chr(10)
+  || description_raw || chr(10) || chr(10)
+  || 'Rate from 1 to 10 how well the posting fits the candidate and describe the role in a few sentences. Answer with one JSON object: {{"score": <1-10>, "summary": "<text>"}}.' AS prompt
+  FROM texts""")
 LISTED = "array_to_string(enabled_sources, ',') AS enabled_sources"
 _oracle("profile_view", f"SELECT user_id, email, name, score_threshold, {LISTED}, verified FROM users")
 _oracle("profile_patch", f"""SELECT u.user_id, coalesce(c.name, u.name) AS name, coalesce(c.profile_text, u.profile_text) AS profile_text,
@@ -272,9 +277,9 @@ _oracle("new_jobs", "SELECT source_id, job_id, title, scraped_at FROM fresh")
 _oracle("seen_flag", "SELECT DISTINCT s.source_id, s.job_id, j.job_id IS NOT NULL AS seen FROM seen s LEFT JOIN jobs j ON s.source_id = j.source_id AND s.job_id = j.job_id")
 _oracle("user_job_candidates", "SELECT user_id, source_id, count(*) AS n_postings FROM subs JOIN jobs USING (source_id) GROUP BY ALL")
 _oracle("evaluation_worklist", """SELECT s.user_id, s.source_id, count(*) AS n_todo FROM subs s JOIN jobs j USING (source_id)
-  WHERE NOT EXISTS (SELECT 1 FROM evals e WHERE e.user_id = s.user_id AND e.job_id = j.job_id) GROUP BY ALL""")
+  WHERE NOT EXISTS (SELECT 1 FROM evals e WHERE e.user_id = s.user_id AND e.source_id = j.source_id AND e.job_id = j.job_id) GROUP BY ALL""")
 _oracle("worklist_summary", """WITH settled AS (SELECT * FROM evals WHERE score IS NULL OR score <> 0),
-  pairs AS (SELECT s.user_id, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM settled e WHERE e.user_id = s.user_id AND e.job_id = j.job_id)) AS todo
+  pairs AS (SELECT s.user_id, count(*) AS n, count(*) FILTER (NOT EXISTS (SELECT 1 FROM settled e WHERE e.user_id = s.user_id AND e.source_id = j.source_id AND e.job_id = j.job_id)) AS todo
     FROM subs s JOIN jobs j USING (source_id) GROUP BY 1),
   done AS (SELECT user_id, count(*) AS n FROM settled GROUP BY 1)
   SELECT a.user_id, coalesce(p.n, 0) AS n_candidates, coalesce(d.n, 0) AS n_evaluated, coalesce(p.todo, 0) AS n_todo
@@ -289,7 +294,7 @@ _oracle("digest_lines", f"""SELECT d.user_id, CAST(row_number() OVER (PARTITION
   CASE WHEN coalesce(title, '') = '' THEN 'Position Closed' ELSE title END AS card_title,
   CASE WHEN location = '' THEN 'Not specified' ELSE location END AS location, contract_type,
   CASE WHEN coalesce(deadline, '') = '' THEN 'Not specified' ELSE deadline END AS deadline, url,
-  '[' || b.label || '] ' || coalesce(title, 'N/A') || ' — Score ' || d.score || '/10' AS headline, substr(d.summary, 1, 200) || '...' AS short_summary
+  '[' || b.label || '] ' || coalesce(title, 'N/A') || ' — Score ' || d.score || '/10' AS headline, coalesce(d.summary, '') AS short_summary
   FROM due d JOIN jobs j USING (source_id, job_id) JOIN full_boards b USING (source_id)""")
 _oracle("user_digest", f"""SELECT user_id, recipient, '[{st.PRODUCT}] ' || n_matches || ' job match' || CASE WHEN n_matches = 1 THEN '' ELSE 'es' END || ' — ' || source_labels AS subject,
   'Hi ' || coalesce(CASE WHEN name <> '' THEN name END, email, 'there') || ' — ' || n_matches || ' new match' || CASE WHEN n_matches = 1 THEN '' ELSE 'es' END || ' from ' || source_labels AS greeting,
@@ -321,7 +326,7 @@ _oracle("quota_cutoff", f"""SELECT user_id, l_orderkey, l_linenumber, l_partkey,
   CASE WHEN sum(CASE WHEN {KIND.format(m='error')} = 'daily_quota' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY l_orderkey, l_linenumber, l_partkey, error NULLS FIRST) > 0 THEN 'stopped'
     WHEN error IS NULL THEN 'evaluated' ELSE 'failed' END AS state FROM
   (SELECT CAST(l_orderkey % 997 AS VARCHAR) AS user_id, l_orderkey, l_linenumber, l_partkey, CASE WHEN l_partkey % 11 = 0 THEN message END AS error FROM messages)""")
-_oracle("latest_evaluations", f"SELECT user_id, job_id, score, summary, email_sent, strftime(evaluated_at, {ISO}) AS evaluated_at FROM evals")
+_oracle("latest_evaluations", f"SELECT user_id, source_id, job_id, score, summary, email_sent, strftime(evaluated_at, {ISO}) AS evaluated_at FROM evals")
 CONTRACT = "CASE WHEN lower(contract_type) IN ('staff', 'permanent') THEN 'staff' WHEN lower(contract_type) = 'short-term' THEN 'short-term' ELSE 'other' END"
 DAYS = f"date_diff('day', DATE '{st.AS_OF}', deadline_date)"
 SHOWN = "CASE WHEN coalesce(deadline, '') = '' THEN '—' ELSE substr(deadline, 1, 10) END"
@@ -343,16 +348,16 @@ _oracle("audit_listing", f"SELECT job_id, score, email_sent, strftime(evaluated_
 _oracle("carry_over", """SELECT min(source_id) AS source_id, job_id FROM (SELECT source_id, job_id FROM fresh UNION SELECT source_id, job_id FROM jobs)
   WHERE job_id NOT IN (SELECT job_id FROM old_evals WHERE score IS NULL OR score <> 0) GROUP BY job_id""")
 _oracle("unknown_sources", "SELECT request_id, array_to_string(unknown, ',') AS unknown FROM offenders")
-_oracle("ingest_all_sources", f"""SELECT * FROM (VALUES ('parts', 'loaded'), ('texts', 'loaded'), ('crawl', 'loaded'), ('planned', 'placeholder'), ('broken', 'failed'), ('off', 'disabled')) s(source_id, status)
+_oracle("ingest_all_sources", f"""SELECT * FROM (VALUES ('parts', 'loaded'), ('texts', 'loaded'), ('crawl', 'loaded'), ('planned', 'placeholder'), ('broken', 'failed'), ('offline', 'failed'), ('off', 'disabled')) s(source_id, status)
   LEFT JOIN (SELECT 'parts' AS source_id, count(*) AS n_records, count(*) FILTER (coalesce(title, '') <> '') AS n_titled, count(*) FILTER (scraped_at IS NULL) AS n_stamped FROM old_jobs
     UNION ALL SELECT 'texts', count(*), count(*), count(*) FROM documents
     UNION ALL SELECT 'crawl', count(*), 0, count(*) FROM (SELECT DISTINCT source_id, job_id FROM seen)) USING (source_id)""")
 _oracle("source_health", """SELECT source_id, count(s.job_id) AS n_records, count(s.job_id) = 0 AS is_silent FROM
   (SELECT source_id FROM full_boards WHERE enabled UNION ALL SELECT n_name FROM nation WHERE n_regionkey > 0) LEFT JOIN seen s USING (source_id) GROUP BY source_id""")
 _oracle("parse_responses", "SELECT l_orderkey, l_linenumber, l_partkey, score, summary, error FROM parsed")
-_oracle("classify_errors", f"""SELECT *, CAST(CASE error_class WHEN 'daily_quota' THEN 0 WHEN 'quota' THEN {parsing.QUOTA_WAIT_S} WHEN 'other' THEN {parsing.ATTEMPT_WAIT_S} END AS INTEGER) AS wait_s
+_oracle("classify_errors", f"""SELECT *, CAST(CASE error_class WHEN 'daily_quota' THEN 0 WHEN 'quota' THEN 65 WHEN 'other' THEN 2 END AS INTEGER) AS wait_s
   FROM (SELECT *, {KIND.format(m='message')} AS error_class FROM messages)""")
-_oracle("score_bands", f"""SELECT user_id, job_id, score,
+_oracle("score_bands", f"""SELECT user_id, source_id, job_id, score,
   CASE WHEN score IS NULL THEN 'unevaluated' WHEN score >= 9 THEN 'excellent' WHEN score >= 7 THEN 'good' ELSE 'low' END AS report_band,
   CASE WHEN score IS NOT NULL THEN {COLOR.replace('d.', '')} END AS mail_color,
   CASE WHEN score IS NULL THEN 'pending' WHEN score >= 8 THEN 'high' WHEN score >= 5 THEN 'mid' ELSE 'low' END AS dashboard_band,
@@ -369,30 +374,37 @@ _oracle("alert_messages", f"""SELECT job_id, score, {COLOR.replace('d.', '')} AS
   FROM old_evals JOIN old_jobs USING (job_id) WHERE score >= 7 AND email_sent = false""")
 _oracle("failure_alerts", f"""SELECT strftime(w, {ISO}) AS window_start, strftime(w + INTERVAL 2 HOUR, {ISO}) AS window_end, count(*) AS n_failures FROM
   (SELECT unnest([date_trunc('hour', ts), date_trunc('hour', ts) - INTERVAL 1 HOUR]) AS w FROM events WHERE event_type = 'error') GROUP BY w""")
-_oracle("failure_alerts_stream", ORACLES["failure_alerts"] + " HAVING w + INTERVAL 2 HOUR <= (SELECT max(ts) - INTERVAL 2 HOUR FROM events WHERE event_type = 'error')")
+_oracle("failure_alerts_stream", ORACLES["failure_alerts"])
 _oracle("weekly_activity", f"""SELECT strftime(date_trunc('week', ts - INTERVAL 8 HOUR) + INTERVAL 8 HOUR, {ISO}) AS week_start, event_type, count(*) AS n_events FROM events GROUP BY ALL""")
 _oracle("stream_ingest", """SELECT 'Brand#' || (l_suppkey % 25 + 1) AS source_id, CAST(l_partkey AS VARCHAR) AS job_id, strftime(min(l_shipdate), '%Y-%m-%d') AS first_seen FROM lineitem GROUP BY ALL""")
-_oracle("tag_jobs", "SELECT source_id, job_id, coalesce(array_to_string(tags, ','), '') AS tags FROM job_tags WHERE (source_id, job_id) NOT IN (SELECT (source_id, job_id) FROM jobs WHERE contract_type = 'Staff')")
+_oracle("tag_jobs", f"SELECT source_id, job_id, array_to_string({TAGS}, ',') AS tags FROM fresh")
 _oracle("tag_distribution", "SELECT tag, count(*) AS n_postings FROM (SELECT unnest(tags) AS tag FROM job_tags) GROUP BY 1")
 _oracle("tag_match", """SELECT user_id, CAST(greatest(1, ceil(10.0 * m / n)) AS INTEGER) AS score, m || '/' || n || ' tags matched' AS label, count(*) AS n_postings
   FROM (SELECT user_id, len(list_intersect(u.tags, j.tags)) AS m, len(u.tags) AS n FROM user_tags u, job_tags j WHERE len(u.tags) > 0) WHERE m > 0 GROUP BY ALL""")
-_oracle("score_pairs", """SELECT user_id, job_id, score, CASE WHEN error IS NULL THEN CASE WHEN n > 0 THEN m || '/' || n || ' tags matched' ELSE 'fallback' END END AS summary, error FROM
-  (SELECT user_id, job_id, n, m, CAST(CASE WHEN n > 0 THEN greatest(1, ceil(10.0 * m / n)) WHEN length(user_id) + length(job_id) <= 10 THEN length(user_id) + length(job_id) END AS INTEGER) AS score,
+_oracle("score_pairs", """SELECT user_id, source_id, job_id, score, CASE WHEN error IS NULL THEN CASE WHEN n > 0 THEN m || '/' || n || ' tags matched' ELSE 'fallback' END END AS summary, error FROM
+  (SELECT user_id, source_id, job_id, n, m, CAST(CASE WHEN n > 0 THEN greatest(1, ceil(10.0 * m / n)) WHEN length(user_id) + length(job_id) <= 10 THEN length(user_id) + length(job_id) END AS INTEGER) AS score,
     CASE WHEN n = 0 AND length(user_id) + length(job_id) > 10 THEN 'score out of bounds' END AS error FROM
-   (SELECT e.user_id, e.job_id, len(list_intersect(u.tags, coalesce(j.tags, CAST([] AS VARCHAR[])))) AS m, len(u.tags) AS n FROM evals e JOIN user_tags u USING (user_id) JOIN job_tags j USING (job_id)))""")
+   (SELECT e.user_id, e.source_id, e.job_id, len(list_intersect(u.tags, coalesce(j.tags, CAST([] AS VARCHAR[])))) AS m, len(u.tags) AS n FROM evals e JOIN user_tags u USING (user_id) JOIN job_tags j USING (source_id, job_id)))""")
 _oracle("attempt_outcome", """WITH tried AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY error IS NOT NULL, l_linenumber, l_partkey, l_shipdate, score) AS good_rank,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY error IS NULL, l_linenumber DESC, l_partkey DESC, l_shipdate DESC) AS bad_rank,
-    max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last_attempt, bool_or(error IS NULL) OVER (PARTITION BY l_orderkey) AS ok FROM parsed WHERE l_linenumber <= 3)
+    max(l_linenumber) OVER (PARTITION BY l_orderkey) AS last_attempt, bool_or(error IS NULL) OVER (PARTITION BY l_orderkey) AS ok FROM parsed)
   SELECT l_orderkey, score, summary, error, CASE WHEN ok THEN l_linenumber ELSE last_attempt END AS n_attempts FROM tried WHERE CASE WHEN ok THEN good_rank = 1 ELSE bad_rank = 1 END""")
 _oracle("cross_source_dedup", r"""SELECT content_key, k.source_id, k.job_id, n_copies, n_boards FROM
   (SELECT content_key, min({'source_id': source_id, 'job_id': job_id}) AS k, count(*) AS n_copies, count(DISTINCT source_id) AS n_boards
    FROM (SELECT *, md5(trim(regexp_replace(lower(description_raw), '\s+', ' ', 'g'))) AS content_key FROM texts) GROUP BY content_key) WHERE n_boards > 1""")
 _oracle("extract_description", r"""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's'), '<[^>]*>', '', 'g'),
     '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '\s+', ' ', 'g')) AS title,
-  regexp_replace(substr(body, 1, 8000), '\s+', ' ', 'g') AS description FROM
+  regexp_replace(body, '\s+', ' ', 'g') AS description FROM
   (SELECT page_id, html, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(replace(
      regexp_replace(regexp_replace(replace(replace(regexp_extract(html, '<body[^>]*>(.*)', 1, 's'), chr(10), ' '), chr(13), ' '), '<!--.*?-->|<(script|style)[^>]*>.*?</(script|style)>|</?(a|b|i|em|strong|span)( [^>]*)?>', '', 'gs'), '<[^>]*>', chr(10), 'g'),
      '&middot;', '·'), '&copy;', '©'), '&quot;', '"'), '&amp;', '&'), '&amp', '&'), '[ \t\r]+', ' ', 'g'), ' *\n[ \n]*', chr(10), 'g'), chr(10) || ' ') AS body FROM pages)""")
+_oracle("feed_totals", """SELECT a.user_id, count(j.job_id) AS total, CAST(greatest(ceil(count(j.job_id) / 25.0), 1) AS BIGINT) AS n_pages
+  FROM active a LEFT JOIN subs s USING (user_id) LEFT JOIN jobs j ON s.source_id = j.source_id GROUP BY 1""")
+_oracle("shortlisted_worklist", """WITH vec AS (SELECT CAST(vec_id AS VARCHAR) AS id, 'Board' || label AS board, vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+  near AS (SELECT u.id AS user_id, p.board AS source_id, p.id AS job_id FROM
+      (SELECT DISTINCT id, unnest([board, 'Board' || (vec_id % 4)]) AS b, v FROM vec) u JOIN vec p ON p.board = u.b
+    QUALIFY row_number() OVER (PARTITION BY u.id ORDER BY round(list_cosine_similarity(u.v, p.v), 9) DESC, p.board, p.id) <= 20)
+  SELECT user_id, source_id, job_id FROM near WHERE NOT (user_id = job_id AND CAST(job_id AS INTEGER) % 3 = 0 AND CAST(job_id AS INTEGER) % 2 = 0)""")
 _oracle("vector_shortlist", """SELECT user_id, CAST(position AS INTEGER) AS position, source_id, job_id, similarity FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY similarity DESC, source_id, job_id) AS position FROM (
     SELECT u.user_id, p.source_id, p.job_id, round(list_cosine_similarity(u.v, p.v), 9) AS similarity FROM

@@ -7,7 +7,8 @@ folders of its own number.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import time
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -22,7 +23,9 @@ from ..schemas import EVALUATIONS, POSTINGS, RUN_HISTORY
 from ..session import materialize
 from ..sources import ingest, registry
 
-DELIVERIES = StructType([StructField("user_id", StringType()), StructField("job_id", StringType())])
+DELIVERIES = StructType([StructField(name, StringType()) for name in store.EVALUATION_KEY])
+# A shortlist (user_id, source_id, job_id), or a function that makes one of the stored postings.
+Nearest = DataFrame | Callable[[DataFrame], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -30,7 +33,7 @@ class RunTables:
     """Append-only tables below `root`, one folder per run.
 
     Set `rescored` where runs score failed pairs again: a pair then has several evaluations, and the
-    last one is looked up. Otherwise the worklist keeps pairs unique and that shuffle is saved.
+    last one is looked up. Otherwise the worklist keeps (user, board, posting) unique and that shuffle is saved.
     """
 
     spark: SparkSession
@@ -96,19 +99,29 @@ def evaluate_run(
     scorer: scoring.Scorer,
     default_sources: Sequence[str],
     run_at: Column,
-    nearest: DataFrame | None = None,
+    nearest: Nearest | None = None,
+    all_pairs: bool = False,
 ) -> DataFrame:
-    """Score every open (user, posting) pair and append the evaluations.
+    """Score the open pairs of a shortlist and append the evaluations; returns all results with their state.
 
-    With a shortlist in `nearest` only its pairs are scored. Returns all results with their state.
+    `nearest` is a shortlist, or a function that makes one of the stored postings. Every open (user, posting)
+    pair is listed only where `all_pairs` asks for it: their number grows with the product of both.
     """
+    if (nearest is None) != all_pairs:
+        raise ValueError("give a shortlist in `nearest`, or ask for all pairs")
     able = people.scorable(people.active_users(users, default_sources)).filter("reject_reason IS NULL")
     postings, scores, carry = tables.postings(run), tables.scores(run - 1), ["profile_text"]
     if nearest is None:
         pairs = worklist.worklist(able, postings, scores, tables.rescored, block=["run"], user_columns=carry)
     else:
-        pairs = worklist.shortlisted_worklist(nearest, able, postings, scores, tables.rescored, carry)
-    answers = scoring.score_with_attempts(pairs.drop("run"), scorer, ["user_id", "source_id", "job_id"])
+        chosen = nearest(postings) if callable(nearest) else nearest
+        pairs = worklist.shortlisted_worklist(chosen, able, postings, scores, tables.rescored, carry)
+
+    def rebuild(keys: DataFrame) -> DataFrame:
+        whose = keys.join(able.select("user_id", *carry), "user_id")
+        return whose.join(postings.drop("run"), list(store.POSTING_KEY)).select(pairs.drop("run").columns)
+
+    answers = scoring.score_with_attempts(pairs.drop("run"), scorer, list(store.EVALUATION_KEY), rebuild=rebuild)
     results = scoring.apply_quota_stop(answers, ["source_id", "job_id"])
     evaluated = results.filter("state = 'evaluated'").withColumns(
         {"email_sent": F.lit(False), "evaluated_at": run_at.cast("string")}
@@ -144,7 +157,7 @@ def notify_run(
     return digests, tables.of_run("digest_lines", run)
 
 
-def log_run(tables: RunTables, run: int, run_at: Column, duration_s: float, manual: bool = False, status: str = "ok") -> None:
+def log_run(tables: RunTables, run: int, run_at: Column, duration_s: float | None, manual: bool = False, status: str = "ok") -> None:
     """Append the run's figures, counted from what it wrote."""
     figures = run_summary(
         tables.postings(run - 1),
@@ -155,7 +168,7 @@ def log_run(tables: RunTables, run: int, run_at: Column, duration_s: float, manu
         manual,
     )
     row = figures.withColumns(
-        {"run_at": run_at.cast("timestamp"), "duration_s": F.lit(float(duration_s)), "status": F.lit(status)}
+        {"run_at": run_at.cast("timestamp"), "duration_s": F.lit(duration_s).cast("double"), "status": F.lit(status)}
     )
     tables.write(row.select(*RUN_HISTORY.fieldNames()), "run_history", run)
 
@@ -171,12 +184,13 @@ def run_cycle(
     default_sources: Sequence[str],
     product: str,
     run_at: str,
-    duration_s: float = 0.0,
+    nearest: Nearest | None = None,
+    all_pairs: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
-    """One whole cycle; returns this run's digests and digest lines."""
-    at = F.lit(run_at)
+    """One whole cycle; returns this run's digests and digest lines. Its log row holds the measured duration."""
+    at, began = F.lit(run_at), time.monotonic()
     ingest_run(tables, run, configs, loaders, at)
-    evaluate_run(tables, run, users, scorer, default_sources, at)
+    evaluate_run(tables, run, users, scorer, default_sources, at, nearest, all_pairs)
     sent = notify_run(tables, run, users, sources, default_sources, product)
-    log_run(tables, run, at, duration_s)
+    log_run(tables, run, at, time.monotonic() - began)
     return sent

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import time
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..operators import alerts, report, scoring, store, worklist
-from ..schemas import POSTING_TEXT
+from ..schemas import LEGACY_EVALUATIONS, LEGACY_POSTINGS, POSTING_TEXT, RUN_HISTORY
+from ..session import materialize
+from ..sources import tables
 
 
 def evaluate(
@@ -38,6 +43,50 @@ def notify(
     return alerts.alert_messages(due, product), store.mark_sent(evaluations, due, ["job_id"])
 
 
+def run_batch(
+    spark: SparkSession,
+    root: str,
+    records: DataFrame,
+    profile_text: str,
+    scorer: scoring.Scorer,
+    threshold: int,
+    product: str,
+    run_at: str,
+    run: int,
+) -> DataFrame:
+    """The whole batch in order: insert, evaluate, send, log, report. Returns the mails, which the caller sends.
+
+    Postings, evaluations and the run log live below `root`, a snapshot for each run of the first two. A run
+    that is repeated after a failure starts from the snapshots of the run before it.
+    """
+    at, began = F.lit(run_at).cast("timestamp"), time.monotonic()
+
+    def table(name: str, number: int, schema: StructType) -> DataFrame:
+        return tables.read_or_empty(spark, f"{root}/{name}/run={number}", schema)
+
+    def write(df: DataFrame, name: str, schema: StructType) -> DataFrame:
+        df.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{root}/{name}/run={run}")
+        return table(name, run, schema)
+
+    stored, earlier = table("postings", run - 1, LEGACY_POSTINGS), table("evaluations", run - 1, LEGACY_EVALUATIONS)
+    order = [F.desc("scraped_at"), *map(F.col, POSTING_TEXT)]
+    new = materialize(store.insert_if_absent(stored, records.select(*LEGACY_POSTINGS.fieldNames()), ["job_id"], order), "new")
+    postings = write(stored.unionByName(new), "postings", LEGACY_POSTINGS)
+    evaluations, results = evaluate(new, stored, earlier, profile_text, scorer, at)
+    evaluations = materialize(evaluations.select(*LEGACY_EVALUATIONS.fieldNames()), "evaluated")
+    mails, after = notify(evaluations, postings, threshold, product)
+    mails = materialize(mails, "mails")
+    after = write(after, "evaluations", LEGACY_EVALUATIONS)
+    done = results.filter("state = 'evaluated'")
+    row = report.run_summary(stored, new, done, mails, ["job_id"]).withColumns(
+        {"run_at": at, "duration_s": F.lit(time.monotonic() - began), "status": F.lit("ok")}
+    )
+    row.select(*RUN_HISTORY.fieldNames()).write.mode("overwrite").parquet(f"{root}/run_history/run={run}")
+    history = spark.read.schema(RUN_HISTORY).parquet(f"{root}/run_history")
+    report_tables(postings, after, history, F.to_date(at), f"{root}/report")
+    return mails
+
+
 def report_tables(
     postings: DataFrame, evaluations: DataFrame, runs: DataFrame, as_of: Column, root: str
 ) -> None:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import standins as st
 from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
-from .operators import accounts, alerts, duplicates, feed, report, repair, scoring, shortlist, store, tags, worklist
+from .operators import accounts, alerts, duplicates, feed, ranking, report, repair, scoring, shortlist, store, tags, worklist
 from .operators import users as people
 from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
@@ -56,11 +56,11 @@ def _evaluations(spark, folder):
 
 def _stored_evaluations(spark, folder, *columns):
     """For plans that read the evaluations more than once: the table a run would have stored."""
-    return materialize(_evaluations(spark, folder).select("user_id", "job_id", "score", *columns), "evaluations")
+    return materialize(_evaluations(spark, folder).select(*store.EVALUATION_KEY, "score", *columns), "evaluations")
 
 
 def _legacy_evaluations(spark, folder):
-    return store.latest_evaluations(st.evaluation_log(spark, folder), st.newest_first(), ["job_id"]).drop("user_id")
+    return store.latest_evaluations(st.evaluation_log(spark, folder), st.newest_first(), ["job_id"]).drop("user_id", "source_id")
 
 
 def _labels(spark, folder):
@@ -158,11 +158,12 @@ def upsert_jobs(spark, folder):
 
 @query
 def upsert_evaluations(spark, folder):
-    """Unsent evaluations of the log written over the store of sent ones."""
-    log = st.evaluation_log(spark, folder)
-    sent = store.latest_evaluations(log.filter("email_sent"), st.newest_first())
-    snapshot = store.upsert(sent, log.filter("NOT email_sent"), store.EVALUATION_KEY, st.newest_first())
-    return snapshot.select("user_id", "job_id", "score", "summary", "email_sent", _iso("evaluated_at"))
+    """Evaluations of the log that are not known to be sent, written over the store of sent ones."""
+    log = materialize(st.evaluation_log(spark, folder), "evaluation-log")
+    known = F.coalesce("email_sent", F.lit(False))
+    sent = store.latest_evaluations(log.filter(known), st.newest_first())
+    snapshot = store.upsert(sent, log.filter(~known), store.EVALUATION_KEY, st.newest_first())
+    return snapshot.select(*store.EVALUATION_KEY, "score", "summary", "email_sent", _iso("evaluated_at"))
 
 
 @query
@@ -184,12 +185,12 @@ def upsert_users(spark, folder):
 
 @query
 def mark_sent(spark, folder):
-    evaluations = _evaluations(spark, folder)
+    evaluations = materialize(_evaluations(spark, folder), "evaluations")
     active = _active(spark, folder)
     due = alerts.due_matches(evaluations, active, st.postings(spark, folder))
     sent = alerts.delivered_keys(due, active)
     marked = store.mark_sent(evaluations, sent)
-    return marked.select("user_id", "job_id", "score", "email_sent")
+    return marked.select(*store.EVALUATION_KEY, "score", "email_sent")
 
 
 @query
@@ -220,7 +221,7 @@ def normalize_jobs(spark, folder):
 def composite_keys(spark, folder):
     jobs = ingest.with_composite_key(st.postings(spark, folder)).select("id", F.lit("posting").alias("kind"))
     pairs = _evaluations(spark, folder).select(
-        composite_key("user_id", "job_id").alias("id"), F.lit("evaluation").alias("kind")
+        composite_key(*store.EVALUATION_KEY).alias("id"), F.lit("evaluation").alias("kind")
     )
     return jobs.unionByName(pairs)
 
@@ -245,10 +246,9 @@ def merge_extras(spark, folder):
 
 @query
 def build_prompts(spark, folder):
-    """A prompt per document posting, for the user of the same number."""
-    pairs = st.document_postings(spark, folder).withColumn("user_id", F.col("job_id"))
-    profiles = people.scorable(st.users(spark, folder)).filter("reject_reason IS NULL").select("user_id", "profile_text")
-    return scoring.build_prompts(pairs.join(profiles, "user_id")).select("job_id", "user_id", "prompt")
+    """A prompt per document posting, for the one profile of the single-user batch."""
+    pairs = st.document_postings(spark, folder).withColumn("profile_text", F.lit(st.PROFILE))
+    return scoring.build_prompts(pairs).select("job_id", "source_id", "prompt")
 
 
 @query
@@ -260,11 +260,7 @@ def profile_view(spark, folder):
 def profile_patch(spark, folder):
     """Valid changes applied; the newest per user wins."""
     checked = accounts.validate_updates(st.profile_changes(spark, folder), st.registry(spark, folder), "request_id")
-    valid = (
-        checked.filter(F.size("reasons") == 0)
-        .join(st.profile_changes(spark, folder).select("request_id"), "request_id")
-    )
-    patched = accounts.patch_profiles(st.users(spark, folder), valid, [F.desc("request_id")], _run_at())
+    patched = accounts.patch_profiles(st.users(spark, folder), checked.filter(F.size("reasons") == 0), [F.desc("request_id")], _run_at())
     return patched.select(
         "user_id", "name", "profile_text", "score_threshold", _joined("enabled_sources"), "notification_email", "updated_at"
     )
@@ -327,7 +323,7 @@ def empty_jobs(spark, folder):
 def feed_source_filter(spark, folder):
     """Sources read when each user asks for one particular board."""
     wanted = F.concat(F.lit("Brand#"), (F.col("user_id").cast("int") % 26).cast("string"))
-    users = _active(spark, folder).withColumn("enabled_sources", F.col("enabled_sources"))
+    users = _active(spark, folder)
     asked = F.when(F.col("user_id").cast("int") % 2 == 0, F.get("enabled_sources", F.lit(1))).otherwise(wanted)
     return feed.source_choice(users, asked)
 
@@ -388,9 +384,9 @@ def worklist_summary(spark, folder):
 
 @query
 def user_feed(spark, folder):
-    """First page of every user, as large as pages get."""
+    """First hundred rows of every user."""
     return feed.feed(
-        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder, "summary"), limit=feed.MAX_LIMIT
+        _active(spark, folder), st.postings(spark, folder), _stored_evaluations(spark, folder, "summary"), limit=100
     ).drop("total", "n_pages")
 
 
@@ -402,6 +398,12 @@ def feed_page(spark, folder):
     ).select("user_id", "position", "job_id", "source_id", "score", "total", "n_pages")
 
 
+@query
+def feed_totals(spark, folder):
+    """Rows and pages of every user's feed, also of empty ones."""
+    return feed.feed_totals(_active(spark, folder), st.postings(spark, folder), _evaluations(spark, folder), limit=25)
+
+
 def _due(spark, folder):
     return alerts.due_matches(_evaluations(spark, folder), _active(spark, folder), st.postings(spark, folder))
 
@@ -425,8 +427,8 @@ def identity_resolve(spark, folder):
 
 
 def _matched(spark, folder):
-    """Untitled postings against a listing of staff postings, where some titles are those of expired
-    ones, and their detail pages."""
+    """Untitled postings against a listing, where some titles are those of expired ones, and their detail
+    pages."""
     untitled = repair.untitled_postings(st.postings(spark, folder), F.col("source_id"))
     line = F.col("line")
     title = (
@@ -434,10 +436,10 @@ def _matched(spark, folder):
         .when(line == 3, F.concat(F.lit("TRK"), "job_id"))
         .otherwise(F.concat(F.lit("  "), "title", F.lit(" ")))
     )
-    listing = st.sightings(spark, folder).filter("contract_type = 'Staff'").withColumn("title", title)
+    listing = st.sightings(spark, folder).withColumn("title", title)
     matched = repair.match_listing(untitled, listing, st.crawl_order(newest=True))
-    details = html.page_details(st.part_detail_pages(spark, folder), title_suffix=" - Job Board")
-    return repair.with_details(matched, details)
+    pages = repair.pages_of(untitled, st.part_detail_pages(spark, folder))
+    return repair.with_details(matched, html.page_details(pages, title_suffix=" - Job Board"))
 
 
 def _patched(spark, folder):
@@ -512,13 +514,13 @@ def quota_cutoff(spark, folder):
         .withColumn("error", F.when(F.col("l_partkey") % 11 == 0, F.col("message")))
         .select("user_id", "l_orderkey", "l_linenumber", "l_partkey", "error")
     )
-    return scoring.apply_quota_stop(calls, ["l_orderkey", "l_linenumber", "l_partkey", "error"])
+    return scoring.apply_quota_stop(materialize(calls, "calls"), ["l_orderkey", "l_linenumber", "l_partkey", "error"])
 
 
 @query
 def latest_evaluations(spark, folder):
     return _evaluations(spark, folder).select(
-        "user_id", "job_id", "score", "summary", "email_sent", _iso("evaluated_at")
+        *store.EVALUATION_KEY, "score", "summary", "email_sent", _iso("evaluated_at")
     )
 
 
@@ -588,25 +590,30 @@ def unknown_sources(spark, folder):
 
 @query
 def ingest_all_sources(spark, folder):
-    """Three boards with their own loaders, one placeholder, one broken, one disabled."""
+    """Three boards with their own loaders, one placeholder, two that fail, one disabled."""
     configs = {
         "parts": {"enabled": True},
         "texts": {"enabled": True},
         "crawl": {"enabled": True},
         "planned": {"enabled": True},
         "broken": {"enabled": True},
+        "offline": {"enabled": True},
         "off": {"enabled": False},
     }
 
     def planned(spark_, config):
         raise NotImplementedError
 
+    def offline(spark_, config):
+        raise ConnectionError("no answer")
+
     loaders = {
         "parts": lambda s, config: st.legacy_postings(s, folder).withColumn("scraped_at", iso_timestamp("scraped_at")),
         "texts": lambda s, config: st.document_postings(s, folder).drop("description_raw"),
         "crawl": lambda s, config: store.known_ids(st.sightings(s, folder)).select("job_id"),
         "planned": planned,
         "broken": lambda s, config: s.read.parquet(f"{folder}/no_such_table.parquet"),
+        "offline": offline,
         "off": lambda s, config: st.document_postings(s, folder),
     }
     records, status = ingest.ingest_sources(spark, configs, loaders, _run_at())
@@ -649,8 +656,7 @@ def classify_errors(spark, folder):
 def score_bands(spark, folder):
     score = F.col("score")
     return _evaluations(spark, folder).select(
-        "user_id",
-        "job_id",
+        *store.EVALUATION_KEY,
         "score",
         bands.report_band(score).alias("report_band"),
         bands.mail_color(score).alias("mail_color"),
@@ -698,21 +704,12 @@ def failure_alerts(spark, folder):
 
 @query
 def failure_alerts_stream(spark, folder):
-    """The same windows from a stream, as far as its watermark has closed them."""
+    """The same windows from a stream, open ones included."""
     schema = st.table(spark, folder, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
     target = scratch_path(spark, "failure-windows")
-    query_ = (
-        windows.failure_windows(events, late="2 hours")
-        .writeStream.format("parquet")
-        .option("path", target)
-        .option("checkpointLocation", scratch_path(spark, "failure-progress"))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query_.awaitTermination()
-    return _iso_windows(spark.read.parquet(target), "window_start", "window_end")
+    windows.failure_stream(events, target, scratch_path(spark, "failure-progress")).awaitTermination()
+    return _iso_windows(windows.failure_state(spark.read.parquet(target)), "window_start", "window_end")
 
 
 @query
@@ -743,40 +740,39 @@ def stream_ingest(spark, folder):
 
 
 def _tagged(spark, folder):
-    words = st.tag_keywords(spark, folder)
-    none = st.postings(spark, folder).filter("false")
-    return words, tags.tag_new_postings(st.postings(spark, folder), none, words)
+    jobs = st.postings(spark, folder)
+    return tags.tag_new_postings(jobs, jobs.filter("false"), st.taxonomy(spark, folder))
 
 
 @query
 def tag_jobs(spark, folder):
-    """Tags of the postings that have none yet; staff postings are tagged already."""
-    words = st.tag_keywords(spark, folder)
-    jobs = st.postings(spark, folder)
-    found = tags.tag_new_postings(jobs, jobs.filter("contract_type = 'Staff'"), words)
+    """Tags of all postings that have none yet: those stored were tagged before, the sighted ones are new."""
+    sighted = ranking.first_per_group(st.sightings(spark, folder), store.POSTING_KEY, st.crawl_order(newest=True))
+    known = st.postings(spark, folder)
+    found = tags.tag_new_postings(
+        sighted.select(*POSTING).unionByName(known.select(*POSTING)), _tagged(spark, folder), st.taxonomy(spark, folder)
+    )
     return found.withColumn("tags", _joined("tags"))
 
 
 @query
 def tag_distribution(spark, folder):
-    return tags.tag_distribution(_tagged(spark, folder)[1])
+    return tags.tag_distribution(_tagged(spark, folder))
 
 
 @query
 def tag_match(spark, folder):
-    words, tagged = _tagged(spark, folder)
-    return tags.match_counts(st.tagged_users(spark, folder, sorted(words)), tagged)
+    return tags.match_counts(st.tagged_users(spark, folder), _tagged(spark, folder))
 
 
 @query
 def score_pairs(spark, folder):
     """All evaluated pairs scored again: by tags, or by the fallback for users without tags."""
-    words, tagged = _tagged(spark, folder)
     pairs = (
         _evaluations(spark, folder)
-        .select("user_id", "job_id")
-        .join(tagged.select("job_id", F.col("tags").alias("job_tags")), "job_id")
-        .join(st.tagged_users(spark, folder, sorted(words)).select("user_id", F.col("tags").alias("user_tags")), "user_id")
+        .select(*store.EVALUATION_KEY)
+        .join(_tagged(spark, folder).withColumnRenamed("tags", "job_tags"), list(store.POSTING_KEY))
+        .join(st.tagged_users(spark, folder).select("user_id", F.col("tags").alias("user_tags")), "user_id")
     )
 
     def fallback(rows: DataFrame) -> DataFrame:
@@ -784,7 +780,7 @@ def score_pairs(spark, folder):
         return rows.withColumn("response", F.concat(F.lit('```json\n{"score": '), digit, F.lit(', "summary": "fallback"}\n```')))
 
     scored = scoring.score_pairs(pairs, lambda rows: tags.with_fallback(rows, fallback))
-    return scored.select("user_id", "job_id", "score", "summary", "error")
+    return scored.select(*store.EVALUATION_KEY, "score", "summary", "error")
 
 
 @query
@@ -800,6 +796,20 @@ def vector_shortlist(spark, folder):
     return nearest.select("user_id", "position", "source_id", "job_id", "similarity")
 
 
+@query
+def shortlisted_worklist(spark, folder):
+    """Open pairs of a shortlist: each user's nearest postings less those evaluated already."""
+    users = st.user_vectors(spark, folder)
+    jobs = st.posting_vectors(spark, folder)
+    nearest = shortlist.shortlist(users, jobs, k=20)
+    number = F.col("job_id").cast("int")
+    done = jobs.filter(number % 3 == 0).select(
+        F.col("job_id").alias("user_id"), "source_id", "job_id", F.when(number % 2 == 0, 5).otherwise(0).alias("score")
+    )
+    pairs = worklist.shortlisted_worklist(nearest, users, jobs.drop("vector"), done, retry_failed=True)
+    return pairs.select(*store.EVALUATION_KEY)
+
+
 @query
 def cross_source_dedup(spark, folder):
     return duplicates.cross_source_groups(st.document_postings(spark, folder), F.col("description_raw"))

@@ -19,7 +19,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even where the split costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Top-k and first-row windows cut every group before the shuffle (operators.ranking.GROUP_LIMIT).
+    # Top-k and first-row windows cut every group before the shuffle.
     "spark.sql.optimizer.windowGroupLimitThreshold": "1000",
     # Rows that go to Python carry whole pages and texts: their batches are bounded by bytes.
     "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
@@ -90,6 +90,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/jobweave/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def clean_up(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application. Call it when no DataFrame reads them any more."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    path = hadoop.Path(f"{shared_folder(spark)}/jobweave/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write `df` to the shared folder and read it back, so that lost executors cost no recomputation
     and later plans see exactly one version of any partition-dependent value."""

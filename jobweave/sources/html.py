@@ -16,13 +16,12 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from ..functions.text import first_filled, or_default
 
-# Selectors tried in this order, and the length of the body-text fallback.
+# Selectors tried in this order.
 DESCRIPTION_SELECTORS = (".jobDescription", ".job-description", "#jobDescription", "div.description", "td.detailsRight")
 TITLE_SELECTORS = ("h1.jobTitle", "h1", ".jobTitle", "td.detailsHeader")
 LOCATION_SELECTORS = (".jobLocation", "td.location")
 CONTRACT_SELECTORS = (".jobType", "td.contractType")
 DEADLINE_SELECTORS = (".endDate", "td.deadline")
-BODY_CHARS = 8000
 # Cell positions in a listing row, counted from 0, and the class of its link.
 CELL_POSITIONS = {"title": 1, "location": 2, "contract_type": 4, "deadline": 7}
 LINK_CLASS = "archiveLink"
@@ -165,11 +164,11 @@ def _chain(selected: Column, at: dict[str, int], selectors: tuple[str, ...], *mo
     return first_filled(*[selected[f"s{at[s]}"] for s in selectors], *more)
 
 
-def page_details(pages: DataFrame, title_suffix: str = "", html: str = "html") -> DataFrame:
+def page_details(pages: DataFrame, title_suffix: str = "", html: str = "html", body_chars: int | None = None) -> DataFrame:
     """Add title, location, contract type, deadline and description found on a detail page.
 
     Each takes the first non-empty of its selectors. The title falls back to the page title without
-    `title_suffix`, the description to the start of the body text.
+    `title_suffix`, the description to the body text, whole or its first `body_chars` characters.
     """
     selectors = tuple(
         dict.fromkeys(
@@ -182,7 +181,9 @@ def page_details(pages: DataFrame, title_suffix: str = "", html: str = "html") -
     page_title = found[f"s{at['title']}"]
     if title_suffix:
         page_title = F.replace(page_title, F.lit(title_suffix), F.lit(""))
-    body = F.substring(found[f"s{at['body']}"], 1, BODY_CHARS)
+    body = found[f"s{at['body']}"]
+    if body_chars is not None:
+        body = F.substring(body, 1, body_chars)
     return (
         pages.withColumn("_found", selected_text(F.col(html), selectors))
         .withColumns(

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import composite_key
 from ..schemas import POSTING_TEXT, POSTINGS
+from ..session import materialize
 
 Loader = Callable[[SparkSession, Mapping[str, object]], DataFrame]
 
@@ -56,8 +56,9 @@ def ingest_sources(
 ) -> tuple[DataFrame, DataFrame]:
     """Union of the normalised records of all enabled boards, and one status row per board.
 
-    A board without loader, or whose loader is a placeholder (NotImplementedError), is skipped; one
-    whose input cannot be opened is reported and the others go on.
+    A board without loader, or whose loader is a placeholder (NotImplementedError), is skipped. Each board
+    is read and written apart: whatever fails in one, also while its rows are read, is reported in its
+    status row, and the others go on.
     """
     frames, status = [], []
     for source_id, config in configs.items():
@@ -68,13 +69,13 @@ def ingest_sources(
             if source_id not in loaders:
                 raise NotImplementedError
             raw = loaders[source_id](spark, config)
+            frames.append(materialize(normalize(raw, F.lit(source_id), run_at), "board"))
         except NotImplementedError:
             status.append((source_id, "placeholder", None))
             continue
-        except (AnalysisException, ValueError) as error:
-            status.append((source_id, "failed", str(error).splitlines()[0]))
+        except Exception as error:  # noqa: BLE001 - a board may fail in any way
+            status.append((source_id, "failed", (str(error).splitlines() or [type(error).__name__])[0]))
             continue
-        frames.append(normalize(raw, F.lit(source_id), run_at))
         status.append((source_id, "loaded", None))
     empty = spark.createDataFrame([], POSTINGS)
     records = reduce(DataFrame.unionByName, frames, empty)

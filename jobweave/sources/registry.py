@@ -9,7 +9,6 @@ from ..functions.text import short_display_name, source_label
 from ..schemas import SOURCES
 
 DEFAULT_COLOR = "#555555"  # fixed value
-MAX_BOARDS = 10_000
 
 
 def read_registry(spark: SparkSession, path: str) -> DataFrame:
@@ -22,8 +21,8 @@ def read_registry_yaml(spark: SparkSession, path: str) -> DataFrame:
         import yaml
     except ImportError as error:
         raise RuntimeError("reading YAML needs the yaml package; convert the file to JSON instead") from error
-    with open(path, encoding="utf-8") as file:
-        boards = (yaml.safe_load(file) or {}).get("sources") or {}
+    text = spark.read.text(path, wholetext=True).first()
+    boards = (yaml.safe_load(text[0] if text else "") or {}).get("sources") or {}
     names = [field.name for field in SOURCES if field.name != "source_id"]
     rows = [(source_id, *[settings.get(name) for name in names]) for source_id, settings in boards.items()]
     return with_defaults(spark.createDataFrame(rows, SOURCES))
@@ -41,12 +40,8 @@ def with_defaults(sources: DataFrame) -> DataFrame:
 
 
 def board_configs(sources: DataFrame) -> dict[str, dict]:
-    """Settings per board id, for `ingest.ingest_sources`. The registry is collected, so its size is
-    checked."""
-    rows = with_defaults(sources).limit(MAX_BOARDS + 1).collect()
-    if len(rows) > MAX_BOARDS:
-        raise ValueError(f"a registry has at most {MAX_BOARDS} boards")
-    return {row.source_id: row.asDict() for row in rows}
+    """Settings per board id, for `ingest.ingest_sources`, which runs a loader for each board."""
+    return {row.source_id: row.asDict() for row in with_defaults(sources).toLocalIterator()}
 
 
 def open_sources(sources: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ BASE_URL = "https://jobs.example.org"
 PRODUCT = "Match Mail"
 RUN_AT = "2025-02-01T08:00:00"
 AS_OF = "2025-01-20"
+PROFILE = "Somebody who reads and writes long texts"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -60,18 +61,34 @@ def posting_fields(key: Column, size: Column) -> dict[str, Column]:
     }
 
 
-def postings(spark: SparkSession, folder: str) -> DataFrame:
+def _second_board() -> Column:
+    """The other board that has a posting with the same id, for some parts."""
+    return F.concat(F.lit("Brand#"), (F.substring_index("p_brand", "#", -1).cast("int") % 25 + 1).cast("string"))
+
+
+def _on_two_boards(key: Column) -> Column:
+    return key % 50 == 3
+
+
+def _as_postings(parts: DataFrame) -> DataFrame:
     key = F.col("p_partkey")
     seen_at = F.timestamp_seconds(F.lit(1704067200) + key * 60)
     fields = {**posting_fields(key, F.col("p_size")), "scraped_at": F.date_format(seen_at, "yyyy-MM-dd'T'HH:mm:ss")}
-    return table(spark, folder, "part").select(*[c.alias(n) for n, c in fields.items()])
+    return parts.select(*[c.alias(n) for n, c in fields.items()])
+
+
+def postings(spark: SparkSession, folder: str) -> DataFrame:
+    """Parts as postings; some ids are those of postings on two boards."""
+    parts = table(spark, folder, "part")
+    again = parts.filter(_on_two_boards(F.col("p_partkey"))).withColumn("p_brand", _second_board())
+    return _as_postings(parts).unionByName(_as_postings(again))
 
 
 def legacy_postings(spark: SparkSession, folder: str) -> DataFrame:
     """Single-user store: no board, and a time stamp instead of text (null for some)."""
     stamp = F.to_timestamp("scraped_at")
     missing = F.col("job_id").cast("long") % 21 == 5
-    return postings(spark, folder).withColumn("scraped_at", F.when(~missing, stamp)).drop("source_id")
+    return _as_postings(table(spark, folder, "part")).withColumn("scraped_at", F.when(~missing, stamp)).drop("source_id")
 
 
 def users(spark: SparkSession, folder: str) -> DataFrame:
@@ -103,7 +120,7 @@ def users(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def evaluation_log(spark: SparkSession, folder: str) -> DataFrame:
-    """All evaluations ever written; (user_id, job_id) repeats."""
+    """All evaluations ever written; (user_id, source_id, job_id) repeats."""
     lines = table(spark, folder, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_returnflag", "l_shipdate"
     )
@@ -115,8 +132,11 @@ def evaluation_log(spark: SparkSession, folder: str) -> DataFrame:
         .otherwise((quantity.cast("int") - 1) % 10 + 1)
     )
     sent = F.when((number == 4) & (quantity > 48), F.lit(None)).otherwise(F.col("l_returnflag") == "R")
-    return lines.join(orders, "l_orderkey").select(
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    second = _on_two_boards(F.col("l_partkey")) & (number % 2 == 1)
+    return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(
         F.col("o_custkey").cast("string").alias("user_id"),
+        F.when(second, _second_board()).otherwise(F.col("p_brand")).alias("source_id"),
         F.col("l_partkey").cast("string").alias("job_id"),
         score.cast("int").alias("score"),
         F.concat(F.lit("Line "), F.col("l_orderkey").cast("string"), F.lit("/"), number.cast("string")).alias("summary"),
@@ -258,7 +278,7 @@ def responses(spark: SparkSession, folder: str) -> DataFrame:
         11: F.concat(F.lit('{"summary": "'), text, F.lit('"}')),
     }
     messages = {
-        0: F.lit("429: PerDay quota exhausted"),
+        0: F.lit("429 PerDay limit used up"),
         1: F.lit("429 Too Many Requests"),
         2: F.lit("Quota exceeded"),
         3: F.lit("could not generate text"),
@@ -438,33 +458,17 @@ def user_vectors(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def tag_keywords(spark: SparkSession, folder: str) -> dict[str, str]:
-    """A taxonomy of the words in part names. It is configuration, so its size is checked."""
-    words = (
-        table(spark, folder, "part")
-        .select(F.explode(F.split("p_name", " ")).alias("word"))
-        .distinct()
-        .orderBy("word")
-        .limit(MAX_TAGS + 1)
-        .collect()
-    )
-    if len(words) > MAX_TAGS:
-        raise ValueError(f"a taxonomy has at most {MAX_TAGS} tags")
-    return {row.word: row.word for row in words}
-
-
-MAX_TAGS = 200
+def taxonomy(spark: SparkSession, folder: str) -> DataFrame:
+    """tag and keyword: the words of part names."""
+    words = table(spark, folder, "part").select(F.explode(F.split("p_name", " ")).alias("tag")).distinct()
+    return words.select("tag", F.col("tag").alias("keyword"))
 
 
-def tagged_users(spark: SparkSession, folder: str, tags: list[str]) -> DataFrame:
-    """Users with up to three tags of the taxonomy, some with none."""
+def tagged_users(spark: SparkSession, folder: str) -> DataFrame:
+    """Users with the words of the part of their number as tags, some with none."""
     key = F.col("c_custkey")
-    names = F.array(*[F.lit(t) for t in tags])
-
-    def pick(number: Column) -> Column:
-        return F.get(names, (number % len(tags)).cast("int"))
-
-    chosen = F.when(key % 9 == 4, F.array().cast("array<string>")).otherwise(
-        F.array(pick(key), pick(key * 3 + 1), pick(key * 5 + 2))
-    )
-    return table(spark, folder, "customer").select(key.cast("string").alias("user_id"), chosen.alias("tags"))
+    parts = table(spark, folder, "part").select(F.col("p_partkey").alias("c_custkey"), "p_name")
+    none = F.array().cast("array<string>")
+    own = F.when(key % 9 == 4, none).otherwise(F.coalesce(F.array_distinct(F.split("p_name", " ")), none))
+    users_ = table(spark, folder, "customer").select("c_custkey").join(parts, "c_custkey", "left")
+    return users_.select(key.cast("string").alias("user_id"), own.alias("tags"))

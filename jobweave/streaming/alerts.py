@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 LOOK_BACK, EVERY = "2 hours", "1 hour"  # fixed values of the failure alert
 # Weeks start on Monday 08:00 UTC; windows count from 1970-01-01, a Thursday.
@@ -27,6 +28,31 @@ def failure_windows(events: DataFrame, late: str | None = None) -> DataFrame:
     )
 
 
+def failure_stream(events: DataFrame, target: str, checkpoint: str, late: str = "2 hours") -> StreamingQuery:
+    """Write the failure windows of a stream to `target` as they change, and stop at the end of the input.
+
+    Each micro-batch writes the windows it has changed, closed or not, into a folder of its own, so that a
+    repeated batch replaces its files. `failure_state` reads what holds.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={batch_id}")
+
+    return (
+        failure_windows(events, late)
+        .writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def failure_state(stored: DataFrame) -> DataFrame:
+    """The last state of every window that `failure_stream` has written."""
+    return stored.groupBy("window_start", "window_end").agg(F.max_by("n_failures", "batch").alias("n_failures"))
+
+
 def weekly_activity(events: DataFrame, late: str | None = None) -> DataFrame:
     """Events per weekly cycle and type."""
     return (

@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.ranking import first_per_group
-from ..operators.sizes import broadcast_if_small
 from ..operators.store import POSTING_KEY
 
 
@@ -27,13 +26,9 @@ def _stored_before(spark: SparkSession, store: str, schema: StructType, batch_id
 
 
 def _known_of(batch: DataFrame, known: DataFrame) -> DataFrame:
-    """Stored keys that occur in the batch.
-
-    The keys of an ordinary micro-batch are few; counted and found so, they are broadcast and the store
-    is scanned without being shuffled. A larger batch, such as the first one, is joined by shuffling.
-    """
-    wanted = broadcast_if_small(batch.select(*POSTING_KEY).distinct())
-    return known.join(wanted, list(POSTING_KEY), "left_semi")
+    """Stored keys that occur in the batch. The keys of an ordinary micro-batch are few, and AQE broadcasts
+    them when it has measured them."""
+    return known.join(batch.select(*POSTING_KEY).distinct(), list(POSTING_KEY), "left_semi")
 
 
 def ingest_stream(records: DataFrame, store: str, checkpoint: str, order: Sequence[Column]) -> StreamingQuery:

@@ -3,14 +3,14 @@
 from jobweave import schemas
 
 USERS = [
-    ("user-a", "alice@example.com", "Alice", "Senior data engineer with long experience.", 7, ["board"], "alice@example.com", True, None, "2024-01-01", None),
-    ("user-b", "bob@example.com", "Bob", "Junior analyst who likes numbers.", 6, ["board"], "bob@example.com", True, None, "2024-01-01", None),
-    ("user-c", "carol@example.com", "Carol", "Not verified yet, so never matched.", 1, ["board"], None, False, "token-carol", "2024-01-01", None),
+    ("ines", "ines@mail.example", "Ines", "Keeps bees and repairs old clocks.", 7, ["board"], "ines@mail.example", True, None, "2024-01-01", None),
+    ("tomo", "tomo@mail.example", "Tomo", "Draws maps of rivers and harbours.", 6, ["board"], "tomo@mail.example", True, None, "2024-01-01", None),
+    ("vera", "vera@mail.example", "Vera", "Not verified yet, so never matched.", 1, ["board"], None, False, "token-vera", "2024-01-01", None),
 ]
 
 POSTINGS = [
-    ("VAC-001", "board", "Senior Data Engineer", "Abidjan, Côte d'Ivoire", "Regular Staff", "2024-12-31", "We need a senior engineer.", "https://x.example/VAC-001", "2024-10-15T08:00:00Z"),
-    ("VAC-002", "board", "Finance Officer", "Tunis, Tunisia", "Short Term", "2024-11-30", "Finance and numbers.", "https://x.example/VAC-002", "2024-10-15T08:00:00Z"),
+    ("P-17", "board", "Clock Repairer", "Lütkenhafen", "Permanent", "2025-01-01", "Old clocks want a patient hand.", "https://x.example/P-17", "2024-10-07T09:30:00Z"),
+    ("P-40", "board", "River Pilot", "Porto Ninho", "Seasonal", "2024-12-20", "Boats, tides and maps.", "https://x.example/P-40", "2024-10-07T09:30:00Z"),
 ]
 
 

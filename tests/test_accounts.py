@@ -17,7 +17,7 @@ def test_registration_outcomes(spark):
         [
             (1, "n1", "new@example.com", "New", TEXT, None, None, "t1"),
             (2, "n2", "new@example.com", "Again", TEXT, 8, ["second"], "t2"),
-            (3, "n3", "alice@example.com", "Alice", TEXT, 7, ["board"], "t3"),
+            (3, "n3", "ines@mail.example", "Ines", TEXT, 7, ["board"], "t3"),
             (4, "n4", "bad address@example.com", "Bad", "Too short", 0, None, "t4"),
             (5, "n5", None, None, None, 11, None, "t5"),
         ],
@@ -47,12 +47,12 @@ def changes(spark, rows):
 
 
 def test_name_only_patch_leaves_the_rest(spark):
-    batch = changes(spark, [("user-a", "Alicia", None, None, None, 1), ("user-a", "Al", None, None, None, 0)])
+    batch = changes(spark, [("ines", "Alicia", None, None, None, 1), ("ines", "Al", None, None, None, 0)])
     patched = accounts.patch_profiles(users(spark), batch, [F.desc("seq")], F.lit("now"))
     before = {r.user_id: r for r in users(spark).collect()}
     for row in patched.collect():
         old = before[row.user_id].asDict()
-        new = {"name": "Alicia", "updated_at": "now"} if row.user_id == "user-a" else {}
+        new = {"name": "Alicia", "updated_at": "now"} if row.user_id == "ines" else {}
         assert row.asDict() == {**old, **new}
 
 
@@ -63,17 +63,17 @@ def test_unknown_sources_are_refused(spark):
 
 
 def test_tokens_verify_once(spark):
-    tokens = spark.createDataFrame([("token-carol",), ("token-carol",), ("other",), (None,)], "verification_token string")
+    tokens = spark.createDataFrame([("token-vera",), ("token-vera",), ("other",), (None,)], "verification_token string")
     after = {r.user_id: (r.verified, r.verification_token) for r in accounts.verify_accounts(users(spark), tokens).collect()}
-    assert after == {"user-a": (True, None), "user-b": (True, None), "user-c": (True, None)}
+    assert after == {"ines": (True, None), "tomo": (True, None), "vera": (True, None)}
 
 
 def test_identity_by_id_then_by_address(spark):
     claims = spark.createDataFrame(
-        [(1, "user-a", "bob@example.com"), (2, "sub", "bob@example.com"), (3, "sub", "x@example.com"), (4, None, None), (5, None, "")],
+        [(1, "ines", "tomo@mail.example"), (2, "sub", "tomo@mail.example"), (3, "sub", "x@example.com"), (4, None, None), (5, None, "")],
         "request_id int, claim_id string, email string",
     )
     found = accounts.resolve_identities(claims, users(spark), [F.col("user_id")])
     assert keys(found, "request_id", "user_id", "resolved_by") == {
-        (1, "user-a", "id"), (2, "user-b", "email"), (3, None, None), (4, None, None), (5, None, None),
+        (1, "ines", "id"), (2, "tomo", "email"), (3, None, None), (4, None, None), (5, None, None),
     }

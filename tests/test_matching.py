@@ -17,25 +17,25 @@ def active(spark):
 
 def test_worklist_holds_open_pairs_only(spark, active):
     jobs = postings(spark)
-    done = evaluations(spark, [("user-a", "VAC-001", 8, False)])
+    done = evaluations(spark, [("ines", "P-17", 8, False)])
     open_pairs = worklist.worklist(active, jobs, done)
-    assert keys(open_pairs, "user_id", "job_id") == {("user-a", "VAC-002"), ("user-b", "VAC-001"), ("user-b", "VAC-002")}
-    everything = evaluations(spark, [(u, j, 8, False) for u in ("user-a", "user-b") for j in ("VAC-001", "VAC-002")])
+    assert keys(open_pairs, "user_id", "job_id") == {("ines", "P-40"), ("tomo", "P-17"), ("tomo", "P-40")}
+    everything = evaluations(spark, [(u, j, 8, False) for u in ("ines", "tomo") for j in ("P-17", "P-40")])
     assert worklist.worklist(active, jobs, everything).isEmpty()
 
 
 def test_failed_scores_are_retried_only_on_request(spark, active):
     jobs = postings(spark)
-    failed = evaluations(spark, [("user-a", "VAC-001", 0, False), ("user-a", "VAC-002", None, False)])
-    of_a = lambda df: keys(df.filter("user_id = 'user-a'"), "job_id")
+    failed = evaluations(spark, [("ines", "P-17", 0, False), ("ines", "P-40", None, False)])
+    of_a = lambda df: keys(df.filter("user_id = 'ines'"), "job_id")
     assert of_a(worklist.worklist(active, jobs, failed)) == set()
-    assert of_a(worklist.worklist(active, jobs, failed, retry_failed=True)) == {("VAC-001",)}
+    assert of_a(worklist.worklist(active, jobs, failed, retry_failed=True)) == {("P-17",)}
 
 
 @pytest.mark.parametrize("retry", [False, True])
 def test_counts_agree_with_the_listed_pairs(spark, active, retry):
     jobs = postings(spark)
-    done = evaluations(spark, [("user-a", "VAC-001", 0, False), ("user-b", "VAC-002", 3, True), ("user-b", "GONE", 3, True)])
+    done = evaluations(spark, [("ines", "P-17", 0, False), ("tomo", "P-40", 3, True), ("tomo", "GONE", 3, True)])
     listed = {r.user_id: r["count"] for r in worklist.worklist(active, jobs, done, retry).groupBy("user_id").count().collect()}
     counted = {r.user_id: r.n_todo for r in worklist.worklist_counts(active, jobs, done, retry).collect()}
     by_source = {r.user_id: r.n_todo for r in worklist.worklist_by_source(active, jobs, done, retry).groupBy("user_id").agg(F.sum("n_todo").alias("n_todo")).collect()}
@@ -51,7 +51,7 @@ def test_blocks_change_the_work_not_the_pairs(spark, monkeypatch, tile_rows):
     people_rows = [(f"u{i}", None, None, f"p{i}", 7, ["b0", f"b{i % 3}"], None, True, None, None, None) for i in range(4)]
     done = [("u0", f"J{i}", 5, False) for i in range(0, 24, 3)] + [("u1", "J0", 5, False), ("u1", "J1", 0, False), ("u2", "J2", 3, False)]
     all_jobs = postings(spark, jobs).withColumn("run", F.col("job_id").substr(2, 2).cast("int") % 4)
-    evals = evaluations(spark, done)
+    evals = evaluations(spark, done).withColumn("source_id", F.concat(F.lit("b"), F.substring("job_id", 2, 2).cast("int") % 3))
     known = {(u, j) for u, j, _, _ in done}
     expected = {(p[0], p[3], j[1], j[0], "t") for p in people_rows for j in jobs if j[1] in p[5] and (p[0], j[0]) not in known}
     for block in ([], ["run"]):
@@ -61,36 +61,36 @@ def test_blocks_change_the_work_not_the_pairs(spark, monkeypatch, tile_rows):
 
 
 def test_one_digest_for_the_user_whose_threshold_is_met(spark, active):
-    done = evaluations(spark, [("user-a", "VAC-001", 8, False), ("user-b", "VAC-001", 5, False)])
+    done = evaluations(spark, [("ines", "P-17", 8, False), ("tomo", "P-17", 5, False)])
     labels = source_labels(registry(spark))
     due = alerts.due_matches(done, active, postings(spark))
     digests = alerts.user_digests(due, active, labels, "Mail").collect()
-    assert [(d.user_id, d.recipient, d.n_matches) for d in digests] == [("user-a", "alice@example.com", 1)]
+    assert [(d.user_id, d.recipient, d.n_matches) for d in digests] == [("ines", "ines@mail.example", 1)]
     assert digests[0].subject == "[Mail] 1 job match — BoJ"
-    assert digests[0].greeting == "Hi Alice — 1 new match from BoJ"
+    assert digests[0].greeting == "Hi Ines — 1 new match from BoJ"
     (line,) = alerts.digest_lines(due, postings(spark), labels).collect()
-    assert line.headline == "[BoJ] Senior Data Engineer — Score 8/10"
+    assert line.headline == "[BoJ] Clock Repairer — Score 8/10"
 
 
 def test_sent_or_unknown_matches_are_not_sent_again(spark, active):
-    done = evaluations(spark, [("user-a", "VAC-001", 8, True), ("user-a", "VAC-002", 9, None)])
+    done = evaluations(spark, [("ines", "P-17", 8, True), ("ines", "P-40", 9, None)])
     assert alerts.due_matches(done, active, postings(spark)).isEmpty()
 
 
 def test_only_delivered_lines_are_marked(spark, active):
-    done = evaluations(spark, [("user-a", "VAC-001", 8, False), ("user-a", "GONE", 9, False), ("user-b", "GONE", 9, False)])
+    done = evaluations(spark, [("ines", "P-17", 8, False), ("ines", "GONE", 9, False), ("tomo", "GONE", 9, False)])
     due = alerts.due_matches(done, active, postings(spark))
     delivered = alerts.delivered_keys(due, active)
-    assert keys(delivered, "user_id", "job_id") == {("user-a", "VAC-001")}
+    assert keys(delivered, "user_id", "job_id") == {("ines", "P-17")}
     everything = alerts.delivered_keys(due, active, alerts.pending_evaluations(done, active))
-    assert keys(everything, "user_id", "job_id") == {("user-a", "VAC-001"), ("user-a", "GONE")}
+    assert keys(everything, "user_id", "job_id") == {("ines", "P-17"), ("ines", "GONE")}
     marked = store.mark_sent(done, delivered)
-    assert keys(marked.filter("email_sent"), "user_id", "job_id") == {("user-a", "VAC-001")}
+    assert keys(marked.filter("email_sent"), "user_id", "job_id") == {("ines", "P-17")}
 
 
 def test_users_without_any_address_get_no_digest(spark):
     silent = people.active_users(users(spark), ["board"]).withColumns({"email": F.lit(""), "notification_email": F.lit(None).cast("string")})
-    done = evaluations(spark, [("user-a", "VAC-001", 8, False)])
+    done = evaluations(spark, [("ines", "P-17", 8, False)])
     due = alerts.due_matches(done, silent, postings(spark))
     assert due.count() == 1
     assert alerts.user_digests(due, silent, source_labels(registry(spark)), "Mail").isEmpty()
@@ -98,24 +98,58 @@ def test_users_without_any_address_get_no_digest(spark):
 
 
 def test_feed_lists_scored_postings_first(spark, active):
-    rows = feed.feed(active, postings(spark), evaluations(spark, [("user-a", "VAC-002", 4, False)])).filter("user_id = 'user-a'")
+    rows = feed.feed(active, postings(spark), evaluations(spark, [("ines", "P-40", 4, False)])).filter("user_id = 'ines'")
     assert [(r.position, r.job_id, r.score, r.total) for r in rows.orderBy("position").collect()] == [
-        (1, "VAC-002", 4, 2), (2, "VAC-001", None, 2),
+        (1, "P-40", 4, 2), (2, "P-17", None, 2),
     ]
 
 
 def test_feed_minimum_drops_unscored_postings(spark, active):
     assert feed.feed(active, postings(spark), evaluations(spark, []), min_score=7).isEmpty()
-    done = evaluations(spark, [("user-a", "VAC-001", 7, False), ("user-a", "VAC-002", 6, False)])
-    assert keys(feed.feed(active, postings(spark), done, min_score=7), "user_id", "job_id") == {("user-a", "VAC-001")}
+    done = evaluations(spark, [("ines", "P-17", 7, False), ("ines", "P-40", 6, False)])
+    assert keys(feed.feed(active, postings(spark), done, min_score=7), "user_id", "job_id") == {("ines", "P-17")}
 
 
 def test_feed_rejects_bad_pages(spark, active):
-    for bad in ({"page": 0}, {"limit": 0}, {"limit": 101}, {"min_score": 11}):
+    for bad in ({"page": 0}, {"limit": 0}, {"min_score": 11}):
         with pytest.raises(ValueError):
             feed.feed(active, postings(spark), evaluations(spark, []), **bad)
 
 
+def test_totals_of_empty_pages(spark, active):
+    done = evaluations(spark, [("ines", "P-17", 7, False)])
+    assert keys(feed.feed_totals(active, postings(spark), done, limit=1), "user_id", "total", "n_pages") == {("ines", 2, 2), ("tomo", 2, 2)}
+    assert keys(feed.feed_totals(active, postings(spark), done, min_score=7), "user_id", "total", "n_pages") == {("ines", 1, 1), ("tomo", 0, 1)}
+    assert feed.feed(active, postings(spark), done, page=5).isEmpty()
+
+
+def test_one_id_on_two_boards(spark):
+    """Each board's posting has its own evaluation, line and row."""
+    jobs = postings(spark, [("1", b, f"at {b}", "", "", "", "", "", "") for b in ("a", "b")])
+    people_rows = users(spark, [("u", "u@mail.example", "U", "p", 5, ["a", "b"], None, True, None, None, None)])
+    one = evaluations(spark, [("u", "1", 8, False)]).withColumn("source_id", F.lit("a"))
+    both = one.unionByName(one.withColumns({"source_id": F.lit("b"), "score": F.lit(6)}))
+    labels = jobs.select("source_id", F.col("source_id").alias("label"))
+    due = alerts.due_matches(one, people_rows, jobs)
+    assert keys(alerts.digest_lines(due, jobs, labels), "source_id", "line_no", "score") == {("a", 1, 8)}
+    due = alerts.due_matches(both, people_rows, jobs)
+    assert keys(alerts.digest_lines(due, jobs, labels), "source_id", "line_no", "score") == {("a", 1, 8), ("b", 2, 6)}
+    assert [r.n_matches for r in alerts.user_digests(due, people_rows, labels, "Mail").collect()] == [2]
+    assert [(r.position, r.source_id, r.score, r.total) for r in feed.feed(people_rows, jobs, one).orderBy("position").collect()] == [(1, "a", 8, 2), (2, "b", None, 2)]
+    assert [(r.position, r.source_id, r.score, r.total) for r in feed.feed(people_rows, jobs, both).orderBy("position").collect()] == [(1, "a", 8, 2), (2, "b", 6, 2)]
+    assert keys(worklist.worklist(people_rows, jobs, one), "source_id", "job_id") == {("b", "1")}
+    assert keys(worklist.worklist_by_source(people_rows, jobs, one), "source_id", "n_todo") == {("b", 1)}
+    marked = store.mark_sent(both, alerts.delivered_keys(alerts.due_matches(one, people_rows, jobs), people_rows))
+    assert keys(marked, "source_id", "email_sent") == {("a", True), ("b", False)}
+
+
+def test_summaries_are_whole_unless_asked(spark, active):
+    done = evaluations(spark, [("ines", "P-17", 8, False)]).withColumn("summary", F.lit("word " * 100))
+    due, labels = alerts.due_matches(done, active, postings(spark)), source_labels(registry(spark))
+    texts = [alerts.digest_lines(due, postings(spark), labels, summary_chars=n).first().short_summary for n in (None, 500, 20)]
+    assert texts == ["word " * 100, "word " * 100, "word " * 4 + "..."]
+
+
 def test_pages_partition_the_feed(spark):
     """All pages together are every candidate once, in one order, whatever is scored."""
     boards = ["b1", "b2", "b3"]
@@ -123,6 +157,7 @@ def test_pages_partition_the_feed(spark):
     people_rows = [("u1", None, None, None, 7, ["b1", "b2"], None, True, None, None, None), ("u2", None, None, None, 7, ["b3", "b3", "none"], None, True, None, None, None), ("u3", None, None, None, 7, [], None, True, None, None, None)]
     done = [("u1", f"J{i:03d}", 1 + i % 10 if i % 5 else None, False) for i in range(0, 45, 4)] + [("u2", "J005", 9, True)]
     all_jobs, all_users, evals = postings(spark, jobs), users(spark, people_rows), evaluations(spark, done)
+    evals = evals.drop("source_id").join(all_jobs.select("source_id", "job_id"), "job_id")
     score = {(u, j): s for u, j, s, _ in done}
     for user, wanted in (("u1", {"b1", "b2"}), ("u2", {"b3"}), ("u3", set())):
         mine = [(j[1], j[0], score.get((user, j[0]))) for j in jobs if j[1] in wanted]

@@ -1,5 +1,5 @@
 import json
-import re
+import math
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -54,46 +54,44 @@ def test_cases(spark):
     assert rows == {i: c[1:] for i, c in enumerate(CASES)}
 
 
-def by_hand(text):
-    """The same reading with Python's own JSON and integers; None where it refuses."""
-    text = text.strip()
-    text = re.sub(r"^```(?:json)?\s*", "", text)
-    text = re.sub(r"\s*```$", "", text)
-    try:
-        parsed = json.loads(text)
-        score, summary = int(parsed["score"]), str(parsed["summary"])
-    except (ValueError, TypeError, KeyError, OverflowError):
-        return None
-    return (score, summary) if 1 <= score <= 10 else None
-
-
+# Scores as they may be written, with the number each stands for; None where it stands for none.
 scores = some.one_of(
-    some.integers(-3, 14), some.floats(-2, 13).map(lambda x: round(x, 3)), some.booleans(), some.none(),
-    some.integers(-3, 14).map(str), some.sampled_from([" 7 ", "+4", "x", "", "1_0", "3.0"]),
+    some.integers(-3, 14).map(lambda n: (n, n)),
+    some.floats(-2, 13).map(lambda x: round(x, 3)).map(lambda x: (x, math.trunc(x))),
+    some.booleans().map(lambda b: (b, 1 if b else 0)),
+    some.integers(-3, 14).map(lambda n: (str(n), n)),
+    some.sampled_from([(None, None), (" 7 ", 7), ("+4", 4), ("x", None), ("", None), ("1_0", 10), ("3.0", None)]),
 )
+# What stands before and behind an answer, and whether it may.
+heads = some.sampled_from([("", True), (" ", True), (FENCE + "json\n", True), (FENCE, True), ("x", False), ("\u2003", True)])
+tails = some.sampled_from([("", True), (" \n", True), ("\n" + FENCE, True), (FENCE, True), (" done", False), ("}", False), (", 1", False), ("\x1f", True)])
+
+
+def built(score, summary, head, tail, drop):
+    """A text, and the score and summary that must be read from it; None where it must be refused."""
+    written, number = score
+    members = {k: v for k, v in {"score": written, "summary": summary}.items() if k != drop}
+    good = head[1] and tail[1] and drop is None and number is not None and 1 <= number <= 10
+    return head[0] + json.dumps(members) + tail[0], (number, summary) if good else None
+
+
 answers = some.builds(
-    lambda score, summary, head, tail, drop: head
-    + json.dumps({k: v for k, v in {"score": score, "summary": summary}.items() if k != drop}) + tail,
-    scores,
-    some.text("ab\"\\{}é\n,:", max_size=6),
-    some.sampled_from(["", " ", FENCE + "json\n", FENCE, "x", "\u2003"]),
-    some.sampled_from(["", " \n", "\n" + FENCE, FENCE, " done", "}", ", 1", "\x1f"]),
-    some.sampled_from([None, None, None, "score", "summary"]),
+    built, scores, some.text("ab\"\\{}é\n,:", max_size=6), heads, tails, some.sampled_from([None, None, None, "score", "summary"])
 )
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(some.lists(answers, min_size=50, max_size=80))
-def test_reads_like_python(spark, texts):
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, response string")
+def test_reads_what_was_written(spark, texts):
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "i int, response string")
     found = {r.i: (r.score, r.summary) if r.error is None else None for r in parse_responses(df).collect()}
-    assert found == {i: by_hand(t) for i, t in enumerate(texts)}
+    assert found == {i: expected for i, (_, expected) in enumerate(texts)}
 
 
 @pytest.mark.parametrize(
     "message, kind, wait",
     [
-        ("429: PerDay quota exhausted", "daily_quota", 0),
+        ("429 PerDay limit used up", "daily_quota", 0),
         ("limit PER_DAY", "daily_quota", 0),
         ("429", "quota", 65),
         ("Quota", "quota", 65),
@@ -116,11 +114,11 @@ def test_json_is_parsed_once_per_row(spark):
 def test_attempts_stop_at_the_first_success(spark):
     rows = [
         ("p", 1, None, None, "e1"), ("p", 2, 7, "two", None), ("p", 3, 9, "three", None),
-        ("q", 1, None, None, "e1"), ("q", 2, None, None, "e2"), ("q", 3, None, None, "e3"), ("q", 4, 9, "late", None),
+        ("q", 1, None, None, "e1"), ("q", 2, None, None, "e2"), ("q", 3, None, None, "e3"), ("r", 3, None, None, "e3"), ("r", 5, 9, "late", None),
     ]
     log = spark.createDataFrame(rows, "pair string, attempt int, score int, summary string, error string")
     found = {tuple(r) for r in scoring.attempt_outcomes(log, ["pair"]).collect()}
-    assert found == {("p", 7, "two", None, 2), ("q", None, None, "e3", 3)}
+    assert found == {("p", 7, "two", None, 2), ("q", None, None, "e3", 3), ("r", 9, "late", None, 5)}
 
 
 def test_quota_stop_per_user_and_per_run(spark):

@@ -71,6 +71,7 @@ def one_user_holds_a_third(spark):
     )
     evals = spark.range(60_000, numPartitions=8).select(
         F.when(n % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), n % 997)).alias("user_id"),
+        F.when(F.floor(n / 3) % 3 > 0, "b0").otherwise(F.concat(F.lit("b"), F.floor(n / 3) % 50)).alias("source_id"),
         F.floor(n / 3).cast("string").alias("job_id"),
         (n % 10 + 1).cast("int").alias("score"),
         F.concat(F.lit("s"), n).alias("summary"),

@@ -72,7 +72,8 @@ def test_detail_selectors_in_order(spark):
     found = {r.page: r for r in html.page_details(df, title_suffix=" - Site").collect()}
     assert (found[1].title, found[1].description_raw) == ("T", "right")
     assert (found[2].title, found[2].description_raw) == ("Head\nline", "one\ntwo <3")
-    assert found[3].description_raw == "x" * 8000 and found[3].title == ""
+    assert found[3].description_raw == "x" * 9000 and found[3].title == ""
+    assert html.page_details(df.filter("page = 3"), body_chars=8000).first().description_raw == "x" * 8000
 
 
 def test_boards_fail_alone(spark):
@@ -96,7 +97,7 @@ def test_extras_override_or_yield(spark):
     jobs = postings(spark).withColumn("extra", extra)
     wins = ingest.merge_extras(jobs).select(F.col("record")["title"], F.col("record")["grade"]).first()
     loses = ingest.merge_extras(jobs, extra_wins=False).select(F.col("record")["title"], F.col("record")["grade"]).first()
-    assert tuple(wins) == ("own", "P4") and tuple(loses) == ("Senior Data Engineer", "P4")
+    assert tuple(wins) == ("own", "P4") and tuple(loses) == ("Clock Repairer", "P4")
 
 
 def test_silent_boards_are_reported(spark):
@@ -129,15 +130,46 @@ def test_backfill_refuses_closed_titles(spark):
 
 
 def test_taxonomy_tags(spark):
-    words = tags.taxonomy_keywords()
-    assert len(words) == 24
-    jobs = postings(spark, [("1", "b", "Senior Data Engineer", "", "", "", "Leads DevOps", "", ""), ("2", "b", None, "", "", "", "", "", "")])
+    words = tags.taxonomy_table(spark)
+    assert words.count() == 24
+    jobs = postings(spark, [("1", "b", "Clock Repairer", "", "", "", "Leads a DevOps team, once Data  Engineer", "", ""), ("2", "b", None, "", "", "", "", "", "")])
     found = tags.tag_new_postings(jobs, jobs.filter("false"), words)
     assert {r.job_id: r.tags for r in found.collect()} == {"1": ["data-engineer", "devops"], "2": []}
     assert tags.tag_new_postings(jobs, found, words).isEmpty()
     assert keys(tags.with_tag(found, "devops"), "job_id") == {("1",)}
 
 
+def test_a_taxonomy_of_any_size(spark):
+    many = spark.range(5000).select(F.concat(F.lit("t"), "id").alias("tag"), F.concat(F.lit("key word"), "id").alias("keyword"))
+    jobs = postings(spark, [("1", "b", "KEY word77", "", "", "", "a key word4999, key word77", "", ""), ("2", "b", "key", "", "", "", "words5", "", "")])
+    found = tags.tag_new_postings(jobs, jobs.filter("false"), many)
+    assert {r.job_id: r.tags for r in found.collect()} == {"1": ["t4999", "t77"], "2": []}
+    assert {r.tags[0] if r.tags else None for r in tags.tag_new_postings(jobs, jobs.filter("false"), many.limit(0)).collect()} == {None}
+
+
+def test_a_board_may_fail_in_any_way(spark, tmp_path):
+    good = spark.createDataFrame([("1", "x")], "job_id string, title string")
+    broken = tmp_path / "broken"
+    good.coalesce(1).write.parquet(str(broken))
+    for file in broken.glob("part-*"):
+        file.write_bytes(b"PAR1 this is no parquet file PAR1")
+
+    def unreachable(s, config):
+        raise RuntimeError("no route")
+
+    def silent(s, config):
+        raise OSError
+
+    loaders = {
+        "good": lambda s, c: good, "raises": unreachable, "silent": silent,
+        "garbled": lambda s, c: s.read.schema(good.schema).parquet(str(broken)),
+        "late": lambda s, c: good.withColumn("title", F.raise_error(F.lit("while reading"))),
+    }
+    records, status = ingest.ingest_sources(spark, {k: {"enabled": True} for k in loaders}, loaders, F.lit("now"))
+    assert keys(status, "source_id", "status") == {("good", "loaded"), *((k, "failed") for k in ("raises", "silent", "garbled", "late"))}
+    assert all(r.error for r in status.filter("status = 'failed'").collect())
+    assert keys(records, "source_id", "job_id") == {("good", "1")}
+
 def test_tag_scores(spark):
     pairs = spark.createDataFrame([(["a", "b"], ["a", "c", "b"]), (["x"], ["a"]), (["a"], [])], "job_tags array<string>, user_tags array<string>")
     scored = pairs.select(*[c.alias(n) for n, c in tags.overlap(F.col("job_tags"), F.col("user_tags")).items()]).collect()

@@ -12,9 +12,9 @@ def newest():
 
 
 def test_insert_keeps_stored_rows_and_the_first_of_a_batch(spark):
-    batch = [("VAC-001", "board", "changed", "", "", "", "", "", "1"), ("VAC-003", "board", "first", "", "", "", "", "", "1"), ("VAC-003", "board", "second", "", "", "", "", "", "2")]
+    batch = [("P-17", "board", "changed", "", "", "", "", "", "1"), ("P-52", "board", "first", "", "", "", "", "", "1"), ("P-52", "board", "second", "", "", "", "", "", "2")]
     added = store.insert_if_absent(postings(spark), postings(spark, batch), store.POSTING_KEY, [F.col("scraped_at")])
-    assert keys(added, "job_id", "title") == {("VAC-003", "first")}
+    assert keys(added, "job_id", "title") == {("P-52", "first")}
 
 
 def test_upsert_replaces_and_is_idempotent(spark):
@@ -44,9 +44,9 @@ def test_user_ids_fall_back(spark):
 
 
 def test_lookup_gives_the_first_match_or_nulls(spark):
-    asked = spark.createDataFrame([("alice@example.com",), ("nobody@example.com",), (None,)], "email string")
+    asked = spark.createDataFrame([("ines@mail.example",), ("nobody@mail.example",), (None,)], "email string")
     found = store.lookup_users(asked, users(spark), "email", [F.col("user_id")])
-    assert keys(found, "email", "user_id") == {("alice@example.com", "user-a"), ("nobody@example.com", None), (None, None)}
+    assert keys(found, "email", "user_id") == {("ines@mail.example", "ines"), ("nobody@mail.example", None), (None, None)}
 
 
 def test_no_sources_no_postings(spark):
