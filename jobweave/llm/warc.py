@@ -116,7 +116,7 @@ def _write_task(folder: str, file_bytes: int, level: int):
             for i, row in enumerate(heads):
                 if out is None:
                     name = f"{folder}/{attempt}-{len(done):04d}.warc.gz"
-                    out, n, size = system.open_output_stream(_store(name)[1]), 0, 0
+                    out, n, size = system.open_output_stream(_store(name)[1], compression=None), 0, 0
                 body = memoryview(batch["payload"][i].as_buffer())
                 squeeze = zlib.compressobj(level, zlib.DEFLATED, 31)
                 header, http = _header(row, len(body))
@@ -237,7 +237,7 @@ def _read_task(chunk_bytes: int, with_data: bool, batch_bytes: int = 4 << 20):
         for paths in batches:
             for path in paths["path"].to_pylist():
                 system, place = _store(path)
-                with system.open_input_stream(place) as source:
+                with system.open_input_stream(place, compression=None) as source:
                     for row in _records(_Inflated(source), chunk_bytes):
                         rows.append(row[: len(kinds)])
                         size += 300 + (row[7] if with_data else 0)
