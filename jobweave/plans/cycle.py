@@ -72,6 +72,14 @@ class RunTables:
     def deliveries(self, until: int) -> DataFrame:
         return self.read("deliveries", DELIVERIES).filter(F.col("run") <= until)
 
+    def waiting(self, run: int) -> DataFrame:
+        """Unsent evaluations: those of this run, and the ones the run before has left."""
+        new = self.read("evaluations", EVALUATIONS).filter(F.col("run") == run).drop("run")
+        old = self.read("pending", EVALUATIONS).filter(F.col("run") == run - 1).drop("run")
+        if self.rescored:  # a pair scored again replaces what was left of it
+            return store.upsert(old, new, store.EVALUATION_KEY, [F.desc("evaluated_at")])
+        return old.unionByName(new)
+
     def evaluations(self, until: int) -> DataFrame:
         """The last evaluation per pair, marked sent once it was delivered."""
         return store.mark_sent(self.scores(until), self.deliveries(until))
@@ -138,22 +146,26 @@ def notify_run(
     default_sources: Sequence[str],
     product: str,
 ) -> tuple[DataFrame, DataFrame]:
-    """Write this run's digests, their lines and the delivered keys; returns digests and lines.
+    """Write this run's digests, their lines, the delivered keys and what stays pending; returns digests and
+    lines.
 
-    Deliveries are written last: a run that fails before leaves its matches pending.
+    Read are this run's evaluations and those the run before has left pending, whether below a threshold or
+    without address, and no older ones. Deliveries and pending rows are written last: a run that fails before
+    leaves its matches pending. Runs are numbered one after another.
     """
     active = people.active_users(users, default_sources)
     postings = tables.postings(run).drop("run")
     labels = registry.source_labels(sources)
-    due = alerts.due_matches(tables.scores(run), active, postings)
-    due = due.join(tables.deliveries(run - 1), list(store.EVALUATION_KEY), "left_anti")
-    due = materialize(due, "due")
+    waiting = tables.waiting(run)
+    due = materialize(alerts.due_matches(waiting, active, postings), "due")
     tables.write(alerts.user_digests(due, active, labels, product), "digests", run)
     digests = tables.of_run("digests", run)
     # Users without any address have no digest; their matches stay pending.
     served = due.join(digests.select("user_id"), "user_id", "left_semi")
     tables.write(alerts.digest_lines(served, postings, labels), "digest_lines", run)
     tables.write(served.select(*store.EVALUATION_KEY), "deliveries", run)
+    left = waiting.join(tables.of_run("deliveries", run), list(store.EVALUATION_KEY), "left_anti")
+    tables.write(left.select(*EVALUATIONS.fieldNames()), "pending", run)
     return digests, tables.of_run("digest_lines", run)
 
 

@@ -1,5 +1,7 @@
 """Whole cycles on the small tables."""
 
+import shutil
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -78,6 +80,19 @@ def test_failed_scores_can_be_scored_again(spark, tmp_path):
     assert keys(tables.evaluations(2), "job_id", "score") == {("P-17", 8), ("P-40", 6)}
 
 
+def test_notifying_reads_no_old_evaluations(spark, tmp_path):
+    tables = cycle.RunTables(spark, str(tmp_path))
+    run(tables, spark, 1, POSTINGS)
+    shutil.rmtree(tmp_path / "evaluations" / "run=1")
+    shutil.rmtree(tmp_path / "deliveries" / "run=1")
+    tables.write(evaluations(spark, []), "evaluations", 2)
+    eager = users(spark).withColumn("score_threshold", F.lit(5))
+    digests, lines = cycle.notify_run(tables, 2, eager, registry(spark), ["board"], "Mail")
+    # What was below a threshold is still there when the threshold falls; what was sent is not.
+    assert keys(lines, "user_id", "job_id") == {("tomo", "P-17"), ("tomo", "P-40")}
+    assert keys(tables.waiting(3), "user_id", "job_id") == {("ines", "P-40")}
+
+
 def test_all_pairs_are_listed_only_on_request(spark, tmp_path):
     tables = cycle.RunTables(spark, str(tmp_path))
     cycle.ingest_run(tables, 1, CONFIGS, {"board": lambda s, c: postings(s)}, F.lit("2025-01-01"))
