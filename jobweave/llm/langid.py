@@ -29,9 +29,10 @@ from .common import extended, slices, text_bytes
 UNKNOWN = "und"
 HIDDEN = 8
 SEGMENT = 192
-# Bounds of the training sample: documents of a language, and windows and their bytes.
+# Bounds of the training sample: documents of a language, windows of a document, and their length.
 DOCS_PER_LANGUAGE = 240
-WINDOWS_PER_LANGUAGE = 2400
+WINDOWS_PER_DOC = 10
+WINDOWS_PER_LANGUAGE = DOCS_PER_LANGUAGE * WINDOWS_PER_DOC
 WINDOW = 48
 BATCH = 128
 EPOCHS = 6
@@ -257,9 +258,10 @@ def predict(net: Network, texts: pa.Array) -> tuple[list[str], np.ndarray, np.nd
 
 
 def training_rows(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_LANGUAGE) -> list[tuple[str, bytes]]:
-    """(language, text) of at most `per_language` usable documents of each language: those with the smallest
+    """(language, window) from at most `per_language` usable documents of each language: those with the smallest
     hash of id and language, so that the sample is spread over the table. Ids are ranked first, in parts
-    before the shuffle; only the chosen ones' texts reach the driver."""
+    before the shuffle. Of each chosen text, however long, `WINDOWS_PER_DOC` windows reach the driver, from
+    places all over it that follow from a hash."""
     rank = Window.partitionBy("lang").orderBy("h", "doc_id")
     ids = docs.where(usable & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select(
         "doc_id", "lang", F.xxhash64("doc_id", "lang").alias("h")
@@ -268,8 +270,15 @@ def training_rows(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_
     keys = {(r["doc_id"], r["lang"]) for r in chosen.select("doc_id", "lang").collect()}
     if not keys:
         return []
-    texts = docs.where(usable & F.col("doc_id").isin([k for k, _ in keys])).select("doc_id", "lang", "text").distinct().collect()
-    return sorted((r["lang"], r["text"].encode()) for r in texts if r["text"] and (r["doc_id"], r["lang"]) in keys)
+    places = F.greatest(F.length("text") - WINDOW + 1, F.lit(1))
+    cut = F.transform(
+        F.sequence(F.lit(1), F.lit(WINDOWS_PER_DOC)),
+        lambda i: F.substring(F.col("text"), F.pmod(F.xxhash64("doc_id", i), places).cast("int") + 1, F.lit(WINDOW)),
+    )
+    texts = docs.where(usable & F.col("doc_id").isin([k for k, _ in keys])).select("doc_id", "lang", F.array_distinct(cut).alias("windows"))
+    return sorted(
+        (r["lang"], w.encode()) for r in texts.distinct().collect() if (r["doc_id"], r["lang"]) in keys for w in r["windows"] or [] if w
+    )
 
 
 def with_language(docs: DataFrame, net: Network, text: str = "text", keep: float | None = None) -> DataFrame:

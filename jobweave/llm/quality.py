@@ -140,14 +140,15 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
     return vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
 
 
-def fit(texts: list[str], labels: list[int], n_docs: int, df: np.ndarray, rank: int = RANK) -> Voters:
+def fit(counts: np.ndarray, labels: list[int], n_docs: int, df: np.ndarray, rank: int = RANK) -> Voters:
+    """Voters from rows of term counts."""
     idf = (np.log((1 + n_docs) / (1 + df)) + 0.1).astype(np.float32)
-    if not texts:
+    if not len(counts):
         return Voters(idf, np.zeros((WIDTH, 1), np.float32), np.zeros((0, 1), np.float32), np.zeros(0, np.float32))
-    rows = weighted(np.concatenate([c for _, _, c in term_counts(pa.array(texts, pa.string()))]), idf)
+    rows = weighted(counts, idf)
     # Right singular vectors through the smaller Gram matrix.
     values, sides = np.linalg.eigh((rows.T @ rows).astype(np.float64))
-    space = sides[:, ::-1][:, : min(rank, len(texts))].astype(np.float32)
+    space = sides[:, ::-1][:, : min(rank, len(counts))].astype(np.float32)
     return Voters(idf, np.ascontiguousarray(space), _unit(rows @ space), np.array(labels, np.float32))
 
 
@@ -171,9 +172,10 @@ def scores(voters: Voters, texts: pa.Array, neighbours: int = NEIGHBOURS) -> np.
     return np.clip(out, 0.0, 1.0)
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, per_label: int = VOTERS_PER_LABEL) -> tuple[list[str], list[int]]:
-    """At most `per_label` labelled texts of each label: those with the smallest hashes of their ids. Ids are
-    chosen first; only the chosen ones' texts reach the driver."""
+def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, per_label: int = VOTERS_PER_LABEL) -> tuple[np.ndarray, list[int]]:
+    """Term counts and labels of at most `per_label` labelled texts of each label: those with the smallest hashes
+    of their ids, and of texts with one id the one with the smallest hash. Texts are counted in the tasks, so
+    what reaches the driver is of one size however long they are."""
     known = labels.where(usable & F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").alias("quality"))
     ids = known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").withColumn("h", F.xxhash64("doc_id"))
     chosen = {}
@@ -181,17 +183,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, usable: Column, per_label:
         for r in ids.where(F.col("quality") == value).orderBy("h", "doc_id").limit(per_label).collect():
             chosen[r["doc_id"]] = value
     if not chosen:
-        return [], []
-    rows = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", "text").groupBy("doc_id").agg(F.min("text").alias("text")).collect()
-    rows = sorted((r["doc_id"], r["text"] or "") for r in rows)
-    return [t for _, t in rows], [chosen[i] for i, _ in rows]
+        return np.zeros((0, WIDTH), np.float32), []
+    mine = docs.where(F.col("doc_id").isin(list(chosen))).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    mine = mine.withColumn("h", F.xxhash64("text"))
+    first = {(r["doc_id"], r["h"]) for r in mine.groupBy("doc_id").agg(F.min("h").alias("h")).collect()}
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = zip(batch["doc_id"].to_pylist(), batch["h"].to_pylist())
+            batch = batch.filter(pa.array([k in first for k in keys], pa.bool_()))
+            for lo, hi, counts in term_counts(batch["text"]):
+                packed = pa.array([row.tobytes() for row in counts], pa.binary())
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].slice(lo, hi - lo), packed], names=["doc_id", "counts"])
+
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows = mine.mapInArrow(count, f"doc_id {kind}, counts binary").groupBy("doc_id").agg(F.min("counts").alias("counts")).collect()
+    rows = sorted((r["doc_id"], bytes(r["counts"])) for r in rows)
+    return np.stack([np.frombuffer(c, np.float32) for _, c in rows]), [chosen[i] for i, _ in rows]
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Voters:
     """Voters from the labels of usable ids (a condition on doc_id), document frequencies from all documents."""
     n, df = document_frequency(docs)
-    texts, marks = training_rows(docs, labels, usable)
-    return fit(texts, marks, n, df)
+    counts, marks = training_rows(docs, labels, usable)
+    return fit(counts, marks, n, df)
 
 
 def with_quality(docs: DataFrame, voters: Voters, keep: float | None = None) -> DataFrame:

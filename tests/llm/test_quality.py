@@ -19,10 +19,9 @@ def bad(rng):
 def fitted(n=60):
     rng = random.Random(2)
     texts = [good(rng) for _ in range(n)] + [bad(rng) for _ in range(n)]
-    df = np.zeros(quality.TERMS, np.int64)
-    for _, _, counts in quality.term_counts(pa.array(texts)):
-        df += (counts[:, : quality.TERMS] > 0).sum(axis=0)
-    return quality.fit(texts, [1] * n + [0] * n, len(texts), df, rank=12)
+    counts = np.concatenate([c for _, _, c in quality.term_counts(pa.array(texts))])
+    df = (counts[:, : quality.TERMS] > 0).sum(axis=0)
+    return quality.fit(counts, [1] * n + [0] * n, len(texts), df, rank=12)
 
 
 def test_votes_are_those_of_all_cosines():
