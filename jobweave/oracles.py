@@ -36,7 +36,7 @@ TAGS = """list_sort(list_filter((SELECT list(w) FROM words), lambda w: list_cont
 TABLES = {
     "one_board": f"SELECT {_posting_fields('p_partkey', TITLE, f'strftime({STAMP}, {ISO})')} FROM part",
     # Some ids are on two boards.
-    "jobs": f"SELECT * FROM one_board UNION ALL SELECT * REPLACE ({SECOND.format(b='source_id')} AS source_id) FROM one_board WHERE CAST(job_id AS BIGINT) % 50 = 3",
+    "jobs": f"SELECT * FROM one_board UNION ALL SELECT * REPLACE ({SECOND.format(b='source_id')} AS source_id, replace(description_raw, ' at ' || source_id, ' at ' || {SECOND.format(b='source_id')}) AS description_raw) FROM one_board WHERE CAST(job_id AS BIGINT) % 50 = 3",
     "old_jobs": f"SELECT * EXCLUDE (source_id) REPLACE (CASE WHEN CAST(job_id AS BIGINT) % 21 <> 5 THEN CAST(scraped_at AS TIMESTAMP) END AS scraped_at) FROM one_board",
     "seen": f"""SELECT {_posting_fields(NEW_KEY, "p_name || ' v' || l_linenumber", f'strftime(l_shipdate, {ISO})')},
       l_orderkey AS seq, l_linenumber AS line FROM lineitem JOIN part ON l_partkey = p_partkey""",
