@@ -46,8 +46,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 3
 ZIPF = 2.7
 SEED = 20_240_601
-SLICE_CHARS = 1 << 20
-CACHED_ARCS = 6_000_000
+SLICE_CHARS = 1 << 18
+CACHED_ARCS = 2_500_000
 SPACE, LITERAL_SPACE = 0x2581, 0x110000  # the piece for a blank, and that character standing in a text
 NARROW = 0x250
 _CHUNK = re.compile(" *[^ ]+| +")
@@ -141,7 +141,7 @@ def chunks(text: str) -> list[str]:
 @dataclass
 class Lattices:
     """Lattices of distinct chunks behind one another: nodes are places between characters; the arcs of a node
-    stand together, the likeliest first, with conditional log probabilities and their sums up to each arc."""
+    stand together, with conditional log probabilities and the sum of probabilities up to each arc."""
 
     root: np.ndarray
     last: np.ndarray
@@ -150,6 +150,7 @@ class Lattices:
     logp: np.ndarray
     upto: np.ndarray
     first_arc: np.ndarray
+    last_arc: np.ndarray
 
 
 def _after(pieces: Pieces, state: np.ndarray, character: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
@@ -203,11 +204,13 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
     width = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
     start = np.concatenate([*starts, bare])
     end = np.concatenate([*ends, bare + 1])
-    piece = np.concatenate([*found, -1 - character])
+    # One byte is a piece of its own; more are written out by `_ids`.
+    piece = np.concatenate([*found, np.where(width == 1, pieces.byte_ids[np.where(width == 1, character, 0)], -1 - character)])
     score = np.concatenate([pieces.scores[np.concatenate(found)] if found else np.zeros(0), pieces.byte_score * width])
     distance = stop[start] - start
-    order = np.argsort((distance << 32) | start)
-    start, end, piece, score, distance = (x[order] for x in (start, end, piece, score, distance))
+    # By distance from the chunk's end, then node, then length: the longest piece is mostly the likeliest.
+    order = np.argsort((distance << 34) | (start << 6) | (63 - np.minimum(end - start, 63)))
+    start, end, piece, score, distance = start[order], end[order], piece[order], score[order], distance[order]
     start, end = node[start], node[end - 1] + 1
     # Backward sums, a distance from the chunks' ends at a time.
     beta = np.zeros(len(flat) + len(texts))
@@ -219,21 +222,36 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
         many = np.diff(np.append(new, b - a))
         beta[start[a:b][new]] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, many)), new))
     logp = np.minimum(score + beta[end] - beta[start], 0.0)
-    order = np.argsort((start << 20) | np.minimum(-logp * 10_000, (1 << 20) - 1).astype(np.int64))
-    start, end, piece, logp = start[order], end[order], piece[order], logp[order]
-    first_arc = np.searchsorted(start, np.arange(len(beta) + 1))
+    new = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1]])) if len(start) else np.zeros(0, int)
+    many = np.diff(np.append(new, len(start)))
     total = np.concatenate([[0.0], np.cumsum(np.exp(logp))])
-    upto = total[1:] - total[first_arc[start]]
+    upto = total[1:] - np.repeat(total[new], many)
+    first_arc, last_arc = np.zeros(len(beta), np.int64), np.zeros(len(beta), np.int64)
+    first_arc[start[new]], last_arc[start[new]] = new, new + many - 1
     root = np.cumsum(size + 1) - size - 1
-    return Lattices(root, root + size, end.astype(np.int32), piece.astype(np.int32), logp, upto.astype(np.float32), first_arc)
+    nodes = (root.astype(np.int32), (root + size).astype(np.int32))
+    arcs = (end.astype(np.int32), piece.astype(np.int32), logp, upto.astype(np.float32))
+    return Lattices(*nodes, *arcs, first_arc.astype(np.int32), last_arc.astype(np.int32))
 
 
 class Cache:
-    """Lattices of the chunks that a task has met, up to `CACHED_ARCS` arcs; beyond it starts anew."""
+    """Lattices of the chunks that a task has met, up to `CACHED_ARCS` arcs; beyond it starts anew. Arrays grow
+    in place, with room for more behind what is used."""
 
     def __init__(self, pieces: Pieces) -> None:
         self.pieces, self.numbers = pieces, {}
         self.lattices = lattices([], pieces)
+        self.rooms = {}
+
+    def _appended(self, name: str, used: np.ndarray, new: np.ndarray) -> np.ndarray:
+        n = len(used) + len(new)
+        room = self.rooms.get(name)
+        if room is None or len(room) < n:
+            room = np.empty(n * 3 // 2, new.dtype)
+            room[: len(used)] = used
+            self.rooms[name] = room
+        room[len(used) : n] = new
+        return room[:n]
 
     def look_up(self, distinct: list[str]) -> np.ndarray:
         """Numbers of chunks in `lattices`."""
@@ -243,13 +261,14 @@ class Cache:
         new = [c for c in distinct if c not in numbers]
         if new:
             numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
-            a, b = self.lattices, lattices(new, self.pieces)
-            nodes, arcs = len(a.first_arc) - 1, len(a.end)
-            self.lattices = Lattices(
-                np.concatenate([a.root, b.root + nodes]), np.concatenate([a.last, b.last + nodes]),
-                np.concatenate([a.end, b.end + np.int32(nodes)]), np.concatenate([a.piece, b.piece]), np.concatenate([a.logp, b.logp]),
-                np.concatenate([a.upto, b.upto]), np.concatenate([a.first_arc[:-1], b.first_arc + arcs]),
-            )
+            old, made = self.lattices, lattices(new, self.pieces)
+            nodes, arcs = np.int32(len(old.first_arc)), np.int32(len(old.end))
+            made.root += nodes
+            made.last += nodes
+            made.end += nodes
+            made.first_arc += arcs
+            made.last_arc += arcs
+            self.lattices = Lattices(**{n: self._appended(n, x, getattr(made, n)) for n, x in vars(old).items()})
         return np.fromiter((numbers[c] for c in distinct), np.int64, len(distinct))
 
 
@@ -293,7 +312,7 @@ def draw(lat: Lattices, kind: np.ndarray, seed: np.ndarray, place: np.ndarray, s
     step = 0
     while len(active):
         u = uniform(seed[active], sample, place[active], step)
-        arc, most = lat.first_arc[at], lat.first_arc[at + 1] - 1
+        arc, most = lat.first_arc[at], lat.last_arc[at]
         beyond = np.flatnonzero((u > lat.upto[arc]) & (arc < most))
         while len(beyond):
             arc[beyond] += 1
@@ -306,7 +325,7 @@ def draw(lat: Lattices, kind: np.ndarray, seed: np.ndarray, place: np.ndarray, s
         active, at = active[on], at[on]
         step += 1
     begin = np.concatenate([[0], np.cumsum(count)])
-    arcs = np.empty(begin[-1], np.int64)
+    arcs = np.empty(begin[-1], np.int32)
     for step, (who, arc) in enumerate(taken):
         arcs[begin[who] + step] = arc
     return arcs, begin, np.minimum(logp, 0.0)
@@ -318,7 +337,7 @@ def draw_other(lat: Lattices, kind: int, excluded: list[tuple[int, ...]], number
     left = [(x, lat.logp[list(x)].tolist()) for x in excluded]
     while node < stop:
         begin = int(lat.first_arc[node])
-        logs = lat.logp[begin : int(lat.first_arc[node + 1])].tolist()
+        logs = lat.logp[begin : int(lat.last_arc[node]) + 1].tolist()
         mass = []
         for a, value in enumerate(logs, begin):
             p = exp(value)
