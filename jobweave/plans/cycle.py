@@ -22,6 +22,7 @@ from ..operators.report import run_summary
 from ..schemas import EVALUATIONS, POSTINGS, RUN_HISTORY
 from ..session import materialize
 from ..sources import ingest, registry
+from ..sources.tables import complete_runs
 
 DELIVERIES = StructType([StructField(name, StringType()) for name in store.EVALUATION_KEY])
 # A shortlist (user_id, source_id, job_id), or a function that makes one of the stored postings.
@@ -57,6 +58,11 @@ class RunTables:
                 raise
             return self.spark.createDataFrame([], fields)
 
+    def drop(self, name: str, run: int) -> None:
+        """Delete the rows of one run, if there are any."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/run={run}")
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
     def of_run(self, name: str, run: int) -> DataFrame:
         """What a run has just written."""
         return self.spark.read.parquet(f"{self.root}/{name}/run={run}")
@@ -73,12 +79,26 @@ class RunTables:
         return self.read("deliveries", DELIVERIES).filter(F.col("run") <= until)
 
     def waiting(self, run: int) -> DataFrame:
-        """Unsent evaluations: those of this run, and the ones the run before has left."""
-        new = self.read("evaluations", EVALUATIONS).filter(F.col("run") == run).drop("run")
-        old = self.read("pending", EVALUATIONS).filter(F.col("run") == run - 1).drop("run")
+        """Unsent evaluations: those of this run, and the ones earlier runs have left.
+
+        They are carried on from the last earlier run whose pending rows are complete. Runs between, which failed or
+        have no number, add their evaluations less their deliveries; where no run has complete pending
+        rows, that is the whole history.
+        """
+        last = max((r for r in complete_runs(self.spark, f"{self.root}/pending") if r < run), default=None)
+        later = F.lit(True) if last is None else F.col("run") > last
+        new = self.read("evaluations", EVALUATIONS).filter((F.col("run") <= run) & later)
+        if last is None:
+            old = self.spark.createDataFrame([], EVALUATIONS)
+        else:
+            old = self.read("pending", EVALUATIONS).filter(F.col("run") == last).drop("run")
         if self.rescored:  # a pair scored again replaces what was left of it
-            return store.upsert(old, new, store.EVALUATION_KEY, [F.desc("evaluated_at")])
-        return old.unionByName(new)
+            rows = store.upsert(old, new, store.EVALUATION_KEY, [F.desc("run"), F.desc("evaluated_at")])
+        else:
+            rows = old.unionByName(new.drop("run"))
+        if last == run - 1:
+            return rows
+        return rows.join(self.deliveries(run - 1).filter(later).drop("run"), list(store.EVALUATION_KEY), "left_anti")
 
     def evaluations(self, until: int) -> DataFrame:
         """The last evaluation per pair, marked sent once it was delivered."""
@@ -134,6 +154,7 @@ def evaluate_run(
     evaluated = results.filter("state = 'evaluated'").withColumns(
         {"email_sent": F.lit(False), "evaluated_at": run_at.cast("string")}
     )
+    tables.drop("pending", run)  # of an earlier attempt: it belongs to the evaluations that are replaced now
     tables.write(evaluated.select(*EVALUATIONS.fieldNames()), "evaluations", run)
     return results
 
@@ -149,9 +170,9 @@ def notify_run(
     """Write this run's digests, their lines, the delivered keys and what stays pending; returns digests and
     lines.
 
-    Read are this run's evaluations and those the run before has left pending, whether below a threshold or
-    without address, and no older ones. Deliveries and pending rows are written last: a run that fails before
-    leaves its matches pending. Runs are numbered one after another.
+    Read are this run's evaluations and those the last complete run has left pending, whether below a threshold or
+    without address, and no older ones; see `RunTables.waiting` for runs that failed since. Deliveries and pending
+    rows are written last: a run that fails before leaves its matches to the next run, whatever its number.
     """
     active = people.active_users(users, default_sources)
     postings = tables.postings(run).drop("run")

@@ -57,7 +57,7 @@ def run_batch(
     """The whole batch in order: insert, evaluate, send, log, report. Returns the mails, which the caller sends.
 
     Postings, evaluations and the run log live below `root`, a snapshot for each run of the first two. A run
-    that is repeated after a failure starts from the snapshots of the run before it.
+    starts from the last complete snapshot of each before it, so that runs that failed or were skipped lose nothing.
     """
     at, began = F.lit(run_at).cast("timestamp"), time.monotonic()
 
@@ -68,7 +68,11 @@ def run_batch(
         df.select(*schema.fieldNames()).write.mode("overwrite").parquet(f"{root}/{name}/run={run}")
         return table(name, run, schema)
 
-    stored, earlier = table("postings", run - 1, LEGACY_POSTINGS), table("evaluations", run - 1, LEGACY_EVALUATIONS)
+    def before(name: str, schema: StructType) -> DataFrame:
+        found = [r for r in tables.complete_runs(spark, f"{root}/{name}") if r < run]
+        return table(name, max(found, default=run - 1), schema)
+
+    stored, earlier = before("postings", LEGACY_POSTINGS), before("evaluations", LEGACY_EVALUATIONS)
     order = [F.desc("scraped_at"), *map(F.col, POSTING_TEXT)]
     new = materialize(store.insert_if_absent(stored, records.select(*LEGACY_POSTINGS.fieldNames()), ["job_id"], order), "new")
     postings = write(stored.unionByName(new), "postings", LEGACY_POSTINGS)

@@ -28,6 +28,19 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
     return stored.select(*[stored[field.name].cast(field.dataType).alias(field.name) for field in schema])
 
 
+def complete_runs(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the `run=` folders below `path` whose write was committed, in rising order. Folders without the
+    committer's mark do not count, so a caller has to have a way on without them."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [(entry.getPath(), entry.getPath().getName()) for entry in files.listStatus(folder)]
+    found = [(int(name[4:]), at) for at, name in names if name.startswith("run=") and name[4:].isdigit()]
+    mark = spark._jvm.org.apache.hadoop.fs.Path
+    return sorted(run for run, at in found if files.exists(mark(at, "_SUCCESS")))
+
+
 def read_documents(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """Documents of a JSON store, one per line, with a fixed schema: a missing field is null, fields
     outside the schema are dropped, and a line that is no document fails the job."""

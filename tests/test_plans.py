@@ -93,6 +93,41 @@ def test_notifying_reads_no_old_evaluations(spark, tmp_path):
     assert keys(tables.waiting(3), "user_id", "job_id") == {("ines", "P-40")}
 
 
+def test_matches_of_failed_and_skipped_runs_are_sent(spark, tmp_path):
+    tables = cycle.RunTables(spark, str(tmp_path))
+    run(tables, spark, 1, POSTINGS)
+    tables.write(evaluations(spark, [("tomo", "P-52", 9, False), ("ines", "P-52", 9, False)]), "evaluations", 2)
+    tables.write(spark.createDataFrame([("ines", "board", "P-52")], cycle.DELIVERIES), "deliveries", 2)
+    # Run 2 has delivered one of its matches and failed before its pending rows; 3 is skipped.
+    tables.write(evaluations(spark, []), "evaluations", 4)
+    left = {("ines", "P-40"), ("tomo", "P-17"), ("tomo", "P-40"), ("tomo", "P-52")}
+    assert keys(tables.waiting(4), "user_id", "job_id") == left
+    # So does a pending folder that was not committed.
+    (tmp_path / "pending" / "run=2").mkdir()
+    assert keys(tables.waiting(4), "user_id", "job_id") == left
+    # A store without any pending rows falls back to the whole history.
+    shutil.rmtree(tmp_path / "pending")
+    assert keys(tables.waiting(4), "user_id", "job_id") == left
+    again = cycle.RunTables(spark, str(tmp_path), rescored=True)
+    tables.write(evaluations(spark, [("tomo", "P-17", 10, False)]), "evaluations", 4)
+    assert keys(again.waiting(4), "user_id", "job_id", "score") == {("ines", "P-40", 3), ("tomo", "P-17", 10), ("tomo", "P-40", 5), ("tomo", "P-52", 9)}
+
+
+def test_single_user_batches_go_on_after_failed_and_skipped_runs(spark, tmp_path):
+    jobs = postings(spark).drop("source_id").withColumn("scraped_at", F.lit("2024-10-07").cast("timestamp"))
+
+    def fixed(rows):
+        return rows.withColumn("response", F.lit('{"score": 9, "summary": "s"}'))
+
+    def batch(records, run):
+        return single_user.run_batch(spark, str(tmp_path), records, "profile", fixed, 7, "Mail", f"2025-01-0{run}T08:00:00", run)
+
+    assert keys(batch(jobs.filter("job_id = 'P-17'"), 1), "job_id") == {("P-17",)}
+    batch(jobs, 2)
+    shutil.rmtree(tmp_path / "evaluations" / "run=2")  # as if run 2 had failed before its end
+    assert keys(batch(jobs.limit(0), 4), "job_id") == {("P-40",)}  # of run 2, and P-17 not again
+
+
 def test_all_pairs_are_listed_only_on_request(spark, tmp_path):
     tables = cycle.RunTables(spark, str(tmp_path))
     cycle.ingest_run(tables, 1, CONFIGS, {"board": lambda s, c: postings(s)}, F.lit("2025-01-01"))
