@@ -4,8 +4,16 @@ Texts are cut into words (runs of letters and digits, lower-cased). A seed is a
 words: the words under its ones are hashed, those under its zeros are ignored, so that a hit survives
 substitutions there. Window hashes of documents are joined with those of the benchmark; each hit gives a
 diagonal (place in the document minus place in the item), along which the two word sequences are compared
-whole. The best segment scores 1 for an equal word and -`PENALTY` for a different one; it is an overlap if it
-has at least `MIN_WORDS` words, or the whole of a shorter item, and at least `MIN_IDENTITY` of them are equal.
+whole. An overlap is a segment of a diagonal that has at least `MIN_WORDS` words, or the whole of a shorter item, and
+at least `MIN_IDENTITY` of them equal; the longest one is returned, its ends not trimmed. With `trimmed`, only the
+segment that is best at 1 for an equal word and -`PENALTY` for a different one is looked at, which loses overlaps
+with differences near their ends.
+
+No overlap is lost by the seeds at 3/4 equal words or more and `MIN_WORDS` words or more: under every choice of
+differences that the rule allows in 13 to 25 words one of `MASKS` hits (searched exhaustively), and a longer
+segment contains one of such a length. An item of fewer than `MIN_WORDS` words, d of which may differ, is cut
+into 2 d parts, and every choice of d parts is a mask over it as a whole; documents are read under the
+masks of the lengths that the benchmark has.
 
 Scale: before anything is shuffled, window hashes are tested against a bit table of the benchmark's hashes
 of at most 2^`MAX_LONGS` longs (8 MB), which reaches the tasks as a scalar; a fuller table lets more rows
@@ -13,27 +21,30 @@ pass, and loses none. Equal items are one class under their smallest id, so copi
 multiply hits (`item_classes` names the members). Hits are reduced to diagonals before texts are looked at
 again, and the table of documents that need it is written first, so that the join knows its size.
 
-Defined results: null and empty texts and items have no overlap; an item shorter than every mask cannot be
-found. A null document id is kept; rows that repeat both id and text give one row, rows that repeat only the
+Defined results: null and empty texts and items have no overlap. A null document id is kept; rows that repeat both id and text give one row, rows that repeat only the
 id are compared each by its text, and the longest overlap is returned. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_key, written
 
-# Fixed masks: six words each.
-MASKS = ("1101001011", "11100010101", "110010111")
+# Fixed masks: five words each.
+MASKS = ("111011", "1100001011", "1100010000011")
 MIN_WORDS = 13
 MIN_IDENTITY = 0.75
 PENALTY = 2
 BITS_PER_HASH = 256
 MIN_LONGS, MAX_LONGS = 10, 20
+WEIGHTS = 10_000  # weights along a diagonal are whole numbers: sums must be exact
+SUM_BLOCK = 64
 ROW_KEY = "__row_key"
 
 
@@ -45,6 +56,15 @@ def word_hashes(text: str) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
+def whole_masks(size: int) -> tuple[str, ...]:
+    """Masks over a whole item of `size` words, one of which hits wherever a quarter of the words or fewer differ."""
+    differ = size // 4
+    if not differ:
+        return ("1" * size,)
+    part = [i * 2 * differ // size for i in range(size)]
+    return tuple("".join("01"[part[i] in chosen] for i in range(size)) for chosen in itertools.combinations(range(2 * differ), differ))
+
+
 def seed_hashes(hashes: str, masks: tuple[str, ...] = MASKS) -> Column:
     """Window hashes under all masks, place by place: entry p * len(masks) + k is mask k at place p, null
     where the mask does not fit."""
@@ -52,9 +72,9 @@ def seed_hashes(hashes: str, masks: tuple[str, ...] = MASKS) -> Column:
 
     def at(p: Column) -> Column:
         found = []
-        for k, mask in enumerate(masks):
+        for mask in masks:
             taken = [F.get(w, p + i) for i, c in enumerate(mask) if c == "1"]
-            found.append(F.when(p + len(mask) <= F.size(w), F.xxhash64(F.lit(k), *taken)))
+            found.append(F.when(p + len(mask) <= F.size(w), F.xxhash64(F.lit(int("1" + mask, 2)), *taken)))
         return F.array(*found)
 
     last = F.size(w) - min(map(len, masks))
@@ -129,30 +149,92 @@ def best_segment(doc: Column, item: Column, diagonal: Column) -> Column:
     )
 
 
-def segments(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _running_sums(values: Column) -> Column:
+    """0 and the sums of the first 1, 2, ... values; appended in blocks, so that long arrays are not copied for each value."""
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / SUM_BLOCK)), lambda b: F.slice(values, (b * SUM_BLOCK + 1).cast("int"), SUM_BLOCK))
+
+    def append(sums: Column, x: Column) -> Column:
+        return F.concat(sums, F.array(F.element_at(sums, -1) + x))
+
+    def extend(sums: Column, block: Column) -> Column:
+        own = F.aggregate(block, F.array(F.element_at(sums, -1)), append)
+        return F.concat(sums, F.slice(own, 2, SUM_BLOCK))
+
+    return F.aggregate(blocks, F.array(F.lit(0).cast("long")), extend)
+
+
+def longest_segment(doc: Column, item: Column, diagonal: Column, min_identity: float = MIN_IDENTITY) -> Column:
+    """struct(start, n, equal): the longest segment of the diagonal with at least `min_identity` equal words, the one
+    with more equal words, then the first, among equally long ones; start is a place in the document.
+
+    An equal word weighs 1 - `min_identity`, a different one -`min_identity`: a segment is good if its sum is not
+    negative. In the order of the running sums, each end takes the first place met so far as its start.
+    """
+    start = F.greatest(diagonal, F.lit(0))
+    length = F.least(F.size(doc), F.size(item) + diagonal) - start
+    loss = round(min_identity * WEIGHTS)
+    weigh = lambda a, b: F.when(a == b, F.lit(WEIGHTS - loss)).otherwise(F.lit(-loss)).cast("long")
+    weights = F.zip_with(F.slice(doc, start + 1, length), F.slice(item, start - diagonal + 1, length), weigh)
+    by_sum = F.sort_array(F.transform(_let(weights, _running_sums), lambda x, i: F.struct(x.alias("sum"), i.alias("at"))))
+    none = F.struct(*[F.lit(0).cast(t).alias(n) for n, t in (("n", "int"), ("equal", "int"), ("early", "int"))])
+    empty = F.struct(F.lit(2**31 - 1).alias("from"), F.lit(0).cast("long").alias("low"), none.alias("best"))
+
+    def step(acc: Column, x: Column) -> Column:
+        sooner = x["at"] < acc["from"]
+        begin, low = F.when(sooner, x["at"]).otherwise(acc["from"]), F.when(sooner, x["sum"]).otherwise(acc["low"])
+        n = x["at"] - begin
+        equal = F.round((x["sum"] - low + n * loss) / WEIGHTS).cast("int")
+        best = F.greatest(acc["best"], F.struct(n.alias("n"), equal.alias("equal"), (-begin).alias("early")))
+        return F.struct(begin.alias("from"), low.alias("low"), best.alias("best"))
+
+    return F.aggregate(by_sum, empty, step, lambda a: F.struct(
+        (start - a["best"]["early"]).alias("start"), a["best"]["n"].alias("n"), a["best"]["equal"].alias("equal")
+    ))
+
+
+def segments(
+    docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY, trimmed: bool = False
+) -> DataFrame:
     """key (hash of id and text), doc_id, item_id, diagonal and s (the segment) for every diagonal with an overlap."""
     items = written(distinct_items(benchmark), "benchmark-items")
-    seeds = written(exploded_seeds(items, "item_id").withColumnRenamed("place", "item_place"), "benchmark-seeds")
+    size, masks = F.size("hashes"), MASKS
+    if trimmed:
+        found = exploded_seeds(items, "item_id")
+    else:
+        found = exploded_seeds(items.where(size >= MIN_WORDS), "item_id")
+        # At most MIN_WORDS - 1 rows.
+        for (n,) in sorted(items.where(size < MIN_WORDS).select(size).distinct().collect()):
+            found = found.unionByName(exploded_seeds(items.where(size == n), "item_id", masks=whole_masks(n)))
+            masks += whole_masks(n)
+    seeds = written(found.withColumnRenamed("place", "item_place"), "benchmark-seeds")
     key = row_key().alias("key")
-    windows = exploded_seeds(docs.select(key, word_hashes("text").alias("hashes")), "key")
+    windows = exploded_seeds(docs.select(key, word_hashes("text").alias("hashes")), "key", masks=masks)
     hits = passing(windows, seeds.select("h")).join(seeds, "h")
     diagonals = written(hits.select("key", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct(), "diagonals")
     touched = written(diagonals.select("key").distinct(), "touched")
     texts = docs.select(key, "doc_id", "text").join(touched, "key", "left_semi").dropDuplicates(["key"])
     texts = written(texts.select("key", "doc_id", word_hashes("text").alias("hashes")), "touched-texts")
     both = diagonals.join(texts, "key").join(items.withColumnRenamed("hashes", "item_hashes"), "item_id")
+    along = F.col("hashes"), F.col("item_hashes"), F.col("diagonal")
     found = both.select(
         "key", "doc_id", "item_id", "diagonal", F.size("item_hashes").alias("size"),
-        best_segment(F.col("hashes"), F.col("item_hashes"), F.col("diagonal")).alias("s"),
+        (best_segment(*along) if trimmed else longest_segment(*along, min_identity)).alias("s"),
     )
     enough = (F.col("s.n") >= F.least(F.lit(min_words), F.col("size"))) & (F.col("s.equal") >= min_identity * F.col("s.n"))
     return found.where(enough).drop("size")
 
 
-def overlaps(docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY) -> DataFrame:
+def overlaps(
+    docs: DataFrame, benchmark: DataFrame, min_words: int = MIN_WORDS, min_identity: float = MIN_IDENTITY, trimmed: bool = True
+) -> DataFrame:
     """doc_id, item_id, n_words, n_equal, doc_start, item_start: the best overlap of each document with each
-    class of items it overlaps. Places count words from 0."""
-    good = segments(docs, benchmark, min_words, min_identity)
+    class of items it overlaps. Places count words from 0. All overlaps are found only without `trimmed`."""
+    good = segments(docs, benchmark, min_words, min_identity, trimmed)
     rank = F.struct("s.equal", "s.n", (-F.col("s.start")).alias("early"), "diagonal")
     best = good.groupBy("doc_id", "item_id").agg(F.max(rank).alias("b"))
     return best.select(

@@ -51,7 +51,7 @@ def op10_language(spark, folder):
 @query
 def op8_decontaminate(spark, folder):
     """Overlaps of documents with benchmark items."""
-    return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
+    return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"), trimmed=False)
 
 
 @query

@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -73,6 +74,62 @@ def test_overlaps_are_those_by_hand(spark):
     assert got == want and len({r[0] for r in got}) > 6
 
 
+def unseeded(docs, items):
+    """Overlaps by looking at all segments of all diagonals."""
+    out = set()
+    for doc_id, text in docs:
+        d = words(text)
+        for item_id, item_text in items:
+            w, found = words(item_text), []
+            for diagonal in range(-len(w) + 1, len(d)):
+                lo, hi = max(diagonal, 0), min(len(d), len(w) + diagonal)
+                same = [d[p] == w[p - diagonal] for p in range(lo, hi)]
+                good = []
+                for a in range(len(same)):
+                    equal = 0
+                    for b in range(a, len(same)):
+                        equal += same[b]
+                        if 4 * equal >= 3 * (b + 1 - a):
+                            good.append((b + 1 - a, equal, -a - lo))
+                n, equal, early = max(good, default=(0, 0, 0))
+                if n >= min(dc.MIN_WORDS, len(w)):
+                    found.append((equal, n, early, diagonal))
+            if found:
+                equal, n, early, diagonal = max(found)
+                out.add((doc_id, item_id, n, equal, -early, -early - diagonal))
+    return out
+
+
+def test_no_overlap_is_lost(spark):
+    rng = random.Random(5)
+    line = lambda n: [f"w{rng.randrange(200)}" for _ in range(n)]
+    items = [(i, line(n)) for i, n in enumerate([1, 3, 5, 8, 9, 11, 12, 13, 14, 16, 20, 24, 130])]
+    docs = []
+    for i, (_, item) in enumerate(items[:-1]):
+        for k in range(6):
+            passage = list(item)
+            differ = rng.sample(range(len(item)), len(item) // 4 + (k == 5))
+            for p in [11, 12][:k] if len(item) == 13 and k < 3 else differ:  # near the end, where trimming cuts
+                passage[p] = "changed"
+            docs.append((10 * i + k, " ".join(line(rng.randrange(12)) + passage + line(rng.randrange(12)))))
+    docs.append((900, " ".join(w if p % 5 else "changed" for p, w in enumerate(items[-1][1]))))
+    rows = [(i, " ".join(w)) for i, w in items]
+    want = unseeded(docs, rows)
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(rows, "item_id long, text string")
+    assert {tuple(r) for r in dc.overlaps(d, b, trimmed=False).collect()} == want
+    assert {r[0] for r in want} >= {70, 71, 72, 73, 74, 900}  # 13 words with up to 3 differences, and a long item
+    assert {r.doc_id for r in dc.without_overlaps(d, b).collect()} == {i for i, _ in docs} - {r[0] for r in want}
+
+
+def test_masks_hit_whatever_differs():
+    def hit(mask, n, differ):
+        return any(all(mask[p - at] == "0" for p in differ if at <= p < at + len(mask)) for at in range(n - len(mask) + 1))
+
+    for n in [*range(1, 18), 20]:
+        masks = dc.whole_masks(n) if n < dc.MIN_WORDS else dc.MASKS
+        assert all(any(hit(m, n, differ) for m in masks) for differ in itertools.combinations(range(n), n // 4)), n
+
+
 def test_copies_ties_and_empty_tables(spark):
     _, items = sample()
     text = next(t for _, t in items if len(t.split()) >= 15)
