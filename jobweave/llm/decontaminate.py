@@ -18,7 +18,7 @@ masks of the lengths that the benchmark has.
 Scale: before anything is shuffled, window hashes are tested against a bit table of the benchmark's hashes
 of at most 2^`MAX_LONGS` longs (8 MB), which reaches the tasks as a scalar; a fuller table lets more rows
 pass, and loses none. Equal items are one class under their smallest id, so copies in the benchmark do not
-multiply hits (`item_classes` names the members). Hits are reduced to diagonals before texts are looked at
+multiply hits (`with_members` adds the ids of all members). Hits are reduced to diagonals before texts are looked at
 again, and the table of documents that need it is written first, so that the join knows its size.
 
 Defined results: null and empty texts and items have no overlap. A null document id is kept; rows that repeat both id and text give one row, rows that repeat only the
@@ -243,6 +243,12 @@ def overlaps(
     )
 
 
+def with_members(found: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`found` with item_ids, the ids of all items of the class that item_id names, in order."""
+    members = item_classes(benchmark).groupBy("class_id").agg(F.sort_array(F.collect_set("item_id")).alias("item_ids"))
+    return found.join(members.withColumnRenamed("class_id", "item_id"), "item_id", "left").select(*found.columns, "item_ids")
+
+
 def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, with all columns, whose text overlaps no item."""
     hit = written(segments(docs, benchmark).select(F.col("key").alias(ROW_KEY)).distinct(), "overlapping")

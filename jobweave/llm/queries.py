@@ -50,8 +50,9 @@ def op10_language(spark, folder):
 
 @query
 def op8_decontaminate(spark, folder):
-    """Overlaps of documents with benchmark items."""
-    return decontaminate.overlaps(read(spark, folder, "documents"), read(spark, folder, "benchmark"), trimmed=False)
+    """Overlaps of documents with benchmark items, each with the ids of all equal items."""
+    items = read(spark, folder, "benchmark")
+    return decontaminate.with_members(decontaminate.overlaps(read(spark, folder, "documents"), items, trimmed=False), items)
 
 
 @query

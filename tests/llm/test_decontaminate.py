@@ -3,6 +3,7 @@ import random
 import re
 
 from jobweave.llm import decontaminate as dc
+from jobweave.llm.queries import QUERIES
 
 
 def words(text):
@@ -143,6 +144,15 @@ def test_copies_ties_and_empty_tables(spark):
     assert sorted(r.text for r in dc.without_overlaps(other, b).collect()) == ["clean too", "clean words only"]
 
 
+def test_rows_name_all_equal_items(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(15))
+    items = [(7, text), (5, text.upper()), (9, text + "."), (8, text + " more")]
+    spark.createDataFrame([(1, text), (2, "clean")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    got = QUERIES["op8_decontaminate"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.item_id, r.item_ids) for r in got) == [(1, 5, [5, 7, 9]), (1, 8, [8])]
+
+
 def test_no_python_in_the_plan(spark):
     docs, items = sample()
     plan = dc.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
