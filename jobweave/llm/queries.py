@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import backoff, decontaminate, langid, licenses, maintext, perplexity, quality, segment, simhash, warc
+from . import backoff, collocations, decontaminate, exhaustive, langid, licenses, maintext, perplexity, quality, reversedsearch, segment, simhash, warc
 from .common import crc_mod, read
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,3 +96,21 @@ def op6_backoff(spark, folder):
 def op1_sampled_pieces(spark, folder):
     """Sampled segmentations of every document, and whether they decode to its text."""
     return segment.encode(read(spark, folder, "documents"), decoded=True)
+
+
+@query
+def op11_exact_topk(spark, folder):
+    """The five rows with the largest integer inner product for every vector whose id is divisible by 50."""
+    return exhaustive.search(read(spark, folder, "embeddings"), F.pmod(F.col("vec_id"), F.lit(50)) == 0)
+
+
+@query
+def op12_collocations(spark, folder):
+    """The 2000 strongest phrases of every language."""
+    return collocations.collocations(read(spark, folder, "documents"))
+
+
+@query
+def op13_reversed_search(spark, folder):
+    """The ten highest-scoring documents for every benchmark item."""
+    return reversedsearch.ranked(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
