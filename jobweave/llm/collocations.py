@@ -222,7 +222,7 @@ class Counting:
             head = pc.binary_join_element_wise(*column[: self.least], " ")
             names = ["head", *(f"w{j + 1}" for j in range(self.least, self.most))]
             table = pa.table([head, *column[self.least :]], names=names).append_column("n", pa.array(run.values(), pa.int64()))
-            table = table.sort_by([(c, "ascending") for c in names])
+            table = table.take(pc.sort_indices(table, sort_keys=[(c, "ascending") for c in names], null_placement="at_start"))
             table = table.add_column(0, "lang", pa.array([self.lang] * len(table)))
             yield from table.combine_chunks().to_batches(max_chunksize=RUN_ROWS)
 

@@ -14,8 +14,7 @@ The work is that of the queries times all rows, in tasks of equal size; what lea
 Defined results: vectors that are null, or hold a null or non-finite component, take no part; components beyond the
 end of the shorter vector count as zero, so an empty vector scores 0. Rows are told apart by a number of their own:
 of rows with one id each is a query, and the others are its candidates. Equal scores go by smaller id, null ids
-last, and a null id is no query. Arithmetic is exact; scores beyond 64 bits are given as the nearest long, in the
-order of the exact values. Fewer than `k` candidates give fewer rows, an empty table none. Extra columns are ignored.
+last, and a null id is no query. Arithmetic is exact; scores beyond 64 bits count as the nearest long. Fewer than `k` candidates give fewer rows, an empty table none. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -91,7 +90,7 @@ class Postings:
                 out[self.row[a]] += added
             else:
                 out[np.ix_(self.row[a], queries.row[b])] += added
-        return out
+        return np.minimum(np.maximum(out, -LONG - 1), LONG) if kind is object else out
 
 
 def blocks(vectors: pa.Array, rows: int) -> list[tuple[int, Postings]]:
@@ -151,7 +150,7 @@ def search_tile(seeking: pa.Table, offered: pa.Table, k: int = K) -> pa.Table:
                 kept[start + q] = sorted(merged, key=lambda x: -x[0])[:k]
     query = np.repeat(np.arange(len(kept)), [len(x) for x in kept])
     found = np.array([p for x in kept for _, p in x], np.int64)
-    scores = [min(max(s, -LONG - 1), LONG) for x in kept for s, _ in x]
+    scores = [s for x in kept for s, _ in x]
     return pa.table(
         [
             pa.array(query_rows[query]),
