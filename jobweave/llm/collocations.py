@@ -8,16 +8,16 @@ whole subtrees, the largest first, are spilled as sorted runs (language, first w
 are partitioned by ranges of window prefixes, sorted, and merged in one reading: windows that share their first
 k words are neighbours there, so every phrase's count is the sum of a stretch.
 
-Three streams over the texts count words, pairs of words, and phrases of three to five words. A phrase is found
-`least` times only if its words and pairs are, so the second stream cuts pieces at rarer words and the third at rarer
-pairs. The streams know them by a table of `BITS` bits, of that size for any corpus: a rare word or pair
+Four streams over the texts count words, pairs, triples, and phrases of four or more words. A phrase is found `least`
+times only if all shorter ones inside it are, so a stream ends its windows at rarer words and, from the triples on, at
+rarer pairs or triples. It knows the others by a table of `BITS` bits, of that size for any corpus: a rare phrase
 that shares a bit costs work and changes nothing, as counts are compared with `least` in the end.
 
 Of the phrases found `least` times, those whose words stand inside a longer one found as often are dropped. A cut after
 the first k words scores floor(1000 * a * n / (l * r)) with the counts a, l, r of the phrase and its two parts and
 the n words of the language, in decimals of 38 digits; the lowest-scoring cut counts (then the smallest k).
 
-Scale: a task's memory is bounded by `ENTRIES`, `WORDS` and `CHUNK`, whatever the texts. Copies add up in a task's trie
+Scale: a task's memory is bounded by `ENTRIES`, `WORDS`, `CHUNK` and `BUFFER`, whatever the texts. Copies add up in a task's trie
 before anything is shuffled; a prefix that holds many windows spans several range partitions, whose sums at the
 boundaries are added at the end. Runs are written before they are partitioned, so a lost executor costs no counting.
 The best phrases of a language are found in two rounds over parts of it.
@@ -31,6 +31,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +50,9 @@ UNKNOWN_LANG = "und"
 BURST = 8_192
 ENTRIES = 1 << 20
 WORDS = 1 << 20
+WORD_BITS = 21  # of a word's number: the words met, and those of one chunk more
 CHUNK = 1 << 20
+BUFFER = 1 << 20
 BITS = 1 << 27
 RUN_ROWS = 1 << 15
 ID = 4  # bytes of a word number
@@ -127,8 +130,20 @@ def _windows(node: Branch | Leaf, before: bytes) -> Iterator[tuple[bytes, int]]:
             yield from _windows(found, before + step)
 
 
+def window_counts(columns: list[np.ndarray]) -> dict[bytes, int]:
+    """Windows as bytes, and how often each occurs."""
+    if len(columns) * WORD_BITS < 64:
+        packed = columns[0].astype(np.int64)
+        for c in columns[1:]:
+            packed = packed << WORD_BITS | c
+        packed, n = np.unique(packed, return_counts=True)
+        columns = [packed >> (WORD_BITS * j) & ((1 << WORD_BITS) - 1) for j in reversed(range(len(columns)))]
+    keys = np.stack(columns, axis=1).astype(">u4").reshape(-1).view(f"V{ID * len(columns)}").tolist()
+    return dict(zip(keys, n.tolist())) if len(columns) * WORD_BITS < 64 else Counter(keys)
+
+
 def pair_key(first, second):
-    """Hash of a pair from the hashes of its words; numpy integers."""
+    """Hash of a phrase and a further word from the hashes of both; numpy integers."""
     return first ^ ((second << np.uint64(23)) | (second >> np.uint64(41)))
 
 
@@ -165,55 +180,61 @@ class Words(dict):
 
 
 class Counting:
-    """Windows of one language in one task."""
+    """Windows of one language in one task. `grams` knows the phrases of `order` words that a window may hold."""
 
-    def __init__(self, lang: str, least: int, most: int, words: np.ndarray | None, pairs: np.ndarray | None):
-        self.lang, self.least, self.most, self.pairs = lang, least, most, pairs
+    def __init__(self, lang: str, least: int, most: int, words: np.ndarray | None, grams: np.ndarray | None, order: int = 0):
+        self.lang, self.least, self.most, self.grams, self.order = lang, least, most, grams, order
         self.words, self.trie = Words(lang, words), HatTrie(most)
+        self.waiting: list[np.ndarray] = []
 
     def read(self, text: bytes) -> Iterator[pa.RecordBatch]:
-        """Count all windows of `text`, in chunks that end between words; the last words of a chunk are carried on."""
-        tail = np.zeros(0, np.int32)
+        """Take in all words of `text`, in chunks that end between words; windows are counted `BUFFER` words at a time."""
         at = 0
         while at < len(text):
             end = len(text) if len(text) - at <= CHUNK else text.find(b" ", at + CHUNK)
             end = len(text) if end < 0 else end
             tokens = text[at:end].replace(END, b" . ").split()
-            numbers = np.concatenate([tail, np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens))])
+            self.waiting.append(np.fromiter(map(self.words.__getitem__, tokens), np.int32, len(tokens)))
             at = end
-            # A window needs most - 1 further words; zeros behind the end give the last ones theirs.
-            kept = 0 if at >= len(text) else self.most - 1
-            self._count(numbers if kept else np.append(numbers, np.zeros(self.most - 1, np.int32)))
-            tail = numbers[max(0, len(numbers) - kept) :] if kept else tail
+            if sum(map(len, self.waiting)) > BUFFER:
+                self.count()
             if len(self.words) > WORDS:
-                yield from self.runs(0)
-                before = [self.words.words[i] if i else END for i in tail.tolist()]
+                self.count()
+                yield from self.spill(0)
+                before = [self.words.words[i] if i else END for x in self.waiting for i in x.tolist()]
                 self.words.clear()
-                tail = np.fromiter(map(self.words.__getitem__, before), np.int32, len(before))
-
-    def _count(self, numbers: np.ndarray) -> None:
-        n = len(numbers) - self.most + 1
-        if n <= 0:
+                self.waiting = [np.fromiter(map(self.words.__getitem__, before), np.int32, len(before))]
+        self.waiting.append(np.zeros(1, np.int32))
+
+    def count(self, last: bool = False) -> None:
+        """Put the windows that begin in the waiting words into the trie. The last words wait for their windows' ends."""
+        numbers = np.concatenate([*self.waiting, np.zeros(self.most - 1 if last else 0, np.int32)]) if self.waiting else np.zeros(0, np.int32)
+        n = max(0, len(numbers) - self.most + 1)
+        self.waiting = [] if last else [numbers[n:]]
+        if not n:
             return
         alive = numbers[:n] > 0
-        windows = np.zeros((n, self.most), ">u4")
-        windows[:, 0] = numbers[:n]
-        if self.pairs is not None:
+        columns = [np.where(alive, numbers[:n], 0)]
+        if self.grams is not None:
             hashes = np.array(self.words.hashes, np.uint64)[numbers]
-            key = pair_key(hashes[:-1], hashes[1:]) & np.uint64(BITS - 1)
-            linked = (self.pairs[key >> np.uint64(3)] >> (key & np.uint64(7)).astype(np.uint8)) & 1 > 0
+            key = hashes[: len(hashes) - self.order + 1]
+            for j in range(1, self.order):
+                key = pair_key(key, hashes[j : len(key) + j])
+            key = key & np.uint64(BITS - 1)
+            known = (self.grams[key >> np.uint64(3)] >> (key & np.uint64(7)).astype(np.uint8)) & 1 > 0
+        started = alive
         for j in range(1, self.most):
             alive = alive & (numbers[j : n + j] > 0)
-            if self.pairs is not None:
-                alive &= linked[j - 1 : n + j - 1]
+            if self.grams is not None and j >= self.order - 1:
+                alive &= known[j - self.order + 1 : n + j - self.order + 1]
             if j == self.least - 1:
                 started = alive
-            windows[:, j] = np.where(alive, numbers[j : n + j], 0)
-        windows = windows[started if self.least > 1 else windows[:, 0] > 0]
-        if len(windows):
-            self.trie.add(Counter(windows.reshape(-1).view(f"V{ID * self.most}").tolist()))
+            columns.append(np.where(alive, numbers[j : n + j], 0))
+        columns = [c[started] for c in columns]
+        if len(columns[0]):
+            self.trie.add(window_counts(columns))
 
-    def runs(self, keep: int) -> Iterator[pa.RecordBatch]:
+    def spill(self, keep: int) -> Iterator[pa.RecordBatch]:
         """Spill subtrees until at most `keep` windows are left, each run in the order of its words."""
         words = pa.array(self.words.words, pa.binary())
         for run in self.trie.spill(keep):
@@ -227,11 +248,11 @@ class Counting:
             yield from table.combine_chunks().to_batches(max_chunksize=RUN_ROWS)
 
 
-def run_rows(docs: DataFrame, least: int, most: int, words=None, pairs=None, entries: int = ENTRIES) -> DataFrame:
+def run_rows(docs: DataFrame, least: int, most: int, words=None, grams=None, order: int = 0, entries: int = ENTRIES) -> DataFrame:
     """Sorted runs of windows of `least` to `most` words: lang, head (the first `least` words), the further words, n."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = [None if x is None else np.frombuffer(x.value, np.uint8) for x in (words, pairs)]
+        tables = [None if x is None else np.frombuffer(x.value, np.uint8) for x in (words, grams)]
         counting: dict[str, Counting] = {}
         for batch in batches:
             texts: dict[str, list[bytes]] = {}
@@ -240,13 +261,14 @@ def run_rows(docs: DataFrame, least: int, most: int, words=None, pairs=None, ent
                     texts.setdefault(lang, []).append(text)
             for lang, own in texts.items():
                 if lang not in counting:
-                    counting[lang] = Counting(lang, least, most, *tables)
+                    counting[lang] = Counting(lang, least, most, *tables, order)
                 yield from counting[lang].read(END.join(own).translate(_FOLD))
                 while sum(x.trie.size for x in counting.values()) > entries:
                     largest = max(counting.values(), key=lambda x: x.trie.size)
-                    yield from largest.runs(largest.trie.size // 2)
+                    yield from largest.spill(largest.trie.size // 2)
         for x in counting.values():
-            yield from x.runs(0)
+            x.count(last=True)
+            yield from x.spill(0)
 
     schema = "lang string, head string, " + "".join(f"w{j + 1} string, " for j in range(least, most)) + "n long"
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNKNOWN_LANG)).alias("lang"), "text")
@@ -316,12 +338,20 @@ def phrase_counts(docs: DataFrame, least: int = LEAST, longest: int = LONGEST, e
     runs = written(run_rows(docs, 1, 1, entries=entries), "word-runs")
     ones = written(merged(runs, 1, 1, least), "words")
     words = sc.broadcast(bit_table(ones.select(hashed(F.col("phrase")).alias("h"))))
-    twos = written(merged(run_rows(docs, 2, 2, words, entries=entries), 2, 2, least), "pairs")
-    pair = F.split("phrase", " ")
-    pairs = sc.broadcast(bit_table(twos.select(pair_key_column(hashed(pair[0]), hashed(pair[1])).alias("h"))))
-    long_runs = written(run_rows(docs, 3, longest, words, pairs, entries), "phrase-runs")
-    rest = written(merged(long_runs, 3, longest, least), "phrases")
-    return ones.unionByName(twos).unionByName(rest), runs.groupBy("lang").agg(F.sum("n").alias("n"))
+    parts = [ones]
+    grams = None
+    for order in range(2, min(longest, 3) + 1):
+        runs_of = run_rows(docs, order, order, words, grams, order - 1, entries)
+        parts.append(written(merged(runs_of, order, order, least), "phrases"))
+        word = F.split("phrase", " ")
+        key = hashed(word[0])
+        for j in range(1, order):
+            key = pair_key_column(key, hashed(word[j]))
+        grams = sc.broadcast(bit_table(parts[-1].select(key.alias("h"))))
+    if longest > 3:
+        long_runs = written(run_rows(docs, 4, longest, words, grams, 3, entries), "phrase-runs")
+        parts.append(written(merged(long_runs, 4, longest, least), "phrases"))
+    return reduce(DataFrame.unionByName, parts), runs.groupBy("lang").agg(F.sum("n").alias("n"))
 
 
 def _part(words: Column, start, length) -> Column:

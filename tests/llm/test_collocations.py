@@ -77,6 +77,7 @@ def test_chunks_bursts_spills_and_vocabularies_change_nothing(monkeypatch):
             want.update(tuple(words[i : i + 5]) for i in range(len(words) - 2))
     for chunk, burst, words, entries in [(1 << 20, 8192, 1 << 20, 1 << 20), (7, 2, 5, 10), (50, 1, 1 << 20, 3), (1, 3, 1, 1000)]:
         monkeypatch.setattr(collocations, "CHUNK", chunk)
+        monkeypatch.setattr(collocations, "BUFFER", 4 * chunk)
         monkeypatch.setattr(collocations, "WORDS", words)
         counting = collocations.Counting("en", 3, 5, None, None)
         counting.trie.burst = burst
@@ -85,15 +86,23 @@ def test_chunks_bursts_spills_and_vocabularies_change_nothing(monkeypatch):
         for t in texts:
             runs += counting.read(t.encode().translate(collocations._FOLD))
             if counting.trie.size > entries:
-                runs += counting.runs(entries // 2)
+                runs += counting.spill(entries // 2)
                 assert counting.trie.size <= entries // 2
-        for run in [*runs, *counting.runs(0)]:
+        counting.count(last=True)
+        for run in [*runs, *counting.spill(0)]:
             keys = [tuple(r["head"].split(" ")) + tuple(w for w in (r["w4"], r["w5"]) if w is not None) for r in run.to_pylist()]
-            assert keys == sorted(keys, key=lambda p: [w.encode() for w in p]) or len(keys) < 2
+            assert keys == sorted(keys, key=lambda p: [" ".join(p[:3]).encode(), *(w.encode() for w in p[3:])])
             found.update(dict(zip(keys, run["n"].to_pylist())))
         assert found == want
 
 
+def test_packed_and_plain_counts_agree():
+    rng = np.random.default_rng(4)
+    columns = [rng.integers(0, 4, 500).astype(np.int32) for _ in range(3)]
+    plain = collocations.window_counts([*columns, np.zeros(500, np.int32)])
+    assert {k[:12]: n for k, n in plain.items()} == collocations.window_counts(columns)
+
+
 def test_burst_keeps_all_windows():
     trie = collocations.HatTrie(3, burst=2)
     rng = np.random.default_rng(1)
