@@ -1,4 +1,4 @@
-"""Vector shortlist: the postings nearest to each user by cosine similarity."""
+"""Vector shortlist: the postings nearest to each user by cosine similarity, found through clusters."""
 
 from __future__ import annotations
 
@@ -7,12 +7,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .ranking import top_per_group
 from .tiles import tiled
 from .users import subscriptions
 
 TOP_K = 50  # fixed value: length of a user's shortlist
 TILE_ROWS = 2048
+CLUSTER_ROWS = 4096
+MAX_CLUSTERS = 1024
+WHOLE_INDEX = max(TILE_ROWS, MAX_CLUSTERS)  # tiles that hold all clusters of a board
+# Far above the rounding of similarities, angles and nine digits.
+TOLERANCE = 1e-6
 # Similarities equal to nine digits are ties, which the job id decides.
 SCALE = 1e9
 
@@ -23,18 +29,9 @@ def _unit(vectors: pd.Series) -> np.ndarray:
     return matrix / np.where(lengths == 0, 1, lengths)
 
 
-def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFrame:
-    """The `k` most similar postings per user, within the user's subscribed sources.
-
-    `users` has user_id, enabled_sources and vector; `postings` has source_id, job_id and vector.
-    The result is exact. A source is cut into tiles of bounded size on both sides; one task compares
-    a tile of users with a tile of postings by a matrix product and keeps `k` rows per user, so a
-    source with a third of all postings becomes many equal tasks, and what leaves a task is at most
-    `k` rows per user rather than its pairs.
-    """
-    seekers = subscriptions(users, "enabled_sources", "vector")
-    offers = postings.select("source_id", "job_id", "vector")
-    left, right, tile = tiled(seekers, offers, ["source_id"], "user_id", "job_id", TILE_ROWS)
+def _tiles_compared(seekers: DataFrame, offers: DataFrame, by: list[str], k: int) -> DataFrame:
+    """The `k` most similar postings per user and tile, where `by` is equal on both sides."""
+    left, right, tile = tiled(seekers, offers, by, "user_id", "job_id", TILE_ROWS)
 
     def nearest(seeking: pd.DataFrame, offered: pd.DataFrame) -> pd.DataFrame:
         columns = ["user_id", "source_id", "job_id", "similarity"]
@@ -59,8 +56,98 @@ def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K) -> DataFram
             columns=columns,
         )
 
-    found = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
+    return left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
         nearest, "user_id string, source_id string, job_id string, similarity double"
     )
+
+
+def clustered(offers: DataFrame, cluster_rows: int) -> tuple[DataFrame, DataFrame]:
+    """The index: `offers` with the cluster of each, and per cluster its centre, radius (an angle) and size.
+
+    A board has a cluster for about `cluster_rows` postings, at most `MAX_CLUSTERS`. Its centres are the postings
+    whose ids hash lowest, and a posting belongs to the nearest centre.
+    """
+    sizes = offers.groupBy("source_id").agg(F.least(F.ceil(F.count(F.lit(1)) / cluster_rows), F.lit(MAX_CLUSTERS)).alias("_clusters"))
+    drawn = top_per_group(offers, ["source_id"], [F.xxhash64("job_id"), F.col("job_id")], MAX_CLUSTERS, "cluster")
+    centres = drawn.join(sizes, "source_id").where("cluster <= _clusters").select("source_id", "cluster", F.col("vector").alias("centre"))
+    centres = materialize(centres, "centres")
+    left, right, tile = tiled(offers, centres, ["source_id"], "job_id", "cluster", WHOLE_INDEX)
+
+    def place(offered: pd.DataFrame, centre: pd.DataFrame) -> pd.DataFrame:
+        columns = ["source_id", "job_id", "vector", "cluster", "angle"]
+        if offered.empty or centre.empty:
+            return pd.DataFrame(columns=columns)
+        likeness = _unit(offered["vector"]) @ _unit(centre["centre"]).T
+        best = likeness.argmax(axis=1)
+        angle = np.arccos(np.clip(likeness[np.arange(len(best)), best], -1, 1))
+        return offered.assign(cluster=centre["cluster"].to_numpy()[best], angle=angle)[columns]
+
+    kind = offers.schema["vector"].dataType.simpleString()
+    placed = left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
+        place, f"source_id string, job_id string, vector {kind}, cluster int, angle double"
+    )
+    placed = materialize(placed, "clustered")
+    balls = placed.groupBy("source_id", "cluster").agg(F.max("angle").alias("radius"), F.count(F.lit(1)).alias("n"))
+    return placed, materialize(balls.join(centres, ["source_id", "cluster"]), "clusters")
+
+
+def to_visit(seekers: DataFrame, balls: DataFrame, k: int) -> DataFrame:
+    """`seekers` (user_id, source_id, vector, least) once for every cluster that they must look into.
+
+    Without `least`: for each board the nearest clusters that hold `k` postings. With `least`, the similarity of
+    the best `k` found there: the other clusters of the board that may hold a posting as similar. A posting at an
+    angle of at most r from a centre, which is at p from the user, is at p - r or more from the user.
+    """
+    left, right, tile = tiled(seekers, balls, ["source_id"], "user_id", "cluster", WHOLE_INDEX)
+
+    def choose(seeking: pd.DataFrame, ball: pd.DataFrame) -> pd.DataFrame:
+        columns = ["user_id", "source_id", "vector", "cluster"]
+        if seeking.empty or ball.empty:
+            return pd.DataFrame(columns=columns)
+        ball = ball.sort_values("cluster")
+        likeness = _unit(seeking["vector"]) @ _unit(ball["centre"]).T
+        order = np.argsort(-likeness, axis=1, kind="stable")
+        before = np.cumsum(ball["n"].to_numpy()[order], axis=1) - ball["n"].to_numpy()[order]
+        nearest = np.empty(likeness.shape, bool)
+        np.put_along_axis(nearest, order, before < k, axis=1)
+        gap = np.arccos(np.clip(likeness, -1, 1)) - ball["radius"].to_numpy()
+        least = seeking["least"].to_numpy(np.float64, na_value=np.nan)[:, None]
+        within = ~nearest & (np.cos(np.maximum(gap, 0)) >= least - TOLERANCE)
+        user, cluster = np.nonzero(np.where(np.isnan(least), nearest, within))
+        return seeking.iloc[user].assign(cluster=ball["cluster"].to_numpy()[cluster])[columns]
+
+    kind = seekers.schema["vector"].dataType.simpleString()
+    return left.groupBy(*tile).cogroup(right.groupBy(*tile)).applyInPandas(
+        choose, f"user_id string, source_id string, vector {kind}, cluster int"
+    )
+
+
+def shortlist(users: DataFrame, postings: DataFrame, k: int = TOP_K, cluster_rows: int | None = None) -> DataFrame:
+    """The `k` most similar postings per user, within the user's subscribed sources.
+
+    `users` has user_id, enabled_sources and vector; `postings` has source_id, job_id and vector.
+    The result is exact. Postings are clustered per board; a user first looks into the nearest clusters, and
+    then only into those that the bound of their centre and radius against the `k`-th best does not rule out. Users and
+    postings of a cluster are cut into tiles of bounded size; one task compares a tile of users with a tile of
+    postings by a matrix product and keeps `k` rows per user, so a source with a third of all postings becomes many
+    equal tasks, and what leaves a task is at most `k` rows per user rather than its pairs. Where no board has
+    postings for a second cluster, there is nothing to rule out and the boards are compared as they are.
+    """
+    cluster_rows = cluster_rows or CLUSTER_ROWS
+    seekers = subscriptions(users, "enabled_sources", "vector")
+    offers = postings.select("source_id", "job_id", "vector")
     order = [F.desc("similarity"), F.col("source_id"), F.col("job_id")]
-    return top_per_group(found, ["user_id"], order, k)
+    largest = offers.groupBy("source_id").count().agg(F.max("count")).first()[0] or 0
+    if largest <= cluster_rows:
+        return top_per_group(_tiles_compared(seekers, offers, ["source_id"], k), ["user_id"], order, k)
+    placed, balls = clustered(offers, cluster_rows)
+    placed = placed.drop("angle")
+    by = ["source_id", "cluster"]
+    near = _tiles_compared(to_visit(seekers.withColumn("least", F.lit(None).cast("double")), balls, k), placed, by, k)
+    best = materialize(top_per_group(near, ["user_id"], order, k), "nearest")
+    found = best.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n"), F.min("similarity").alias("_least"))
+    least = F.when(F.col("_n") == k, F.col("_least")).otherwise(F.lit(-2.0))
+    rest = seekers.join(found, "user_id", "left").select(*seekers.columns, least.alias("least"))
+    others = materialize(to_visit(rest, balls, k), "clusters-left")
+    more = best.drop("position").unionByName(_tiles_compared(others, placed, by, k))
+    return top_per_group(more, ["user_id"], order, k)

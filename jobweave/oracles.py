@@ -188,8 +188,8 @@ def _oracle(name: str, sql: str) -> None:
     used = _needed(sql, {})
     ctes = ", ".join(f"{t} AS ({TABLES[t]})" for t in TABLES if t in used)
     if ctes:
-        own = sql.startswith("WITH ")
-        sql = f"WITH {ctes}, {sql[5:]}" if own else f"WITH {ctes} {sql}"
+        start = next((w for w in ("WITH RECURSIVE ", "WITH ") if sql.startswith(w)), None)
+        sql = f"{start}{ctes}, {sql[len(start):]}" if start else f"WITH {ctes} {sql}"
     ORACLES[name] = sql
 
 
@@ -411,3 +411,16 @@ _oracle("vector_shortlist", """SELECT user_id, CAST(position AS INTEGER) AS posi
       (SELECT DISTINCT CAST(vec_id AS VARCHAR) AS user_id, unnest(['Board' || label, 'Board' || (vec_id % 4)]) AS source_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) u
       JOIN (SELECT 'Board' || label AS source_id, CAST(vec_id AS VARCHAR) AS job_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings) p USING (source_id)))
   WHERE position <= 50""")
+_oracle("near_copies", r"""WITH RECURSIVE k AS (SELECT source_id, job_id, trim(regexp_replace(lower(coalesce(description_raw, '')), '\s+', ' ', 'g')) AS t FROM texts),
+  named AS (SELECT source_id, job_id, md5(t) AS id FROM k),
+  w AS (SELECT md5(t) AS id, list_filter(string_split(t, ' '), lambda x: x <> '') AS ws FROM (SELECT DISTINCT t FROM k)),
+  s AS (SELECT DISTINCT id, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT id, ws, unnest(generate_series(1, greatest(len(ws) - 4, 1))) AS i FROM w WHERE len(ws) > 0)),
+  z AS (SELECT id, count(*) AS n FROM s GROUP BY id),
+  p AS (SELECT a.id AS a, b.id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.id <> b.id GROUP BY ALL),
+  e AS (SELECT a, b FROM p JOIN z x ON x.id = a JOIN z y ON y.id = b WHERE 10 * c >= 8 * (x.n + y.n - c)),
+  r AS (SELECT id, id AS root FROM w UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.id),
+  m AS (SELECT id, min(root) AS root FROM r GROUP BY id),
+  c AS (SELECT root, min({'s': source_id, 'j': job_id}) AS f, count(DISTINCT id) AS n_texts, count(DISTINCT source_id) AS n_boards FROM named JOIN m USING (id) GROUP BY root)
+  SELECT source_id, job_id, f.s AS class_source_id, f.j AS class_job_id, n_texts, n_boards, coalesce(n, 0) AS n_links
+  FROM named JOIN m USING (id) JOIN c USING (root) LEFT JOIN (SELECT a AS id, count(*) AS n FROM e GROUP BY a) USING (id)""")
+_oracle("indexed_shortlist", ORACLES["vector_shortlist"])

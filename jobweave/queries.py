@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import standins as st
 from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
-from .operators import accounts, alerts, duplicates, feed, ranking, report, repair, scoring, shortlist, store, tags, worklist
+from .operators import accounts, alerts, duplicates, feed, near_copies as near, ranking, report, repair, scoring, shortlist, store, tags, worklist
 from .operators import users as people
 from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
@@ -810,6 +810,19 @@ def shortlisted_worklist(spark, folder):
     return pairs.select(*store.EVALUATION_KEY)
 
 
+@query
+def indexed_shortlist(spark, folder):
+    """The same shortlist with small clusters, so that users rule most of a board out."""
+    nearest = shortlist.shortlist(st.user_vectors(spark, folder), st.posting_vectors(spark, folder), cluster_rows=16)
+    return nearest.select("user_id", "position", "source_id", "job_id", "similarity")
+
+
 @query
 def cross_source_dedup(spark, folder):
     return duplicates.cross_source_groups(st.document_postings(spark, folder), F.col("description_raw"))
+
+
+@query
+def near_copies(spark, folder):
+    """Classes of nearly equal texts over all boards."""
+    return near.near_copies(st.document_postings(spark, folder), F.col("description_raw"))

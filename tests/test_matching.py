@@ -176,8 +176,8 @@ def test_scorable_users_need_a_profile(spark):
     assert found == {"a": ("", "no profile text"), "b": ("", "no profile text"), "c": ("text", None)}
 
 
-@pytest.mark.parametrize("tile_rows", [2048, 3])
-def test_shortlist_against_brute_force(spark, monkeypatch, tile_rows):
+@pytest.mark.parametrize("tile_rows, cluster_rows", [(2048, None), (3, None), (2048, 5), (3, 2)])
+def test_shortlist_against_brute_force(spark, monkeypatch, tile_rows, cluster_rows):
     monkeypatch.setattr(shortlist, "TILE_ROWS", tile_rows)
     random = np.random.default_rng(5)
     vectors = random.integers(-2, 3, (60, 4)).astype(float)
@@ -197,5 +197,28 @@ def test_shortlist_against_brute_force(spark, monkeypatch, tile_rows):
         spark.createDataFrame(seekers, "user_id string, enabled_sources array<string>, vector array<double>"),
         spark.createDataFrame(jobs, "source_id string, job_id string, vector array<double>"),
         k=7,
+        cluster_rows=cluster_rows,
     )
     assert keys(nearest, "user_id", "position", "source_id", "job_id", "similarity") == expected
+
+
+def test_shortlist_skips_clusters(spark):
+    """Postings in tight bundles: a user looks into few clusters, and finds what a comparison with all finds."""
+    random = np.random.default_rng(6)
+    bundles = random.normal(size=(40, 16))
+    near = lambda n: bundles[n % 40] + random.normal(size=16) * 0.02
+    jobs = spark.createDataFrame([("b", f"J{i:04}", near(i).tolist()) for i in range(1200)], "source_id string, job_id string, vector array<double>")
+    people = spark.createDataFrame([(f"u{i}", ["b", "none"], near(i).tolist()) for i in range(60)], "user_id string, enabled_sources array<string>, vector array<double>")
+    columns = ["user_id", "position", "source_id", "job_id", "similarity"]
+    assert keys(shortlist.shortlist(people, jobs, 10, cluster_rows=20), *columns) == keys(shortlist.shortlist(people, jobs, 10), *columns)
+    placed, balls = shortlist.clustered(jobs, 20)
+    assert placed.count() == 1200 and balls.count() > 30 and balls.agg(F.sum("n")).first()[0] == 1200
+    seekers = people.select("user_id", F.lit("b").alias("source_id"), "vector")
+    first = shortlist.to_visit(seekers.withColumn("least", F.lit(None).cast("double")), balls, 10)
+    second = shortlist.to_visit(seekers.withColumn("least", F.lit(0.99)), balls, 10)
+    looked_into = first.unionByName(second).join(balls, ["source_id", "cluster"])
+    assert looked_into.select("user_id", "cluster").distinct().count() == looked_into.count()
+    assert looked_into.agg(F.sum("n")).first()[0] < 0.2 * 60 * 1200
+    assert second.count() + first.count() < 60 * balls.count()
+    everywhere = shortlist.to_visit(seekers.withColumn("least", F.lit(-2.0)), balls, 10)
+    assert everywhere.count() + first.count() == 60 * balls.count()
