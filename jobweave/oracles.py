@@ -424,3 +424,6 @@ _oracle("near_copies", r"""WITH RECURSIVE k AS (SELECT source_id, job_id, trim(r
   SELECT source_id, job_id, f.s AS class_source_id, f.j AS class_job_id, n_texts, n_boards, coalesce(n, 0) AS n_links
   FROM named JOIN m USING (id) JOIN c USING (root) LEFT JOIN (SELECT a AS id, count(*) AS n FROM e GROUP BY a) USING (id)""")
 _oracle("indexed_shortlist", ORACLES["vector_shortlist"])
+_oracle("best_by_tags", """SELECT user_id, CAST(position AS INTEGER) AS position, source_id, job_id, CAST(m AS INTEGER) AS n_matched, CAST(greatest(1, ceil(10.0 * m / n)) AS INTEGER) AS score FROM
+  (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY m DESC, source_id, job_id) AS position FROM
+    (SELECT user_id, source_id, job_id, len(list_intersect(u.tags, j.tags)) AS m, len(u.tags) AS n FROM user_tags u, job_tags j WHERE len(u.tags) > 0) WHERE m > 0) WHERE position <= 10""")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import standins as st
 from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
-from .operators import accounts, alerts, duplicates, feed, near_copies as near, ranking, report, repair, scoring, shortlist, store, tags, worklist
+from .operators import accounts, alerts, duplicates, feed, near_copies as near, ranking, report, repair, scoring, shortlist, store, tag_search, tags, worklist
 from .operators import users as people
 from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
@@ -790,6 +790,12 @@ def attempt_outcome(spark, folder):
     return scoring.attempt_outcomes(attempts, ["l_orderkey"], ["l_partkey", "l_shipdate", "score"])
 
 
+@query
+def best_by_tags(spark, folder):
+    """The ten postings that share most tags with each user."""
+    return tag_search.best_by_tags(st.tagged_users(spark, folder), _tagged(spark, folder))
+
+
 @query
 def vector_shortlist(spark, folder):
     nearest = shortlist.shortlist(st.user_vectors(spark, folder), st.posting_vectors(spark, folder))

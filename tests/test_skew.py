@@ -23,7 +23,7 @@ HOT = {
 QUERIES = [
     "latest_evaluations", "evaluation_worklist", "worklist_summary", "user_feed", "feed_page", "feed_min_score", "digest_lines",
     "user_digest", "mark_sent", "upsert_jobs", "insert_if_absent", "new_by_source", "register_accounts", "identity_resolve",
-    "attempt_outcome", "quota_cutoff", "cross_source_dedup", "near_copies", "vector_shortlist", "tag_match", "score_pairs", "stream_ingest",
+    "attempt_outcome", "quota_cutoff", "cross_source_dedup", "near_copies", "vector_shortlist", "best_by_tags", "tag_match", "score_pairs", "stream_ingest",
 ]
 
 
