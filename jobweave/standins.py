@@ -14,6 +14,7 @@ DEFAULT_SOURCES = ("Brand#1",)
 BASE_URL = "https://jobs.example.org"
 PRODUCT = "Match Mail"
 RUN_AT = "2025-02-01T08:00:00"
+SECOND_CRAWL = 1998  # the year from which line items arrive in a second batch
 AS_OF = "2025-01-20"
 PROFILE = "Somebody who reads and writes long texts"
 

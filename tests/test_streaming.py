@@ -4,6 +4,7 @@ import datetime
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from fixtures import keys
@@ -61,6 +62,53 @@ def test_only_unseen_keys_enter_across_batches_and_runs(spark, tmp_path):
     assert keys(after, "source_id", "job_id", "title") == {("a", "1", "w"), ("a", "2", "x"), ("b", "1", "x"), ("a", "3", "x")}
 
 
+def bucket_folders(store):
+    return {n for n in os.listdir(store) if n.startswith("bucket_of_")}
+
+
+def test_a_batch_opens_only_its_buckets(spark, tmp_path):
+    folder, store, progress = tmp_path / "in", tmp_path / "store", tmp_path / "cp"
+    put(folder, "1.json", [("a", str(i), "x", 1) for i in range(600)])
+    run(spark, folder, store, progress)
+    column = ingest.bucket_column(ingest.BUCKETS)
+    assert len(bucket_folders(store)) > 200
+    one = spark.createDataFrame([("a", "77", "late", 0)], SCHEMA)
+    hit = [r[0] for r in one.select(ingest.bucket_of(ingest.BUCKETS)).collect()]
+    known = ingest.stored_keys(spark, str(store), one.schema, 1, hit)
+    assert ("a", "77") in keys(known, "source_id", "job_id")
+    assert known.inputFiles() and all(f"/{column}={hit[0]}/" in f for f in known.inputFiles())
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<source_id:string,job_id:string>" in plan
+    # Other buckets may be gone, as far as this batch is concerned; only its own files are opened or written.
+    before = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(store) for f in names}
+    put(folder, "2.json", [("a", "77", "late", 0), ("new", "1", "x", 0)])
+    run(spark, folder, store, progress)
+    after = {f: os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(store) for f in names if f.startswith("part")}
+    assert all(after[f] == t for f, t in before.items() if f.startswith("part")) and len(set(after) - set(before)) == 1
+
+
+def test_no_bucket_no_reading(spark, tmp_path):
+    assert ingest.stored_keys(spark, str(tmp_path / "none"), spark.createDataFrame([], SCHEMA).schema, 3, [1, 2]).collect() == []
+
+
+def test_another_layout_is_refused(spark, tmp_path):
+    store = tmp_path / "store"
+    put(tmp_path / "in", "1.json", [("a", "1", "x", 1)])
+    run(spark, tmp_path / "in", store, tmp_path / "cp")
+    with pytest.raises(ValueError, match="bucket_of_7"):
+        ingest.stored_keys(spark, str(store), spark.createDataFrame([], SCHEMA).schema, 1, [0], buckets=7)
+
+
+def test_a_failed_batch_is_made_good(spark, tmp_path):
+    """A batch that died after some of its buckets were written gives the same rows when it is repeated."""
+    folder, store = tmp_path / "in", tmp_path / "store"
+    put(folder, "1.json", [("a", str(i), "x", 1) for i in range(50)])
+    first = sorted(run(spark, folder, store, tmp_path / "cp1").collect())
+    for name in sorted(bucket_folders(store))[::2]:
+        os.rename(store / name, tmp_path / name)
+    assert sorted(run(spark, folder, store, tmp_path / "cp2").collect()) == first
+
+
 def test_a_repeated_batch_changes_nothing(spark, tmp_path):
     """Without its progress folder a stream starts again at batch 0 and gives the same store."""
     folder, store = tmp_path / "in", tmp_path / "store"
