@@ -427,3 +427,11 @@ _oracle("indexed_shortlist", ORACLES["vector_shortlist"])
 _oracle("best_by_tags", """SELECT user_id, CAST(position AS INTEGER) AS position, source_id, job_id, CAST(m AS INTEGER) AS n_matched, CAST(greatest(1, ceil(10.0 * m / n)) AS INTEGER) AS score FROM
   (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY m DESC, source_id, job_id) AS position FROM
     (SELECT user_id, source_id, job_id, len(list_intersect(u.tags, j.tags)) AS m, len(u.tags) AS n FROM user_tags u, job_tags j WHERE len(u.tags) > 0) WHERE m > 0) WHERE position <= 10""")
+_oracle("alert_transitions", f"""WITH h AS (SELECT CAST(user_id AS VARCHAR) AS key, time_bucket(INTERVAL 1 HOUR, ts) AS hour, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY ALL),
+  e AS (SELECT key, m, (SELECT coalesce(sum(n), 0) FROM h WHERE h.key = k.key AND hour >= m - INTERVAL 2 HOUR AND hour < m) AS n FROM (SELECT DISTINCT key FROM h) k,
+    (SELECT unnest(generate_series((SELECT date_trunc('day', min(ts)) FROM events), (SELECT max(ts) - INTERVAL 2 HOUR FROM events), INTERVAL 1 HOUR)) AS m) t),
+  c AS (SELECT *, CASE WHEN n > 0 AND NOT was THEN 'fired' WHEN n = 0 AND was THEN 'resolved' END AS state FROM
+    (SELECT *, coalesce(lag(n > 0) OVER (PARTITION BY key ORDER BY m), false) AS was FROM e))
+  SELECT key, state, strftime(m, {ISO}) AS "at", strftime(max(CASE WHEN state = 'fired' THEN m END) OVER (PARTITION BY key ORDER BY m), {ISO}) AS since, CAST(n AS BIGINT) AS n_failures
+  FROM c WHERE state IS NOT NULL""")
+_oracle("alert_transitions_stream", ORACLES["alert_transitions"])

@@ -20,6 +20,7 @@ from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
 from .streaming import alerts as windows
 from .streaming import ingest as incremental
+from .streaming import rule
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -717,6 +718,28 @@ def weekly_activity(spark, folder):
     return _iso_windows(windows.weekly_activity(st.table(spark, folder, "events")), "week_start")
 
 
+@query
+def alert_transitions(spark, folder):
+    """When the failure alert of each user fired and resolved, from stored events."""
+    events = st.table(spark, folder, "events")
+    newest = events.agg(F.max("ts").cast("timestamp").alias("ts")).withColumn("ts", F.col("ts") - F.expr("INTERVAL 2 HOURS"))
+    return _iso_windows(rule.transitions(events, "user_id", newest.scalar()), "at", "since")
+
+
+@query
+def alert_transitions_stream(spark, folder):
+    """The same from a stream that arrives in parts."""
+    events = st.table(spark, folder, "events")
+    arriving, target, progress = (scratch_path(spark, f"alert-{part}") for part in ("input", "transitions", "progress"))
+    # Parts in the order of time, as a log arrives; one micro-batch or more for each.
+    parts = 3
+    for part in range(parts):
+        events.where(F.floor(F.dayofmonth("ts") * parts / 32) == part).write.mode("append").parquet(arriving)
+        stream = spark.readStream.schema(events.schema).parquet(arriving)
+        rule.transition_stream(stream, "user_id", target, progress).awaitTermination()
+    return _iso_windows(spark.read.parquet(target).drop("batch"), "at", "since")
+
+
 @query
 def stream_ingest(spark, folder):
     """Line items streamed as sightings in two batches; the store ends with the first record of every key."""
