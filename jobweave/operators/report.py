@@ -7,19 +7,28 @@ from pyspark.sql import functions as F
 
 from ..functions.bands import contract_class, deadline_columns, deadline_date, report_band
 from ..functions.text import duration_text
+from .ranking import number_rows
 
 TOP_SCORE = 9  # fixed value: lower bound of the "excellent" count
 HISTORY_ROWS = 20  # fixed value: runs shown
 
-# Typed sort expressions of the report's columns; text sorts without regard to case.
+# Typed sort expressions of the report's columns; text sorts by the collation of a locale.
+LOCALE = "en"
+
+
+def _in_locale(column: str, locale: str) -> Column:
+    """A text as a reader of the locale sorts it: accents and case decide only among equal letters. No text is empty."""
+    return F.collate(F.coalesce(column, F.lit("")), locale)
+
+
 SORT_KEYS = {
-    "title": lambda: F.lower("title"),
-    "job_id": lambda: F.col("job_id"),
-    "location": lambda: F.lower("location"),
-    "contract_type": lambda: F.lower("contract_type"),
-    "deadline": lambda: deadline_date(F.col("deadline")),
-    "score": lambda: F.col("score_key"),
-    "email_sent": lambda: F.col("sent_key"),
+    "title": lambda locale: _in_locale("title", locale),
+    "job_id": lambda locale: F.col("job_id"),
+    "location": lambda locale: _in_locale("location", locale),
+    "contract_type": lambda locale: _in_locale("contract_type", locale),
+    "deadline": lambda locale: deadline_date(F.col("deadline")),
+    "score": lambda locale: F.col("score_key"),
+    "email_sent": lambda locale: F.col("sent_key"),
 }
 
 
@@ -61,10 +70,21 @@ def report_kpis(postings: DataFrame, evaluations: DataFrame) -> DataFrame:
     )
 
 
-def report_sorted(detail: DataFrame, column: str, ascending: bool = True) -> DataFrame:
-    """The report in the viewer's order; ties and unparsable values keep the job id's order."""
-    key = SORT_KEYS[column]()
-    return detail.orderBy(key.asc_nulls_last() if ascending else key.desc_nulls_last(), "job_id")
+def sort_order(column: str, ascending: bool = True, locale: str = LOCALE) -> list[Column]:
+    """The viewer's order by a column, texts by the collation of their locale; ties and unparsable values keep the job
+    id's order."""
+    key = SORT_KEYS[column](locale)
+    return [key.asc_nulls_last() if ascending else key.desc_nulls_last(), F.col("job_id")]
+
+
+def report_sorted(detail: DataFrame, column: str, ascending: bool = True, locale: str = LOCALE) -> DataFrame:
+    """The report in the viewer's order."""
+    return detail.orderBy(*sort_order(column, ascending, locale))
+
+
+def report_numbered(detail: DataFrame, column: str, ascending: bool = True, locale: str = LOCALE) -> DataFrame:
+    """The report with each row's position in the viewer's order, counted over range partitions."""
+    return number_rows(detail, [], sort_order(column, ascending, locale))
 
 
 def audit_counts(postings: DataFrame, evaluations: DataFrame) -> DataFrame:

@@ -547,6 +547,18 @@ def report_sorted(spark, folder):
     return ordered.select("job_id", "title", "score", day.alias("deadline_day"))
 
 
+@query
+def report_by_title(spark, folder):
+    """The report numbered by title as a reader sorts it, with accents and mixed case."""
+    detail = report.report_detail(
+        st.legacy_postings(spark, folder), _legacy_evaluations(spark, folder), F.lit(st.AS_OF).cast("date")
+    )
+    number = F.col("job_id").cast("long") % 5
+    title = F.when(number == 0, F.upper("title")).when(number == 1, F.translate("title", "eao", "éäô")).when(number == 2, F.translate("title", "bs", "BS"))
+    numbered = report.report_numbered(detail.withColumn("title", title.otherwise(F.col("title"))), "title")
+    return numbered.select("position", "job_id", "title")
+
+
 @query
 def run_history_top(spark, folder):
     top = report.latest_rows(st.run_history(spark, folder), "run_at", "notes", 10)

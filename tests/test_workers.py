@@ -11,8 +11,8 @@ import sys
 sys.path.insert(0, sys.argv[1])
 from jobweave.queries import QUERIES
 from jobweave.session import build_session, clean_up, shared_folder
-spark = build_session("workers", "local-cluster[1,2,1024]", **{
-    "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.checkpoint.dir": "file://" + sys.argv[3]})
+spark = build_session("workers", "local[2]", **{
+    "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "2", "spark.driver.memory": "2g", "spark.checkpoint.dir": "file://" + sys.argv[3]})
 sys.path.remove(sys.argv[1])
 for name in ("extract_listing_rows", "extract_metadata", "vector_shortlist", "backfill_match"):
     assert QUERIES[name](spark, sys.argv[2]).count() > 0, name
