@@ -1,26 +1,34 @@
 """Licence paragraphs: a trained n-gram classifier, a calibrated unknown class and a template comparison.
 
-A paragraph is a line. Its features are its distinct word 1- and 2-grams, of which only those of the templates
-carry weight. A multinomial logistic regression (Spark ML) is trained on variants of the templates, and on
-paragraphs of a bounded sample of documents as the unknown class; its probabilities are calibrated by a
-temperature fitted on variants and paragraphs that were held out. A prediction is a family whose calibrated
-probability is the largest and at least `LEAST_PROBABILITY`; it is confirmed if at least `LEAST_SIMILARITY` of
-the features of one of the family's templates stand in the paragraph.
-
-All work on the corpus is DataFrame operations. A paragraph without any of `ANCHORS` is unknown, as every
-template has one, and is left out before words are looked at. The table of weights has one row for each
-n-gram of the fixed templates below, so it may be broadcast whatever the corpus. Features are aggregated by
-paragraph, so that a paragraph repeated everywhere is no hot key.
+A paragraph is a line, or a run of lines without a blank one between, as a notice may be wrapped. Its features are its
+distinct word 1- and 2-grams, of which only those of the templates carry weight. A multinomial logistic regression
+(Spark ML) is trained on variants of the templates, each family with the same weight, and on paragraphs of a bounded
+sample of documents as the unknown class; its probabilities are calibrated by a temperature fitted on variants and
+paragraphs that were held out. A prediction is a family whose calibrated probability is the largest and at least
+`LEAST_PROBABILITY`; it is confirmed if at least `LEAST_SIMILARITY` of the features of one of the family's templates
+stand in the paragraph.
+
+All work on the corpus is DataFrame operations. What the classifier does not see could not be confirmed: of s features a
+confirmed paragraph lacks at most s - ceil(LEAST_SIMILARITY * s), so it has one of any s - ceil(LEAST_SIMILARITY * s) + 1
+of them. `key_grams` takes these among the features that say most, and a line without a word of theirs is left out.
+Runs of lines reach from the first to the last line that has one, and a line further at both ends. The tables
+of weights and of template features have a row for each n-gram of the fixed templates below, so they may be broadcast
+whatever the corpus. Features are aggregated by paragraph, so that a paragraph repeated everywhere is no hot key. A run is
+gathered from its lines within one document.
 
 Defined results: null and empty texts have no paragraph; rows that repeat are answered each; null ids stay;
-an empty table gives an empty one. Extra columns are ignored.
+an empty table gives an empty one. Of equally probable families the first by name counts. A run is answered only where
+it is confirmed for a family that none of its lines is confirmed for. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import CountVectorizerModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import written
@@ -93,11 +101,17 @@ TEMPLATES = {
         "To the extent possible under law, the author has waived all copyright and related rights to this work; see the CC0 public domain dedication.",
     ),
     "proprietary": (
+        "All rights reserved.",
         "Copyright. All rights reserved.",
         "All rights reserved. No part of this work may be reproduced without the permission of the publisher.",
     ),
 }
-ANCHORS = "(?i)licen[sc]e|copyright|permission|permitted|rights reserved|public domain|distributed under|redistribut|cc0"
+# Words that say nothing of a licence: features of other words are the ones to look for.
+COMMON = set(
+    "a all an and any are as at be by can do either following for from has have in is it may no not of on or other part that the their them there this "
+    "to under using version was were will with without work writing you your agreed author code copy deal except express extent file files form forms into "
+    "kind later law met only person possible related required see use".split()
+)
 
 
 def words(text: Column) -> Column:
@@ -118,7 +132,7 @@ def _variants() -> list[tuple[str, str, int]]:
         for text in texts:
             w = text.split()
             n = len(w)
-            made = [text, text, f"Copyright 2020 somebody. {text}", f"{text} More can be read there.", " ".join(["it", "says", *w, "and", "so", "on"])]
+            made = [text, text, f"Copyright 2020 somebody. {text}" if family == "proprietary" else f"Made in 2020 by somebody. {text}", f"{text} More can be read there.", " ".join(["it", "says", *w, "and", "so", "on"])]
             if n >= 8:
                 made += [" ".join(w[: n * 4 // 5]), " ".join(w[n // 5 :])]
                 made += [" ".join(w[:i] + w[i + 1 :]) for i in range(0, n, max(1, n // 6))]
@@ -142,11 +156,61 @@ def template_table(spark: SparkSession) -> DataFrame:
     return _rows(spark, rows, "template string, family string, text string").withColumn("size", F.size(features(F.col("text"))))
 
 
+def key_grams(text: str) -> list[str]:
+    """Features of a template of which every paragraph has one that shares `LEAST_SIMILARITY` of the template's."""
+    w = [x for x in re.split("[^a-z0-9]+", text.lower()) if x]
+    grams = list(dict.fromkeys([*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]))
+    said = lambda g: sum(x not in COMMON and not x.isdigit() for x in g.split()) / len(g.split())
+    grams.sort(key=lambda g: (-said(g), -len(g), g))
+    return grams[: len(grams) - math.ceil(LEAST_SIMILARITY * len(grams) - 1e-9) + 1]
+
+
+def key_words() -> list[str]:
+    """For each key n-gram the word of it that says most."""
+    found = {g for texts in TEMPLATES.values() for text in texts for g in key_grams(text)}
+    return sorted({max(g.split(), key=lambda x: (x not in COMMON, not x.isdigit(), len(x), x)) for g in found})
+
+
+def has_key(line: Column) -> Column:
+    return F.exists(words(line), lambda w: w.isin(*key_words()))
+
+
+def blank(line: Column) -> Column:
+    return F.trim(F.translate(line, "\t\r", "  ")) == ""
+
+
 def candidates(docs: DataFrame) -> DataFrame:
-    """pid, doc_id, paragraph (its number) and text of every paragraph with an anchor, written."""
-    hit = docs.select("doc_id", "text").where(F.col("text").rlike(ANCHORS))
-    lines = hit.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).where(F.col("line").rlike(ANCHORS))
-    return written(lines.select(F.monotonically_increasing_id().alias("pid"), "doc_id", "paragraph", F.col("line").alias("text")), "licence-candidates")
+    """pid, row, run, doc_id, paragraph (number of the first line), n_lines, is_run and text of the lines that have a key
+    word and of the runs of such lines, written. `row` tells rows of the table apart, `run` runs of a row."""
+    lines = docs.where("text IS NOT NULL").select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("text", "\n").alias("lines"))
+    places = F.filter(F.transform("lines", lambda line, i: F.when(has_key(line), i)), lambda i: i.isNotNull())
+    lines = lines.withColumn("hits", places).where(F.size("hits") > 0)
+
+    def hit(i: Column, k: Column) -> Column:
+        # Made before the rows are multiplied: a row carries its own lines, not those of the whole text.
+        last = F.when(k > 0, F.get("hits", k - 1))
+        between = F.slice("lines", F.coalesce(last, F.lit(-1)) + 2, i - F.coalesce(last, F.lit(-1)) - 1)
+        near = ~F.exists(between, blank)
+        return F.struct(
+            i.alias("paragraph"), F.get("lines", i).alias("text"), F.get("lines", i - 1).alias("before"), F.get("lines", i + 1).alias("after"),
+            (last.isNull() | ~near).alias("apart"), F.when(last.isNotNull() & near, F.array_join(between, " ")).alias("between"),
+        )
+
+    hits = lines.select("row", "doc_id", F.explode(F.transform("hits", hit)).alias("hit")).select("row", "doc_id", "hit.*")
+    hits = written(hits, "licence-lines")
+    hits = hits.withColumn("run", F.sum(F.col("apart").cast("int")).over(Window.partitionBy("row").orderBy("paragraph")))
+    single = hits.select("row", "run", "doc_id", "paragraph", F.lit(1).alias("n_lines"), F.lit(False).alias("is_run"), "text")
+    parts = F.array_sort(F.collect_list(F.struct("paragraph", F.when(F.col("apart"), F.lit("")).otherwise(F.col("between")).alias("between"), "text")))
+    several = hits.groupBy("row", "run").agg(
+        F.first("doc_id").alias("doc_id"), F.min("paragraph").alias("paragraph"), (F.max("paragraph") - F.min("paragraph") + 1).alias("n_lines"), parts.alias("parts"),
+        F.min_by("before", "paragraph").alias("before"), F.max_by("after", "paragraph").alias("after"),
+    )
+    beside = lambda name: F.when(~blank(F.col(name)), F.col(name))
+    several = several.withColumns({"before": beside("before"), "after": beside("after")}).where("n_lines > 1 OR before IS NOT NULL OR after IS NOT NULL")
+    own = F.array_join(F.transform("parts", lambda x: F.concat_ws(" ", x["between"], x["text"])), " ")
+    start, length = F.col("paragraph") - F.col("before").isNotNull().cast("int"), F.col("n_lines") + F.col("before").isNotNull().cast("int") + F.col("after").isNotNull().cast("int")
+    several = several.select("row", "run", "doc_id", start.alias("paragraph"), length.alias("n_lines"), F.lit(True).alias("is_run"), F.concat_ws(" ", "before", own, "after").alias("text"))
+    return written(single.unionByName(several).withColumn("pid", F.monotonically_increasing_id()), "licence-candidates")
 
 
 def unknown_rows(docs: DataFrame) -> DataFrame:
@@ -154,7 +218,7 @@ def unknown_rows(docs: DataFrame) -> DataFrame:
     ids = docs.select("doc_id").where("doc_id IS NOT NULL").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
     chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
     lines = chosen.select("doc_id", F.explode(F.split("text", "\n")).alias("text")).where("length(text) > 20").distinct()
-    clear = lines.where(~F.col("text").rlike(ANCHORS))
+    clear = lines.where(~has_key(F.col("text")))
     return clear.orderBy(F.xxhash64("text"), "text").limit(SAMPLE_PARAGRAPHS).select(
         F.lit(UNKNOWN).alias("family"), "text", F.pmod(F.xxhash64("text"), F.lit(2)).cast("int").alias("part")
     )
@@ -181,7 +245,11 @@ def train(docs: DataFrame) -> tuple[DataFrame, list[str], dict[str, float], floa
     number = F.create_map(*[x for i, c in enumerate(classes) for x in (F.lit(c), F.lit(float(i)))])
     labelled = rows.select("part", F.get(F.map_values(F.map_filter(number, lambda k, v: k == F.col("family"))), F.lit(0)).alias("label"), features(F.col("text")).alias("grams"))
     vectors = CountVectorizerModel.from_vocabulary(grams, "grams", "features").setBinary(True).transform(labelled)
-    model = LogisticRegression(maxIter=60, regParam=2e-3, family="multinomial").fit(vectors.where("part = 0"))
+    # Every class weighs the same, however many texts stand for it.
+    taught = vectors.where("part = 0")
+    sizes = taught.groupBy("label").agg((F.lit(100.0) / F.count(F.lit(1))).alias("weight"))
+    taught = written(taught.join(sizes, "label").coalesce(1), "licence-weighted")
+    model = LogisticRegression(maxIter=60, regParam=2e-3, family="multinomial", weightCol="weight").fit(taught)
     matrix, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     weights = _rows(spark, [(g, [float(x) for x in matrix[:, j]]) for j, g in enumerate(grams)], "gram string, w array<double>")
     held = vectors.where("part = 1").withColumn("pid", F.monotonically_increasing_id()).select("pid", "label", "grams")
@@ -219,7 +287,7 @@ def similarities(grams: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def scan(docs: DataFrame) -> DataFrame:
-    """doc_id, paragraph, family, probability, template, similarity and confirmed for every paragraph that is
+    """doc_id, paragraph, n_lines, family, probability, template, similarity and confirmed for every paragraph that is
     predicted to be of a licence family."""
     weights, classes, intercepts, temperature = train(docs)
     found = candidates(docs)
@@ -229,12 +297,11 @@ def scan(docs: DataFrame) -> DataFrame:
     named = top.select("pid", "probability", F.get(F.array(*map(F.lit, classes)), F.col("k") - 1).alias("family"))
     likely = named.where((F.col("family") != UNKNOWN) & (F.col("probability") >= LEAST_PROBABILITY))
     compared = similarities(grams, template_table(docs.sparkSession))
-    return (
-        found.select("pid", "doc_id", "paragraph")
-        .join(likely, "pid")
-        .join(compared, ["pid", "family"], "left")
-        .select(
-            "doc_id", "paragraph", "family", "probability", "template", F.coalesce("similarity", F.lit(0.0)).alias("similarity"),
-            (F.coalesce("similarity", F.lit(0.0)) >= LEAST_SIMILARITY).alias("confirmed"),
-        )
-    )
+    similarity = F.coalesce("similarity", F.lit(0.0))
+    judged = found.drop("text").join(likely, "pid").join(compared, ["pid", "family"], "left").withColumn("similarity", similarity)
+    judged = written(judged.withColumn("confirmed", F.col("similarity") >= LEAST_SIMILARITY), "licence-paragraphs")
+    lines = judged.where("NOT is_run")
+    known = lines.where("confirmed").select("row", "run", "family").distinct()
+    runs = judged.where("is_run AND confirmed").join(known, ["row", "run", "family"], "left_anti")
+    columns = ["doc_id", "paragraph", "n_lines", "family", "probability", "template", "similarity", "confirmed"]
+    return lines.select(columns).unionByName(runs.select(columns))

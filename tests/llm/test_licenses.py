@@ -1,6 +1,10 @@
+import math
+import random
 import re
+import textwrap
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from jobweave.llm import licenses
 
@@ -10,10 +14,61 @@ def grams(text):
     return set(w) | {f"{a} {b}" for a, b in zip(w, w[1:])}
 
 
-def test_every_template_has_an_anchor():
+def test_no_confirmed_paragraph_is_left_out():
+    """Any share of a template's features that confirms holds one of its key n-grams, and so a key word."""
+    rng = random.Random(1)
+    words = set(licenses.key_words())
     for texts in licenses.TEMPLATES.values():
         for text in texts:
-            assert re.search(licenses.ANCHORS, text), text
+            all_grams, keys = sorted(grams(text)), set(licenses.key_grams(text))
+            assert keys <= set(all_grams)
+            least = math.ceil(licenses.LEAST_SIMILARITY * len(all_grams) - 1e-9)
+            assert len(all_grams) - len(keys) < least  # the others do not suffice
+            for _ in range(50):
+                chosen = rng.sample(all_grams, least)
+                assert {w for g in chosen for w in g.split()} & words
+
+
+def wrapped(text, width):
+    return "\n".join(textwrap.wrap(text, width))
+
+
+def test_every_template_bare_embedded_and_wrapped(spark):
+    prose = "The dog went over the hill and met another dog in the valley below."
+    rows, want = [], {}
+    for family, texts in licenses.TEMPLATES.items():
+        for text in texts:
+            for made in (text, f"{prose}\n{text}\n{prose}", f"{prose} {text} {prose}", wrapped(text, 80), f"{prose}\n\n{wrapped(text, 60)}\n\n{prose}", f"{prose}\n{wrapped(text, 80)}\n{prose}"):
+                want[len(rows)] = (family, made)
+                rows.append((len(rows), made))
+    docs = spark.createDataFrame(rows + [(9000 + i, f"{prose} {i}\nSee the other {i} public houses.") for i in range(60)], "doc_id long, text string")
+    found = {}
+    for r in licenses.scan(docs).where("confirmed").collect():
+        found.setdefault(r.doc_id, set()).add(r.family)
+    missed = [want[i] for i in want if want[i][0] not in found.get(i, ())]
+    assert not missed, missed
+    assert not {i for i in found if i >= 9000}
+
+
+def test_short_notices_as_they_are_met(spark):
+    met = {
+        "Text is available under CC BY-SA 4.0.": "cc-by-sa",
+        "Content available under CC BY 4.0.": "cc-by",
+        "Copyright 2024 Somebody. All rights reserved.": "proprietary",
+        "All rights reserved.": "proprietary",
+        "This code is released under the MIT license": "mit",
+    }
+    docs = spark.createDataFrame([(i, f"Some words before.\n{t}\nSome words after.") for i, t in enumerate(met)], "doc_id long, text string")
+    found = {r.doc_id: r.family for r in licenses.scan(docs).where("confirmed").collect()}
+    assert found == dict(enumerate(met.values()))
+
+
+def test_all_planted_lines(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "line")).where(F.col("line").rlike("(?i)licensed under|released under|rights reserved"))
+    found = licenses.scan(docs).where("confirmed").select("doc_id", "paragraph", "n_lines")
+    assert planted.count() == 46 and planted.join(found, ["doc_id", "paragraph"], "left_anti").count() == 0
+    assert found.count() == 46
 
 
 def test_features_are_those_by_hand(spark):
