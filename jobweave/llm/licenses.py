@@ -106,11 +106,13 @@ TEMPLATES = {
         "All rights reserved. No part of this work may be reproduced without the permission of the publisher.",
     ),
 }
-# Words that say nothing of a licence: features of other words are the ones to look for.
+# Words that say nothing of a licence, and words that say little: features of other words are the ones to look for.
 COMMON = set(
-    "a all an and any are as at be by can do either following for from has have in is it may no not of on or other part that the their them there this "
-    "to under using version was were will with without work writing you your agreed author code copy deal except express extent file files form forms into "
-    "kind later law met only person possible related required see use".split()
+    "a all an and any are as at be by can do either following for from has have in is it may mit nc no not of on or other part sa that the their them there "
+    "this to using was were will with without work writing you your".split()
+)
+GENERIC = set(
+    "agreed author code copy deal except express extent file files form forms into kind later law met only person possible related required see under use version".split()
 )
 
 
@@ -160,15 +162,22 @@ def key_grams(text: str) -> list[str]:
     """Features of a template of which every paragraph has one that shares `LEAST_SIMILARITY` of the template's."""
     w = [x for x in re.split("[^a-z0-9]+", text.lower()) if x]
     grams = list(dict.fromkeys([*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))]))
-    said = lambda g: sum(x not in COMMON and not x.isdigit() for x in g.split()) / len(g.split())
-    grams.sort(key=lambda g: (-said(g), -len(g), g))
+    grams.sort(key=lambda g: (-_says(_key_word(g)), -len(g), g))
     return grams[: len(grams) - math.ceil(LEAST_SIMILARITY * len(grams) - 1e-9) + 1]
 
 
+def _says(word: str) -> int:
+    return 0 if word in COMMON or word.isdigit() else 1 if word in GENERIC else 2
+
+
+def _key_word(gram: str) -> str:
+    """The word of an n-gram that says most."""
+    return max(gram.split(), key=lambda x: (_says(x), len(x), x))
+
+
 def key_words() -> list[str]:
-    """For each key n-gram the word of it that says most."""
-    found = {g for texts in TEMPLATES.values() for text in texts for g in key_grams(text)}
-    return sorted({max(g.split(), key=lambda x: (x not in COMMON, not x.isdigit(), len(x), x)) for g in found})
+    """The words that say most in the key n-grams of all templates."""
+    return sorted({_key_word(g) for texts in TEMPLATES.values() for text in texts for g in key_grams(text)})
 
 
 def has_key(line: Column) -> Column:
