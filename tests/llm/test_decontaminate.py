@@ -70,7 +70,7 @@ def test_overlaps_are_those_by_hand(spark):
     docs += [(900, None), (901, ""), (902, items[3][1].upper().replace(" ", ",\n")), (903, "x " * 30_000 + items[3][1])]
     d = spark.createDataFrame([(*r, 1, "x") for r in docs], "doc_id long, text string, item_id int, key string")
     b = spark.createDataFrame([(*r, "x") for r in items] + [(50, None, ""), (51, "", ""), (52, "one two", "")], "item_id long, text string, hashes string")
-    got = {tuple(r) for r in dc.overlaps(d, b).collect()}
+    got = {tuple(r) for r in dc.overlaps(d, b, trimmed=True).collect()}
     want = by_hand(docs[:-1], items) | {(903, *r[1:4], r[4] + 30_000, r[5]) for r in by_hand([(903, items[3][1])], items)}
     assert got == want and len({r[0] for r in got}) > 6
 
