@@ -437,3 +437,5 @@ _oracle("alert_transitions", f"""WITH h AS (SELECT CAST(user_id AS VARCHAR) AS k
 _oracle("alert_transitions_stream", ORACLES["alert_transitions"])
 _oracle("report_by_title", """SELECT CAST(row_number() OVER (ORDER BY coalesce(title, '') COLLATE en, job_id) AS INTEGER) AS position, job_id, title FROM
   (SELECT job_id, CASE CAST(job_id AS BIGINT) % 5 WHEN 0 THEN upper(title) WHEN 1 THEN translate(title, 'eao', 'éäô') WHEN 2 THEN translate(title, 'bs', 'BS') ELSE title END AS title FROM detail)""")
+ORACLES["upsert_in_buckets"] = ORACLES["upsert_jobs"]
+ORACLES["mark_in_buckets"] = ORACLES["mark_sent"]

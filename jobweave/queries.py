@@ -18,6 +18,7 @@ from .operators import accounts, alerts, duplicates, feed, near_copies as near,
 from .operators import users as people
 from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
+from .sources.buckets import BucketedTable
 from .streaming import alerts as windows
 from .streaming import ingest as incremental
 from .streaming import rule
@@ -157,6 +158,28 @@ def upsert_jobs(spark, folder):
     return snapshot
 
 
+@query
+def upsert_in_buckets(spark, folder):
+    """The same upsert on a stored table that rewrites only the buckets a batch meets."""
+    jobs = st.postings(spark, folder).select(*POSTING)
+    table = BucketedTable(spark, scratch_path(spark, "bucketed-postings"), jobs.schema, store.POSTING_KEY, buckets=16)
+    table.upsert(1, jobs, [F.col("scraped_at")])
+    table.upsert(2, st.sightings(spark, folder), st.crawl_order(newest=True))
+    return table.read()
+
+
+@query
+def mark_in_buckets(spark, folder):
+    """The same marks on a stored table that rewrites only the buckets with a served user."""
+    evaluations = _evaluations(spark, folder)
+    table = BucketedTable(spark, scratch_path(spark, "bucketed-evaluations"), evaluations.schema, store.EVALUATION_KEY, buckets=16)
+    table.upsert(1, evaluations, [F.col("score")])
+    active = _active(spark, folder)
+    due = alerts.due_matches(table.read(), active, st.postings(spark, folder))
+    table.mark_sent(2, alerts.delivered_keys(due, active))
+    return table.read().select(*store.EVALUATION_KEY, "score", "email_sent")
+
+
 @query
 def upsert_evaluations(spark, folder):
     """Evaluations of the log that are not known to be sent, written over the store of sent ones."""
