@@ -439,3 +439,4 @@ _oracle("report_by_title", """SELECT CAST(row_number() OVER (ORDER BY coalesce(t
   (SELECT job_id, CASE CAST(job_id AS BIGINT) % 5 WHEN 0 THEN upper(title) WHEN 1 THEN translate(title, 'eao', 'éäô') WHEN 2 THEN translate(title, 'bs', 'BS') ELSE title END AS title FROM detail)""")
 ORACLES["upsert_in_buckets"] = ORACLES["upsert_jobs"]
 ORACLES["mark_in_buckets"] = ORACLES["mark_sent"]
+ORACLES["keyword_match_indexed"] = ORACLES["keyword_match"]

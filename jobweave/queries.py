@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from . import standins as st
 from .functions import bands
 from .functions.text import composite_key, iso_timestamp, short_display_name
-from .operators import accounts, alerts, duplicates, feed, near_copies as near, ranking, report, repair, scoring, shortlist, store, tag_search, tags, worklist
+from .operators import accounts, alerts, duplicates, feed, keyword_index, near_copies as near, ranking, report, repair, scoring, shortlist, store, tag_search, tags, worklist
 from .operators import users as people
 from .session import materialize, scratch_path, tune
 from .sources import html, ingest, payload, registry
@@ -374,6 +374,12 @@ def keyword_match(spark, folder):
     return tags.keyword_hits(st.postings(spark, folder), st.registry(spark, folder)).withColumn("keywords", _joined("keywords"))
 
 
+@query
+def keyword_match_indexed(spark, folder):
+    """The same hits through an index of the keywords."""
+    return keyword_index.indexed_keyword_hits(st.postings(spark, folder), st.registry(spark, folder)).withColumn("keywords", _joined("keywords"))
+
+
 # ---- joins -----------------------------------------------------------------------------------
 
 
