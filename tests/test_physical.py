@@ -12,7 +12,8 @@ from jobweave.operators import store
 from jobweave.sources import tables
 
 # Windows over whole groups: the numbering of range-partitioned rows and the subscriptions in a user's row.
-FULL_WINDOWS = {"digest_lines": 2, "user_feed": 2, "feed_page": 2}
+# The alert rule's windows see a row for each hour of a key, whatever the number of events.
+FULL_WINDOWS = {"digest_lines": 2, "user_feed": 2, "feed_page": 2, "report_by_title": 2, "alert_transitions": 2}
 
 
 def plan_of(df):
