@@ -1,23 +1,28 @@
-"""Stupid-backoff language-model scores, computed relationally.
-
-Words (A-Z lower-cased) are counted over the whole corpus. The vocabulary is every word with at least one in
-`VOCABULARY` tokens, so it has at most that many entries at any size, and all others are one unknown word.
-Bigrams of vocabulary numbers are counted per task, added up in a table partitioned by the bigram, and joined
-to the bigrams of the documents. With counts c and N words in all,
-
-    S(w | v) = c(v w) / c(v)            if c(v w) >= MIN_COUNT
-             = BACKOFF * c(w) / N       otherwise,   and c(w) / N for the first word,
-
-and a document's score is the sum of log S. Each logarithm is rounded to millionths, so that sums do not
-depend on the order of addition.
-
-Scale: bigrams that make up at least one in `HOT` of all are at most that many. Their scores travel with the
-tasks, so hot bigrams are summed where the text is read and never shuffled; for all others one row for each
-document and bigram is joined on the bigram. Document totals are rows of the same table under keys of their
-own, spread over all partitions.
-
-Defined results: null and empty texts have no words and score 0; rows with equal ids (null is an id too) are
-one document, whose rows add up; an empty table gives an empty one. Extra columns are ignored.
+"""Stupid-backoff language-model scores of every document under all others, computed relationally.
+
+Words (A-Z lower-cased) and bigrams are counted over the whole corpus, words and bigrams seen once included; no
+count is cut and no word is folded into another. A row's own occurrences are taken off the counts it is scored
+with, as otherwise every n-gram of the corpus would have been seen and invented words would score best. With
+counts c over all other rows and N words in all,
+
+    S(w | v) = c(v w) / c(v)          if c(v w) > 0
+             = BACKOFF * c(w) / N     otherwise, if c(w) > 0
+             = BACKOFF ** 2 / N       for a word that no other row has,
+
+where the first word of a text starts at c(w) / N, and at BACKOFF / N if no other row has it. A document's score is
+the sum of log S. The logarithm of each count is rounded to millionths, so that sums do not depend on their order.
+
+Scale: a word is a number if it makes up at least one in `VOCABULARY` of all words, of which there are at most that
+many, and these numbers with their counts travel with the tasks; any other word is the 64-bit hash of its bytes, with
+the sign set (two words of equal hash count as one). This changes no score. One row for each text and bigram goes to
+the partition of the bigram's hash, where the rows' sum is the bigram's count. What the count of a word without a
+number is still needed for is joined to the table of all words on the word's hash. Bigrams that make up about one in
+`HOT` of all words of a sample, at most that many, are counted exactly by a pass of their own and scored where the text is
+read, so that no bigram fills a partition; the sample decides where they are added up, not what is.
+
+Defined results: null and empty texts have no words and score 0; very long texts are whole, one at a time; rows with
+equal ids (null is an id too) are scored each against all other rows, also those of the id, and add up; repeated rows
+have seen each other; an empty table gives an empty one. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,20 +32,24 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import slices, written
 
 VOCABULARY = 500_000
-HOT = 100_000
-MIN_COUNT = 2
+HOT = 300_000
+SAMPLE = 16
 BACKOFF = 0.4
 MICRO = 1e6
 BITS = 20
-UNKNOWN = 0
 FLUSH_WORDS = 1 << 21
+SLICE_CHARS = 1 << 22
+SIGN = -(1 << 63)
+_HASH_SEED = 42  # that of Spark's xxhash64
 
 
 def words(text: str | None) -> list[bytes]:
@@ -67,148 +76,235 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+class Numbers(dict):
+    """Numbers of frequent words; any other word is its hash, below 0."""
+
+    def __missing__(self, word: bytes) -> int:
+        return (xxhash.xxh64_intdigest(word, _HASH_SEED) | 1 << 63) - (1 << 64)
+
+
 @dataclass
 class Vocabulary:
-    """Numbers of words from 1, by falling count; 0 is the unknown word. counts[i] is the count of number i."""
+    """Numbers of frequent words by falling count, the count of each number, and the number of all words."""
 
-    numbers: dict[bytes, int]
+    numbers: Numbers
     counts: np.ndarray
     total: int
 
-    def logs(self) -> np.ndarray:
-        """Millionths of log(c / N) of every number."""
-        with np.errstate(divide="ignore"):
-            out = np.round(np.log(self.counts / max(self.total, 1)) * MICRO)
-        return np.where(self.counts > 0, out, 0).astype(np.int64)
 
-
-def vocabulary(docs: DataFrame, most: int = VOCABULARY) -> Vocabulary:
-    counts = written(word_counts(docs), "word-counts")
+def vocabulary(counts: DataFrame, most: int = VOCABULARY) -> Vocabulary:
     total = counts.agg(F.sum("n")).first()[0] or 0
     # At most `most` rows: each holds one in `most` of all words.
     kept = counts.where(F.col("n") * most >= total).collect()
     kept.sort(key=lambda r: (-r["n"], bytes(r["word"])))
-    known = sum(r["n"] for r in kept)
-    return Vocabulary({bytes(r["word"]): i + 1 for i, r in enumerate(kept)}, np.array([total - known, *(r["n"] for r in kept)], np.int64), total)
+    return Vocabulary(Numbers((bytes(r["word"]), i) for i, r in enumerate(kept)), np.array([r["n"] for r in kept], np.int64), total)
 
 
-def _bigrams(numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Keys v << BITS | w of all texts, and the text each belongs to."""
-    sizes = np.array([len(x) for x in numbers])
-    flat = np.concatenate(numbers) if len(numbers) else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
-    inside = owner[1:] == owner[:-1]
-    return ((flat[:-1] << BITS) | flat[1:])[inside], owner[1:][inside]
+def rare_words(counts: DataFrame, vocabulary: Vocabulary, most: int = VOCABULARY) -> DataFrame:
+    """need (the hash) and c of all words without a number."""
+    rare = counts.where(F.col("n") * most < vocabulary.total)
+    return rare.groupBy(F.xxhash64("word").bitwiseOR(F.lit(SIGN)).alias("need")).agg(F.sum("n").alias("c"))
 
 
-def _numbered(texts: list[str | None], number: dict[bytes, int]) -> list[np.ndarray]:
-    get = number.get
-    out = []
+def _numbered(texts: list[str | None], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
+    """Words of all texts behind one another, and how many each has."""
+    get, parts = numbers.__getitem__, []
     for text in texts:
-        w = words(text)
-        out.append(np.fromiter((get(x, UNKNOWN) for x in w), np.int64, len(w)))
-    return out
+        found = words(text)
+        parts.append(np.fromiter(map(get, found), np.int64, len(found)))
+    return np.concatenate([*parts, np.zeros(0, np.int64)]), np.fromiter(map(len, parts), np.int64, len(parts))
+
+
+def _inside(size: np.ndarray) -> np.ndarray:
+    """Places of words that have another behind them in their text."""
+    last = np.cumsum(size)[size > 0] - 1
+    keep = np.ones(int(size.sum()), bool)
+    keep[last] = False
+    return np.flatnonzero(keep)
+
+
+def _numbered_bigrams(texts: list[str | None], numbers: Numbers) -> np.ndarray:
+    """Keys v << BITS | w of all bigrams of two numbers."""
+    flat, size = _numbered(texts, numbers)
+    at = _inside(size)
+    v, w = flat[at], flat[at + 1]
+    both = (v >= 0) & (w >= 0)
+    return v[both] << BITS | w[both]
+
 
+def _text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | None]]]:
+    texts = batch["text"].to_pylist()
+    for lo, hi in slices(np.array([len(t or "") for t in texts], np.int64), SLICE_CHARS):
+        yield lo, texts[lo:hi]
 
-def bigram_counts(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """key and c over all texts; each task adds up its own first."""
+
+def hot_bigrams(docs: DataFrame, vocabulary: Vocabulary, hot: int = HOT, sample: int = SAMPLE) -> np.ndarray:
+    """Sorted keys of bigrams that make up one in `hot` of all bigrams of two numbers in one of `sample` rows."""
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary.numbers)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        waiting: list[np.ndarray] = []
+        for batch in batches:
+            for _, texts in _text_slices(batch):
+                keys, n = np.unique(_numbered_bigrams(texts, shared.value), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], names=["key", "n"])
+
+    some = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(sample)) == 0)
+    counts = written(some.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")), "sampled-bigrams")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    # At most `hot` rows: each holds one in `hot` of all.
+    return np.sort(np.array([r["key"] for r in counts.where(F.col("n") * hot >= total).select("key").collect()], np.int64))
 
-        def flush():
-            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
-            waiting.clear()
-            for at in range(0, len(keys), 1 << 16):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + (1 << 16)]), pa.array(n[at : at + (1 << 16)])], names=["key", "n"])
 
+def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places in sorted `keys`, and whether each is there."""
+    if not len(keys):
+        return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+    at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+    return at, keys[at] == wanted
+
+
+def exact_counts(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray) -> np.ndarray:
+    """Counts of the bigrams `keys` over all texts."""
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.numbers, keys))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        numbers, keys = shared.value
+        total = np.zeros(len(keys), np.int64)
         for batch in batches:
-            waiting.append(_bigrams(_numbered(batch["text"].to_pylist(), shared.value))[0])
-            if sum(map(len, waiting)) > FLUSH_WORDS:
-                yield from flush()
-        if waiting:
-            yield from flush()
+            for _, texts in _text_slices(batch):
+                at, known = _find(keys, _numbered_bigrams(texts, numbers))
+                total += np.bincount(at[known], minlength=len(keys))
+        seen = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["place", "n"])
+
+    out = np.zeros(len(keys), np.int64)
+    if len(keys):
+        # At most one row for each key.
+        rows = docs.select("text").mapInArrow(work, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        out[rows["place"].to_numpy()] = rows["n"].to_numpy()
+    return out
+
 
-    return docs.select("text").mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("c"))
+def micro_logs(x: np.ndarray) -> np.ndarray:
+    return np.round(np.log(x) * MICRO).astype(np.int64)
 
 
 def micro_log(x: Column) -> Column:
     return F.round(F.log(x) * MICRO).cast("long")
 
 
-def _by_number(spark, vocabulary: Vocabulary, columns: dict[str, np.ndarray]) -> DataFrame:
-    table = pa.table({"number": np.arange(len(vocabulary.counts)), **columns})
-    return spark.createDataFrame(table)
+BACK = int(micro_logs(np.array([BACKOFF]))[0])
 
 
-def seen_scores(counts: DataFrame, vocabulary: Vocabulary, min_count: int = MIN_COUNT) -> DataFrame:
-    """key, c and seen, millionths of log(c(v w) / c(v)), for the bigrams that are kept."""
-    sizes = _by_number(counts.sparkSession, vocabulary, {"cv": vocabulary.counts})
-    kept = counts.where(F.col("c") >= min_count).withColumn("number", F.shiftright("key", BITS))
-    return kept.join(F.broadcast(sizes), "number").select("key", "c", micro_log(F.col("c") / F.col("cv")).alias("seen"))
+def _unigram(others: np.ndarray) -> np.ndarray:
+    """Logarithms of the counts of words in other rows; that of `BACKOFF` where there are none."""
+    return np.where(others > 0, micro_logs(np.maximum(others, 1)), BACK)
 
 
-def document_rows(docs: DataFrame, vocabulary: Vocabulary, hot: dict[int, int]) -> DataFrame:
-    """Rows (doc_id, key, n, s): with a key from 0, a bigram that occurs n times in the document and is not
-    hot; with a negative key, a document's number of words and the score of its first word and hot bigrams."""
-    sc = docs.sparkSession.sparkContext
-    keys = np.array(sorted(hot), np.int64)
-    shared = sc.broadcast((vocabulary.numbers, vocabulary.logs(), keys, np.array([hot[int(k)] for k in keys], np.int64)))
+def document_rows(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """Rows (doc_id, v, w, n, nv, nw): a bigram that is not hot occurs n times in a text, its words nv and nw times.
+    Without v: the first word of a text, where it has no number. Without w: n words of a text, and in nv the sum of what
+    is scored already; v spreads these rows."""
+    log_total = int(micro_logs(np.array([max(vocabulary.total, 1)]))[0])
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.numbers, vocabulary.counts, keys, counts))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, logs, keys, scores = shared.value
+        numbers, of_word, keys, of_hot = shared.value
         for batch in batches:
-            numbers = _numbered(batch["text"].to_pylist(), number)
-            key, owner = _bigrams(numbers)
-            total = np.zeros(len(numbers), np.int64)
-            for i, x in enumerate(numbers):
-                if len(x):
-                    total[i] = logs[x[0]]
-            if len(keys) and len(key):
-                at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-                is_hot = keys[at] == key
-                np.add.at(total, owner[is_hot], scores[at[is_hot]])
-                key, owner = key[~is_hot], owner[~is_hot]
-            pair, n = _unique_pairs(owner, key)
-            own = -1 - np.random.default_rng(len(key)).integers(0, 1 << 62, len(numbers))
-            doc = batch["doc_id"]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.concat_arrays([doc.take(pa.array(pair[0])), doc]),
-                    pa.array(np.concatenate([pair[1], own])),
-                    pa.array(np.concatenate([n, [len(x) for x in numbers]]).astype(np.int64)),
-                    pa.array(np.concatenate([np.zeros(len(n), np.int64), total])),
-                ],
-                names=["doc_id", "key", "n", "s"],
-            )
+            for lo, texts in _text_slices(batch):
+                flat, size = _numbered(texts, numbers)
+                owner = np.repeat(np.arange(len(size)), size)
+                # Groups of equal words in a text, and how large each word's is.
+                code, distinct = pd.factorize(flat)
+                _, group, many = np.unique(owner * (len(distinct) + 1) + code, return_inverse=True, return_counts=True)
+                own = many[group]
+                at = _inside(size)
+                _, first, n = np.unique(group[at] * (len(many) + 1) + group[at + 1], return_index=True, return_counts=True)
+                at = at[first]
+                v, w, nv, nw, text = flat[at], flat[at + 1], own[at], own[at + 1], owner[at]
+                place, is_hot = _find(keys, np.where((v >= 0) & (w >= 0), v << BITS | w, -1))
+                done = np.zeros(len(size), np.int64)
+                if is_hot.any():
+                    h = np.flatnonzero(is_hot)
+                    others = of_hot[place[h]] - n[h]
+                    context = np.maximum(of_word[v[h]] - nv[h], 1)
+                    back = BACK + _unigram(of_word[w[h]] - nw[h]) - log_total
+                    value = np.where(others > 0, micro_logs(np.maximum(others, 1)) - micro_logs(context), back)
+                    np.add.at(done, text[h], n[h] * value)
+                    rest = ~is_hot
+                    v, w, n, nv, nw, text = (x[rest] for x in (v, w, n, nv, nw, text))
+                begin = (np.cumsum(size) - size)[size > 0]
+                head, whose, head_own = flat[begin], np.flatnonzero(size), own[begin]
+                plain = head >= 0
+                if plain.any():
+                    done[whose[plain]] += _unigram(of_word[head[plain]] - head_own[plain]) - log_total
+                bare = ~plain
+                zero, one = np.zeros(int(bare.sum()), np.int64), np.ones(int(bare.sum()), np.int64)
+                spread = np.random.default_rng(len(v)).integers(0, 1 << 62, len(size))
+                no_v, no_w = np.repeat([False, True, False], [len(v), len(zero), len(size)]), np.repeat([False, False, True], [len(v), len(zero), len(size)])
+                doc = np.concatenate([text, whose[bare], np.arange(len(size))]) + lo
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch["doc_id"].take(pa.array(doc)),
+                        pa.array(np.concatenate([v, zero, spread]), mask=no_v),
+                        pa.array(np.concatenate([w, head[bare], np.zeros(len(size), np.int64)]), mask=no_w),
+                        pa.array(np.concatenate([n, one, size])),
+                        pa.array(np.concatenate([nv, zero, done])),
+                        pa.array(np.concatenate([nw, head_own[bare], np.zeros(len(size), np.int64)])),
+                    ],
+                    names=["doc_id", "v", "w", "n", "nv", "nw"],
+                )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, key long, n long, s long")
-
-
-def _unique_pairs(owner: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.lexsort((key, owner))
-    owner, key = owner[order], key[order]
-    first = np.flatnonzero(np.concatenate([[True], (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])])[: len(key)])
-    return np.stack([owner[first], key[first]]), np.diff(np.append(first, len(key)))
+    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, v long, w long, n long, nv long, nw long")
+
+
+def parts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """doc_id, need, own, value, times and n_words: what is known of the scores, and how many times the logarithm of the
+    count of word `need`, less `own`, is to be added."""
+    table = pa.table({"number": pa.array(np.arange(len(vocabulary.counts))), "c": pa.array(vocabulary.counts)})
+    sizes = rows.sparkSession.createDataFrame(table)
+    log_total = int(micro_logs(np.array([max(vocabulary.total, 1)]))[0])
+    others = (F.sum("n").over(Window.partitionBy("v", "w")) - F.col("n")).alias("others")
+    found = rows.select("*", others)
+    for word in ("v", "w"):  # at most `VOCABULARY` rows
+        found = found.join(F.broadcast(sizes.select(F.col("number").alias(word), F.col("c").alias(f"c{word}"))), word, "left")
+    closing, opening = F.col("w").isNull(), F.col("v").isNull()
+    seen = ~closing & ~opening & (F.col("others") > 0)
+    context, word = F.col("v") < 0, F.col("w") < 0
+    n, left = F.col("n"), F.col("cw") - F.col("nw")
+    unigram = F.when(left > 0, micro_log(left)).otherwise(BACK)
+    value = (
+        F.when(closing, F.col("nv"))
+        .when(opening, -n * log_total)
+        .when(seen & context, n * micro_log("others"))
+        .when(seen, n * (micro_log("others") - micro_log(F.col("cv") - F.col("nv"))))
+        .when(word, n * (BACK - log_total))
+        .otherwise(n * (BACK - log_total + unigram))
+    )
+    by_context, by_word = seen & context, ~seen & ~closing & word
+    found = found.select(
+        "doc_id",
+        F.when(by_context, F.col("v")).when(by_word, F.col("w")).alias("need"),
+        F.when(by_context, F.col("nv")).when(by_word, F.col("nw")).alias("own"),
+        value.alias("value"),
+        F.when(by_context, -n).when(by_word, n).otherwise(0).alias("times"),
+        F.when(closing, n).otherwise(0).alias("n_words"),
+    )
+    return found.groupBy("doc_id", "need", "own").agg(*(F.sum(c).alias(c) for c in ("value", "times", "n_words")))
 
 
 def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT) -> DataFrame:
     """doc_id, n_words and score (natural logarithm) of every document."""
-    spark = docs.sparkSession
-    vocab = vocabulary(docs, most)
-    counts = written(bigram_counts(docs, vocab).where(F.col("c") >= MIN_COUNT), "bigram-counts")
-    seen = seen_scores(counts, vocab)
-    # At most `hot` rows: each bigram makes up one in `hot` of all.
-    frequent = {r["key"]: r["seen"] for r in seen.where(F.col("c") * hot >= vocab.total).collect()}
-    rows = document_rows(docs, vocab, frequent)
-    unseen = np.where(vocab.counts > 0, np.round((np.log(BACKOFF) + np.log(np.maximum(vocab.counts, 1) / max(vocab.total, 1))) * MICRO), 0)
-    back = _by_number(spark, vocab, {"unseen": unseen.astype(np.int64)}).withColumnRenamed("number", "w")
-    joined = rows.join(seen.select("key", "seen"), "key", "left").withColumn("w", F.col("key").bitwiseAND(F.lit((1 << BITS) - 1)))
-    joined = joined.join(F.broadcast(back), "w", "left")
-    bigram = F.col("key") >= 0
-    value = F.when(bigram, F.col("n") * F.coalesce("seen", "unseen")).otherwise(F.col("s"))
-    return joined.groupBy("doc_id").agg(
-        F.coalesce(F.sum(F.when(~bigram, F.col("n"))), F.lit(0)).alias("n_words"), (F.sum(value) / MICRO).alias("score")
-    )
+    all_words = written(word_counts(docs), "word-counts")
+    vocab = vocabulary(all_words, most)
+    keys = hot_bigrams(docs, vocab, hot)
+    rows = document_rows(docs, vocab, keys, exact_counts(docs, vocab, keys))
+    known = written(parts(rows, vocab), "score-parts")
+    open_ = known.where(F.col("need").isNotNull()).join(rare_words(all_words, vocab, most), "need", "left")
+    left = F.col("c") - F.col("own")
+    more = F.col("times") * F.when(left > 0, micro_log(left)).otherwise(BACK)
+    both = known.where(F.col("need").isNull()).select("doc_id", "value", "n_words").unionByName(
+        open_.select("doc_id", (F.col("value") + more).alias("value"), "n_words")
+    )
+    return both.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum("value") / MICRO).alias("score"))

@@ -20,18 +20,23 @@ WITH t AS (
     list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
       '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS ws
   FROM documents
-), tok AS (SELECT doc_id, row_no, unnest(ws) AS raw, generate_subscripts(ws, 1) AS i FROM t),
-n AS (SELECT count(*) AS total FROM tok),
-v AS (SELECT raw FROM tok GROUP BY raw HAVING count(*) * 500000 >= (SELECT total FROM n)),
-w AS (SELECT doc_id, row_no, i, CASE WHEN v.raw IS NULL THEN '' ELSE tok.raw END AS word FROM tok LEFT JOIN v ON tok.raw = v.raw),
-u AS (SELECT word, count(*) AS c FROM w GROUP BY word),
-p AS (SELECT doc_id, row_no, i, word, lag(word) OVER (PARTITION BY row_no ORDER BY i) AS before FROM w),
-b AS (SELECT before, word, count(*) AS c FROM p WHERE before IS NOT NULL GROUP BY 1, 2 HAVING count(*) >= 2),
+), tok AS (SELECT doc_id, row_no, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM t),
+n AS (SELECT CAST(round(1e6 * ln(count(*))) AS BIGINT) AS log_total, CAST(round(1e6 * ln(0.4)) AS BIGINT) AS back FROM tok),
+p AS (SELECT *, lag(word) OVER (PARTITION BY row_no ORDER BY i) AS before FROM tok),
+own1 AS (SELECT row_no, word, count(*) AS c FROM tok GROUP BY ALL),
+all1 AS (SELECT word, sum(c) AS c FROM own1 GROUP BY word),
+left1 AS (SELECT row_no, word, all1.c - own1.c AS c FROM own1 JOIN all1 USING (word)),
+own2 AS (SELECT row_no, before, word, count(*) AS c FROM p WHERE before IS NOT NULL GROUP BY ALL),
+all2 AS (SELECT before, word, sum(c) AS c FROM own2 GROUP BY ALL),
+left2 AS (SELECT row_no, before, word, all2.c - own2.c AS c FROM own2 JOIN all2 USING (before, word)),
 s AS (
-  SELECT p.doc_id, CAST(round(1e6 * CASE WHEN p.before IS NULL THEN ln(uw.c / n.total) WHEN b.c IS NOT NULL THEN ln(b.c / uv.c)
-    ELSE ln(0.4) + ln(uw.c / n.total) END) AS BIGINT) AS m
-  FROM p CROSS JOIN n JOIN u AS uw ON uw.word = p.word LEFT JOIN u AS uv ON uv.word = p.before
-  LEFT JOIN b ON b.before = p.before AND b.word = p.word
+  SELECT p.doc_id, CASE
+    WHEN left2.c > 0 THEN CAST(round(1e6 * ln(left2.c)) AS BIGINT) - CAST(round(1e6 * ln(v.c)) AS BIGINT)
+    ELSE CASE WHEN p.before IS NULL THEN 0 ELSE back END - log_total
+      + CASE WHEN w.c > 0 THEN CAST(round(1e6 * ln(w.c)) AS BIGINT) ELSE back END END AS m
+  FROM p CROSS JOIN n JOIN left1 AS w ON w.row_no = p.row_no AND w.word = p.word
+  LEFT JOIN left1 AS v ON v.row_no = p.row_no AND v.word = p.before
+  LEFT JOIN left2 ON left2.row_no = p.row_no AND left2.before = p.before AND left2.word = p.word
 ), d AS (SELECT doc_id, count(*) AS n_words, sum(m) AS m FROM s GROUP BY doc_id)
 SELECT i.doc_id, coalesce(n_words, 0) AS n_words, CAST(coalesce(m, 0) AS DOUBLE) / 1e6 AS score
 FROM (SELECT DISTINCT doc_id FROM documents) AS i LEFT JOIN d ON d.doc_id IS NOT DISTINCT FROM i.doc_id

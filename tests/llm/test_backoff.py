@@ -10,36 +10,54 @@ from jobweave.llm.oracles import ORACLES
 from jobweave.llm.queries import QUERIES
 
 
-def by_hand(rows, most):
+def by_hand(rows):
     texts = [(i, [w for w in re.split("[\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or "")) if w]) for i, t in rows]
-    raw = Counter(w for _, ws in texts for w in ws)
-    total = sum(raw.values())
-    texts = [(i, [w if raw[w] * most >= total else None for w in ws]) for i, ws in texts]
     one = Counter(w for _, ws in texts for w in ws)
     two = Counter(p for _, ws in texts for p in zip(ws, ws[1:]))
+    total = sum(one.values())
     out = {i: [0, 0] for i, _ in texts}
     for i, ws in texts:
+        own, pairs = Counter(ws), Counter(zip(ws, ws[1:]))
         out[i][0] += len(ws)
         for k, w in enumerate(ws):
-            if not k:
-                s = math.log(one[w] / total)
-            elif two[ws[k - 1], w] >= 2:
-                s = math.log(two[ws[k - 1], w] / one[ws[k - 1]])
+            v = ws[k - 1] if k else None
+            if k and two[v, w] > pairs[v, w]:
+                out[i][1] += math.log((two[v, w] - pairs[v, w]) / (one[v] - own[v]))
             else:
-                s = math.log(0.4 * one[w] / total)
-            out[i][1] += s
+                out[i][1] += math.log((0.4 if k else 1) * (one[w] - own[w] or 0.4) / total)
     return out
 
 
-@pytest.mark.parametrize("most, hot", [(500_000, 1), (500_000, 20), (30, 10)])
-def test_scores_are_those_by_hand(spark, most, hot):
-    rows = [(1, "The cat sat on the mat"), (2, "the CAT sat"), (3, None), (4, ""), (5, " \n"), (6, "É é the the the the"), (7, "one"), (2, "sat on"), (None, "the cat"), (8, "the mat " * 5000)]
-    docs = spark.createDataFrame([(*r, 1, "x") for r in rows], "doc_id long, text string, key int, score string")
+ODD = [(1, "The cat sat on the mat"), (2, "the CAT sat"), (3, None), (4, ""), (5, " \n"), (6, "É é the the the the"), (7, "one"), (2, "sat on"), (None, "the cat"),
+       (8, "the mat " * 5000), (9, "zyx wvu tsr"), (10, "zyx wvu tsr"), (11, "own of its own"), (7, "one"), (12, "\u00a0 x"), (13, "zyx the")]
+
+
+# Which words have numbers and which bigrams are hot changes no score.
+@pytest.mark.parametrize("most, hot, sample", [(500_000, 1, 1), (500_000, 300_000, 1), (500_000, 300_000, 2), (30, 10, 1), (4, 300_000, 1), (1, 1, 16)])
+def test_scores_are_those_by_hand(spark, monkeypatch, most, hot, sample):
+    monkeypatch.setattr(backoff.hot_bigrams, "__defaults__", (hot, sample))
+    docs = spark.createDataFrame([(*r, 1, "x") for r in ODD], "doc_id long, text string, key int, score string")
     got = {r.doc_id: (r.n_words, r.score) for r in backoff.scored(docs, most, hot).collect()}
-    want = by_hand(rows, most)
+    want = by_hand(ODD)
     assert got.keys() == want.keys()
     for i, (n, score) in want.items():
-        assert got[i][0] == n and abs(got[i][1] - score) < 1e-6 * max(1, n)
+        assert got[i][0] == n and abs(got[i][1] - score) < 2e-6 * max(1, n)
+
+
+def test_slices_change_no_score(spark, monkeypatch):
+    docs = spark.createDataFrame(ODD, "doc_id long, text string").coalesce(1)
+    want = sorted(backoff.scored(docs).collect(), key=str)
+    monkeypatch.setattr(backoff, "SLICE_CHARS", 8)
+    assert sorted(backoff.scored(docs).collect(), key=str) == want
+
+
+def test_invented_words_rank_last(spark, data):
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    odd = spark.createDataFrame([(-1, " ".join(f"q{i}zx" for i in range(500))), *[(-2 - k, " ".join(f"twice{i}zx" for i in range(500))) for k in (0, 1)]], docs.schema)
+    rows = backoff.scored(docs.unionByName(odd)).collect()
+    mean = {r.doc_id: r.score / r.n_words for r in rows if r.n_words}
+    assert min(mean, key=mean.get) == -1
+    assert mean[-2] == mean[-3] > -0.1  # copies have seen each other
 
 
 def test_empty_table(spark):
