@@ -12,13 +12,15 @@ counts c over all other rows and N words in all,
 where the first word of a text starts at c(w) / N, and at BACKOFF / N if no other row has it. A document's score is
 the sum of log S. The logarithm of each count is rounded to millionths, so that sums do not depend on their order.
 
-Scale: a word is a number if it makes up at least one in `VOCABULARY` of all words, of which there are at most that
-many, and these numbers with their counts travel with the tasks; any other word is the 64-bit hash of its bytes, with
-the sign set (two words of equal hash count as one). This changes no score. One row for each text and bigram goes to
-the partition of the bigram's hash, where the rows' sum is the bigram's count. What the count of a word without a
-number is still needed for is joined to the table of all words on the word's hash. Bigrams that make up about one in
-`HOT` of all words of a sample, at most that many, are counted exactly by a pass of their own and scored where the text is
-read, so that no bigram fills a partition; the sample decides where they are added up, not what is.
+Scale: words are 64-bit hashes of their bytes. Those that make up at least one in `VOCABULARY` of all words, at most
+that many, are numbered by falling count, and travel with the tasks as a sorted array of hashes with their counts; any
+other word stays its hash, with the sign set (words of equal hash count as one). This changes no score. Every text's
+bigrams are exploded into buckets by the bigram's hash, about `BUCKET_ROWS` rows each whatever the corpus has; a row of
+the shuffle packs those that a slice of texts has for one bucket. A bucket is counted and its rows are joined with
+these counts in one task. What the count of a word without a number is still needed for is joined to the table of all
+words on the word's hash. Bigrams that make up about one in `HOT` of a sample, at most that many, are counted exactly by a
+pass of their own and scored where the text is read, so that none fills a bucket; the sample decides where they are
+added up, not what is. Packing gains less as buckets outnumber the bigrams of a slice, from some hundred terabytes on.
 
 Defined results: null and empty texts have no words and score 0; very long texts are whole, one at a time; rows with
 equal ids (null is an id too) are scored each against all other rows, also those of the id, and add up; repeated rows
@@ -35,21 +37,22 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, written
 
-VOCABULARY = 500_000
+VOCABULARY = 4_000_000
 HOT = 300_000
 SAMPLE = 16
 BACKOFF = 0.4
 MICRO = 1e6
-BITS = 20
+BITS = 22
+BUCKET_ROWS = 2_000_000
 FLUSH_WORDS = 1 << 21
 SLICE_CHARS = 1 << 22
 SIGN = -(1 << 63)
-_HASH_SEED = 42  # that of Spark's xxhash64
+RARE = 1 << 23  # set in a packed word that is a place in the list of hashes
 
 
 def words(text: str | None) -> list[bytes]:
@@ -57,7 +60,7 @@ def words(text: str | None) -> list[bytes]:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word (bytes) and n over all texts."""
+    """word (its hash) and n over all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[bytes] = Counter()
@@ -71,23 +74,21 @@ def word_counts(docs: DataFrame) -> DataFrame:
             yield _pairs(counts)
 
     def _pairs(counts):
-        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], names=["word", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(_hashes(counts)), pa.array(counts.values(), pa.int64())], names=["word", "n"])
 
-    return docs.select("text").mapInArrow(work, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return docs.select("text").mapInArrow(work, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-class Numbers(dict):
-    """Numbers of frequent words; any other word is its hash, below 0."""
-
-    def __missing__(self, word: bytes) -> int:
-        return (xxhash.xxh64_intdigest(word, _HASH_SEED) | 1 << 63) - (1 << 64)
+def _hashes(distinct) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh64_intdigest, distinct), np.uint64, len(distinct)).view(np.int64)
 
 
 @dataclass
 class Vocabulary:
-    """Numbers of frequent words by falling count, the count of each number, and the number of all words."""
+    """Sorted hashes of frequent words, the number of each, the count of each number, and that of all words."""
 
-    numbers: Numbers
+    hashes: np.ndarray
+    numbers: np.ndarray
     counts: np.ndarray
     total: int
 
@@ -95,24 +96,32 @@ class Vocabulary:
 def vocabulary(counts: DataFrame, most: int = VOCABULARY) -> Vocabulary:
     total = counts.agg(F.sum("n")).first()[0] or 0
     # At most `most` rows: each holds one in `most` of all words.
-    kept = counts.where(F.col("n") * most >= total).collect()
-    kept.sort(key=lambda r: (-r["n"], bytes(r["word"])))
-    return Vocabulary(Numbers((bytes(r["word"]), i) for i, r in enumerate(kept)), np.array([r["n"] for r in kept], np.int64), total)
+    kept = counts.where(F.col("n") * most >= total).toArrow()
+    word, n = kept["word"].to_numpy(), kept["n"].to_numpy()
+    order = np.lexsort((word, -n))
+    word, n = word[order], n[order]
+    by_hash = np.argsort(word)
+    return Vocabulary(word[by_hash], by_hash.astype(np.int32), n, total)
 
 
 def rare_words(counts: DataFrame, vocabulary: Vocabulary, most: int = VOCABULARY) -> DataFrame:
-    """need (the hash) and c of all words without a number."""
+    """need (the hash, sign set) and c of all words without a number."""
     rare = counts.where(F.col("n") * most < vocabulary.total)
-    return rare.groupBy(F.xxhash64("word").bitwiseOR(F.lit(SIGN)).alias("need")).agg(F.sum("n").alias("c"))
+    return rare.groupBy(F.col("word").bitwiseOR(F.lit(SIGN)).alias("need")).agg(F.sum("n").alias("c"))
 
 
-def _numbered(texts: list[str | None], numbers: Numbers) -> tuple[np.ndarray, np.ndarray]:
-    """Words of all texts behind one another, and how many each has."""
-    get, parts = numbers.__getitem__, []
-    for text in texts:
-        found = words(text)
-        parts.append(np.fromiter(map(get, found), np.int64, len(found)))
-    return np.concatenate([*parts, np.zeros(0, np.int64)]), np.fromiter(map(len, parts), np.int64, len(parts))
+def _numbered(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """Words of all texts behind one another, how many each text has, a code for each word, and how many codes."""
+    found = [words(t) for t in texts]
+    size = np.fromiter(map(len, found), np.int64, len(found))
+    flat = np.empty(int(size.sum()), dtype=object)
+    flat[:] = [w for ws in found for w in ws]
+    code, distinct = pd.factorize(flat)
+    hashes = _hashes(distinct.tolist())
+    place, known = _find(vocabulary.hashes, hashes)
+    numbers = hashes | np.int64(SIGN)
+    numbers[known] = vocabulary.numbers[place[known]]
+    return numbers[code] if len(code) else np.zeros(0, np.int64), size, code, len(distinct)
 
 
 def _inside(size: np.ndarray) -> np.ndarray:
@@ -123,9 +132,9 @@ def _inside(size: np.ndarray) -> np.ndarray:
     return np.flatnonzero(keep)
 
 
-def _numbered_bigrams(texts: list[str | None], numbers: Numbers) -> np.ndarray:
+def _numbered_bigrams(texts: list[str | None], vocabulary: Vocabulary) -> np.ndarray:
     """Keys v << BITS | w of all bigrams of two numbers."""
-    flat, size = _numbered(texts, numbers)
+    flat, size, _, _ = _numbered(texts, vocabulary)
     at = _inside(size)
     v, w = flat[at], flat[at + 1]
     both = (v >= 0) & (w >= 0)
@@ -140,7 +149,7 @@ def _text_slices(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | None]]
 
 def hot_bigrams(docs: DataFrame, vocabulary: Vocabulary, hot: int = HOT, sample: int = SAMPLE) -> np.ndarray:
     """Sorted keys of bigrams that make up one in `hot` of all bigrams of two numbers in one of `sample` rows."""
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary.numbers)
+    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,14 +174,14 @@ def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def exact_counts(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray) -> np.ndarray:
     """Counts of the bigrams `keys` over all texts."""
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.numbers, keys))
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, keys))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, keys = shared.value
+        vocabulary, keys = shared.value
         total = np.zeros(len(keys), np.int64)
         for batch in batches:
             for _, texts in _text_slices(batch):
-                at, known = _find(keys, _numbered_bigrams(texts, numbers))
+                at, known = _find(keys, _numbered_bigrams(texts, vocabulary))
                 total += np.bincount(at[known], minlength=len(keys))
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["place", "n"])
@@ -201,28 +210,101 @@ def _unigram(others: np.ndarray) -> np.ndarray:
     return np.where(others > 0, micro_logs(np.maximum(others, 1)), BACK)
 
 
-def document_rows(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts: np.ndarray) -> DataFrame:
-    """Rows (doc_id, v, w, n, nv, nw): a bigram that is not hot occurs n times in a text, its words nv and nw times.
-    Without v: the first word of a text, where it has no number. Without w: n words of a text, and in nv the sum of what
-    is scored already; v spreads these rows."""
-    log_total = int(micro_logs(np.array([max(vocabulary.total, 1)]))[0])
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary.numbers, vocabulary.counts, keys, counts))
+def _log_total(vocabulary: Vocabulary) -> int:
+    return int(micro_logs(np.array([max(vocabulary.total, 1)]))[0])
+
+
+def _bigram_keys(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """v << BITS | w for two numbers; a hash, with the sign set, where a word has none."""
+    with np.errstate(over="ignore"):
+        x = v.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ w.view(np.uint64)
+        x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        x = x ^ (x >> np.uint64(32))
+    return np.where((v >= 0) & (w >= 0), v << BITS | w, x.view(np.int64) | np.int64(SIGN))
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        mixed = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return ((mixed >> np.uint64(33)) % np.uint64(buckets)).astype(np.int64)
+
+
+def _packed_words(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Three bytes a word, and the hashes of the words that have no number."""
+    rare = x < 0
+    small = np.where(rare, 0, x).astype(np.uint32)
+    hashes, place = np.unique(x[rare], return_inverse=True)
+    small[rare] = place | RARE
+    return np.concatenate([(small >> k & 255).astype(np.uint8) for k in (0, 8, 16)]), hashes
+
+
+def _packed_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A byte a count, and those that have more."""
+    return np.minimum(x, 255).astype(np.uint8), x[x >= 255]
+
+
+def _pack(many: np.ndarray, v: np.ndarray, w: np.ndarray, counts: list[np.ndarray]) -> bytes:
+    """Bigrams of one bucket; `many` is how many each text has."""
+    (pv, hv), (pw, hw) = _packed_words(v), _packed_words(w)
+    small, large = zip(*map(_packed_counts, (many, *counts)))
+    head = np.array([len(v), len(many), len(hv), len(hw), *map(len, large)], np.int64)
+    raw = b"".join(x.tobytes() for x in (head, hv, hw, *large, *small, pv, pw))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    """many, v, w, and the counts n, nv and nw."""
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
+    at = 0
+
+    def take(n: int, kind) -> np.ndarray:
+        nonlocal at
+        out = np.frombuffer(raw, kind, n, at)
+        at += out.nbytes
+        return out
+
+    n, texts, rare_v, rare_w, *large = take(8, np.int64).tolist()
+    hashes = take(rare_v, np.int64), take(rare_w, np.int64)
+    large = [take(x, np.int64) for x in large]
+    counts = []
+    for length, more in zip((texts, n, n, n), large):
+        out = take(length, np.uint8).astype(np.int64)
+        out[out == 255] = more
+        counts.append(out)
+    two = []
+    for known in hashes:
+        low, mid, high = (take(n, np.uint8).astype(np.int64) for _ in range(3))
+        x = low | mid << 8 | high << 16
+        rare = x >= RARE
+        x[rare] = known[x[rare] - RARE]
+        two.append(x)
+    return [counts[0], *two, *counts[1:]]
+
+
+def exploded(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts: np.ndarray, buckets: int) -> DataFrame:
+    """Rows (bucket, doc_id, bigrams, closing): a slice of texts has these bigrams in a bucket; doc_id lists its texts. The
+    one row of a slice with `closing` has four numbers a text instead: its words, the sum of what is scored already, and
+    the first word with its count where that has no number (0 otherwise)."""
+    log_total = _log_total(vocabulary)
+    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, keys, counts))
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers, of_word, keys, of_hot = shared.value
+        vocabulary, keys, of_hot = shared.value
+        of_word = vocabulary.counts
         for batch in batches:
             for lo, texts in _text_slices(batch):
-                flat, size = _numbered(texts, numbers)
+                flat, size, code, codes = _numbered(texts, vocabulary)
                 owner = np.repeat(np.arange(len(size)), size)
                 # Groups of equal words in a text, and how large each word's is.
-                code, distinct = pd.factorize(flat)
-                _, group, many = np.unique(owner * (len(distinct) + 1) + code, return_inverse=True, return_counts=True)
+                _, group, many = np.unique(owner * (codes + 1) + code, return_inverse=True, return_counts=True)
                 own = many[group]
                 at = _inside(size)
                 _, first, n = np.unique(group[at] * (len(many) + 1) + group[at + 1], return_index=True, return_counts=True)
                 at = at[first]
                 v, w, nv, nw, text = flat[at], flat[at + 1], own[at], own[at + 1], owner[at]
-                place, is_hot = _find(keys, np.where((v >= 0) & (w >= 0), v << BITS | w, -1))
+                key = _bigram_keys(v, w)
+                place, is_hot = _find(keys, key)
                 done = np.zeros(len(size), np.int64)
                 if is_hot.any():
                     h = np.flatnonzero(is_hot)
@@ -232,79 +314,111 @@ def document_rows(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, cou
                     value = np.where(others > 0, micro_logs(np.maximum(others, 1)) - micro_logs(context), back)
                     np.add.at(done, text[h], n[h] * value)
                     rest = ~is_hot
-                    v, w, n, nv, nw, text = (x[rest] for x in (v, w, n, nv, nw, text))
-                begin = (np.cumsum(size) - size)[size > 0]
-                head, whose, head_own = flat[begin], np.flatnonzero(size), own[begin]
-                plain = head >= 0
-                if plain.any():
-                    done[whose[plain]] += _unigram(of_word[head[plain]] - head_own[plain]) - log_total
-                bare = ~plain
-                zero, one = np.zeros(int(bare.sum()), np.int64), np.ones(int(bare.sum()), np.int64)
-                spread = np.random.default_rng(len(v)).integers(0, 1 << 62, len(size))
-                no_v, no_w = np.repeat([False, True, False], [len(v), len(zero), len(size)]), np.repeat([False, False, True], [len(v), len(zero), len(size)])
-                doc = np.concatenate([text, whose[bare], np.arange(len(size))]) + lo
+                    v, w, n, nv, nw, text, key = (x[rest] for x in (v, w, n, nv, nw, text, key))
+                head, head_own = np.zeros(len(size), np.int64), np.zeros(len(size), np.int64)
+                whose, begin = np.flatnonzero(size), (np.cumsum(size) - size)[size > 0]
+                plain = flat[begin] >= 0
+                done[whose] -= log_total
+                done[whose[plain]] += _unigram(of_word[flat[begin[plain]]] - own[begin[plain]])
+                head[whose[~plain]], head_own[whose[~plain]] = flat[begin[~plain]], own[begin[~plain]]
+                bucket = _bucket(key, buckets)
+                order = np.lexsort((text, bucket))
+                v, w, n, nv, nw, text, bucket = (x[order] for x in (v, w, n, nv, nw, text, bucket))
+                edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)]), len(bucket))
+                names, lists, packed = [], [0], []
+                for a, b in zip(edges[:-1], edges[1:]):
+                    who, many = np.unique(text[a:b], return_counts=True)
+                    names.append(who)
+                    lists.append(lists[-1] + len(who))
+                    packed.append(_pack(many, v[a:b], w[a:b], [n[a:b], nv[a:b], nw[a:b]]))
+                names.append(np.arange(len(size)))
+                lists.append(lists[-1] + len(size))
+                closing = np.stack([size, done, head, head_own]).tobytes()
+                doc = batch["doc_id"].take(pa.array(np.concatenate(names) + lo))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch["doc_id"].take(pa.array(doc)),
-                        pa.array(np.concatenate([v, zero, spread]), mask=no_v),
-                        pa.array(np.concatenate([w, head[bare], np.zeros(len(size), np.int64)]), mask=no_w),
-                        pa.array(np.concatenate([n, one, size])),
-                        pa.array(np.concatenate([nv, zero, done])),
-                        pa.array(np.concatenate([nw, head_own[bare], np.zeros(len(size), np.int64)])),
+                        pa.array(np.append(bucket[edges[:-1]], int(size.sum() + lo) % buckets)),
+                        pa.ListArray.from_arrays(pa.array(lists, pa.int32()), doc),
+                        pa.array([*packed, None], pa.binary()),
+                        pa.array([*[None] * len(packed), closing], pa.binary()),
                     ],
-                    names=["doc_id", "v", "w", "n", "nv", "nw"],
+                    names=["bucket", "doc_id", "bigrams", "closing"],
                 )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(work, f"doc_id {kind}, v long, w long, n long, nv long, nw long")
+    return docs.select("doc_id", "text").mapInArrow(work, f"bucket long, doc_id array<{kind}>, bigrams binary, closing binary")
 
 
 def parts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, need, own, value, times and n_words: what is known of the scores, and how many times the logarithm of the
-    count of word `need`, less `own`, is to be added."""
-    table = pa.table({"number": pa.array(np.arange(len(vocabulary.counts))), "c": pa.array(vocabulary.counts)})
-    sizes = rows.sparkSession.createDataFrame(table)
-    log_total = int(micro_logs(np.array([max(vocabulary.total, 1)]))[0])
-    others = (F.sum("n").over(Window.partitionBy("v", "w")) - F.col("n")).alias("others")
-    found = rows.select("*", others)
-    for word in ("v", "w"):  # at most `VOCABULARY` rows
-        found = found.join(F.broadcast(sizes.select(F.col("number").alias(word), F.col("c").alias(f"c{word}"))), word, "left")
-    closing, opening = F.col("w").isNull(), F.col("v").isNull()
-    seen = ~closing & ~opening & (F.col("others") > 0)
-    context, word = F.col("v") < 0, F.col("w") < 0
-    n, left = F.col("n"), F.col("cw") - F.col("nw")
-    unigram = F.when(left > 0, micro_log(left)).otherwise(BACK)
-    value = (
-        F.when(closing, F.col("nv"))
-        .when(opening, -n * log_total)
-        .when(seen & context, n * micro_log("others"))
-        .when(seen, n * (micro_log("others") - micro_log(F.col("cv") - F.col("nv"))))
-        .when(word, n * (BACK - log_total))
-        .otherwise(n * (BACK - log_total + unigram))
-    )
-    by_context, by_word = seen & context, ~seen & ~closing & word
-    found = found.select(
-        "doc_id",
-        F.when(by_context, F.col("v")).when(by_word, F.col("w")).alias("need"),
-        F.when(by_context, F.col("nv")).when(by_word, F.col("nw")).alias("own"),
-        value.alias("value"),
-        F.when(by_context, -n).when(by_word, n).otherwise(0).alias("times"),
-        F.when(closing, n).otherwise(0).alias("n_words"),
-    )
-    return found.groupBy("doc_id", "need", "own").agg(*(F.sum(c).alias(c) for c in ("value", "times", "n_words")))
-
-
-def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT) -> DataFrame:
+    """doc_id, value, n_words, need, own and times: sums of what is known of the scores, and how many times the logarithm
+    of the count of word `need`, less `own`, is to be added."""
+    log_total = _log_total(vocabulary)
+    shared = rows.sparkSession.sparkContext.broadcast(vocabulary.counts)
+    kind = rows.schema["doc_id"].dataType.elementType.simpleString()
+
+    def scored_bucket(docs: list[pa.Array], packed: list[bytes]) -> pa.RecordBatch:
+        of_word, columns = shared.value, [np.concatenate(x) for x in zip(*map(_unpack, packed))]
+        many, v, w, n, nv, nw = columns
+        doc = pa.concat_arrays(docs)
+        text = np.repeat(np.arange(len(many)), many)
+        _, group = np.unique(_bigram_keys(v, w), return_inverse=True)
+        total = np.bincount(group, weights=n).astype(np.int64)
+        others = total[group] - n
+        seen = others > 0
+        by_context, by_word = seen & (v < 0), ~seen & (w < 0)
+        value = np.where(seen, micro_logs(np.maximum(others, 1)), BACK - log_total)
+        at = np.flatnonzero(seen & (v >= 0))
+        value[at] -= micro_logs(of_word[v[at]] - nv[at])
+        at = np.flatnonzero(~seen & (w >= 0))
+        value[at] += _unigram(of_word[w[at]] - nw[at])
+        sums = np.zeros(len(many), np.int64)
+        np.add.at(sums, text, n * value)
+        at = np.flatnonzero(by_context | by_word)
+        context = by_context[at]
+        need, own, times = np.where(context, v[at], w[at]), np.where(context, nv[at], nw[at]), np.where(context, -n[at], n[at])
+        return made(doc, sums, np.zeros(len(sums), np.int64), text[at], need, own, times)
+
+    def made(doc, value, size, of, need, own, times) -> pa.RecordBatch:
+        """A row for each text, and one for each word that is needed."""
+        bare, more = np.zeros(len(doc), np.int64), np.zeros(len(of), np.int64)
+        none = np.repeat([True, False], [len(bare), len(more)])
+        columns = [(value, more), (size, more), (bare, need), (bare, own), (bare, times)]
+        arrays = [pa.array(np.concatenate(x), mask=none if i == 2 else None) for i, x in enumerate(columns)]
+        doc = pa.concat_arrays([doc, doc.take(pa.array(of))])
+        return pa.RecordBatch.from_arrays([doc, *arrays], names=["doc_id", "value", "n_words", "need", "own", "times"])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, docs, packed = None, [], []
+        for batch in batches:
+            for i, bucket in enumerate(batch["bucket"].to_pylist()):
+                doc = batch["doc_id"].slice(i, 1).flatten()
+                closing = batch["closing"][i].as_py()
+                if closing is not None:
+                    size, done, head, own = np.frombuffer(closing, np.int64).reshape(4, -1)
+                    at = np.flatnonzero(head)
+                    yield made(doc, done, size, at, head[at], own[at], np.ones(len(at), np.int64))
+                    continue
+                if bucket != current and packed:
+                    yield scored_bucket(docs, packed)
+                    docs, packed = [], []
+                current = bucket
+                docs.append(doc)
+                packed.append(batch["bigrams"][i].as_py())
+        if packed:
+            yield scored_bucket(docs, packed)
+
+    schema = f"doc_id {kind}, value long, n_words long, need long, own long, times long"
+    return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
+
+
+def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, n_words and score (natural logarithm) of every document."""
     all_words = written(word_counts(docs), "word-counts")
     vocab = vocabulary(all_words, most)
     keys = hot_bigrams(docs, vocab, hot)
-    rows = document_rows(docs, vocab, keys, exact_counts(docs, vocab, keys))
-    known = written(parts(rows, vocab), "score-parts")
-    open_ = known.where(F.col("need").isNotNull()).join(rare_words(all_words, vocab, most), "need", "left")
+    rows = exploded(docs, vocab, keys, exact_counts(docs, vocab, keys), vocab.total // bucket_rows + 1)
+    # Rows that need no count get a key of their document, which no word without a number has: it is from 0.
+    key = F.coalesce("need", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)))
+    known = parts(rows, vocab).withColumn("need", key).join(rare_words(all_words, vocab, most), "need", "left")
     left = F.col("c") - F.col("own")
     more = F.col("times") * F.when(left > 0, micro_log(left)).otherwise(BACK)
-    both = known.where(F.col("need").isNull()).select("doc_id", "value", "n_words").unionByName(
-        open_.select("doc_id", (F.col("value") + more).alias("value"), "n_words")
-    )
-    return both.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum("value") / MICRO).alias("score"))
+    return known.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum(F.col("value") + more) / MICRO).alias("score"))

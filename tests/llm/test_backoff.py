@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 import check
@@ -33,22 +34,36 @@ ODD = [(1, "The cat sat on the mat"), (2, "the CAT sat"), (3, None), (4, ""), (5
 
 
 # Which words have numbers and which bigrams are hot changes no score.
-@pytest.mark.parametrize("most, hot, sample", [(500_000, 1, 1), (500_000, 300_000, 1), (500_000, 300_000, 2), (30, 10, 1), (4, 300_000, 1), (1, 1, 16)])
-def test_scores_are_those_by_hand(spark, monkeypatch, most, hot, sample):
+@pytest.mark.parametrize(
+    "most, hot, sample, bucket", [(500_000, 1, 1, 10), (500_000, 300_000, 1, 10), (500_000, 300_000, 2, 9999), (30, 10, 1, 2000), (4, 300_000, 1, 100), (1, 1, 16, 10**9)]
+)
+def test_scores_are_those_by_hand(spark, monkeypatch, most, hot, sample, bucket):
     monkeypatch.setattr(backoff.hot_bigrams, "__defaults__", (hot, sample))
     docs = spark.createDataFrame([(*r, 1, "x") for r in ODD], "doc_id long, text string, key int, score string")
-    got = {r.doc_id: (r.n_words, r.score) for r in backoff.scored(docs, most, hot).collect()}
+    got = {r.doc_id: (r.n_words, r.score) for r in backoff.scored(docs, most, hot, bucket).collect()}
     want = by_hand(ODD)
     assert got.keys() == want.keys()
     for i, (n, score) in want.items():
         assert got[i][0] == n and abs(got[i][1] - score) < 2e-6 * max(1, n)
 
 
-def test_slices_change_no_score(spark, monkeypatch):
+def test_slices_change_no_score(spark):
     docs = spark.createDataFrame(ODD, "doc_id long, text string").coalesce(1)
-    want = sorted(backoff.scored(docs).collect(), key=str)
-    monkeypatch.setattr(backoff, "SLICE_CHARS", 8)
-    assert sorted(backoff.scored(docs).collect(), key=str) == want
+    want = sorted(backoff.scored(docs, bucket_rows=100).collect(), key=str)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(rows)
+    try:
+        spark.conf.set(rows, "2")
+        assert sorted(backoff.scored(docs, bucket_rows=100).collect(), key=str) == want
+    finally:
+        spark.conf.set(rows, before)
+
+
+def test_packed_bigrams_come_back(spark):
+    v, w = np.array([0, 5, -7, (1 << 22) - 1, -7]), np.array([-9, 1 << 20, backoff.SIGN, 3, -1])
+    many, n, nv, nw = np.array([1, 4]), np.array([1, 255, 256, 1 << 40, 2]), np.array([254, 255, 1, 1, 300]), np.ones(5, np.int64)
+    for got, want in zip(backoff._unpack(backoff._pack(many, v, w, [n, nv, nw])), (many, v, w, n, nv, nw)):
+        assert got.tolist() == want.tolist()
 
 
 def test_invented_words_rank_last(spark, data):
