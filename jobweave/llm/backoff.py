@@ -17,7 +17,7 @@ that many, are numbered by falling count, and travel with the tasks as a sorted
 other word stays its hash, with the sign set (words of equal hash count as one). This changes no score. Every text's
 bigrams are exploded into buckets by the bigram's hash, about `BUCKET_ROWS` rows each whatever the corpus has; a row of
 the shuffle packs those that a slice of texts has for one bucket. A bucket is counted and its rows are joined with
-these counts in one task. What the count of a word without a number is still needed for is joined to the table of all
+these counts in one task, which packs the sums of each slice's texts again. What the count of a word without a number is still needed for is joined to the table of all
 words on the word's hash. Bigrams that make up about one in `HOT` of a sample, at most that many, are counted exactly by a
 pass of their own and scored where the text is read, so that none fills a bucket; the sample decides where they are
 added up, not what is. Packing gains less as buckets outnumber the bigrams of a slice, from some hundred terabytes on.
@@ -37,6 +37,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -243,48 +244,71 @@ def _packed_counts(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.minimum(x, 255).astype(np.uint8), x[x >= 255]
 
 
-def _pack(many: np.ndarray, v: np.ndarray, w: np.ndarray, counts: list[np.ndarray]) -> bytes:
-    """Bigrams of one bucket; `many` is how many each text has."""
-    (pv, hv), (pw, hw) = _packed_words(v), _packed_words(w)
-    small, large = zip(*map(_packed_counts, (many, *counts)))
-    head = np.array([len(v), len(many), len(hv), len(hw), *map(len, large)], np.int64)
-    raw = b"".join(x.tobytes() for x in (head, hv, hw, *large, *small, pv, pw))
+def _squeezed(*arrays: np.ndarray) -> bytes:
+    raw = b"".join(x.tobytes() for x in arrays)
     return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
 
 
-def _unpack(packed: bytes) -> list[np.ndarray]:
-    """many, v, w, and the counts n, nv and nw."""
-    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
-    at = 0
-
-    def take(n: int, kind) -> np.ndarray:
-        nonlocal at
-        out = np.frombuffer(raw, kind, n, at)
-        at += out.nbytes
+class _Reader:
+    """Arrays of squeezed bytes, one behind the other."""
+
+    def __init__(self, packed: bytes) -> None:
+        self.raw, self.at = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True), 0
+
+    def take(self, n: int, kind) -> np.ndarray:
+        out = np.frombuffer(self.raw, kind, n, self.at)
+        self.at += out.nbytes
         return out
 
-    n, texts, rare_v, rare_w, *large = take(8, np.int64).tolist()
-    hashes = take(rare_v, np.int64), take(rare_w, np.int64)
-    large = [take(x, np.int64) for x in large]
-    counts = []
-    for length, more in zip((texts, n, n, n), large):
-        out = take(length, np.uint8).astype(np.int64)
+    def counts(self, n: int, more: np.ndarray) -> np.ndarray:
+        out = self.take(n, np.uint8).astype(np.int64)
         out[out == 255] = more
-        counts.append(out)
+        return out
+
+
+def _pack(text: np.ndarray, many: np.ndarray, v: np.ndarray, w: np.ndarray, counts: list[np.ndarray]) -> bytes:
+    """Bigrams of one bucket: the texts in rising order, how many each has, the words, and the counts n, nv and nw."""
+    (pv, hv), (pw, hw) = _packed_words(v), _packed_words(w)
+    small, large = zip(*map(_packed_counts, (np.diff(text, prepend=0), many, *counts)))
+    head = np.array([len(v), len(text), len(hv), len(hw), *map(len, large)], np.int64)
+    return _squeezed(head, hv, hw, *large, *small, pv, pw)
+
+
+def _unpack(packed: bytes) -> list[np.ndarray]:
+    """text, many, v, w, and the counts n, nv and nw."""
+    read = _Reader(packed)
+    n, texts, rare_v, rare_w, *large = read.take(9, np.int64).tolist()
+    hashes = read.take(rare_v, np.int64), read.take(rare_w, np.int64)
+    large = [read.take(x, np.int64) for x in large]
+    gaps, many, *counts = (read.counts(length, more) for length, more in zip((texts, texts, n, n, n), large))
     two = []
     for known in hashes:
-        low, mid, high = (take(n, np.uint8).astype(np.int64) for _ in range(3))
+        low, mid, high = (read.take(n, np.uint8).astype(np.int64) for _ in range(3))
         x = low | mid << 8 | high << 16
         rare = x >= RARE
         x[rare] = known[x[rare] - RARE]
         two.append(x)
-    return [counts[0], *two, *counts[1:]]
+    return [np.cumsum(gaps), many, *two, *counts]
+
+
+def _pack_sums(text: np.ndarray, sums: np.ndarray) -> bytes:
+    """Texts in rising order, and a sum for each; its bytes of equal weight stand together."""
+    small, large = _packed_counts(np.diff(text, prepend=0))
+    return _squeezed(np.array([len(text), len(large)], np.int64), large, small, np.ascontiguousarray(sums.view(np.uint8).reshape(-1, 8).T))
+
+
+def _unpack_sums(packed: bytes) -> tuple[np.ndarray, np.ndarray]:
+    read = _Reader(packed)
+    n, large = read.take(2, np.int64).tolist()
+    more = read.take(large, np.int64)
+    text = np.cumsum(read.counts(n, more))
+    return text, np.ascontiguousarray(read.take(8 * n, np.uint8).reshape(8, n).T).view(np.int64).reshape(n)
 
 
 def exploded(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts: np.ndarray, buckets: int) -> DataFrame:
-    """Rows (bucket, doc_id, bigrams, closing): a slice of texts has these bigrams in a bucket; doc_id lists its texts. The
-    one row of a slice with `closing` has four numbers a text instead: its words, the sum of what is scored already, and
-    the first word with its count where that has no number (0 otherwise)."""
+    """Rows (bucket, slice, doc_id, bigrams, closing): a slice of texts has these bigrams in a bucket. The one row of a slice
+    with `closing` has the ids of its texts instead, and four numbers a text: its words, the sum of what is scored already,
+    and the first word with its count where that has no number (0 otherwise)."""
     log_total = _log_total(vocabulary)
     shared = docs.sparkSession.sparkContext.broadcast((vocabulary, keys, counts))
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -292,8 +316,11 @@ def exploded(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary, keys, of_hot = shared.value
         of_word = vocabulary.counts
+        # Of the task and the place in it, so that a repeated task repeats it.
+        slice_id = TaskContext.get().partitionId() << 32
         for batch in batches:
             for lo, texts in _text_slices(batch):
+                slice_id += 1
                 flat, size, code, codes = _numbered(texts, vocabulary)
                 owner = np.repeat(np.arange(len(size)), size)
                 # Groups of equal words in a text, and how large each word's is.
@@ -325,100 +352,142 @@ def exploded(docs: DataFrame, vocabulary: Vocabulary, keys: np.ndarray, counts:
                 order = np.lexsort((text, bucket))
                 v, w, n, nv, nw, text, bucket = (x[order] for x in (v, w, n, nv, nw, text, bucket))
                 edges = np.append(np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(bucket)]), len(bucket))
-                names, lists, packed = [], [0], []
+                packed = []
                 for a, b in zip(edges[:-1], edges[1:]):
-                    who, many = np.unique(text[a:b], return_counts=True)
-                    names.append(who)
-                    lists.append(lists[-1] + len(who))
-                    packed.append(_pack(many, v[a:b], w[a:b], [n[a:b], nv[a:b], nw[a:b]]))
-                names.append(np.arange(len(size)))
-                lists.append(lists[-1] + len(size))
+                    who, times = np.unique(text[a:b], return_counts=True)
+                    packed.append(_pack(who, times, v[a:b], w[a:b], [n[a:b], nv[a:b], nw[a:b]]))
                 closing = np.stack([size, done, head, head_own]).tobytes()
-                doc = batch["doc_id"].take(pa.array(np.concatenate(names) + lo))
+                lists = pa.array([None] * len(packed) + [0, len(size)], pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.append(bucket[edges[:-1]], int(size.sum() + lo) % buckets)),
-                        pa.ListArray.from_arrays(pa.array(lists, pa.int32()), doc),
+                        pa.array(np.append(bucket[edges[:-1]], slice_id % buckets)),
+                        pa.array(np.full(len(packed) + 1, slice_id)),
+                        pa.ListArray.from_arrays(lists, batch["doc_id"].slice(lo, len(size))),
                         pa.array([*packed, None], pa.binary()),
                         pa.array([*[None] * len(packed), closing], pa.binary()),
                     ],
-                    names=["bucket", "doc_id", "bigrams", "closing"],
+                    names=["bucket", "slice", "doc_id", "bigrams", "closing"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(work, f"bucket long, doc_id array<{kind}>, bigrams binary, closing binary")
+    schema = f"bucket long, slice long, doc_id array<{kind}>, bigrams binary, closing binary"
+    return docs.select("doc_id", "text").mapInArrow(work, schema)
 
 
 def parts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """doc_id, value, n_words, need, own and times: sums of what is known of the scores, and how many times the logarithm
-    of the count of word `need`, less `own`, is to be added."""
+    """Rows (slice, bucket, text, need, own, times, sums, doc_id, closing). With need: for a text of the slice the logarithm
+    of the count of that word, less `own`, is to be added so many times. With sums: what one bucket adds to the texts of
+    the slice. With closing: as in `exploded`."""
     log_total = _log_total(vocabulary)
     shared = rows.sparkSession.sparkContext.broadcast(vocabulary.counts)
-    kind = rows.schema["doc_id"].dataType.elementType.simpleString()
-
-    def scored_bucket(docs: list[pa.Array], packed: list[bytes]) -> pa.RecordBatch:
-        of_word, columns = shared.value, [np.concatenate(x) for x in zip(*map(_unpack, packed))]
-        many, v, w, n, nv, nw = columns
-        doc = pa.concat_arrays(docs)
-        text = np.repeat(np.arange(len(many)), many)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    names = ["slice", "bucket", "text", "need", "own", "times", "sums", "doc_id", "closing"]
+    types = [*[pa.int64()] * 6, pa.binary()]
+
+    def made(n: int, doc, closing: bytes | None = None, **columns) -> pa.RecordBatch:
+        arrays = [pa.array(columns[x], t) if x in columns else pa.nulls(n, t) for x, t in zip(names, types)]
+        return pa.RecordBatch.from_arrays([*arrays, doc, pa.array([closing] * n, pa.binary())], names=names)
+
+    def needed(slice_id: np.ndarray, text: np.ndarray, need: np.ndarray, own: np.ndarray, times: np.ndarray, doc_type) -> pa.RecordBatch:
+        n = len(need)
+        return made(n, pa.nulls(n, doc_type), slice=slice_id, text=text, need=need, own=own, times=times)
+
+    def scored_bucket(bucket: int, ids: list[int], packed: list[bytes], doc_type) -> Iterator[pa.RecordBatch]:
+        of_word, found = shared.value, [_unpack(x) for x in packed]
+        text, many, v, w, n, nv, nw = (np.concatenate(x) for x in zip(*found))
+        texts = [len(x[0]) for x in found]
+        slice_id = np.repeat(np.array(ids, np.int64), texts)
+        place = np.repeat(np.arange(len(many)), many)
         _, group = np.unique(_bigram_keys(v, w), return_inverse=True)
-        total = np.bincount(group, weights=n).astype(np.int64)
-        others = total[group] - n
+        others = np.bincount(group, weights=n).astype(np.int64)[group] - n
         seen = others > 0
-        by_context, by_word = seen & (v < 0), ~seen & (w < 0)
         value = np.where(seen, micro_logs(np.maximum(others, 1)), BACK - log_total)
         at = np.flatnonzero(seen & (v >= 0))
         value[at] -= micro_logs(of_word[v[at]] - nv[at])
         at = np.flatnonzero(~seen & (w >= 0))
         value[at] += _unigram(of_word[w[at]] - nw[at])
         sums = np.zeros(len(many), np.int64)
-        np.add.at(sums, text, n * value)
-        at = np.flatnonzero(by_context | by_word)
-        context = by_context[at]
+        np.add.at(sums, place, n * value)
+        at = np.flatnonzero(np.where(seen, v, w) < 0)
+        context = seen[at]
         need, own, times = np.where(context, v[at], w[at]), np.where(context, nv[at], nw[at]), np.where(context, -n[at], n[at])
-        return made(doc, sums, np.zeros(len(sums), np.int64), text[at], need, own, times)
-
-    def made(doc, value, size, of, need, own, times) -> pa.RecordBatch:
-        """A row for each text, and one for each word that is needed."""
-        bare, more = np.zeros(len(doc), np.int64), np.zeros(len(of), np.int64)
-        none = np.repeat([True, False], [len(bare), len(more)])
-        columns = [(value, more), (size, more), (bare, need), (bare, own), (bare, times)]
-        arrays = [pa.array(np.concatenate(x), mask=none if i == 2 else None) for i, x in enumerate(columns)]
-        doc = pa.concat_arrays([doc, doc.take(pa.array(of))])
-        return pa.RecordBatch.from_arrays([doc, *arrays], names=["doc_id", "value", "n_words", "need", "own", "times"])
+        yield needed(slice_id[place[at]], text[place[at]], need, own, times, doc_type)
+        ends = np.cumsum(texts)
+        blobs = [_pack_sums(text[e - k : e], sums[e - k : e]) for e, k in zip(ends, texts)]
+        yield made(len(ids), pa.nulls(len(ids), doc_type), slice=ids, bucket=[bucket] * len(ids), sums=blobs)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, docs, packed = None, [], []
+        current, ids, packed, doc_type = None, [], [], None
         for batch in batches:
-            for i, bucket in enumerate(batch["bucket"].to_pylist()):
-                doc = batch["doc_id"].slice(i, 1).flatten()
+            doc_type = batch["doc_id"].type
+            for i, (bucket, slice_id) in enumerate(zip(batch["bucket"].to_pylist(), batch["slice"].to_pylist())):
                 closing = batch["closing"][i].as_py()
                 if closing is not None:
-                    size, done, head, own = np.frombuffer(closing, np.int64).reshape(4, -1)
+                    _, _, head, own = np.frombuffer(closing, np.int64).reshape(4, -1)
                     at = np.flatnonzero(head)
-                    yield made(doc, done, size, at, head[at], own[at], np.ones(len(at), np.int64))
+                    yield needed(np.full(len(at), slice_id), at, head[at], own[at], np.ones(len(at), np.int64), doc_type)
+                    yield made(1, batch["doc_id"].slice(i, 1), closing, slice=[slice_id])
                     continue
                 if bucket != current and packed:
-                    yield scored_bucket(docs, packed)
-                    docs, packed = [], []
+                    yield from scored_bucket(current, ids, packed, doc_type)
+                    ids, packed = [], []
                 current = bucket
-                docs.append(doc)
+                ids.append(slice_id)
                 packed.append(batch["bigrams"][i].as_py())
         if packed:
-            yield scored_bucket(docs, packed)
+            yield from scored_bucket(current, ids, packed, doc_type)
 
-    schema = f"doc_id {kind}, value long, n_words long, need long, own long, times long"
+    schema = f"slice long, bucket long, text long, need long, own long, times long, sums binary, doc_id {kind}, closing binary"
     return rows.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(work, schema)
 
 
+def slice_sums(rows: DataFrame) -> DataFrame:
+    """doc_id, n_words and value of every text, from rows (slice, text, more, sums, doc_id, closing)."""
+    kind = rows.schema["doc_id"].dataType.elementType.simpleString()
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, text, value, doc, closing = None, [], [], None, None
+
+        def finished() -> pa.RecordBatch:
+            size, done, _, _ = np.frombuffer(closing, np.int64).reshape(4, -1)
+            total = done.copy()
+            np.add.at(total, np.concatenate([*text, np.zeros(0, np.int64)]), np.concatenate([*value, np.zeros(0, np.int64)]))
+            return pa.RecordBatch.from_arrays([doc, pa.array(size), pa.array(total)], names=["doc_id", "n_words", "value"])
+
+        for batch in batches:
+            ids = batch["slice"].to_numpy()
+            edges = np.append(np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])[: len(ids)]), len(ids))
+            for a, b in zip(edges[:-1], edges[1:]):
+                if ids[a] != current:
+                    if current is not None:
+                        yield finished()
+                    current, text, value, doc, closing = ids[a], [], [], None, None
+                part = batch.slice(a, b - a)
+                single = part.filter(part["text"].is_valid())
+                text.append(single["text"].to_numpy())
+                value.append(single["more"].to_numpy())
+                for packed in part["sums"].drop_null().to_pylist():
+                    who, sums = _unpack_sums(packed)
+                    text.append(who)
+                    value.append(sums)
+                last = part.filter(part["closing"].is_valid())
+                if len(last):
+                    doc, closing = last["doc_id"].flatten(), last["closing"][0].as_py()
+        if current is not None:
+            yield finished()
+
+    return rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(work, f"doc_id {kind}, n_words long, value long")
+
+
 def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, n_words and score (natural logarithm) of every document."""
     all_words = written(word_counts(docs), "word-counts")
     vocab = vocabulary(all_words, most)
     keys = hot_bigrams(docs, vocab, hot)
     rows = exploded(docs, vocab, keys, exact_counts(docs, vocab, keys), vocab.total // bucket_rows + 1)
-    # Rows that need no count get a key of their document, which no word without a number has: it is from 0.
-    key = F.coalesce("need", F.xxhash64("doc_id").bitwiseAND(F.lit((1 << 63) - 1)))
+    # Rows that need no count get a key of their own, which no word without a number has: it is from 0.
+    key = F.coalesce("need", F.xxhash64("slice", "bucket").bitwiseAND(F.lit((1 << 63) - 1)))
     known = parts(rows, vocab).withColumn("need", key).join(rare_words(all_words, vocab, most), "need", "left")
     left = F.col("c") - F.col("own")
     more = F.col("times") * F.when(left > 0, micro_log(left)).otherwise(BACK)
-    return known.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum(F.col("value") + more) / MICRO).alias("score"))
+    found = slice_sums(known.select("slice", "text", more.alias("more"), "sums", "doc_id", "closing"))
+    return found.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum("value") / MICRO).alias("score"))

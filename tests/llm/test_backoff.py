@@ -59,11 +59,13 @@ def test_slices_change_no_score(spark):
         spark.conf.set(rows, before)
 
 
-def test_packed_bigrams_come_back(spark):
+def test_packed_arrays_come_back():
     v, w = np.array([0, 5, -7, (1 << 22) - 1, -7]), np.array([-9, 1 << 20, backoff.SIGN, 3, -1])
-    many, n, nv, nw = np.array([1, 4]), np.array([1, 255, 256, 1 << 40, 2]), np.array([254, 255, 1, 1, 300]), np.ones(5, np.int64)
-    for got, want in zip(backoff._unpack(backoff._pack(many, v, w, [n, nv, nw])), (many, v, w, n, nv, nw)):
+    text, many, n, nv, nw = np.array([3, 900]), np.array([1, 4]), np.array([1, 255, 256, 1 << 40, 2]), np.array([254, 255, 1, 1, 300]), np.ones(5, np.int64)
+    for got, want in zip(backoff._unpack(backoff._pack(text, many, v, w, [n, nv, nw])), (text, many, v, w, n, nv, nw)):
         assert got.tolist() == want.tolist()
+    got = backoff._unpack_sums(backoff._pack_sums(text, np.array([-(1 << 50), 7])))
+    assert [x.tolist() for x in got] == [[3, 900], [-(1 << 50), 7]]
 
 
 def test_invented_words_rank_last(spark, data):
