@@ -441,7 +441,7 @@ def parts(rows: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
 
 def slice_sums(rows: DataFrame) -> DataFrame:
-    """doc_id, n_words and value of every text, from rows (slice, text, more, sums, doc_id, closing)."""
+    """slice, text, doc_id, n_words and value of every text, from rows (slice, sums, doc_id, closing)."""
     kind = rows.schema["doc_id"].dataType.elementType.simpleString()
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -451,7 +451,8 @@ def slice_sums(rows: DataFrame) -> DataFrame:
             size, done, _, _ = np.frombuffer(closing, np.int64).reshape(4, -1)
             total = done.copy()
             np.add.at(total, np.concatenate([*text, np.zeros(0, np.int64)]), np.concatenate([*value, np.zeros(0, np.int64)]))
-            return pa.RecordBatch.from_arrays([doc, pa.array(size), pa.array(total)], names=["doc_id", "n_words", "value"])
+            columns = [pa.array(np.full(len(size), current)), pa.array(np.arange(len(size))), doc, pa.array(size), pa.array(total)]
+            return pa.RecordBatch.from_arrays(columns, names=["slice", "text", "doc_id", "n_words", "value"])
 
         for batch in batches:
             ids = batch["slice"].to_numpy()
@@ -462,9 +463,6 @@ def slice_sums(rows: DataFrame) -> DataFrame:
                         yield finished()
                     current, text, value, doc, closing = ids[a], [], [], None, None
                 part = batch.slice(a, b - a)
-                single = part.filter(part["text"].is_valid())
-                text.append(single["text"].to_numpy())
-                value.append(single["more"].to_numpy())
                 for packed in part["sums"].drop_null().to_pylist():
                     who, sums = _unpack_sums(packed)
                     text.append(who)
@@ -475,7 +473,7 @@ def slice_sums(rows: DataFrame) -> DataFrame:
         if current is not None:
             yield finished()
 
-    return rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(work, f"doc_id {kind}, n_words long, value long")
+    return rows.repartition("slice").sortWithinPartitions("slice").mapInArrow(work, f"slice long, text long, doc_id {kind}, n_words long, value long")
 
 
 def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -484,10 +482,12 @@ def scored(docs: DataFrame, most: int = VOCABULARY, hot: int = HOT, bucket_rows:
     vocab = vocabulary(all_words, most)
     keys = hot_bigrams(docs, vocab, hot)
     rows = exploded(docs, vocab, keys, exact_counts(docs, vocab, keys), vocab.total // bucket_rows + 1)
-    # Rows that need no count get a key of their own, which no word without a number has: it is from 0.
-    key = F.coalesce("need", F.xxhash64("slice", "bucket").bitwiseAND(F.lit((1 << 63) - 1)))
-    known = parts(rows, vocab).withColumn("need", key).join(rare_words(all_words, vocab, most), "need", "left")
+    known = written(parts(rows, vocab), "score-parts")
+    sums = slice_sums(known.where(F.col("need").isNull()).select("slice", "sums", "doc_id", "closing"))
+    needed = known.where(F.col("need").isNotNull()).select("slice", "text", "need", "own", "times")
     left = F.col("c") - F.col("own")
-    more = F.col("times") * F.when(left > 0, micro_log(left)).otherwise(BACK)
-    found = slice_sums(known.select("slice", "text", more.alias("more"), "sums", "doc_id", "closing"))
+    more = (F.col("times") * F.when(left > 0, micro_log(left)).otherwise(BACK)).alias("value")
+    needed = needed.join(rare_words(all_words, vocab, most), "need").select("slice", "text", more)
+    by_text = sums.unionByName(needed, allowMissingColumns=True).groupBy("slice", "text")
+    found = by_text.agg(F.max("doc_id").alias("doc_id"), F.sum("n_words").alias("n_words"), F.sum("value").alias("value"))
     return found.groupBy("doc_id").agg(F.sum("n_words").alias("n_words"), (F.sum("value") / MICRO).alias("score"))
