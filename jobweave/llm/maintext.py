@@ -6,18 +6,27 @@ LT tags inside links. Its composite text density is
     C / T * log(C / LC * T / LT, base ln(C / (C - LC) * LC + LCb / Cb * C + e))
 
 with empty denominators taken as 1, and b for the body. The element whose children's densities have the
-largest sum is the centre. Its subtree is the text, together with those siblings of the path from it to the
-body that are built like the path's element (same tag, blocks within) and reach the smallest density on that
-path; a centre within an article is widened to the article.
+largest sum is the centre, on every page; the smallest density on the path from it to the body is the threshold.
+The text is the subtree of the centre together with siblings of that path. A sibling is taken if its density
 
-Parts that are never article text carry no characters: the tags of `DROPPED`, elements whose role, class or
-id names a menu, header, footer, sidebar, notice, advert, form or comments, and hidden ones. A class does not
-count for an element that holds an article, nor, on a page without one, for an element of blocks that hold
-most of the page's text.
+* inside the article (or main) of the centre, reaches the threshold times the share of its characters in links,
+  so that short blocks stay and link lists go;
+* beyond that article, reaches the density of the article, or it is an h1 of a main around it;
+* on a page without one, reaches the threshold, with blocks within and the tag of the path's element, or it is a heading.
+
+Within what is taken, blocks of three links or more are held to the first rule, too.
+
+Elements that are never article text carry no characters and are left out: the tags of `DROPPED`, hidden ones, and
+those whose role names a menu, header, footer, sidebar, notice, advert, form or comments. Class and id are features
+of the density. An element all of whose class's words name such a part or its shape (`ad-box`) has no characters, so
+its density is 0, below any threshold; one with further words (`social-history`) has the density of its text, and
+goes if that is below the threshold. A class does not count for an element that holds an article, nor, on a page
+without one, for an element of blocks that hold most of the page's text.
 
 Text is decoded; white space inside a block is one blank; blocks are joined by line ends in page order, and
 nothing else is dropped or cut. Defined results: null and empty pages, and pages without text, give an empty
-text; rows that repeat are answered as often as they come; null ids and URLs stay; extra columns are ignored.
+text; of equal sums the denser element is the centre, then the first in the page; long pages are read whole, one at a
+time; an empty table gives an empty one; rows that repeat are answered as often as they come; null ids and URLs stay; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -60,6 +69,12 @@ NOISE_WORDS = frozenset(
     "commentlist disqus respond reply replies footer foot masthead pagination pager toolbar widget widgets skip".split()
 )
 HEADER_WORDS = frozenset(("header", "topbar"))
+SHAPE_WORDS = frozenset(
+    "area article bar block body bottom box button buttons center col column container content cta entry fixed form grid group holder "
+    "id inner item items js large left link links list lists main message module outer page panel post posts right row section short site "
+    "slot small text title top unit wrap wrapper".split()
+)
+MENU_LINKS = 3
 
 _TAG = re.compile(r"<(?:!--(?:.*?-->|.*\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|[!?/][^>]*+>)", re.S)
 _ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
@@ -67,12 +82,12 @@ _WORD = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "children", "noise", "weak", "chars", "tags", "link_chars", "link_tags", "order")
+    __slots__ = ("tag", "parent", "children", "noise", "weak", "marked", "chars", "tags", "link_chars", "link_tags", "order")
 
     def __init__(self, tag: str, parent: _Node | None, order: int) -> None:
         self.tag, self.parent, self.order = tag, parent, order
         self.children: list[_Node] = []
-        self.noise = self.weak = False
+        self.noise = self.weak = self.marked = False
         self.chars = self.tags = self.link_chars = self.link_tags = 0
 
     def within(self, tags: frozenset[str]) -> _Node | None:
@@ -86,7 +101,7 @@ class _Node:
 
 
 def _judge(node: _Node, attributes: str) -> None:
-    """noise: never article text; weak: so by class or id."""
+    """noise: never article text; marked: so by class or id; weak: by part of one."""
     if node.tag in DROPPED:
         node.noise = True
     in_article = node.parent is not None and node.parent.within(ARTICLES) is not None
@@ -103,9 +118,11 @@ def _judge(node: _Node, attributes: str) -> None:
         elif name == "role" and value.lower() in ROLES:
             node.noise = node.tag not in ARTICLES
         elif name in ("class", "id") and node.tag not in ("html", "body", "article", "main", *HEADINGS):
-            words = {w.lower() for w in _WORD.findall(value)}
-            if words & NOISE_WORDS or not in_article and words & HEADER_WORDS:
-                node.weak = True
+            noise = NOISE_WORDS if in_article else NOISE_WORDS | HEADER_WORDS
+            for words in ({w.lower() for w in _WORD.findall(x)} for x in value.split()):
+                if words & noise:
+                    node.weak = True
+                    node.marked = node.marked or words <= noise | SHAPE_WORDS
 
 
 def _tree(html: str) -> tuple[_Node, list[_Node], list[tuple[_Node, str]]]:
@@ -169,7 +186,7 @@ def _count(nodes: list[_Node], pieces: list[tuple[_Node, str]]) -> None:
         size = len(piece.strip())
         node.chars += size
     for node in reversed(nodes):
-        if node.noise:
+        if node.noise or node.marked:
             node.chars = node.tags = node.link_chars = node.link_tags = 0
             continue
         if node.tag == "a":
@@ -193,29 +210,57 @@ def density(node: _Node, body: _Node) -> float:
     return c / t * log(max(spread, 1e-9)) / log(base) if spread > 0 else 0.0
 
 
-def _chosen(body: _Node, nodes: list[_Node]) -> list[_Node]:
-    """Roots of the subtrees that are the text."""
-    worth = {node.order: 0.0 if node.noise else density(node, body) for node in nodes}
-    sums = {node.order: sum(worth[c.order] for c in node.children) for node in nodes}
-    inside = [n for n in nodes if n.chars and (n is body or n.within(frozenset(("body", "#root"))) is not None) and not n.noise]
+def _unmark(root: _Node, nodes: list[_Node]) -> None:
+    """Classes that do not count: of what holds an article, or else most of the text."""
+    total = root.chars
+    held = set()
+    for node in reversed(nodes):
+        if (node.tag in ARTICLES or node.order in held) and node.parent is not None:
+            held.add(node.parent.order)
+    elsewhere = any(n.tag in ARTICLES and n.chars for n in nodes)
+    for n in nodes:
+        if n.weak and (n.order in held or not elsewhere and 2 * n.chars > total and any(c.tag in BLOCKS for c in n.children)):
+            n.weak = n.marked = False
+
+
+def _bar(node: _Node, threshold: float) -> float:
+    """What a block inside an article must reach."""
+    return threshold * node.link_chars / max(node.chars, 1)
+
+
+def _chosen(body: _Node, nodes: list[_Node]) -> tuple[list[_Node], list[float], float]:
+    """Roots of the subtrees that are the text, the density of every element, and the threshold."""
+    out: list[bool] = []  # noise, or within it
+    for node in nodes:
+        out.append(node.noise or node.marked or node.parent is not None and out[node.parent.order])
+    worth = [0.0 if out[node.order] else density(node, body) for node in nodes]
+    sums = [sum(worth[c.order] for c in node.children) for node in nodes]
+    inside = [n for n in nodes if n.chars and not out[n.order] and (n is body or n.parent is not None)]
     if not inside:
-        return []
+        return [], worth, 0.0
     centre = max(inside, key=lambda n: (sums[n.order], worth[n.order], -n.order))
-    article = centre.within(ARTICLES)
-    if article is not None:
-        return [article]
     path = [centre]
     while path[-1] is not body and path[-1].parent is not None:
         path.append(path[-1].parent)
-    least = min(worth[n.order] for n in path)
-    chosen = [centre]
+    threshold = min(worth[n.order] for n in path)
+    framed = [n for n in path if n.tag in ARTICLES]
+    chosen, left = [centre], None  # the article the path has left
     for node, up in zip(path, path[1:]):
+        if left is None and node.tag in ARTICLES:
+            left = node
         for other in up.children:
-            if other is not node and not other.noise and other.chars and (
-                other.tag in HEADINGS or other.tag == node.tag and sums[other.order] > 0 and worth[other.order] >= least
-            ):
+            dense = worth[other.order]
+            if other is node or out[other.order] or not other.chars:
+                continue
+            if left is not None:
+                taken = dense >= worth[left.order] or other.tag == "h1" and framed[-1] is not left and up.within(ARTICLES) is not None
+            elif framed:
+                taken = dense >= _bar(other, threshold)
+            else:
+                taken = other.tag in HEADINGS or other.tag == node.tag and sums[other.order] > 0 and dense >= threshold
+            if taken:
                 chosen.append(other)
-    return chosen
+    return chosen, worth, threshold
 
 
 def main_text(html: str | None) -> str:
@@ -224,29 +269,28 @@ def main_text(html: str | None) -> str:
         return ""
     root, nodes, pieces = _tree(html)
     body = next((n for n in nodes if n.tag == "body"), root)
+    marked = [n for n in nodes if n.marked]
+    for node in marked:
+        node.marked = False
     _count(nodes, pieces)
-    total = root.chars
-    held = set()
-    for node in reversed(nodes):
-        if (node.tag in ARTICLES or node.order in held) and node.parent is not None:
-            held.add(node.parent.order)
-    elsewhere = any(n.tag in ARTICLES and n.chars for n in nodes)
-    weak = [
-        n for n in nodes
-        if n.weak and not n.noise and n.order not in held
-        and (elsewhere or 2 * n.chars <= total or not any(c.tag in BLOCKS for c in n.children))
-    ]
-    for node in weak:
-        node.noise = True
-    if weak:
+    for node in marked:
+        node.marked = True
+    _unmark(root, nodes)
+    if marked:
         _count(nodes, pieces)
-    roots = {n.order for n in _chosen(body, nodes)}
-    if not roots:
+    chosen, worth, threshold = _chosen(body, nodes)
+    if not chosen:
         return ""
+    roots = {n.order for n in chosen}
     kept: dict[int, bool] = {}
     for node in nodes:  # parents come before their children
         above = node.parent is not None and kept[node.parent.order]
-        kept[node.order] = not node.noise and (above or node.order in roots)
+        ok = not node.noise
+        if ok and (node.weak or node.marked):
+            ok = worth[node.order] >= threshold
+        elif ok and above and node.link_tags >= MENU_LINKS and node.tag in BLOCKS:
+            ok = worth[node.order] >= _bar(node, threshold)
+        kept[node.order] = ok and (above or node.order in roots)
     blocks, line = [], []
     for node, piece in pieces:
         if piece == "\n":
