@@ -30,6 +30,21 @@ def row_key() -> Column:
     return F.xxhash64("doc_id", "text")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """`name`, with underscores behind it until no column of `df` is called so, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """`df` without columns that are called so, whatever the case: what an operator adds replaces them, as withColumn does."""
+    taken = {n.lower() for n in names}
+    clash = [c for c in df.columns if c.lower() in taken]
+    return df.drop(*clash) if clash else df
+
+
 def extended(df: DataFrame, *columns: tuple[str, str]) -> StructType:
     """The schema of `df` with further (name, type) columns behind its own."""
     schema = StructType(list(df.schema.fields))

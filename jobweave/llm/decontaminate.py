@@ -21,7 +21,7 @@ pass, and loses none. Equal items are one class under their smallest id, so copi
 multiply hits (`with_members` adds the ids of all members). Hits are reduced to diagonals before texts are looked at
 again, and the table of documents that need it is written first, so that the join knows its size.
 
-Defined results: null and empty texts and items have no overlap. A null document id is kept; rows that repeat both id and text give one row, rows that repeat only the
+Defined results: null and empty texts and items have no overlap; an empty table of documents or of items gives none. A null document id is kept; rows that repeat both id and text give one row, rows that repeat only the
 id are compared each by its text, and the longest overlap is returned. Extra columns are ignored.
 """
 
@@ -34,7 +34,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, written
+from .common import free_name, row_key, written
 
 # Fixed masks: five words each.
 MASKS = ("111011", "1100001011", "1100010000011")
@@ -251,5 +251,6 @@ def with_members(found: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def without_overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of `docs`, with all columns, whose text overlaps no item."""
-    hit = written(segments(docs, benchmark).select(F.col("key").alias(ROW_KEY)).distinct(), "overlapping")
-    return docs.withColumn(ROW_KEY, row_key()).join(hit, ROW_KEY, "left_anti").drop(ROW_KEY)
+    name = free_name(docs, ROW_KEY)
+    hit = written(segments(docs, benchmark).select(F.col("key").alias(name)).distinct(), "overlapping")
+    return docs.withColumn(name, row_key()).join(hit, name, "left_anti").drop(name)

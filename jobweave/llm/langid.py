@@ -9,8 +9,9 @@ Texts are read whole, in segments of `SEGMENT` bytes that start from a zero stat
 a batch advance in step; a segment's first positions see less on one side, as those of a text do.
 
 Defined results: a text that is null, empty or has no letter is `und` with score 0. With fewer than two
-languages to learn from, the only one is predicted with probability 1 (or all texts are `und`). Documents
-with equal ids are judged each by its text. Extra columns are ignored.
+languages to learn from, the only one is predicted with probability 1 (or all texts are `und`). Of languages
+equally likely the first in order is predicted. Documents with equal ids are judged each by its text, equal texts
+alike. An empty table gives an empty one. Extra columns are no input; they stay.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import extended, slices, text_bytes
+from .common import extended, slices, text_bytes, without
 
 UNKNOWN = "und"
 HIDDEN = 8
@@ -282,9 +283,10 @@ def training_rows(docs: DataFrame, usable: Column, per_language: int = DOCS_PER_
 
 
 def with_language(docs: DataFrame, net: Network, text: str = "text", keep: float | None = None) -> DataFrame:
-    """All columns of `docs` with lang_pred, lang_score and lang_share, where `docs` has none of these; with
-    `keep`, only the columns of `docs`, and only rows with a language of at least that score."""
+    """All columns of `docs` with lang_pred, lang_score and lang_share, which replace columns so named; with
+    `keep`, only the columns of `docs`, unchanged, and only rows with a language of at least that score."""
     new = [("lang_pred", "string"), ("lang_score", "double"), ("lang_share", "double")] if keep is None else []
+    docs = without(docs, *(name for name, _ in new))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

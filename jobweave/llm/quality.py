@@ -9,7 +9,9 @@ exact blocked matrix products, and its `NEIGHBOURS` nearest vote with the weight
 
 Defined results: texts that are null or hold no word have score 0. Without voters of both labels every
 score is the only label seen, or 0. Rows with equal ids are scored each by its text; of labels that
-contradict each other for one id, the smallest counts. Extra columns are ignored.
+contradict each other for one id, the smallest counts. Very long texts are counted whole, one at a time. Where
+more voters are equally near than `NEIGHBOURS` allows, their order, which follows from their ids, decides. An empty
+table gives an empty one. Extra columns are no input; they stay.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import extended, slices, text_bytes
+from .common import extended, slices, text_bytes, without
 
 TERMS = 2048
 RANK = 48
@@ -210,8 +212,10 @@ def learn(docs: DataFrame, labels: DataFrame, usable: Column) -> Voters:
 
 
 def with_quality(docs: DataFrame, voters: Voters, keep: float | None = None) -> DataFrame:
-    """All columns of `docs` with quality_score; with `keep`, the columns and rows of `docs` that score at
-    least that."""
+    """All columns of `docs` with quality_score, which replaces a column so named; with `keep`, the columns of
+    `docs`, unchanged, and the rows that score at least that."""
+    new = [("quality_score", "double")] if keep is None else []
+    docs = without(docs, *(name for name, _ in new))
     shared = docs.sparkSession.sparkContext.broadcast(voters)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,4 +223,4 @@ def with_quality(docs: DataFrame, voters: Voters, keep: float | None = None) ->
             found = scores(shared.value, batch["text"])
             yield batch.append_column("quality_score", pa.array(found)) if keep is None else batch.filter(pa.array(found >= keep))
 
-    return docs.mapInArrow(work, extended(docs, *([("quality_score", "double")] if keep is None else [])))
+    return docs.mapInArrow(work, extended(docs, *new))

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import row_key, slices, text_bytes, written
+from .common import free_name, row_key, slices, text_bytes, written
 from .components import components
 
 BITS = 64
@@ -274,8 +274,9 @@ def one_of_each(docs: DataFrame, distance: int = MAX_DISTANCE, size: int = SHING
     found = near_duplicates(docs, distance, size)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "fp", "row_key"))
     kept = written(found.groupBy("root").agg(first.alias("f")).select("f.row_key").distinct(), "kept-rows")
-    keyed = docs.withColumn(ROW_KEY, row_key()).join(kept.withColumnRenamed("row_key", ROW_KEY), ROW_KEY, "left_semi")
-    return keyed.dropDuplicates([ROW_KEY]).drop(ROW_KEY)
+    name = free_name(docs, ROW_KEY)
+    keyed = docs.withColumn(name, row_key()).join(kept.withColumnRenamed("row_key", name), name, "left_semi")
+    return keyed.dropDuplicates([name]).drop(name)
 
 
 def hex_fingerprint(fp: str = "fp") -> Column:

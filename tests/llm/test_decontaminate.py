@@ -158,3 +158,14 @@ def test_no_python_in_the_plan(spark):
     plan = dc.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in text and "Arrow" not in text and "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_a_caller_keeps_all_columns(spark):
+    text = " ".join(f"w{i}" for i in range(20))
+    rows = [(1, text, "a", "b"), (2, "clean words only", "c", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row_key string, `key` string")
+    items = spark.createDataFrame([(7, text)], "item_id long, text string")
+    got = dc.without_overlaps(docs, items)
+    assert got.columns == docs.columns and list(map(tuple, got.collect())) == [rows[1]]
+    assert dc.without_overlaps(docs, items.where("item_id < 0")).count() == 2
+    assert dc.without_overlaps(docs.where("doc_id < 0"), items).count() == 0

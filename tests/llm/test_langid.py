@@ -1,3 +1,4 @@
+import math
 import random
 
 import numpy as np
@@ -41,6 +42,41 @@ def test_gradients_agree_with_differences():
             assert abs((sides[0] - sides[1]) / 2e-2 - g[place]) < 2e-3
 
 
+def states_by_hand(net, d, text):
+    """States after each byte, a number at a time."""
+    table, u, bias = net.table[d].tolist(), net.recurrent[d].tolist(), net.bias[d].tolist()
+    n = len(bias)
+    h, out = [0.0] * n, []
+    for byte in text:
+        x = table[byte]
+        inner = [sum(h[i] * u[i][j] for i in range(n)) for j in range(3 * n)]
+        z = [1 / (1 + math.exp(-x[j] - inner[j])) for j in range(n)]
+        r = [1 / (1 + math.exp(-x[n + j] - inner[n + j])) for j in range(n)]
+        new = [math.tanh(x[2 * n + j] + r[j] * (inner[2 * n + j] + bias[j])) for j in range(n)]
+        h = [(1 - z[j]) * h[j] + z[j] * new[j] for j in range(n)]
+        out.append(h)
+    return out
+
+
+def test_labels_are_those_of_a_pass_by_hand(net):
+    out, bias = net.out.tolist(), net.out_bias.tolist()
+    texts = ["ka lo miru", "tion é que eau", "x"]
+    names, score, share = langid.predict(net, pa.array(texts))
+    for text, name, p, labelled in zip(texts, names, score, share):
+        raw = text.encode()
+        both = [a + b for a, b in zip(states_by_hand(net, 0, raw), states_by_hand(net, 1, raw[::-1])[::-1])]
+        logp = []
+        for state in both:
+            logits = [sum(s * out[i][k] for i, s in enumerate(state)) + bias[k] for k in range(len(bias))]
+            total = math.log(sum(math.exp(v) for v in logits))
+            logp.append([v - total for v in logits])
+        mean = [sum(row[k] for row in logp) / len(raw) for k in range(len(bias))]
+        weights = [math.exp(v) for v in mean]
+        best = max(range(len(bias)), key=lambda k: mean[k])
+        assert name == net.languages[best] and p == pytest.approx(weights[best] / sum(weights), abs=1e-4)
+        assert labelled == pytest.approx(sum(max(range(len(bias)), key=lambda k: row[k]) == best for row in logp) / len(raw))
+
+
 def test_predictions_do_not_depend_on_the_batch(net):
     rng = random.Random(5)
     texts = [text(rng, k, n) for k in PARTS for n in (1, 7, 300, 4000)] + [None, "", "12 34 !!", "ß"]
@@ -73,6 +109,10 @@ def test_extra_columns_stay_and_empty_tables_work(spark, net):
     rows = [(1, "ka lo mi", "x"), (1, "ka lo mi", "x"), (None, None, None)]
     out = langid.with_language(spark.createDataFrame(rows, "doc_id long, text string, score string"), net).collect()
     assert [r.lang_pred for r in out] == ["aa", "aa", "und"] and [r.score for r in out] == ["x", "x", None]
+    clash = spark.createDataFrame([(1, "ka lo mi", "x", "y")], "doc_id long, text string, Lang_Pred string, lang_score string")
+    got = langid.with_language(clash, net).collect()
+    assert [(r.lang_pred, type(r.lang_score)) for r in got] == [("aa", float)] and got[0].__fields__ == ["doc_id", "text", "lang_pred", "lang_score", "lang_share"]
+    assert [tuple(r) for r in langid.with_language(clash, net, keep=0.0).collect()] == [(1, "ka lo mi", "x", "y")]
     empty = spark.createDataFrame([], "doc_id long, text string, lang string")
     assert langid.with_language(empty, net).collect() == [] and langid.training_rows(empty, empty.doc_id >= 0) == []
 

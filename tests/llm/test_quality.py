@@ -76,3 +76,12 @@ def test_held_out_accuracy(spark, data):
     got = QUERIES["op9_quality"](spark, data)
     rows = got.join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").where("held_out").collect()
     assert len(rows) > 15 and sum(r.quality == r.predicted for r in rows) >= 0.9 * len(rows)
+
+
+def test_a_column_of_the_same_name(spark):
+    voters, rng = fitted(), random.Random(9)
+    docs = spark.createDataFrame([(1, good(rng), "x", "y"), (2, None, None, "z")], "doc_id long, text string, QUALITY_SCORE string, score string")
+    got = {r.doc_id: r for r in quality.with_quality(docs, voters).collect()}
+    assert got[1].quality_score > 0.5 and got[2].quality_score == 0 and [got[i].score for i in (1, 2)] == ["y", "z"]
+    assert [r.QUALITY_SCORE for r in quality.with_quality(docs, voters, keep=0.5).collect()] == ["x"]
+    assert quality.with_quality(docs.where("doc_id < 0"), voters).collect() == []

@@ -90,3 +90,10 @@ def test_thresholds_add_up_and_are_the_cheapest():
     rows = [[0.0, 5.0, 50.0], [0.0, 100.0, 500.0], [0.0, 4.0, 9.0]]
     cost, chosen = simhash.allocate(rows, 2)
     assert sum(chosen) == 0 and (cost, chosen) == (14.0, [0, -1, 1])
+
+
+def test_a_caller_keeps_all_columns(spark):
+    rows = [(1, "one two three four", "a", "b"), (2, "one two three four", "c", "d"), (3, "other words altogether here", "e", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __row_key string, __ROW_KEY_ string")
+    got = simhash.one_of_each(docs)
+    assert got.columns == docs.columns and sorted(map(tuple, got.collect())) == [rows[0], rows[2]]
