@@ -12,8 +12,8 @@ with differences near their ends.
 No overlap is lost by the seeds at 3/4 equal words or more and `MIN_WORDS` words or more: under every choice of
 differences that the rule allows in 13 to 25 words one of `MASKS` hits (searched exhaustively), and a longer
 segment contains one of such a length. An item of fewer than `MIN_WORDS` words, d of which may differ, is cut
-into 2 d parts, and every choice of d parts is a mask over it as a whole; documents are read under the
-masks of the lengths that the benchmark has.
+into 2 d parts, and every choice of d parts is a mask over it as a whole. A place of a document is read under the masks
+of a length that the benchmark has if at least d of its parts there are parts of items, which a bit table tells.
 
 Scale: before anything is shuffled, window hashes are tested against a bit table of the benchmark's hashes
 of at most 2^`MAX_LONGS` longs (8 MB), which reaches the tasks as a scalar; a fuller table lets more rows
@@ -30,6 +30,7 @@ from __future__ import annotations
 import itertools
 import math
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -56,26 +57,39 @@ def word_hashes(text: str) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
+def parts_of(size: int) -> list[int]:
+    """The part that each word of a short item belongs to: 2 d parts where d words may differ, or one."""
+    parts = max(2 * (size // 4), 1)
+    return [i * parts // size for i in range(size)]
+
+
+def part_hashes(w: Column, size: int) -> list[Column]:
+    """A hash for each part of the first `size` words."""
+    part = parts_of(size)
+    taken = [[F.get(w, F.lit(i)) for i in range(size) if part[i] == k] for k in range(part[-1] + 1)]
+    return [F.xxhash64(F.lit(size * MIN_WORDS + k), *words_of) for k, words_of in enumerate(taken)]
+
+
 def whole_masks(size: int) -> tuple[str, ...]:
     """Masks over a whole item of `size` words, one of which hits wherever a quarter of the words or fewer differ."""
     differ = size // 4
     if not differ:
         return ("1" * size,)
-    part = [i * 2 * differ // size for i in range(size)]
+    part = parts_of(size)
     return tuple("".join("01"[part[i] in chosen] for i in range(size)) for chosen in itertools.combinations(range(2 * differ), differ))
 
 
+def mask_hash(w: Column, mask: str, place: Column) -> Column:
+    return F.xxhash64(F.lit(int("1" + mask, 2)), *[F.get(w, place + i) for i, c in enumerate(mask) if c == "1"])
+
+
 def seed_hashes(hashes: str, masks: tuple[str, ...] = MASKS) -> Column:
     """Window hashes under all masks, place by place: entry p * len(masks) + k is mask k at place p, null
     where the mask does not fit."""
     w = F.col(hashes)
 
     def at(p: Column) -> Column:
-        found = []
-        for mask in masks:
-            taken = [F.get(w, p + i) for i, c in enumerate(mask) if c == "1"]
-            found.append(F.when(p + len(mask) <= F.size(w), F.xxhash64(F.lit(int("1" + mask, 2)), *taken)))
-        return F.array(*found)
+        return F.array(*[F.when(p + len(mask) <= F.size(w), mask_hash(w, mask, p)) for mask in masks])
 
     last = F.size(w) - min(map(len, masks))
     return F.when(last >= 0, F.flatten(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), at)))
@@ -112,13 +126,37 @@ def bit_table(hashes: DataFrame) -> tuple[DataFrame, int]:
     return filled.agg(F.transform(ordered, lambda x: x["bit"]).alias("bits")), longs * 64
 
 
+def bit_test(hashes: DataFrame, name: str) -> Callable[[Column], Column]:
+    """1 for a hash whose bit is set: all that occur among `hashes`, and a few others; 0 for any other."""
+    table, n = bit_table(hashes)
+    table = written(table, name)
+
+    def test(h: Column) -> Column:
+        bits = F.get(table.scalar(), F.shiftright(F.pmod(h, F.lit(n)), 6).cast("int"))
+        return F.getbit(bits, F.pmod(h, F.lit(64)).cast("int"))
+
+    return test
+
+
 def passing(windows: DataFrame, hashes: DataFrame) -> DataFrame:
     """Windows whose bit is set: all that occur among `hashes`, and a few others."""
-    table, n = bit_table(hashes)
-    table = written(table, "benchmark-bits")
-    place = F.pmod("h", F.lit(n))
-    bits = F.get(table.scalar(), F.shiftright(place, 6).cast("int"))
-    return windows.where(F.getbit(bits, F.pmod("h", F.lit(64)).cast("int")) == 1)
+    return windows.where(bit_test(hashes, "benchmark-bits")(F.col("h")) == 1)
+
+
+def short_windows(rows: DataFrame, items: DataFrame, sizes: list[int]) -> DataFrame:
+    """key, place and h of `rows` (key, hashes) under the masks of items of these sizes, where enough parts are known."""
+    known = [items.where(F.size("hashes") == n).select(F.explode(F.array(*part_hashes(F.col("hashes"), n))).alias("h")) for n in sizes]
+    seen = bit_test(reduce(DataFrame.unionByName, known), "benchmark-part-bits")
+    w = F.col("w")
+    at = F.transform(F.sequence(F.lit(0), F.size("hashes") - 1), lambda p: F.slice("hashes", p + 1, MIN_WORDS - 1))
+    places = rows.where(F.size("hashes") > 0).select("key", F.posexplode(at).alias("place", "w"))
+    enough = {}
+    for n in sizes:
+        found = reduce(lambda a, b: a + b, [seen(h).cast("int") for h in part_hashes(w, n)])
+        enough[n] = (F.size(w) >= n) & (found >= max(n // 4, 1))
+    likely = places.where(reduce(lambda a, b: a | b, enough.values()))
+    masked = [F.when(enough[n], mask_hash(w, mask, F.lit(0))) for n in sizes for mask in whole_masks(n)]
+    return likely.select("key", "place", F.explode(F.array(*masked)).alias("h")).where("h IS NOT NULL")
 
 
 def best_segment(doc: Column, item: Column, diagonal: Column) -> Column:
@@ -202,18 +240,21 @@ def segments(
 ) -> DataFrame:
     """key (hash of id and text), doc_id, item_id, diagonal and s (the segment) for every diagonal with an overlap."""
     items = written(distinct_items(benchmark), "benchmark-items")
-    size, masks = F.size("hashes"), MASKS
+    size = F.size("hashes")
+    key = row_key().alias("key")
+    rows = docs.select(key, word_hashes("text").alias("hashes"))
+    windows = exploded_seeds(rows, "key")
     if trimmed:
         found = exploded_seeds(items, "item_id")
     else:
         found = exploded_seeds(items.where(size >= MIN_WORDS), "item_id")
         # At most MIN_WORDS - 1 rows.
-        for (n,) in sorted(items.where(size < MIN_WORDS).select(size).distinct().collect()):
+        short = [n for (n,) in sorted(items.where(size < MIN_WORDS).select(size).distinct().collect())]
+        for n in short:
             found = found.unionByName(exploded_seeds(items.where(size == n), "item_id", masks=whole_masks(n)))
-            masks += whole_masks(n)
+        if short:
+            windows = windows.unionByName(short_windows(rows, items, short))
     seeds = written(found.withColumnRenamed("place", "item_place"), "benchmark-seeds")
-    key = row_key().alias("key")
-    windows = exploded_seeds(docs.select(key, word_hashes("text").alias("hashes")), "key", masks=masks)
     hits = passing(windows, seeds.select("h")).join(seeds, "h")
     diagonals = written(hits.select("key", "item_id", (F.col("place") - F.col("item_place")).alias("diagonal")).distinct(), "diagonals")
     touched = written(diagonals.select("key").distinct(), "touched")
