@@ -14,17 +14,17 @@ from pyspark.sql import functions as F
 
 
 def tiled(
-    left: DataFrame, right: DataFrame, by: Sequence[str], left_key: str, right_key: str, tile_rows: int
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_key: str, right_key: str, tile_rows: int, right_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame, list[str]]:
     """Both tables with the columns `left_tile` and `right_tile`, and the columns that name a tile.
 
-    A tile has about `tile_rows` rows of each side. Keys of one side only are dropped.
+    A tile has about `tile_rows` rows of each side, or `right_rows` of the right one. Keys of one side only are dropped.
     """
 
-    def tiles(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias(name))
+    def tiles(df: DataFrame, name: str, rows: int) -> DataFrame:
+        return df.groupBy(*by).agg(F.ceil(F.count(F.lit(1)) / rows).cast("int").alias(name))
 
-    counts = tiles(left, "_left").join(tiles(right, "_right"), list(by))
+    counts = tiles(left, "_left", tile_rows).join(tiles(right, "_right", right_rows or tile_rows), list(by))
 
     def spread(df: DataFrame, key: str, own: str, other: str) -> DataFrame:
         placed = df.join(counts, list(by)).withColumn(f"{own}_tile", F.pmod(F.xxhash64(key), F.col(f"_{own}")).cast("int"))

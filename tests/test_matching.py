@@ -222,3 +222,23 @@ def test_shortlist_skips_clusters(spark):
     assert second.count() + first.count() < 60 * balls.count()
     everywhere = shortlist.to_visit(seekers.withColumn("least", F.lit(-2.0)), balls, 10)
     assert everywhere.count() + first.count() == 60 * balls.count()
+
+
+def test_shortlist_sends_a_user_once_for_many_clusters(spark, monkeypatch):
+    """Where the bound rules nothing out, what is sent follows the users and postings and not the clusters."""
+    random = np.random.default_rng(7)
+    sent = []
+    visit = shortlist.to_visit
+
+    def counted(*args):
+        found = visit(*args)
+        sent.append(found.count())
+        return found
+
+    monkeypatch.setattr(shortlist, "to_visit", counted)
+    jobs = spark.createDataFrame([("b", f"J{i:04}", random.normal(size=24).tolist()) for i in range(600)], "source_id string, job_id string, vector array<double>")
+    people = spark.createDataFrame([(f"u{i}", ["b"], random.normal(size=24).tolist()) for i in range(40)], "user_id string, enabled_sources array<string>, vector array<double>")
+    columns = ["user_id", "position", "source_id", "job_id", "similarity"]
+    found = keys(shortlist.shortlist(people, jobs, 10, cluster_rows=4), *columns)
+    assert sum(sent) <= 2 * 40
+    assert found == keys(shortlist.shortlist(people, jobs, 10), *columns)
