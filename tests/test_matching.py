@@ -242,3 +242,27 @@ def test_shortlist_sends_a_user_once_for_many_clusters(spark, monkeypatch):
     found = keys(shortlist.shortlist(people, jobs, 10, cluster_rows=4), *columns)
     assert sum(sent) <= 2 * 40
     assert found == keys(shortlist.shortlist(people, jobs, 10), *columns)
+
+
+def test_feed_moves_no_unscored_row_by_itself(spark, active):
+    """The rows that fill a page up come out of the user's row; the anti-join and windows over single rows are gone."""
+    plan = feed.feed(active, postings(spark), evaluations(spark, []), limit=100)._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode" in plan and "LeftAnti" not in plan
+
+
+def test_feed_of_repeated_rows(spark):
+    """Postings, users and remarks that come twice are counted and listed twice."""
+    jobs = postings(spark).limit(1).drop("source_id", "job_id").crossJoin(
+        spark.createDataFrame([("a", "1"), ("a", "2"), ("a", "2"), ("a", None), ("b", "1")], "source_id string, job_id string")
+    )
+    people_rows = spark.createDataFrame([("u", ["a"]), ("u", ["a"]), ("v", ["b", "a"])], "user_id string, enabled_sources array<string>")
+    done = spark.createDataFrame(
+        [("v", "a", "1", 5, "good"), ("u", "a", "2", None, "x"), ("u", "a", "2", None, "y")],
+        "user_id string, source_id string, job_id string, score int, summary string",
+    )
+    found = feed.feed(people_rows, jobs, done, limit=4)
+    rows = sorted((r.user_id, r.position, r.source_id, r.job_id, r.score, r.summary, r.total) for r in found.collect() if r.user_id == "v")
+    # The posting without id keeps its place and is not shown; each of two equal rows meets both postings.
+    assert rows == [("v", 1, "a", "1", 5, "good", 5), *[("v", n, "a", "2", None, None, 5) for n in (3, 3, 4, 4)]]
+    mine = sorted((r.position, r.job_id, r.summary or "", r.total) for r in found.collect() if r.user_id == "u")
+    assert mine == [(2, "1", "", 8), *[(n, "2", said, 8) for n in (3, 4) for said in ("x", "x", "y", "y")]]
