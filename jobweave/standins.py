@@ -429,7 +429,10 @@ def part_detail_pages(spark: SparkSession, folder: str) -> DataFrame:
         },
         F.concat(F.lit("<article>"), text, F.lit("</article>")),
     )
-    return table(spark, folder, "part").select(
+    # A few MB of parts are hundreds of MB of pages, which one task would build and hand to the parser.
+    parts = table(spark, folder, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size")
+    parts = parts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_partkey")
+    return parts.select(
         key.alias("page_id"),
         F.concat(F.lit(f"{BASE_URL}/vacancy/"), key.cast("string")).alias("url"),
         F.concat(head, title, facts, body, F.lit("</body></html>")).alias("html"),

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fixtures import keys, postings, registry
+from jobweave import standins
 from jobweave.operators import duplicates, repair, tags
 from jobweave.sources import html, ingest, payload
 from jobweave.sources.registry import board_configs, open_sources, read_registry, read_registry_yaml, source_labels, with_defaults
@@ -181,3 +182,14 @@ def test_copies_on_one_board_are_no_cross_post(spark):
     jobs = spark.createDataFrame(texts, "job_id string, source_id string, text string")
     found = duplicates.cross_source_groups(jobs, F.col("text"))
     assert keys(found, "source_id", "job_id", "n_copies", "n_boards") == {("a", "1", 3, 2)}
+
+
+def test_pages_of_a_small_file_are_spread(spark, tmp_path):
+    """One file of parts is one task's input; its pages are parsed by many."""
+    parts = spark.range(50, numPartitions=1).selectExpr(
+        "id AS p_partkey", "concat('part ', id) AS p_name", "'Brand#1' AS p_brand", "'STEEL' AS p_type", "cast(id % 7 AS int) AS p_size"
+    )
+    parts.write.parquet(f"{tmp_path}/part.parquet")
+    found = html.page_details(standins.part_detail_pages(spark, str(tmp_path)))
+    assert found.count() == 50
+    assert found.select(F.spark_partition_id()).distinct().count() > 1
