@@ -203,9 +203,11 @@ def links(texts: DataFrame, least: float = LEAST_SIMILARITY, tile_rows: int = TI
     """Trees of links (id, root) and numbers of links (id, n_links) of texts (id, hashes)."""
     rows = "id string, root string, n long"
     signed = materialize(signatures(texts), "signatures")
-    buckets = signed.select("id", "sketch", F.posexplode("buckets").alias("band", "bucket"))
+    buckets = signed.select("id", F.posexplode("buckets").alias("band", "bucket"))
     tiles = ["band", "bucket", "one", "other"]
-    near = group_by_group(in_parts(buckets, ["band", "bucket"], tile_rows), tiles, likely, rows)
+    # Most buckets hold one text: sketches are sent only for the others.
+    shared = in_parts(buckets, ["band", "bucket"], tile_rows).join(signed.select("id", "sketch"), "id")
+    near = group_by_group(shared, tiles, likely, rows)
     groups = components(near.select(F.col("id").alias("a"), F.col("root").alias("b")))
     members = texts.join(groups.withColumnRenamed("node", "id"), "id").withColumnRenamed("root", "group")
     tiles = ["group", "one", "other"]

@@ -110,3 +110,18 @@ def test_no_pair_is_listed(spark):
 
 def test_empty_table(spark):
     assert near_copies(table(spark, []), F.col("text")).collect() == []
+
+
+def test_sketches_go_only_to_shared_buckets(spark, monkeypatch):
+    """Texts are dealt to their buckets without sketches, which most buckets have no use for."""
+    dealt, in_parts = [], near.in_parts
+
+    def seen(rows, by, tile_rows):
+        dealt.append((by, rows.columns))
+        return in_parts(rows, by, tile_rows)
+
+    monkeypatch.setattr(near, "in_parts", seen)
+    hashes = [("a", list(range(40))), ("b", list(range(1, 40))), ("c", list(range(100, 140)))]
+    _, numbers = near.links(spark.createDataFrame(hashes, "id string, hashes array<long>"))
+    assert dealt[0] == (["band", "bucket"], ["id", "band", "bucket"])
+    assert {tuple(r) for r in numbers.collect()} == {("a", 1), ("b", 1)}
