@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..operators import store
+from ..operators.ranking import first_per_group
 from ..session import materialize
 from .tables import complete_runs
 
@@ -51,20 +52,25 @@ class BucketedTable:
         """All rows, or those of some buckets; folders of other buckets are not listed."""
         wanted = self.current(before)
         paths = [f"{self.path}/rows/bucket={b}/version={v}" for b, v in sorted(wanted.items()) if only is None or b in set(only)]
-        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*paths) if paths else self.spark.createDataFrame([], self.schema).filter(F.lit(False))
 
-    def change(self, version: int, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame]) -> list[int]:
+    def change(self, version: int, batch: DataFrame, apply: Callable[[DataFrame, DataFrame], DataFrame], laid_out: bool = False) -> list[int]:
         """Write what `apply` makes of the rows of the buckets that the keys of `batch` belong to; returns these buckets.
 
-        `apply` gets those rows and the batch, and keeps rows in their buckets. Rows without a key (a null in it) have a
-        bucket as well. A version that is repeated replaces what it has written.
+        `apply` gets those rows and the batch, each with the column `bucket` and laid out by it, and keeps rows in their
+        buckets. What it joins by bucket and key is not shuffled again; with `laid_out` it shuffles nothing itself and
+        returns `bucket`, so that its rows are written where they are. Rows without a key (a null in it) have a bucket
+        as well. A version that is repeated replaces what it has written.
         """
         batch = materialize(batch, "batch")
         met = sorted(r[0] for r in batch.select(self.bucket()).distinct().collect())  # at most `buckets` rows
-        rows = apply(self.read(met, before=version), batch).select(*self.schema.fieldNames())
-        placed = rows.withColumns({"bucket": self.bucket(), "version": F.lit(version).cast("long")})
-        # Buckets are of equal size, as a hash deals their keys; one task writes one.
-        writer = placed.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        stored, new = (df.withColumn("bucket", self.bucket()).repartition("bucket") for df in (self.read(met, before=version), batch))
+        rows = apply(stored, new)
+        if not laid_out:
+            rows = rows.withColumn("bucket", self.bucket()).repartition("bucket")
+        placed = rows.select(*self.schema.fieldNames(), "bucket").withColumn("version", F.lit(version).cast("long"))
+        # Buckets are of equal size, as a hash deals their keys; a task writes the rows of whole buckets or a part of one.
+        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy("bucket", "version").parquet(f"{self.path}/rows")
         written = [f"{self.path}/rows/bucket={b}/version={version}" for b in met]
         sizes = self._sizes(written)
@@ -84,15 +90,26 @@ class BucketedTable:
 
     def upsert(self, version: int, batch: DataFrame, order: Sequence[Column]) -> list[int]:
         """The first row per key of `batch` in `order` replaces the stored row as a whole."""
-        return self.change(version, batch, lambda rows, new: store.upsert(rows, new, self.key, order))
+        # Repeats are cut before the batch is written, so that what is shuffled behind it has one row per key.
+        firsts = first_per_group(batch, self.key, order).select(*self.schema.fieldNames())
+
+        def apply(rows: DataFrame, new: DataFrame) -> DataFrame:
+            kept = rows.join(new.select(*self._placed_key()), self._placed_key(), "left_anti")
+            return kept.unionByName(new)
+
+        return self.change(version, firsts, apply, laid_out=True)
 
     def insert_if_absent(self, version: int, batch: DataFrame, order: Sequence[Column]) -> list[int]:
         """Add the first row per key of `batch` in `order` where the key is not stored yet."""
-        return self.change(version, batch, lambda rows, new: rows.unionByName(store.insert_if_absent(rows, new, self.key, order).select(*rows.columns)))
+        firsts = first_per_group(batch, self.key, order).select(*self.schema.fieldNames())
+        return self.change(version, firsts, lambda rows, new: rows.unionByName(new.join(rows.select(*self._placed_key()), self._placed_key(), "left_anti").select(*rows.columns)), laid_out=True)
 
     def mark_sent(self, version: int, sent: DataFrame) -> list[int]:
         """Set `email_sent` for the keys of `sent`."""
-        return self.change(version, sent, lambda rows, keys: store.mark_sent(rows, keys, self.key))
+        return self.change(version, sent, lambda rows, keys: store.mark_sent(rows, keys, self._placed_key()), laid_out=True)
+
+    def _placed_key(self) -> list[str]:
+        return ["bucket", *self.key]
 
     def vacuum(self) -> int:
         """Delete the folders of versions that no bucket reads any more; returns how many. Only for when no reader of

@@ -3,6 +3,7 @@
 import os
 
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from fixtures import keys
@@ -86,3 +87,23 @@ def test_vacuum_keeps_what_is_read(spark, table):
 def test_another_number_of_buckets_is_refused(spark, table):
     with pytest.raises(ValueError, match="32 buckets"):
         BucketedTable(spark, table.path, table.schema, KEY, buckets=8).read()
+
+
+def test_a_change_shuffles_no_row_by_key_and_again_by_bucket(spark, tmp_path, monkeypatch):
+    """Stored rows and the batch go to their bucket, and from there to the files; keys to look up go there beside them."""
+    plans = []
+    write = DataFrameWriter.partitionBy
+
+    def seen(writer, *columns):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return write(writer, *columns)
+
+    monkeypatch.setattr(DataFrameWriter, "partitionBy", seen)
+    made = BucketedTable(spark, str(tmp_path / "e"), spark.createDataFrame([], "user_id string, email_sent boolean").schema, ["user_id"], 4)
+    batch = spark.createDataFrame([("a", False), ("b", None), ("a", True), (None, None), (None, None)], "user_id string, email_sent boolean")
+    made.upsert(1, batch, [F.col("email_sent")])
+    made.upsert(2, batch.where("user_id = 'a'"), [F.desc("email_sent")])
+    made.insert_if_absent(3, batch.where("user_id = 'b'"), [F.desc("email_sent")])
+    made.mark_sent(4, batch.where("user_id = 'b' OR user_id IS NULL"))
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 3, 3, 2]
+    assert keys(made.read(), "user_id", "email_sent") == {("a", True), ("b", True), (None, None)} and made.read().count() == 3
