@@ -32,10 +32,10 @@ import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import exp, log, log1p
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -122,15 +122,15 @@ def build(normal: list[tuple[int, str]], own: np.ndarray, raw: list[bytes], byte
         if not state:
             first[c] = after
     pairs = np.zeros((NARROW, NARROW), np.int32)
+    near = {c: i for i, c in enumerate((*range(NARROW - 1), SPACE))}
+    began = {after: near[c] for (state, c), after in nodes.items() if not state and c in near}
     for (state, c), after in nodes.items():
-        if not state:
-            for d in (*range(NARROW - 1), SPACE):
-                if _narrow(c) < NARROW and (two := nodes.get((after, d))):
-                    pairs[_narrow(c), _narrow(d)] = two
+        if state in began and c in near:
+            pairs[began[state], near[c]] = after
     inner = sorted(((s << 21 | c), after) for (s, c), after in nodes.items() if s)
     keys = np.array([k for k, _ in inner], np.int64)
     return Pieces(
-        first, pairs, keys, np.array([a for _, a in inner], np.int64), np.array(ends, np.int64), scores, raw, byte_ids, float(own.min()) - 1.0
+        first, pairs, keys, np.array([a for _, a in inner], np.int32), np.array(ends, np.int32), scores, raw, byte_ids, float(own.min()) - 1.0
     )
 
 
@@ -138,6 +138,13 @@ def chunks(text: str) -> list[str]:
     return _CHUNK.findall(" " + text) if text else []
 
 
+def _behind_blank(text: str) -> list[str]:
+    """The chunks of a text without their first character, which is a blank in all of them."""
+    if "  " in text or text.startswith(" "):
+        return [c[1:] for c in chunks(text)]
+    return text.split(" ") if text else []
+
+
 @dataclass
 class Lattices:
     """Lattices of distinct chunks behind one another: nodes are places between characters; the arcs of a node
@@ -156,26 +163,26 @@ class Lattices:
 def _after(pieces: Pieces, state: np.ndarray, character: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
     """States after one more character, 0 where the trie ends; only for the entries `which`, if given."""
     if which is not None:
-        out = np.zeros(len(state), np.int64)
+        out = np.zeros(len(state), np.int32)
         chosen = np.flatnonzero(which)
         out[chosen] = _after(pieces, state[chosen], character[chosen])
         return out
-    wanted = state << 21 | character
+    wanted = state.astype(np.int64) << 21 | character
     at = np.minimum(np.searchsorted(pieces.keys, wanted), len(pieces.keys) - 1)
     return np.where(pieces.keys[at] == wanted, pieces.states[at], 0)
 
 
 def lattices(texts: list[str], pieces: Pieces) -> Lattices:
     size = np.fromiter(map(len, texts), np.int64, len(texts))
-    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).astype(np.int64)
-    flat = np.where(flat == 32, SPACE, np.where(flat == SPACE, LITERAL_SPACE, flat))
-    owner = np.repeat(np.arange(len(texts)), size)
-    node = np.arange(len(flat)) + owner  # each chunk has one node more than characters
-    stop = np.cumsum(size)[owner]
+    flat = np.frombuffer("".join(texts).encode("utf-32-le"), np.int32).copy()
+    flat[flat == SPACE] = LITERAL_SPACE
+    flat[flat == 32] = SPACE
+    node = np.arange(len(flat), dtype=np.int32) + np.repeat(np.arange(len(texts), dtype=np.int32), size)  # each chunk has one node more than characters
+    stop = np.repeat(np.cumsum(size).astype(np.int32), size)
     narrow = _narrow(flat)
     starts, ends, found = [], [], []
-    place = np.arange(len(flat))
-    state = pieces.first[flat].astype(np.int64)
+    place = np.arange(len(flat), dtype=np.int32)
+    state = pieces.first[flat]
     length = 1
     while len(place):
         alive = state > 0
@@ -199,17 +206,17 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
     covered = np.zeros(len(flat), bool)
     if starts:
         covered[starts[0]] = True
-    bare = np.flatnonzero(~covered)
+    bare = np.flatnonzero(~covered).astype(np.int32)
     character = np.where(flat[bare] == LITERAL_SPACE, SPACE, flat[bare])
     width = 1 + (character > 0x7F) + (character > 0x7FF) + (character > 0xFFFF)
     start = np.concatenate([*starts, bare])
     end = np.concatenate([*ends, bare + 1])
     # One byte is a piece of its own; more are written out by `_ids`.
-    piece = np.concatenate([*found, np.where(width == 1, pieces.byte_ids[np.where(width == 1, character, 0)], -1 - character)])
+    piece = np.concatenate([*found, np.where(width == 1, pieces.byte_ids[np.where(width == 1, character, 0)], -1 - character).astype(np.int32)])
     score = np.concatenate([pieces.scores[np.concatenate(found)] if found else np.zeros(0), pieces.byte_score * width])
     distance = stop[start] - start
     # By distance from the chunk's end, then node, then length: the longest piece is mostly the likeliest.
-    order = np.argsort((distance << 34) | (start << 6) | (63 - np.minimum(end - start, 63)))
+    order = np.argsort((distance.astype(np.int64) << 34) | (start.astype(np.int64) << 6) | (63 - np.minimum(end - start, 63)))
     start, end, piece, score, distance = start[order], end[order], piece[order], score[order], distance[order]
     start, end = node[start], node[end - 1] + 1
     # Backward sums, a distance from the chunks' ends at a time.
@@ -234,14 +241,30 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
     return Lattices(*nodes, *arcs, first_arc.astype(np.int32), last_arc.astype(np.int32))
 
 
+class Numbers(dict):
+    """Numbers from 0 of chunks, in the order they are met; `new` lists those met since it was last emptied."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        number = self[chunk] = len(self)
+        self.new.append(chunk)
+        return number
+
+
 class Cache:
     """Lattices of the chunks that a task has met, up to `CACHED_ARCS` arcs; beyond it starts anew. Arrays grow
     in place, with room for more behind what is used."""
 
     def __init__(self, pieces: Pieces) -> None:
-        self.pieces, self.numbers = pieces, {}
-        self.lattices = lattices([], pieces)
-        self.rooms = {}
+        self.pieces, self.rooms = pieces, {}
+        self.clear()
+
+    def clear(self) -> None:
+        """Forget all chunks; the room of the arrays stays."""
+        self.numbers, self.lattices = Numbers(), lattices([], self.pieces)
 
     def _appended(self, name: str, used: np.ndarray, new: np.ndarray) -> np.ndarray:
         n = len(used) + len(new)
@@ -253,15 +276,15 @@ class Cache:
         room[len(used) : n] = new
         return room[:n]
 
-    def look_up(self, distinct: list[str]) -> np.ndarray:
-        """Numbers of chunks in `lattices`."""
+    def look_up(self, rests: list[list[str]]) -> np.ndarray:
+        """Numbers in `lattices` of the chunks of some texts, given without their first blanks."""
         if len(self.lattices.end) > CACHED_ARCS:
-            self.__init__(self.pieces)
+            self.clear()
         numbers = self.numbers
-        new = [c for c in distinct if c not in numbers]
-        if new:
-            numbers.update(zip(new, range(len(numbers), len(numbers) + len(new))))
-            old, made = self.lattices, lattices(new, self.pieces)
+        found = np.fromiter(map(numbers.__getitem__, chain.from_iterable(rests)), np.int64, sum(map(len, rests)))
+        if numbers.new:
+            old, made = self.lattices, lattices([" " + c for c in numbers.new], self.pieces)
+            numbers.new = []
             nodes, arcs = np.int32(len(old.first_arc)), np.int32(len(old.end))
             made.root += nodes
             made.last += nodes
@@ -269,7 +292,7 @@ class Cache:
             made.first_arc += arcs
             made.last_arc += arcs
             self.lattices = Lattices(**{n: self._appended(n, x, getattr(made, n)) for n, x in vars(old).items()})
-        return np.fromiter((numbers[c] for c in distinct), np.int64, len(distinct))
+        return found
 
 
 _ALL = (1 << 64) - 1
@@ -281,10 +304,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(seed: np.ndarray, sample: int, place: np.ndarray, step: int) -> np.ndarray:
-    """Numbers in (0, 1) from a row's seed, the sample, the chunk's place and the step."""
+def uniform(seeds: np.ndarray, sample: int, owner: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
+    """Numbers in (0, 1) from the seed of the row that owns a chunk, the sample, the chunk's place and the step."""
     salt = np.uint64((sample * 0x9E3779B97F4A7C15 + step * 0xD1B54A32D192ED03) & (2**64 - 1))
-    x = _mix(_mix(seed + salt) + place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
+    x = _mix(_mix(seeds + salt)[owner] + place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
 
@@ -301,8 +324,10 @@ def again(seed: int, sample: int, place: int) -> Iterator[float]:
         yield (((y ^ (y >> 31)) >> 11) + 0.5) * 2.0**-53
 
 
-def draw(lat: Lattices, kind: np.ndarray, seed: np.ndarray, place: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A path for every chunk (lattice `kind`): arcs behind one another, where each chunk's begin, and its log
+def draw(
+    lat: Lattices, kind: np.ndarray, seeds: np.ndarray, owner: np.ndarray, place: np.ndarray, sample: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A path for every chunk (lattice `kind`) of the rows `owner`: arcs behind one another, where each chunk's begin, and its log
     probability."""
     node, last = lat.root[kind], lat.last[kind]
     n = len(kind)
@@ -311,7 +336,7 @@ def draw(lat: Lattices, kind: np.ndarray, seed: np.ndarray, place: np.ndarray, s
     at = node[active]
     step = 0
     while len(active):
-        u = uniform(seed[active], sample, place[active], step)
+        u = uniform(seeds, sample, owner[active], place[active], step)
         arc, most = lat.first_arc[at], lat.last_arc[at]
         beyond = np.flatnonzero((u > lat.upto[arc]) & (arc < most))
         while len(beyond):
@@ -376,26 +401,23 @@ class Sample:
 
 def sampled(texts: list[str], seeds: np.ndarray, cache: Cache, k: int = SAMPLES) -> list[list[tuple[np.ndarray, float, float, float]]]:
     """For each text its samples: ids, log probability, perturbed value, inclusion score."""
-    split = [chunks(t) for t in texts]
+    split = [_behind_blank(t) for t in texts]
     size = np.array([len(x) for x in split], np.int64)
     begin = np.concatenate([[0], np.cumsum(size)])
-    flat = np.empty(begin[-1], dtype=object)
-    flat[:] = [c for parts in split for c in parts]
-    kind, distinct = pd.factorize(flat)
-    kind = cache.look_up(distinct.tolist())[kind] if len(kind) else kind
+    kind = cache.look_up(split)
     lat = cache.lattices
     place = np.arange(len(kind)) - np.repeat(begin[:-1], size)
-    seed = np.repeat(seeds, size)
+    owner = np.repeat(np.arange(len(texts)), size)
     samples: list[list[Sample]] = [[] for _ in texts]
     heaps: list[list[tuple]] = [[] for _ in texts]
-    roots = -np.log(-np.log(uniform(seeds, 0, np.zeros(len(texts)), ROOT_STEP)))
+    roots = -np.log(-np.log(uniform(seeds, 0, np.arange(len(texts)), np.zeros(len(texts)), ROOT_STEP)))
     fresh = np.ones(len(kind), bool)
     start: list[tuple | None] = [(float(g), -1, 0, (), 0.0) for g in roots]
     for r in range(k):
         # What is drawn anew: all chunks behind the one where a sample leaves its predecessor.
         chosen = np.flatnonzero(fresh)
-        arcs, at, logp = draw(lat, kind[chosen], seed[chosen], place[chosen], r)
-        noise = uniform(seed[chosen], r, place[chosen], SIBLING_STEP)
+        arcs, at, logp = draw(lat, kind[chosen], seeds, owner[chosen], place[chosen], r)
+        noise = uniform(seeds, r, owner[chosen], place[chosen], SIBLING_STEP)
         with np.errstate(divide="ignore"):
             rest = np.log(np.maximum(-np.expm1(logp), 0.0))
         rest[logp > -_EMPTY] = -np.inf
@@ -484,6 +506,24 @@ def decode(ids, pieces: Pieces) -> str:
     return b"".join([raw[i] for i in np.asarray(ids).tolist()])[1:].decode("utf-8", "replace")
 
 
+def _spelling(pieces: Pieces) -> pa.Array:
+    return pa.array(pieces.bytes_, pa.large_binary())
+
+
+def restored(ids: np.ndarray, ends: np.ndarray, texts: list[str], spelling: pa.Array, pieces: Pieces) -> list[bool]:
+    """Whether segmentations that stand behind one another, each up to one of `ends`, decode to their texts."""
+    # What is taken stands behind one another in one buffer: the bytes of all segmentations.
+    taken = spelling.take(pa.array(ids))
+    places = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset :]
+    data = taken.buffers()[2].to_pybytes() if len(ids) else b""
+    out, begin = [], 0
+    for end, text in zip(ends.tolist(), texts):
+        same = data[places[begin] + 1 : places[end]] == text.encode() if end > begin else not text
+        out.append(same or decode(ids[begin:end], pieces) == text)
+        begin = end
+    return out
+
+
 def encode(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SEED, decoded: bool = False) -> DataFrame:
     """doc_id, sample (from 1), ids, log_prob, perturbed and log_inclusion of every sampled segmentation;
     with `decoded` also whether decoding gives the text back."""
@@ -492,7 +532,7 @@ def encode(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SE
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = shared.value
-        cache = Cache(pieces)
+        cache, spelling = Cache(pieces), _spelling(pieces)
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             seeds = batch["seed"].to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
@@ -501,14 +541,15 @@ def encode(docs: DataFrame, model: str = MODEL, k: int = SAMPLES, seed: int = SE
                 rows = [(i, j + 1, *s) for i, got in enumerate(found, lo) for j, s in enumerate(got)]
                 ids = [r[2] for r in rows]
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+                flat = np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32)
                 columns = [
                     batch["doc_id"].take(pa.array([r[0] for r in rows], pa.int64())),
                     pa.array([r[1] for r in rows], pa.int32()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*ids, np.zeros(0, np.int32)]).astype(np.int32))),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                     *(pa.array([r[c] for r in rows], pa.float64()) for c in (3, 4, 5)),
                 ]
                 if decoded:
-                    columns.append(pa.array([decode(r[2], pieces) == texts[r[0]] for r in rows], pa.bool_()))
+                    columns.append(pa.array(restored(flat, offsets[1:], [texts[r[0]] for r in rows], spelling, pieces), pa.bool_()))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     kind = docs.schema["doc_id"].dataType.simpleString()

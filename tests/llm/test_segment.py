@@ -109,3 +109,38 @@ def test_the_public_model_on_rows(spark):
     assert len(by[0]) == 6 and Counter(tuple(r.ids) for r in by[0]).most_common(1)[0][1] == 2
     assert all(r.log_inclusion <= 0 and r.log_prob <= 1e-9 for r in got)
     assert segment.encode(docs.limit(0)).collect() == []
+
+
+def test_chunks_are_looked_up_and_spellings_compared_without_a_step_per_piece(pieces):
+    texts = ["", " ", "a", "a ", " a", "a  b", "a b a b", "  ab   c ", "\u2581 \ufffd", "caf\u00e9 \U0001f600 x"]
+    for text in texts:
+        assert [" " + c for c in segment._behind_blank(text)] == segment.chunks(text)
+    cache = segment.Cache(pieces)
+    split = [segment._behind_blank(t) for t in texts]
+    numbers = cache.look_up(split).tolist()
+    flat = [c for parts in split for c in parts]
+    assert len(set(zip(flat, numbers))) == len(set(flat)) == len(cache.lattices.root)
+    assert cache.look_up(split).tolist() == numbers and len(cache.lattices.root) == len(set(flat))
+    ids = [segment.sampled([t], np.array([5], np.uint64), cache, k=1)[0][0][0] for t in texts]
+    wrong = [t + "?" for t in texts]
+    for against in (texts, wrong):
+        got = segment.restored(np.concatenate(ids), np.cumsum([len(x) for x in ids]), against, segment._spelling(pieces), pieces)
+        assert got == [segment.decode(x, pieces) == t for x, t in zip(ids, against)] == [against is texts] * len(texts)
+    # Bytes that are no text are spelled as U+FFFD, and so may a text be.
+    broken = pieces.byte_ids[[0x20, 0xFF]].astype(np.int32)
+    assert segment.restored(broken, np.array([2]), ["\ufffd"], segment._spelling(pieces), pieces) == [True]
+
+
+def test_a_cache_that_starts_anew_changes_nothing(pieces, monkeypatch):
+    texts = [f"abc ab{i} caf\u00e9 {i % 3}" for i in range(40)]
+    seeds = np.arange(40).astype(np.uint64)
+    together = segment.sampled(texts, seeds, segment.Cache(pieces), k=2)
+    monkeypatch.setattr(segment, "CACHED_ARCS", 30)
+    cache, anew = segment.Cache(pieces), []
+    rooms = cache.rooms
+    for i in range(0, 40, 4):
+        anew += segment.sampled(texts[i : i + 4], seeds[i : i + 4], cache, k=2)
+    assert cache.rooms is rooms and len(cache.numbers) < len({c for t in texts for c in segment.chunks(t)})
+    for got, want in zip(anew, together, strict=True):
+        assert [r[0].tolist() for r in got] == [r[0].tolist() for r in want]
+        assert np.allclose([r[1:] for r in got], [r[1:] for r in want])
