@@ -4,6 +4,7 @@ import datetime as dt
 import os
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -102,3 +103,11 @@ def test_evaluate_forgets_nothing_between_calls():
             more, since = rule.evaluate(counts, since, evaluated, due, 1)
             found, evaluated = found + more, due
         assert found == whole
+
+
+def test_failures_of_a_key_add_up_by_hour():
+    counts = {7: 2}
+    rule.add_hours(counts, np.array([9, 7, 9, -1], np.int64))
+    assert counts == {7: 3, 9: 2, -1: 1} and all(type(h) is int for h in counts)
+    rule.add_hours(counts, np.array([], np.int64))
+    assert counts == {7: 3, 9: 2, -1: 1}
