@@ -16,6 +16,13 @@ ATTEMPT_WAIT_S = 2
 # Closing member of the wrapper object in `_wrapped`; text behind the answer keeps it from being seen.
 _END = "jobweave:end"
 
+# An answer of a whole number and a text without escapes, and nothing else. Longer texts are
+# read as JSON.
+_PLAIN = (
+    r'\A\{[ \t\r\n]*+"score"[ \t\r\n]*+:[ \t\r\n]*+(0|-?[1-9][0-9]{0,8})[ \t\r\n]*+,[ \t\r\n]*+'
+    r'"summary"[ \t\r\n]*+:[ \t\r\n]*+"([^"\\\x00-\x1F]{0,100000}+)"[ \t\r\n]*+\}\z'
+)
+
 
 def strip_fences(response: Column) -> Column:
     """The answer without surrounding white space and Markdown code fences."""
@@ -58,24 +65,29 @@ def parse_responses(df: DataFrame, response: str = "response") -> DataFrame:
 
     The answer is read inside a wrapper object whose last member can only be reached when nothing
     follows the answer, so trailing text is an error. Fields are read as variants, which keep quoted
-    and unquoted numbers apart.
+    and unquoted numbers apart. Plain answers (`_PLAIN`) are read by their pattern, with the same result.
     """
     answer = strip_fences(F.coalesce(F.col(response), F.lit("")))
     schema = f"r STRUCT<score: VARIANT, summary: VARIANT>, `{_END}` INT"
-    # Each row passes through one projection per stage, so the JSON is parsed once.
-    staged = df.withColumn("_wrapped", _wrapped(answer)).withColumn(
+    # Each row passes through one projection per stage, so the JSON is parsed once, and not for a plain answer.
+    staged = df.withColumn("_answer", answer).withColumn("_digits", F.regexp_extract("_answer", _PLAIN, 1))
+    plain = F.col("_digits") != ""
+    staged = staged.withColumn("_wrapped", F.when(~plain, _wrapped(F.col("_answer")))).withColumn(
         "_parsed", F.from_json("_wrapped", schema, {"allowSingleQuotes": "false"})
     )
     # An answer can only add members to the wrapper after closing its own object; just then they are counted.
     reached = F.col(f"_parsed.`{_END}`").isNotNull()
     alone = F.when(F.col("_wrapped").rlike(r"(?s)\}\s*,.*,"), F.size(F.json_object_keys("_wrapped")) == 2).otherwise(True)
-    staged = staged.withColumn("_valid", F.coalesce(reached & alone, F.lit(False)))
-    for field in ("score", "summary"):
+    staged = staged.withColumn("_valid", plain | F.coalesce(reached & alone, F.lit(False)))
+    read = {"score": ("BIGINT", F.col("_digits")), "summary": ("STRING", F.regexp_extract("_answer", _PLAIN, 2))}
+    for field, (kind, text) in read.items():
         staged = staged.withColumn(
-            f"_{field}_kind", F.expr(f"schema_of_variant(_parsed.r.{field})")
-        ).withColumn(f"_{field}_text", F.expr(f"try_variant_get(_parsed.r.{field}, '$', 'string')"))
+            f"_{field}_kind", F.when(plain, kind).otherwise(F.expr(f"schema_of_variant(_parsed.r.{field})"))
+        ).withColumn(
+            f"_{field}_text", F.when(plain, text).otherwise(F.expr(f"try_variant_get(_parsed.r.{field}, '$', 'string')"))
+        )
     number = F.coalesce(_integer_of(F.col("_score_kind"), F.col("_score_text")), F.lit(None))
-    staged = staged.withColumn("_number", number)
+    staged = staged.withColumn("_number", F.when(plain, F.col("_digits").cast("double")).otherwise(number))
     in_range = F.col("_number").between(MIN_SCORE, MAX_SCORE)
     error = (
         F.when(~F.col("_valid"), F.lit("invalid JSON"))

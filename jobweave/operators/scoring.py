@@ -60,6 +60,17 @@ def build_prompts(pairs: DataFrame, instructions: str = INSTRUCTIONS, max_chars:
     return pairs.withColumn("prompt", prompt)
 
 
+def column_scorer(answer: Column) -> Scorer:
+    """Scorer whose answer is an expression over the pairs, which it names as `answer`, so that scorers chosen by
+    row need no pass of their own."""
+
+    def scorer(pairs: DataFrame) -> DataFrame:
+        return pairs.withColumn("response", answer)
+
+    scorer.answer = answer
+    return scorer
+
+
 def batch_scorer(score_batch: Callable[[pd.DataFrame], pd.Series]) -> Scorer:
     """Scorer from a function over Arrow batches, for models that Spark expressions cannot call.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .scoring import Scorer
+from .scoring import Scorer, column_scorer
 from .tiles import tiled
 
 TILE_ROWS = 512
@@ -76,22 +76,20 @@ def overlap(job_tags: Column, user_tags: Column) -> dict[str, Column]:
 
 def tag_scorer() -> Scorer:
     """Deterministic scorer for pairs that carry `job_tags` and `user_tags`."""
-
-    def scorer(pairs: DataFrame) -> DataFrame:
-        parts = overlap(F.col("job_tags"), F.col("user_tags"))
-        summary = F.concat(
-            parts["n_matched"].cast("string"), F.lit("/"), parts["n_wanted"].cast("string"), F.lit(" tags matched")
-        )
-        answer = F.to_json(F.struct(parts["score"].alias("score"), summary.alias("summary")))
-        return pairs.withColumn("response", answer)
-
-    return scorer
+    parts = overlap(F.col("job_tags"), F.col("user_tags"))
+    summary = F.concat(
+        parts["n_matched"].cast("string"), F.lit("/"), parts["n_wanted"].cast("string"), F.lit(" tags matched")
+    )
+    return column_scorer(F.to_json(F.struct(parts["score"].alias("score"), summary.alias("summary"))))
 
 
 def with_fallback(pairs: DataFrame, fallback: Scorer) -> DataFrame:
-    """Tag scorer for users with tags, `fallback` for the others. The pairs are written once for both."""
-    pairs = materialize(pairs, "pairs")
+    """Tag scorer for users with tags, `fallback` for the others. A `column_scorer` answers in the same pass; for
+    any other scorer the pairs are written once for both."""
     has_tags = F.size(F.coalesce("user_tags", F.array().cast("array<string>"))) > 0
+    if (answer := getattr(fallback, "answer", None)) is not None:
+        return pairs.withColumn("response", F.when(has_tags, tag_scorer().answer).otherwise(answer))
+    pairs = materialize(pairs, "pairs")
     return tag_scorer()(pairs.filter(has_tags)).unionByName(fallback(pairs.filter(~has_tags)))
 
 

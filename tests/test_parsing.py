@@ -6,8 +6,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as some
 from pyspark.sql import functions as F
 
+from jobweave.functions import parsing
 from jobweave.functions.parsing import parse_responses
-from jobweave.operators import scoring
+from jobweave.operators import scoring, tags
 
 FENCE = "`" * 3
 
@@ -134,3 +135,36 @@ def test_batch_scorer_runs_in_arrow_batches(spark):
     pairs = spark.range(10).withColumn("prompt", F.lit("p"))
     scorer = scoring.batch_scorer(lambda batch: '{"score": ' + (batch["id"] + 1).astype(str) + ', "summary": "s"}')
     assert {r.score for r in scoring.score_pairs(pairs, scorer).collect()} == set(range(1, 11))
+
+
+def test_plain_answers_are_read_as_their_json(spark, monkeypatch):
+    texts = ["", "ok", "a}, b", "é 漢字 \U0001f600 � ﻿ ", "tab\t", 'say \\"so\\"', "back\\\\", "\x7f", "x" * 100_000, "x" * 100_001, '", "score": 2, "x": "']
+    numbers = ["7", "-7", "0", "-0", "07", "999999999", "1000000000", "7.0", '"7"', "null", "+7"]
+    forms = ['{"score": %s, "summary": "%s"}', '\n{\r\n\t"score" :%s\n,\t"summary":  "%s"\n}\n', '{"score":%s,"summary":"%s"} ', FENCE + 'json\n{"score":%s,"summary":"%s"}\n' + FENCE, '{"score":%s,"summary":"%s"},', '{"score":%s,"summary":"%s"}}']
+    answers = [f % (n, t) for f in forms for n in numbers for t in texts[:8]] + [forms[0] % (8, t) for t in texts[8:]]
+    broken = F.concat(F.lit('{"score": 3, "summary": "a'), F.unhex(F.lit("FFEDA080C3")).cast("string"), F.lit('b"}'))
+    df = spark.createDataFrame([(a,) for a in answers], "response string").unionByName(spark.range(1).select(broken.alias("response")))
+
+    def read():
+        return [tuple(r) for r in parse_responses(df).select("score", "summary", "error").collect()]
+
+    quick = read()
+    matches = df.filter(parsing.strip_fences(F.col("response")).rlike(parsing._PLAIN)).count()
+    assert 60 < matches < df.count() // 2
+    monkeypatch.setattr(parsing, "_PLAIN", r"(\Ax)(x\z)")
+    assert read() == quick
+
+
+def test_a_fallback_that_is_an_expression_needs_no_written_pairs(spark, monkeypatch):
+    rows = [("a", ["x"], ["x", "y"]), ("b", ["x"], []), ("c", ["x"], None), ("d", [], ["x"])]
+    pairs = spark.createDataFrame(rows, "user_id string, job_tags array<string>, user_tags array<string>")
+    answer = F.concat(F.lit('{"score": 9, "summary": "'), F.col("user_id"), F.lit('"}'))
+
+    def read(fallback):
+        scored = scoring.score_pairs(pairs, lambda rows: tags.with_fallback(rows, fallback))
+        return {r.user_id: (r.score, r.summary, r.error) for r in scored.collect()}
+
+    want = {"a": (5, "1/2 tags matched", None), "b": (9, "b", None), "c": (9, "c", None), "d": (1, "0/1 tags matched", None)}
+    assert read(lambda rows: rows.withColumn("response", answer)) == want
+    monkeypatch.setattr(tags, "materialize", None)
+    assert read(scoring.column_scorer(answer)) == want
