@@ -57,7 +57,7 @@ _EMPTY = 1e-12
 @dataclass
 class Pieces:
     """A vocabulary as a trie: states by first character, by the first two where both are narrow, and by
-    (state, character) in the sorted `keys`; `ends` has the piece that ends in a state."""
+    (state, character) in the hash table `keys`, where -1 is free; `ends` has the piece that ends in a state."""
 
     first: np.ndarray
     pairs: np.ndarray
@@ -128,10 +128,20 @@ def build(normal: list[tuple[int, str]], own: np.ndarray, raw: list[bytes], byte
         if state in began and c in near:
             pairs[began[state], near[c]] = after
     inner = sorted(((s << 21 | c), after) for (s, c), after in nodes.items() if s)
-    keys = np.array([k for k, _ in inner], np.int64)
-    return Pieces(
-        first, pairs, keys, np.array([a for _, a in inner], np.int32), np.array(ends, np.int32), scores, raw, byte_ids, float(own.min()) - 1.0
-    )
+    size = 4 << len(inner).bit_length()
+    keys, states = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+    homes = _home(np.array([k for k, _ in inner], np.int64), size)
+    for (key, after), slot in zip(inner, homes.tolist()):
+        while keys[slot] >= 0:
+            slot = (slot + 1) & (size - 1)
+        keys[slot], states[slot] = key, after
+    return Pieces(first, pairs, keys, states, np.array(ends, np.int32), scores, raw, byte_ids, float(own.min()) - 1.0)
+
+
+def _home(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where a key stands in a table of `size` places, a power of two, or the first place to look for it."""
+    mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    return (mixed >> np.uint64(65 - size.bit_length())).astype(np.int64)
 
 
 def chunks(text: str) -> list[str]:
@@ -148,7 +158,7 @@ def _behind_blank(text: str) -> list[str]:
 @dataclass
 class Lattices:
     """Lattices of distinct chunks behind one another: nodes are places between characters; the arcs of a node
-    stand together, with conditional log probabilities and the sum of probabilities up to each arc."""
+    stand together, with conditional log probabilities and the sum of probabilities up to each arc, 2 for the last."""
 
     root: np.ndarray
     last: np.ndarray
@@ -168,8 +178,18 @@ def _after(pieces: Pieces, state: np.ndarray, character: np.ndarray, which: np.n
         out[chosen] = _after(pieces, state[chosen], character[chosen])
         return out
     wanted = state.astype(np.int64) << 21 | character
-    at = np.minimum(np.searchsorted(pieces.keys, wanted), len(pieces.keys) - 1)
-    return np.where(pieces.keys[at] == wanted, pieces.states[at], 0)
+    size = len(pieces.keys)
+    slot = _home(wanted, size)
+    found = pieces.keys[slot]
+    out = np.where(found == wanted, pieces.states[slot], 0)
+    left = np.flatnonzero((found != wanted) & (found >= 0))
+    while len(left):  # the place is another's
+        slot[left] = (slot[left] + 1) & (size - 1)
+        found = pieces.keys[slot[left]]
+        hit = found == wanted[left]
+        out[left[hit]] = pieces.states[slot[left[hit]]]
+        left = left[~hit & (found >= 0)]
+    return out
 
 
 def lattices(texts: list[str], pieces: Pieces) -> Lattices:
@@ -194,7 +214,7 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
         found.append(piece[hit])
         more = place + length < stop[place]
         place, state = place[more], state[more]
-        if not len(place) or not len(pieces.keys):
+        if not len(place):
             break
         if length == 1:
             a, b = narrow[place], narrow[place + 1]
@@ -232,28 +252,16 @@ def lattices(texts: list[str], pieces: Pieces) -> Lattices:
     new = np.flatnonzero(np.concatenate([[True], start[1:] != start[:-1]])) if len(start) else np.zeros(0, int)
     many = np.diff(np.append(new, len(start)))
     total = np.concatenate([[0.0], np.cumsum(np.exp(logp))])
-    upto = total[1:] - np.repeat(total[new], many)
+    upto = (total[1:] - np.repeat(total[new], many)).astype(np.float32)
+    upto[new + many - 1] = 2.0  # nothing is drawn beyond a node's last arc
     first_arc, last_arc = np.zeros(len(beta), np.int64), np.zeros(len(beta), np.int64)
     first_arc[start[new]], last_arc[start[new]] = new, new + many - 1
     root = np.cumsum(size + 1) - size - 1
     nodes = (root.astype(np.int32), (root + size).astype(np.int32))
-    arcs = (end.astype(np.int32), piece.astype(np.int32), logp, upto.astype(np.float32))
+    arcs = (end.astype(np.int32), piece.astype(np.int32), logp, upto)
     return Lattices(*nodes, *arcs, first_arc.astype(np.int32), last_arc.astype(np.int32))
 
 
-class Numbers(dict):
-    """Numbers from 0 of chunks, in the order they are met; `new` lists those met since it was last emptied."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, chunk: str) -> int:
-        number = self[chunk] = len(self)
-        self.new.append(chunk)
-        return number
-
-
 class Cache:
     """Lattices of the chunks that a task has met, up to `CACHED_ARCS` arcs; beyond it starts anew. Arrays grow
     in place, with room for more behind what is used."""
@@ -264,7 +272,7 @@ class Cache:
 
     def clear(self) -> None:
         """Forget all chunks; the room of the arrays stays."""
-        self.numbers, self.lattices = Numbers(), lattices([], self.pieces)
+        self.numbers, self.lattices = {}, lattices([], self.pieces)
 
     def _appended(self, name: str, used: np.ndarray, new: np.ndarray) -> np.ndarray:
         n = len(used) + len(new)
@@ -281,10 +289,11 @@ class Cache:
         if len(self.lattices.end) > CACHED_ARCS:
             self.clear()
         numbers = self.numbers
+        fresh = [c for c in dict.fromkeys(chain.from_iterable(rests)) if c not in numbers]
+        numbers.update(zip(fresh, range(len(numbers), len(numbers) + len(fresh))))
         found = np.fromiter(map(numbers.__getitem__, chain.from_iterable(rests)), np.int64, sum(map(len, rests)))
-        if numbers.new:
-            old, made = self.lattices, lattices([" " + c for c in numbers.new], self.pieces)
-            numbers.new = []
+        if fresh:
+            old, made = self.lattices, lattices([" " + c for c in fresh], self.pieces)
             nodes, arcs = np.int32(len(old.first_arc)), np.int32(len(old.end))
             made.root += nodes
             made.last += nodes
@@ -299,16 +308,31 @@ _ALL = (1 << 64) - 1
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def uniform(seeds: np.ndarray, sample: int, owner: np.ndarray, place: np.ndarray, step: int) -> np.ndarray:
     """Numbers in (0, 1) from the seed of the row that owns a chunk, the sample, the chunk's place and the step."""
+    return _uniform(seeds, sample, owner, _spread(place), step)
+
+
+def _spread(place: np.ndarray) -> np.ndarray:
+    return place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D)
+
+
+def _uniform(seeds: np.ndarray, sample: int, owner: np.ndarray, spread: np.ndarray, step: int) -> np.ndarray:
     salt = np.uint64((sample * 0x9E3779B97F4A7C15 + step * 0xD1B54A32D192ED03) & (2**64 - 1))
-    x = _mix(_mix(seeds + salt)[owner] + place.astype(np.uint64) * np.uint64(0x2545F4914F6CDD1D))
-    return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
+    x = _mix(seeds + salt)[owner]
+    x += spread
+    out = (_mix(x) >> np.uint64(11)).astype(np.float64)
+    out += 0.5
+    out *= 2.0**-53
+    return out
 
 
 ROOT_STEP, SIBLING_STEP = 1 << 20, (1 << 20) + 1
@@ -329,26 +353,29 @@ def draw(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """A path for every chunk (lattice `kind`) of the rows `owner`: arcs behind one another, where each chunk's begin, and its log
     probability."""
-    node, last = lat.root[kind], lat.last[kind]
-    n = len(kind)
-    logp, count = np.zeros(n), np.zeros(n, np.int64)
-    active, taken = np.flatnonzero(node < last), []
-    at = node[active]
+    root, last = lat.root[kind], lat.last[kind]
+    logp, count = np.zeros(len(kind)), np.zeros(len(kind), np.int64)
+    active, taken = np.flatnonzero(root < last), []
+    # What goes on stands close together: place, end, owner, the place's part in the noise and the sum so far.
+    at, stop, own, spread, total = root[active], last[active], owner[active], _spread(place[active]), np.zeros(len(active))
     step = 0
     while len(active):
-        u = uniform(seeds, sample, owner[active], place[active], step)
-        arc, most = lat.first_arc[at], lat.last_arc[at]
-        beyond = np.flatnonzero((u > lat.upto[arc]) & (arc < most))
+        u = _uniform(seeds, sample, own, spread, step)
+        arc = lat.first_arc[at]
+        beyond = np.flatnonzero(u > lat.upto[arc])
         while len(beyond):
             arc[beyond] += 1
-            beyond = beyond[(u[beyond] > lat.upto[arc[beyond]]) & (arc[beyond] < most[beyond])]
+            beyond = beyond[u[beyond] > lat.upto[arc[beyond]]]
         taken.append((active, arc))
-        logp[active] += lat.logp[arc]
-        count[active] += 1
+        total += lat.logp[arc]
         at = lat.end[arc]
-        on = at < last[active]
-        active, at = active[on], at[on]
         step += 1
+        on = at < stop
+        done = np.flatnonzero(~on)
+        over = active[done]
+        logp[over], count[over] = total[done], step
+        on = np.flatnonzero(on)
+        active, at, stop, own, spread, total = active[on], at[on], stop[on], own[on], spread[on], total[on]
     begin = np.concatenate([[0], np.cumsum(count)])
     arcs = np.empty(begin[-1], np.int32)
     for step, (who, arc) in enumerate(taken):
@@ -434,7 +461,7 @@ def sampled(texts: list[str], seeds: np.ndarray, cache: Cache, k: int = SAMPLES)
             if source >= 0:
                 old = samples[d][source]
                 cut = old.begin[i]
-                new_arcs = np.concatenate([old.arcs[:cut], path, new_arcs]).astype(np.int64)
+                new_arcs = np.concatenate([old.arcs[:cut], np.array(path, np.int32), new_arcs])
                 new_at = np.concatenate([old.begin[: i + 1], cut + len(path) + new_at])
                 new_logp = np.concatenate([old.logp[:i], [path_logp], new_logp])
                 before[d] = new_logp[: i + 1].sum()

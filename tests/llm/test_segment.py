@@ -144,3 +144,29 @@ def test_a_cache_that_starts_anew_changes_nothing(pieces, monkeypatch):
     for got, want in zip(anew, together, strict=True):
         assert [r[0].tolist() for r in got] == [r[0].tolist() for r in want]
         assert np.allclose([r[1:] for r in got], [r[1:] for r in want])
+
+
+def test_states_are_looked_up_by_hash_and_last_arcs_end_a_draw(pieces):
+    rng = np.random.default_rng(5)
+    letters = list("abcdefghé漢\U0001f600 ")
+    names = sorted({"".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(3000)})
+    raw = [bytes([i]) for i in range(256)] + [n.encode() for n in names]
+    normal = [(256 + i, n.replace(" ", "▁")) for i, n in enumerate(names)]
+    many = segment.build(normal, -np.log(np.arange(len(names)) + 3.0), raw, np.arange(256))
+    used = np.flatnonzero(many.keys >= 0)
+    assert len(used) < len(many.keys) / 2 and sorted(many.states[used]) == sorted(set(many.states[used]))
+    assert (segment._home(many.keys[used], len(many.keys)) != used).any()  # some stand behind others
+    state, character = (many.keys[used] >> 21).astype(np.int32), (many.keys[used] & (1 << 21) - 1).astype(np.int32)
+    assert (segment._after(many, state, character) == many.states[used]).all()
+    known = set(many.keys[used].tolist())
+    for shift in (1, 7):
+        got = segment._after(many, state, character + shift)
+        assert [bool(x) for x in got] == [(int(s) << 21 | int(c) + shift) in known for s, c in zip(state, character)]
+    assert segment._after(pieces, state[:0], character[:0]).tolist() == []
+    lat = segment.lattices([" ab", " aba", " c"], pieces)
+    ends = np.unique(lat.last_arc[lat.first_arc <= lat.last_arc])
+    assert (lat.upto[ends] == 2).all() and (np.delete(lat.upto, ends) < 1).all()
+    # A vocabulary of single characters has no state to look up.
+    single = segment.build([(256, "▁"), (257, "a")], np.array([-2.0, -1.0]), raw[:256] + [b" ", b"a"], np.arange(256))
+    ((ids, *_),) = segment.sampled(["aab"], np.array([1], np.uint64), segment.Cache(single), k=2)[0]
+    assert segment.decode(ids, single) == "aab"
