@@ -127,3 +127,100 @@ def test_all_of_a_text_weighs_under_its_own_language(spark):
 
 def test_empty_table(spark):
     assert px.judged(spark.createDataFrame([], "doc_id long, text string, lang string")).collect() == []
+
+
+def points(text):
+    """Symbols of the trigrams of a text by a plain loop: code points, and None for the frame."""
+    framed = [None, None, *map(ord, text or ""), None]
+    return [tuple(framed[i : i + 3]) for i in range(len(framed) - 2)]
+
+
+ODD = ["é", "É", "\u00a0\u2003", "\t \n\r", "\x00\x01\x7f", "\u4e2d\u6587\u6a94", "\U0001f600\U0001f601\U0010ffff", "", None, "a\u0300b", "\u0430\u0431\u0432 ab"]
+
+
+def test_every_code_point_is_a_symbol_of_its_own():
+    rng = random.Random(12)
+    texts = ODD + ["".join(chr(rng.choice([rng.randrange(256), rng.randrange(0xD800), rng.randrange(0xE000, 0x110000)])) for _ in range(rng.randrange(30))) for _ in range(200)]
+    codes, owner = px.symbol_codes(*px.text_bytes(pa.array(texts)))
+    by_hand = [(i, g) for i, x in enumerate(texts) for g in points(x)]
+    assert owner.tolist() == [i for i, _ in by_hand]
+    code_of = {}
+    for (_, gram), code in zip(by_hand, codes.tolist()):
+        assert code_of.setdefault(gram, code) == code
+    assert len(set(code_of.values())) == len(code_of)  # no two trigrams are one
+    for order in (1, 2):
+        assert len({(g[-order:], c) for g, c in zip(code_of, px.last(np.array([*code_of.values()]), order).tolist())}) == len({g[-order:] for g in code_of})
+    assert len({(g[:2], c) for g, c in zip(code_of, px.before(np.array([*code_of.values()])).tolist())}) == len({g[:2] for g in code_of})
+
+
+def mixed(n):
+    rng = random.Random(6)
+    letters = {"en": "abcde  ", "ru": "\u0430\u0431\u0432\u0433\u0434 ", None: "ab\u4e2d\u6587\U0001f600"}
+    rows = [(i % 50, "".join(rng.choice(letters[x]) for _ in range(rng.randrange(60))), x) for i in range(n) for x in letters]
+    return rows + [(i, x, "" if i % 2 else None) for i, x in enumerate(ODD)] + [(7, "\u4e2d\u6587 abc" * 9, "en"), (7, rows[0][1], "en")]
+
+
+def test_trigrams_are_counted_whole_however_few_are_held(spark, monkeypatch):
+    rows = mixed(40)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    wanted = Counter((px._name(lang), g) for _, x, lang in rows for g in points(x))
+    code_of = {g: c for _, x, _ in rows for g, c in zip(points(x), px.symbol_codes(*px.text_bytes(pa.array([x], pa.string())))[0].tolist())}
+    for held in (px.HELD, 5):
+        got = {(r.name, r.gram): r.n for r in px.count_trigrams(docs, held).collect()}
+        assert got == {(name, code_of[g]): n for (name, g), n in wanted.items()}
+    data, offsets = px.text_bytes(pa.array(["".join(x or "" for x in ODD) * 3]))
+    whole = px.symbol_codes(data, offsets)[0]
+    for size in (1, 2, 3, 7):
+        monkeypatch.setattr(px, "SLICE_BYTES", size)
+        assert np.concatenate([*px._pieces(data, offsets)]).tolist() == whole.tolist()
+
+
+def test_levels_are_those_of_one_process(spark):
+    rows = mixed(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    table = px.learn(docs).toPandas()
+    assert not table.duplicated(["name", "gram"]).any()
+    for name, part in table.groupby("name"):
+        part = part.sort_values("gram")
+        grams = part["gram"].to_numpy()
+        model = px.fit(grams, part["n"].to_numpy(), px.ALPHABET)
+        assert np.allclose(model.log_probability(grams), part["logp"])
+        p = {k: model.find(px.last(grams, k), k)[0] for k in (1, 2)}
+        weight = {k: model.find(px.before(px.last(grams, k)), k, context=True)[0] for k in (2, 3)}
+        assert np.allclose(weight[3] + p[2], part["logp2"])
+        assert np.allclose(weight[3] + weight[2] + p[1], part["logp1"])
+        held = Counter()
+        for g, n in zip(px.last(grams, 2).tolist(), part["n"]):
+            held[g] += n
+        assert [held[g] for g in px.last(grams, 2).tolist()] == part["n_pair"].tolist()
+
+
+def test_perplexity_is_that_by_hand_whatever_travels(spark):
+    rows = mixed(60)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    model = px.learn(docs)
+    values = {(r.name, r.gram): r for r in model.collect()}
+
+    def by_hand(text, lang):
+        codes = px.symbol_codes(*px.text_bytes(pa.array([text], pa.string())))[0].tolist()
+        own, pairs = Counter(codes), Counter(px.last(np.array(codes), 2).tolist())
+        total = 0.0
+        for c in codes:
+            v = values[px._name(lang), c]
+            total += v.logp1 if pairs[int(px.last(c, 2))] == v.n_pair else v.logp2 if own[c] == v.n else v.logp
+        return round(-total / len(codes), 9)
+
+    wanted = sorted((i, lang or "-", len(x or "") + 1, by_hand(x, lang)) for i, x, lang in rows)
+    for most in (px.HEAD, 60, 0):
+        got = px.measured(docs, model, most).collect()
+        assert sorted((r.doc_id, r.lang or "-", r.n_codes, round(r.log_perplexity, 9)) for r in got) == wanted
+
+
+def test_a_script_of_its_own_does_not_vouch_for_itself(spark):
+    rng = random.Random(3)
+    common = ["".join(rng.choice("abcdefghilmnorstu") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+    rows = [(i, " ".join(rng.choice(common) for _ in range(120)), "en") for i in range(120)]
+    rows += [(1000 + i, " ".join("".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(4)) for _ in range(100)), "en") for i in range(3)]
+    got = {r.doc_id: r for r in px.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(not got[1000 + i].kept and got[1000 + i].perplexity > 10 * got[1000 + i].upper for i in range(3))
+    assert sum(got[i].kept for i in range(120)) >= 117
